@@ -1,4 +1,145 @@
-"""Streaming entries of the query catalogue (filled in below)."""
+"""Streaming entries of the query catalogue.
 
-STREAM_QUERIES: dict = {}
-STREAM_ORACLES: dict = {}
+Each entry lays the table down as batch files under the shared checkpoint
+folder, runs the streaming query with ``availableNow`` and its own
+checkpoint, and returns the final state read back from the snapshot sink —
+so the same SQL oracle as the batch query applies.  Order-insensitive
+statistics stream a folder written in one job, several files per trigger;
+order-sensitive ones (Kalman, per-batch snapshots) are fed one week at a
+time, one trigger per week, restarting the query from its checkpoint each
+time (which also exercises recovery of the state).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from mergestat.plans.catalog import EVENT_BINS, HLL_M, J_SMALLEST, K_LARGEST
+from mergestat.plans.compare import rounded
+from mergestat.session import scratch_path
+from mergestat.sources.tables import table
+from mergestat.streaming import queries as sq
+from mergestat.streaming.sinks import latest_per_key, run
+from mergestat.streaming.sources import feed_in_order, read_batches, write_batch_files
+
+FILES_PER_TRIGGER = 3
+
+
+def _events_stream(spark: SparkSession, sf: str, name: str):
+    """Write events as day-ordered batch files; return (stream, folder)."""
+    ev = table(spark, sf, "events").withColumn("batch", F.to_date("ts"))
+    folder = scratch_path(spark, f"{name}-input")
+    write_batch_files(ev, "batch", folder, order=["ts", "event_id"])
+    stream = read_batches(spark, folder, ev.schema, FILES_PER_TRIGGER)
+    return stream.withColumnRenamed("event_type", "label"), folder
+
+
+def _run_final(spark: SparkSession, sf: str, name: str, build, keys,
+               mode: str = "update") -> DataFrame:
+    stream, _ = _events_stream(spark, sf, name)
+    out = scratch_path(spark, f"{name}-out")
+    run(build(stream), scratch_path(spark, f"{name}-ckpt"), out, mode)
+    return latest_per_key(spark, out, keys)
+
+
+def q_stream_sum(spark, sf):
+    return rounded(_run_final(spark, sf, "stream_sum",
+                              lambda s: sq.stream_sum(s, "label", "value"), ["label"]))
+
+
+def q_stream_variance(spark, sf):
+    return rounded(_run_final(spark, sf, "stream_variance",
+                              lambda s: sq.stream_variance(s, "label", "value"), ["label"]))
+
+
+def q_stream_histogram_median(spark, sf):
+    df = _run_final(spark, sf, "stream_histogram",
+                    lambda s: sq.stream_histogram_median(s, "label", "value", EVENT_BINS),
+                    ["label"])
+    return rounded(df.select("label", "n", "mean", F.array_join("counts", ",").alias("counts"),
+                             "median_estimate"))
+
+
+def q_stream_hll(spark, sf):
+    df = _run_final(spark, sf, "stream_hll", lambda s: sq.stream_hll(s, "label", "user_id", HLL_M),
+                    ["label"])
+    return rounded(df.withColumn("estimate_rounded", F.round("estimate").cast("bigint")))
+
+
+def q_stream_extremes(spark, sf):
+    df = _run_final(spark, sf, "stream_extremes",
+                    lambda s: sq.stream_extremes(s, "label", "value", K_LARGEST, J_SMALLEST),
+                    ["label"])
+    return rounded(df)
+
+
+def _feed_weekly(spark: SparkSession, sf: str, name: str, build, mode: str,
+                 stamp: bool = False) -> str:
+    """Feed events one calendar week at a time; one trigger per week."""
+    ev = (table(spark, sf, "events").withColumnRenamed("event_type", "label")
+          .withColumn("batch", F.to_date(F.date_trunc("week", "ts"))))
+    folder = scratch_path(spark, f"{name}-input")
+    out = scratch_path(spark, f"{name}-out")
+    ckpt = scratch_path(spark, f"{name}-ckpt")
+    for week in feed_in_order(ev, "batch", folder):
+        stream = read_batches(spark, folder, ev.schema)
+        df = build(stream)
+        if stamp:
+            df = df.withColumn("batch", F.lit(week).cast("date"))
+        run(df, ckpt, out, mode)
+    return out
+
+
+def q_stream_kalman(spark, sf):
+    out = _feed_weekly(spark, sf, "stream_kalman",
+                       lambda s: sq.stream_kalman(s, "label", "value", ["ts", "event_id"],
+                                                  passthrough=["event_id"]), "append")
+    return rounded(spark.read.parquet(out).drop("batch_id"))
+
+
+def q_stream_state_snapshots(spark, sf):
+    """The state of every key after every weekly batch (complete mode)."""
+    out = _feed_weekly(spark, sf, "stream_snapshots",
+                       lambda s: s.groupBy("label").agg(F.count("value").alias("n"),
+                                                        F.sum("value").alias("sum")),
+                       "complete", stamp=True)
+    return rounded(spark.read.parquet(out).drop("batch_id"))
+
+
+STREAM_QUERIES = {
+    "stream_sum": q_stream_sum,
+    "stream_variance": q_stream_variance,
+    "stream_histogram_median": q_stream_histogram_median,
+    "stream_hll": q_stream_hll,
+    "stream_extremes": q_stream_extremes,
+    "stream_kalman": q_stream_kalman,
+    "stream_state_snapshots": q_stream_state_snapshots,
+}
+
+_WEEKLY_HISTORY_SQL = (
+    "WITH ev AS (SELECT event_type AS label, value, "
+    "CAST(date_trunc('week', ts) AS DATE) AS batch FROM events), "
+    "f AS (SELECT label, min(batch) AS first FROM ev GROUP BY label), "
+    "g AS (SELECT label, CAST(unnest(generate_series(first, (SELECT max(batch) FROM ev), "
+    "INTERVAL 7 DAY)) AS DATE) AS batch FROM f) "
+    "SELECT g.label, g.batch, count(e.value) AS n, round(sum(e.value), 6) AS sum "
+    "FROM g JOIN ev e ON e.label = g.label AND e.batch <= g.batch GROUP BY g.label, g.batch")
+
+_EVENT_EXTREMES_SQL = " UNION ALL ".join(
+    f"SELECT event_type AS label, '{side}' AS side, rank, round(value, 6) AS value FROM "
+    f"(SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY value "
+    f"{d}, event_id) AS rank FROM events WHERE value IS NOT NULL AND NOT isnan(value)) "
+    f"WHERE rank <= {n}"
+    for side, d, n in (("largest", "DESC", K_LARGEST), ("smallest", "ASC", J_SMALLEST)))
+
+# Stream query -> batch oracle key (or SQL text of its own).
+STREAM_ORACLES = {
+    "stream_sum": "running_sum",
+    "stream_variance": "running_variance",
+    "stream_histogram_median": "running_histogram_median",
+    "stream_hll": "hll_estimate",
+    "stream_extremes": _EVENT_EXTREMES_SQL,
+    "stream_kalman": "kalman_trace",
+    "stream_state_snapshots": _WEEKLY_HISTORY_SQL,
+}
