@@ -115,8 +115,6 @@ def _pass_a(ks: list[str]):
             for s, e, key, cont in _runs(pdf, ks, last[0] if last else None):
                 if cont:
                     last[1] += e - s
-                    if first is last:
-                        pass
                 else:
                     last = [key, e - s]
                     if first is None:
@@ -135,7 +133,7 @@ def _pass_b(ks: list[str], prm: KalmanParams, table: GainTable):
     g0, g1, _ = _gain_arrays(table)
     dt = prm.dt
     ga0, ga1 = prm.ga
-    cols = [*ks, "_pid", "_first", "m00", "m01", "m10", "m11", "v0", "v1"]
+    cols = [*ks, "_pid", "_first", "_t0", "m00", "m01", "m10", "m11", "v0", "v1"]
 
     def compose(run, z, k0s, k1s):
         m00, m01, m10, m11, v0, v1 = run["m"]
@@ -164,8 +162,8 @@ def _pass_b(ks: list[str], prm: KalmanParams, table: GainTable):
                 if not cont:
                     is_first = first is None
                     t = int(t0) if is_first and not pd.isna(t0) else 0
-                    cur = {"key": key, "t": t, "m": (1.0, 0.0, 0.0, 1.0, 0.0, 0.0),
-                           "first": is_first}
+                    cur = {"key": key, "t": t, "t0": t, "first": is_first,
+                           "m": (1.0, 0.0, 0.0, 1.0, 0.0, 0.0)}
                     if is_first:
                         first = cur
                 # A run followed by another one in this batch is neither the
@@ -178,7 +176,7 @@ def _pass_b(ks: list[str], prm: KalmanParams, table: GainTable):
         if first is None:
             return
         keep = [first] if cur is first else [first, cur]
-        rows = [(*r["key"], pid, r["first"], *r["m"]) for r in keep]
+        rows = [(*r["key"], pid, r["first"], r["t0"], *r["m"]) for r in keep]
         yield pd.DataFrame(rows, columns=cols)
     return fn
 
@@ -195,7 +193,7 @@ def _chain(ks: list[str], prm: KalmanParams):
             in1.append(x1)
             x0, x1 = m00 * x0 + m01 * x1 + v0, m10 * x0 + m11 * x1 + v1
         return pd.DataFrame({"_pid": pdf["_pid"].to_numpy(), "_first": pdf["_first"].to_numpy(),
-                             "_x0": in0, "_x1": in1})
+                             "_t0": pdf["_t0"].to_numpy(), "_x0": in0, "_x1": in1})
     return fn
 
 
@@ -322,6 +320,7 @@ def kalman_trace(df: DataFrame, keys: str | Sequence[str], z: str,
 
     map_schema = T.StructType([*key_fields, T.StructField("_pid", T.IntegerType()),
                                T.StructField("_first", T.BooleanType()),
+                               T.StructField("_t0", T.LongType()),
                                *[T.StructField(c, T.DoubleType())
                                  for c in ("m00", "m01", "m10", "m11", "v0", "v1")]])
     maps = (staged.select(*ks, "_z", "_pid")
@@ -330,11 +329,11 @@ def kalman_trace(df: DataFrame, keys: str | Sequence[str], z: str,
 
     chain_schema = T.StructType([T.StructField("_pid", T.IntegerType()),
                                  T.StructField("_first", T.BooleanType()),
+                                 T.StructField("_t0", T.LongType()),
                                  T.StructField("_x0", T.DoubleType()),
                                  T.StructField("_x1", T.DoubleType())])
     incoming = (maps.groupBy(*ks).applyInPandas(_chain(ks, params), chain_schema)
-                    .where("_first").drop("_first")
-                    .join(first_t0, "_pid", "inner"))
+                    .where("_first").drop("_first"))
 
     out_fields = [*key_fields, *[T.StructField(c, staged.schema[c].dataType, True)
                                  for c in passthrough if c not in ks],
