@@ -21,9 +21,22 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from mergestat.functions.kalman_math import GainTable, KalmanParams
 
 
+PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb(spark) -> None:
+    """``transformWithState`` keeps several column families per operator,
+    which only the RocksDB provider supports.  Queries already checkpointed
+    keep the provider recorded in their checkpoint."""
+    if "RocksDB" not in (spark.conf.get(PROVIDER_KEY, "") or ""):
+        spark.conf.set(PROVIDER_KEY, ROCKSDB)
+
+
 def stateful(df: DataFrame, keys: Sequence[str], processor: StatefulProcessor,
              output_schema: T.StructType | str, mode: str = "Update") -> DataFrame:
     """Run a per-key state function over a (streaming) DataFrame."""
+    use_rocksdb(df.sparkSession)
     return df.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=output_schema,
         outputMode=mode, timeMode="None")

@@ -74,8 +74,13 @@ def main(argv):
     sf = argv[1] if len(argv) > 1 and argv[1].startswith("/") else "/root/testdata/sf0.01"
     names = [a for a in argv[1:] if not a.startswith("/")]
     import __spark_entry__ as E
-    from mergestat.session import get_session
-    spark = get_session("local[8]")
+    # A plain session like the driver's: none of mergestat's own settings.
+    from pyspark.sql import SparkSession
+    spark = (SparkSession.builder.master("local[8]")
+             .config("spark.sql.shuffle.partitions", "8")
+             .config("spark.ui.enabled", "false")
+             .config("spark.ui.showConsoleProgress", "false").getOrCreate())
+    spark.sparkContext.setLogLevel("ERROR")
     qs, sqls = E.queries(), E.oracle_sql()
     con = duck(sf)
     failed = 0
