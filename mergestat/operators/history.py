@@ -32,19 +32,26 @@ def _v(value) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def batch_grid(partials: DataFrame, keys, batch: str = "batch") -> DataFrame:
-    """(key..., batch) for every batch from the key's first to the last one."""
+def batch_grid(partials: DataFrame, keys, batch: str = "batch",
+               step: str = "1 day") -> DataFrame:
+    """(key..., batch) for every batch from the key's first to the last one.
+
+    DATE batches advance by ``step`` (an interval such as "1 day", "7 days",
+    "1 month"; batch values must be aligned to it, e.g. ``date_trunc``);
+    integer batches advance by one.
+    """
     ks = key_names(keys)
     last = partials.select(F.max(batch)).scalar()
     is_date = isinstance(partials.schema[batch].dataType, DateType)
-    step = F.expr("INTERVAL 1 DAY") if is_date else F.lit(1)
+    inc = F.expr(f"INTERVAL {step}") if is_date else F.lit(1)
     first = partials.groupBy(*ks).agg(F.min(batch).alias("_first"))
-    return first.select(*ks, F.explode(F.sequence(F.col("_first"), last, step)).alias(batch))
+    return first.select(*ks, F.explode(F.sequence(F.col("_first"), last, inc)).alias(batch))
 
 
-def _dense(partials: DataFrame, keys, batch: str = "batch") -> DataFrame:
+def _dense(partials: DataFrame, keys, batch: str = "batch", step: str | None = None) -> DataFrame:
     ks = key_names(keys)
-    return batch_grid(partials, keys, batch).join(partials, on=[*ks, batch], how="left")
+    grid = batch_grid(partials, keys, batch, step or "1 day")
+    return grid.join(partials, on=[*ks, batch], how="left")
 
 
 def _running(keys, batch: str = "batch") -> Window:
@@ -60,27 +67,27 @@ def _partials(df: DataFrame, keys, value, batch) -> DataFrame:
                    F.avg(v).alias("pmean"), (F.var_pop(v) * F.count(v)).alias("pm2")))
 
 
-def history_sum(df: DataFrame, keys, value, batch) -> DataFrame:
+def history_sum(df: DataFrame, keys, value, batch, step: str = "1 day") -> DataFrame:
     """Running count and sum per key after every batch."""
     ks = key_names(keys)
-    d = _dense(_partials(df, keys, value, batch), keys)
+    d = _dense(_partials(df, keys, value, batch), keys, step=step)
     w = _running(keys)
     return d.select(*ks, "batch",
                     F.sum(F.coalesce("pn", F.lit(0))).over(w).alias("n"),
                     F.sum("ps").over(w).alias("sum"))
 
 
-def history_mean(df: DataFrame, keys, value, batch) -> DataFrame:
+def history_mean(df: DataFrame, keys, value, batch, step: str = "1 day") -> DataFrame:
     """Running count and mean per key after every batch."""
     ks = key_names(keys)
-    d = _dense(_partials(df, keys, value, batch), keys)
+    d = _dense(_partials(df, keys, value, batch), keys, step=step)
     w = _running(keys)
     n = F.sum(F.coalesce("pn", F.lit(0))).over(w)
     return d.select(*ks, "batch", n.alias("n"),
                     (F.sum("ps").over(w) / F.when(n > 0, n)).alias("mean"))
 
 
-def history_variance(df: DataFrame, keys, value, batch) -> DataFrame:
+def history_variance(df: DataFrame, keys, value, batch, step: str = "1 day") -> DataFrame:
     """Running count, mean and population variance per key after every batch.
 
     Partials (n_i, mean_i, m2_i) are pooled with the k-way Chan rule written
@@ -89,7 +96,7 @@ def history_variance(df: DataFrame, keys, value, batch) -> DataFrame:
     the running mean.  Shifting keeps the subtraction well conditioned.
     """
     ks = key_names(keys)
-    d = _dense(_partials(df, keys, value, batch), keys)
+    d = _dense(_partials(df, keys, value, batch), keys, step=step)
     whole = Window.partitionBy(*ks)
     d = d.withColumn("_c", F.sum(F.col("pn") * F.col("pmean")).over(whole)
                      / F.sum("pn").over(whole))
@@ -104,10 +111,12 @@ def history_variance(df: DataFrame, keys, value, batch) -> DataFrame:
     var = F.greatest(F.lit(0.0), (F.col("_s2") - F.col("_s1") * F.col("_s1") / F.col("n")) / F.col("n"))
     return out.select(*ks, "batch", "n",
                       F.when(F.col("n") > 0, mean).alias("mean"),
-                      F.when(F.col("n") > 0, var).alias("variance"))
+                      F.when(F.col("n") > 0, var).alias("variance"),
+                      F.when(F.col("n") > 0, F.sqrt(var)).alias("stddev"))
 
 
-def history_histogram_median(df: DataFrame, keys, value, batch, bins: Bins) -> DataFrame:
+def history_histogram_median(df: DataFrame, keys, value, batch, bins: Bins,
+                             step: str = "1 day") -> DataFrame:
     """Running histogram and its median estimate per key after every batch.
 
     Per (key, batch): B+2 slot counts in one partial-aggregated shuffle; then
@@ -120,7 +129,7 @@ def history_histogram_median(df: DataFrame, keys, value, batch, bins: Bins) -> D
     parts = (df.select(*ks, b.alias("batch"), bins.slot(v).alias("_s"))
                .groupBy(*ks, "batch")
                .agg(*[F.count_if(s == i).alias(f"_c{i}") for i in range(bins.nslots)]))
-    d = _dense(parts, keys)
+    d = _dense(parts, keys, step=step)
     w = _running(keys)
     run = [F.sum(F.coalesce(f"_c{i}", F.lit(0))).over(w).cast("bigint").alias(f"_r{i}")
            for i in range(bins.nslots)]

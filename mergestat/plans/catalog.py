@@ -27,6 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Fixed parameters of the checked queries.
 EVENT_BINS = Bins(lo=0.0, hi=100.0, nbins=20)          # 20 bins over [0, 100)
 QUANTITY_EDGES = [0.0, 1.0, 5.0, 10.0, 20.0, 30.0, 40.0, 50.0]
+ACCTBAL_BINS = Bins(lo=0.0, hi=10000.0, nbins=10)      # negatives land in underflow
 K_LARGEST, J_SMALLEST = 4, 3
 HLL_M = 64
 
@@ -84,8 +85,11 @@ def q_variance_sum_squares(spark, sf):
 
 
 def q_variance_lineitem(spark, sf):
+    # l_extendedprice variances (~1e9) carry no sixth decimal in double
+    # precision, so the checked output is the standard deviation.
     li = table(spark, sf, "lineitem")
-    return _r(moments.running_variance(li, ["l_returnflag", "l_linestatus"], "l_extendedprice"))
+    return _r(moments.running_variance(li, ["l_returnflag", "l_linestatus"], "l_extendedprice")
+              .drop("variance"))
 
 
 def q_variance_merge_partials(spark, sf):
@@ -187,6 +191,16 @@ def q_mean_vs_median(spark, sf):
     return _r(histogram.mean_vs_median(_events(spark, sf), "label", "value", EVENT_BINS))
 
 
+def q_histogram_acctbal(spark, sf):
+    cu = table(spark, sf, "customer")
+    return histogram.histogram_long(cu, "c_mktsegment", "c_acctbal", ACCTBAL_BINS)
+
+
+def q_histogram_median_acctbal(spark, sf):
+    cu = table(spark, sf, "customer")
+    return _r(histogram.histogram_median(cu, "c_mktsegment", "c_acctbal", ACCTBAL_BINS))
+
+
 # ---------------------------------------------------------------- 2.8 W5
 
 def q_history_sum(spark, sf):
@@ -198,7 +212,8 @@ def q_history_mean(spark, sf):
 
 
 def q_history_variance(spark, sf):
-    return _r(history.history_variance(_events(spark, sf), "label", "value", "batch"))
+    return _r(history.history_variance(_events(spark, sf), "label", "value", "batch")
+              .drop("stddev"))
 
 
 def q_history_histogram_median(spark, sf):
@@ -206,6 +221,15 @@ def q_history_histogram_median(spark, sf):
                                                EVENT_BINS))
 
 
+def q_history_orders_monthly(spark, sf):
+    od = (table(spark, sf, "orders")
+          .withColumn("month", F.to_date(F.date_trunc("month", "o_orderdate"))))
+    # stddev rather than variance: o_totalprice variances (~1e10) carry no
+    # sixth decimal in double precision.
+    h = history.history_variance(od, "o_orderpriority", "o_totalprice", "month", step="1 month")
+    return _r(h.select("o_orderpriority", "batch", "n", "mean", "stddev"))
+
+
 # ---------------------------------------------------------------- 2.7
 
 def q_kalman_final(spark, sf):
@@ -253,10 +277,13 @@ BATCH_QUERIES: dict[str, Query] = {
     "histogram_median": q_histogram_median,
     "running_histogram_median": q_running_histogram_median,
     "mean_vs_median": q_mean_vs_median,
+    "histogram_acctbal": q_histogram_acctbal,
+    "histogram_median_acctbal": q_histogram_median_acctbal,
     "history_sum": q_history_sum,
     "history_mean": q_history_mean,
     "history_variance": q_history_variance,
     "history_histogram_median": q_history_histogram_median,
+    "history_orders_monthly": q_history_orders_monthly,
     "kalman_final": q_kalman_final,
     "kalman_trace": q_kalman_trace,
     "kalman_by_user": q_kalman_by_user,

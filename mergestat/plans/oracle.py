@@ -12,7 +12,8 @@ from __future__ import annotations
 
 from mergestat.functions.hashing import alpha
 from mergestat.functions.kalman_math import KalmanParams
-from mergestat.plans.catalog import EVENT_BINS, HLL_M, J_SMALLEST, K_LARGEST, QUANTITY_EDGES
+from mergestat.plans.catalog import (ACCTBAL_BINS, EVENT_BINS, HLL_M, J_SMALLEST, K_LARGEST,
+                                     QUANTITY_EDGES)
 from mergestat.operators.histogram import Bins
 
 EV = ("ev AS (SELECT event_type AS label, value, ts, event_id, user_id, "
@@ -145,7 +146,7 @@ def build() -> dict[str, str]:
         f"round(var_pop(value), 6) AS variance FROM ev GROUP BY label")
     q["variance_lineitem"] = (
         "SELECT l_returnflag, l_linestatus, count(l_extendedprice) AS n, "
-        "round(avg(l_extendedprice), 6) AS mean, round(var_pop(l_extendedprice), 6) AS variance, "
+        "round(avg(l_extendedprice), 6) AS mean, "
         "round(stddev_pop(l_extendedprice), 6) AS stddev FROM lineitem "
         "GROUP BY l_returnflag, l_linestatus")
     q["variance_merge_partials"] = (f"WITH {EV} SELECT label, count(value) AS n, round(avg(value), 6) "
@@ -244,6 +245,28 @@ def build() -> dict[str, str]:
         f"m AS (SELECT label, batch, CAST(coalesce(max(n), 0) AS BIGINT) AS n, "
         f"min(CASE WHEN cum > floor(n / 2) THEN slot END) AS ms FROM cum GROUP BY label, batch) "
         f"SELECT label, batch, n, {_mid_sql('ms', b)} AS median_estimate FROM m")
+    ab = ACCTBAL_BINS
+    acct = (f"SELECT c_mktsegment, CAST(slot AS BIGINT) AS slot, count(*) AS count FROM "
+            f"(SELECT c_mktsegment, {_slot_sql('c_acctbal', ab)} AS slot FROM customer) "
+            f"WHERE slot IS NOT NULL GROUP BY c_mktsegment, slot")
+    q["histogram_acctbal"] = acct
+    q["histogram_median_acctbal"] = (
+        f"WITH h AS ({acct}), c AS (SELECT c_mktsegment, slot, sum(count) OVER (PARTITION BY "
+        f"c_mktsegment ORDER BY slot ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum, "
+        f"sum(count) OVER (PARTITION BY c_mktsegment) AS n FROM h), "
+        f"m AS (SELECT c_mktsegment, CAST(max(n) AS BIGINT) AS n, "
+        f"min(CASE WHEN cum > floor(n / 2) THEN slot END) AS ms FROM c GROUP BY c_mktsegment) "
+        f"SELECT c_mktsegment, n, {_mid_sql('ms', ab)} AS median_estimate FROM m")
+    q["history_orders_monthly"] = (
+        "WITH od AS (SELECT o_orderpriority, o_totalprice, "
+        "CAST(date_trunc('month', o_orderdate) AS DATE) AS batch FROM orders), "
+        "f AS (SELECT o_orderpriority, min(batch) AS first FROM od GROUP BY o_orderpriority), "
+        "g AS (SELECT o_orderpriority, CAST(unnest(generate_series(first, "
+        "(SELECT max(batch) FROM od), INTERVAL 1 MONTH)) AS DATE) AS batch FROM f) "
+        "SELECT g.o_orderpriority, g.batch, count(o.o_totalprice) AS n, "
+        "round(avg(o.o_totalprice), 6) AS mean, round(stddev_pop(o.o_totalprice), 6) AS stddev "
+        "FROM g JOIN od o ON o.o_orderpriority = g.o_orderpriority AND o.batch <= g.batch "
+        "GROUP BY g.o_orderpriority, g.batch")
     q["kalman_final"] = _kalman_sql("event_type", "label", final=True)
     q["kalman_trace"] = _kalman_sql("event_type", "label", final=False)
     q["kalman_by_user"] = _kalman_sql("user_id", "user_id", final=True)
