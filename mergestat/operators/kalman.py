@@ -103,8 +103,9 @@ def _gain_index(table: GainTable, t: np.ndarray) -> np.ndarray:
 
 # ---------------------------------------------------------------- passes
 
-def _pass_a(ks: list[str]):
-    """Per partition: its first and last key run (key, length)."""
+def _pass_a(ks: list[str], has_init: bool):
+    """Per partition: its first and last key run (key, steps).  A state row
+    (``initial``) counts as the number of steps it already holds."""
     def fn(it):
         first = last = None        # [key, count]
         pid = None
@@ -112,11 +113,13 @@ def _pass_a(ks: list[str]):
             if pdf.empty:
                 continue
             pid = int(pdf["_pid"].iloc[0])
+            w = pdf["_w"].to_numpy() if has_init else None
             for s, e, key, cont in _runs(pdf, ks, last[0] if last else None):
+                c = int(w[s:e].sum()) if has_init else e - s
                 if cont:
-                    last[1] += e - s
+                    last[1] += c
                 else:
-                    last = [key, e - s]
+                    last = [key, c]
                     if first is None:
                         first = last
         if first is None:
@@ -128,7 +131,7 @@ def _pass_a(ks: list[str]):
     return fn
 
 
-def _pass_b(ks: list[str], prm: KalmanParams, table: GainTable):
+def _pass_b(ks: list[str], prm: KalmanParams, table: GainTable, has_init: bool):
     """Per partition: the composed affine map of its first and last run."""
     g0, g1, _ = _gain_arrays(table)
     dt = prm.dt
@@ -157,6 +160,9 @@ def _pass_b(ks: list[str], prm: KalmanParams, table: GainTable):
             pid = int(pdf["_pid"].iloc[0])
             t0 = pdf["_t0"].iloc[0]
             z_all = pdf["_z"].to_numpy(dtype=float)
+            if has_init:
+                kind, w = pdf["_k"].to_numpy(), pdf["_w"].to_numpy()
+                ix0, ix1 = pdf["_ix0"].to_numpy(dtype=float), pdf["_ix1"].to_numpy(dtype=float)
             runs = list(_runs(pdf, ks, cur["key"] if cur else None))
             for i, (s, e, key, cont) in enumerate(runs):
                 if not cont:
@@ -166,6 +172,11 @@ def _pass_b(ks: list[str], prm: KalmanParams, table: GainTable):
                            "m": (1.0, 0.0, 0.0, 1.0, 0.0, 0.0)}
                     if is_first:
                         first = cur
+                    if has_init and kind[s] == 0:
+                        # a known state: the map becomes the constant estimate
+                        cur["t"] = int(w[s])
+                        cur["m"] = (0.0, 0.0, 0.0, 0.0, float(ix0[s]), float(ix1[s]))
+                        s += 1
                 # A run followed by another one in this batch is neither the
                 # first nor the last run of the partition unless it is first.
                 needed = cur["first"] or i == len(runs) - 1
@@ -198,7 +209,7 @@ def _chain(ks: list[str], prm: KalmanParams):
 
 
 def _pass_c(ks: list[str], passthrough: list[str], prm: KalmanParams, table: GainTable,
-            ends_only: bool):
+            ends_only: bool, has_init: bool):
     """Per partition: filter every row from its segment's incoming estimate.
 
     With ``ends_only`` only the last row of each key run is emitted (enough
@@ -222,6 +233,9 @@ def _pass_c(ks: list[str], passthrough: list[str], prm: KalmanParams, table: Gai
             xs0 = np.empty(n)
             xs1 = np.empty(n)
             is_end = np.zeros(n, dtype=bool)
+            if has_init:
+                kind, w = pdf["_k"].to_numpy(), pdf["_w"].to_numpy()
+                ix0, ix1 = pdf["_ix0"].to_numpy(dtype=float), pdf["_ix1"].to_numpy(dtype=float)
             for s, e, key, cont in _runs(pdf, ks, cur[0] if cur else None):
                 if cont:
                     pending = None
@@ -234,6 +248,10 @@ def _pass_c(ks: list[str], passthrough: list[str], prm: KalmanParams, table: Gai
                     else:
                         cur = [key, 0, prm.x_init[0], prm.x_init[1]]
                     seen_first = True
+                    if has_init and kind[s] == 0:
+                        cur = [key, int(w[s]), float(ix0[s]), float(ix1[s])]
+                        steps[s], xs0[s], xs1[s] = cur[1], cur[2], cur[3]
+                        s += 1
                 t = cur[1]
                 idx = _gain_index(table, np.arange(t + 1, t + (e - s) + 1))
                 x0, x1 = cur[2], cur[3]
@@ -250,21 +268,22 @@ def _pass_c(ks: list[str], passthrough: list[str], prm: KalmanParams, table: Gai
                 xs1[s:e] = r1
                 steps[s:e] = np.arange(t + 1, t + (e - s) + 1)
                 cur[1], cur[2], cur[3] = t + (e - s), x0, x1
-            p = covs[_gain_index(table, steps)]
+            p = covs[_gain_index(table, np.maximum(steps, 1))]
             out = pd.DataFrame({c: pdf[c].to_numpy() for c in [*ks, *passthrough]})
             out["step"] = steps
             out["z"] = z_all
             out["x0"], out["x1"] = xs0, xs1
             out["p00"], out["p01"], out["p10"], out["p11"] = p[:, 0], p[:, 1], p[:, 2], p[:, 3]
             out = out[out_cols]
+            obs = (kind == 1) if has_init else np.ones(n, dtype=bool)
             if not ends_only:
-                yield out
+                yield out[obs] if has_init else out
                 continue
             if pending is not None:
                 yield pending
-            if is_end.any():
-                yield out[is_end]
-            pending = out.iloc[[n - 1]]
+            if (is_end & obs).any():
+                yield out[is_end & obs]
+            pending = out.iloc[[n - 1]] if obs[n - 1] else None
         if pending is not None:
             yield pending
     return fn, out_cols
@@ -273,13 +292,28 @@ def _pass_c(ks: list[str], passthrough: list[str], prm: KalmanParams, table: Gai
 # ---------------------------------------------------------------- public API
 
 def _stage(df: DataFrame, ks: list[str], order: list[str], z: str, passthrough: list[str],
-           num_partitions: int | None) -> DataFrame:
+           num_partitions: int | None, initial: DataFrame | None = None) -> DataFrame:
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = list(dict.fromkeys([*ks, *order, *passthrough]))
     base = df.where(F.col(z).isNotNull()).select(*cols, F.col(z).cast("double").alias("_z"))
-    staged = (base.repartitionByRange(n, *ks, *order)
-                  .sortWithinPartitions(*ks, *order)
+    sort = [*ks, *order]
+    if initial is not None:
+        # Known states travel as data: one row per key, kind 0, sorted ahead
+        # of the key's observations, weighted by the steps it already holds.
+        base = base.select("*", F.lit(1).alias("_k"), F.lit(1).cast("long").alias("_w"),
+                           F.lit(None).cast("double").alias("_ix0"),
+                           F.lit(None).cast("double").alias("_ix1"))
+        other = [c for c in cols if c not in ks]
+        states = initial.select(
+            *ks, *[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in other],
+            F.lit(None).cast("double").alias("_z"), F.lit(0).alias("_k"),
+            F.col("n").cast("long").alias("_w"), F.col("x0").cast("double").alias("_ix0"),
+            F.col("x1").cast("double").alias("_ix1"))
+        base = base.unionByName(states)
+        sort = [*ks, "_k", *order]
+    staged = (base.repartitionByRange(n, *sort)
+                  .sortWithinPartitions(*sort)
                   .withColumn("_pid", F.spark_partition_id()))
     # Reliable checkpoint into the shared checkpoint folder: cuts lineage,
     # keeps the range partitioning and the in-partition order, and makes the
@@ -294,24 +328,31 @@ def _key_fields(df: DataFrame, ks: list[str]) -> list[T.StructField]:
 def kalman_trace(df: DataFrame, keys: str | Sequence[str], z: str,
                  order: Sequence[str] = ("ts", "event_id"),
                  params: KalmanParams = DEFAULT, num_partitions: int | None = None,
-                 passthrough: Sequence[str] | None = None, ends_only: bool = False) -> DataFrame:
+                 passthrough: Sequence[str] | None = None, ends_only: bool = False,
+                 initial: DataFrame | None = None) -> DataFrame:
     """K4/K5: the estimate after every observation, per key, in ``order``.
 
     Output: key..., passthrough (default: the order columns), step (1-based
     per key), z, x0 (position), x1 (velocity), p00, p01, p10, p11.  Rows with
     NULL z are not observations and are skipped.
+
+    ``initial`` (key..., n, x0, x1) — e.g. a previous ``kalman_final`` —
+    resumes those keys from a known estimate after n steps, so a long
+    history can be filtered in increments.
     """
     ks = key_names(keys)
     order = list(order)
     passthrough = list(order if passthrough is None else passthrough)
     table = GainTable(params)
-    staged = _stage(df, ks, order, z, passthrough, num_partitions)
+    has_init = initial is not None
+    staged = _stage(df, ks, order, z, passthrough, num_partitions, initial)
     key_fields = _key_fields(staged, ks)
+    extra = ["_k", "_w", "_ix0", "_ix1"] if has_init else []
 
     seg_schema = T.StructType([*key_fields, T.StructField("_pid", T.IntegerType()),
                                T.StructField("_cnt", T.LongType()),
                                T.StructField("_first", T.BooleanType())])
-    segs = staged.select(*ks, "_z", "_pid").mapInPandas(_pass_a(ks), seg_schema)
+    segs = staged.select(*ks, "_z", "_pid", *extra).mapInPandas(_pass_a(ks, has_init), seg_schema)
 
     # Step offset of each segment: rows of the same key in earlier partitions.
     w = Window.partitionBy(*ks).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -323,9 +364,9 @@ def kalman_trace(df: DataFrame, keys: str | Sequence[str], z: str,
                                T.StructField("_t0", T.LongType()),
                                *[T.StructField(c, T.DoubleType())
                                  for c in ("m00", "m01", "m10", "m11", "v0", "v1")]])
-    maps = (staged.select(*ks, "_z", "_pid")
+    maps = (staged.select(*ks, "_z", "_pid", *extra)
                   .join(F.broadcast(first_t0), "_pid", "left")
-                  .mapInPandas(_pass_b(ks, params, table), map_schema))
+                  .mapInPandas(_pass_b(ks, params, table, has_init), map_schema))
 
     chain_schema = T.StructType([T.StructField("_pid", T.IntegerType()),
                                  T.StructField("_first", T.BooleanType()),
@@ -341,20 +382,28 @@ def kalman_trace(df: DataFrame, keys: str | Sequence[str], z: str,
                   *[T.StructField(c, T.DoubleType())
                     for c in ("x0", "x1", "p00", "p01", "p10", "p11")]]
     passthrough = [c for c in passthrough if c not in ks]
-    fn, out_cols = _pass_c(ks, passthrough, params, table, ends_only)
+    fn, out_cols = _pass_c(ks, passthrough, params, table, ends_only, has_init)
     return (staged.join(F.broadcast(incoming), "_pid", "left")
                   .mapInPandas(fn, T.StructType(out_fields)))
 
 
 def kalman_final(df: DataFrame, keys, z: str, order: Sequence[str] = ("ts", "event_id"),
-                 params: KalmanParams = DEFAULT, num_partitions: int | None = None) -> DataFrame:
+                 params: KalmanParams = DEFAULT, num_partitions: int | None = None,
+                 initial: DataFrame | None = None) -> DataFrame:
     """K3: the state after the last observation of each key: count, estimate
     and covariance.  Pass C emits only run ends, so the final aggregation
-    sees at most one row per key per partition."""
+    sees at most one row per key per partition.  Keys of ``initial`` without
+    new observations are not returned."""
     ks = key_names(keys)
     ends = kalman_trace(df, keys, z, order, params, num_partitions, passthrough=[],
-                        ends_only=True)
+                        ends_only=True, initial=initial)
+    return final_from_trace(ends, ks)
+
+
+def final_from_trace(trace: DataFrame, keys) -> DataFrame:
+    """Last row per key of a trace: (key..., n, x0, x1, p00, p01, p10, p11)."""
+    ks = key_names(keys)
     last = F.max_by(F.struct("step", "x0", "x1", "p00", "p01", "p10", "p11"), F.col("step"))
-    return (ends.groupBy(*ks).agg(last.alias("s"))
+    return (trace.groupBy(*ks).agg(last.alias("s"))
                 .select(*ks, F.col("s.step").alias("n"), "s.x0", "s.x1",
                         "s.p00", "s.p01", "s.p10", "s.p11"))

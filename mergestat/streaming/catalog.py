@@ -75,7 +75,7 @@ def q_stream_extremes(spark, sf):
 
 
 def _feed_weekly(spark: SparkSession, sf: str, name: str, build, mode: str,
-                 stamp: bool = False) -> str:
+                 stamp: bool = False, writer=None) -> str:
     """Feed events one calendar week at a time; one trigger per week."""
     ev = (table(spark, sf, "events").withColumnRenamed("event_type", "label")
           .withColumn("batch", F.to_date(F.date_trunc("week", "ts"))))
@@ -87,7 +87,7 @@ def _feed_weekly(spark: SparkSession, sf: str, name: str, build, mode: str,
         df = build(stream)
         if stamp:
             df = df.withColumn("batch", F.lit(week).cast("date"))
-        run(df, ckpt, out, mode)
+        run(df, ckpt, out, mode, writer=writer)
     return out
 
 
@@ -98,6 +98,16 @@ def q_stream_kalman(spark, sf):
     return rounded(spark.read.parquet(out).drop("batch_id"))
 
 
+def q_stream_kalman_segmented(spark, sf):
+    """K4 on a stream through the segmented scan, one trigger per week."""
+    out = scratch_path(spark, "stream_kalman_seg-trace")
+    state = scratch_path(spark, "stream_kalman_seg-state")
+    writer = sq.kalman_segmented_writer("label", "value", ["ts", "event_id"], out, state,
+                                        passthrough=["event_id"])
+    _feed_weekly(spark, sf, "stream_kalman_seg", lambda s: s, "append", writer=writer)
+    return rounded(spark.read.parquet(out).drop("batch_id"))
+
+
 def q_stream_state_snapshots(spark, sf):
     """The state of every key after every weekly batch (complete mode)."""
     out = _feed_weekly(spark, sf, "stream_snapshots",
@@ -114,6 +124,7 @@ STREAM_QUERIES = {
     "stream_hll": q_stream_hll,
     "stream_extremes": q_stream_extremes,
     "stream_kalman": q_stream_kalman,
+    "stream_kalman_segmented": q_stream_kalman_segmented,
     "stream_state_snapshots": q_stream_state_snapshots,
 }
 
@@ -141,5 +152,6 @@ STREAM_ORACLES = {
     "stream_hll": "hll_estimate",
     "stream_extremes": _EVENT_EXTREMES_SQL,
     "stream_kalman": "kalman_trace",
+    "stream_kalman_segmented": "kalman_trace",
     "stream_state_snapshots": _WEEKLY_HISTORY_SQL,
 }

@@ -18,9 +18,10 @@ from pyspark.sql import types as T
 
 from mergestat.functions.hashing import alpha
 from mergestat.functions.kalman_math import KalmanParams
-from mergestat.operators import distinct, histogram, moments
+from mergestat.operators import distinct, histogram, kalman, moments
 from mergestat.operators.histogram import Bins
 from mergestat.sources.tables import key_names
+from mergestat.streaming.sinks import batch_folders
 from mergestat.streaming.stateful import (ExtremesProcessor, KalmanProcessor,
                                           extremes_schema, kalman_schema, local_extremes,
                                           stateful)
@@ -73,3 +74,38 @@ def stream_kalman(stream: DataFrame, keys, z: str, order: Sequence[str],
     return stateful(stream.select(*cols), ks,
                     KalmanProcessor(ks, z, order, passthrough, params),
                     kalman_schema(fields, pfields), "Append")
+
+
+def kalman_segmented_writer(keys, z: str, order: Sequence[str], out_path: str,
+                            state_path: str, passthrough: Sequence[str] = (),
+                            params: KalmanParams = KalmanParams(),
+                            num_partitions: int | None = None):
+    """K4 on a stream without one task per key: a ``foreachBatch`` function.
+
+    Each micro-batch runs the segmented batch scan (``operators.kalman``),
+    so a key holding most of a trigger's rows is still cut over many
+    partitions.  The state between triggers is a table, ``state_path/
+    batch_id=<n>``: every key's (n, x0, x1) after batch n — the full
+    snapshot the reference prints after each batch.  A batch reads the
+    newest snapshot older than itself, resumes the keys it touches from it
+    (``initial``), writes its trace to ``out_path/batch_id=<n>`` and the new
+    snapshot; a replayed batch overwrites both, so the output is exactly once.
+    """
+    ks = key_names(keys)
+
+    def write(batch_df: DataFrame, batch_id: int) -> None:
+        spark = batch_df.sparkSession
+        older = [b for b in batch_folders(spark, state_path) if b < batch_id]
+        prev = (spark.read.parquet(f"{state_path}/batch_id={older[-1]}") if older else None)
+        init = None
+        if prev is not None:
+            init = prev.join(batch_df.select(*ks).distinct(), ks, "left_semi")
+        trace = kalman.kalman_trace(batch_df, ks, z, order, params, num_partitions,
+                                    passthrough=list(passthrough), initial=init)
+        out = f"{out_path}/batch_id={batch_id}"
+        trace.write.mode("overwrite").parquet(out)
+        fin = kalman.final_from_trace(spark.read.parquet(out), ks).select(*ks, "n", "x0", "x1")
+        if prev is not None:
+            fin = prev.join(fin.select(*ks), ks, "left_anti").unionByName(fin)
+        fin.write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
+    return write

@@ -30,16 +30,20 @@ def snapshot_writer(path: str):
 
 def run(df: DataFrame, checkpoint: str, sink_path: str | None = None,
         mode: str = "update", processing_time: str | None = None,
-        query_name: str | None = None) -> StreamingQuery:
+        query_name: str | None = None, writer=None) -> StreamingQuery:
     """Start a streaming query with a checkpoint folder of its own.
 
-    With ``processing_time`` unset it runs ``availableNow`` and returns after
-    all available input was processed.
+    Output goes to the snapshot table at ``sink_path``, or to a custom
+    ``foreachBatch`` ``writer``, or to the console.  With ``processing_time``
+    unset it runs ``availableNow`` and returns after all available input was
+    processed.
     """
     w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
-    if sink_path is not None:
+    if writer is not None:
+        w = w.foreachBatch(writer)
+    elif sink_path is not None:
         w = w.foreachBatch(snapshot_writer(sink_path))
     else:
         w = w.format("console").option("truncate", "false")
@@ -80,3 +84,19 @@ def last_batch(spark: SparkSession, sink_path: str) -> DataFrame:
     t = spark.read.parquet(sink_path)
     last = t.select(F.max("batch_id")).scalar()
     return t.where(F.col("batch_id") == last).drop("batch_id")
+
+
+def batch_folders(spark: SparkSession, path: str) -> list[int]:
+    """Batch ids present under ``path`` (``batch_id=<n>`` folders), listed
+    through the Hadoop file system of the path — one entry per batch."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    ids = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("batch_id="):
+            ids.append(int(name.split("=", 1)[1]))
+    return sorted(ids)

@@ -100,3 +100,42 @@ def test_gain_table_cycle_indexing():
         assert gt.at(t) == (k, p)
     short = GainTable(PRM, limit=5)
     assert short.gains_from(3, 10)[0] == gt.gains_from(3, 10)[0]
+
+
+@pytest.mark.parametrize("parts", [1, 5, 11])
+def test_resume_from_initial_equals_whole(spark, parts):
+    """Filtering the first part, then the rest from the first part's final
+    state, equals one run over everything — hot key included."""
+    rng = np.random.default_rng(11)
+    rows = [("hot", i, float(z)) for i, z in enumerate(rng.normal(0, 30, 900).cumsum())]
+    rows += [(f"k{i % 5}", 5_000 + i, float(rng.normal())) for i in range(60)]
+    df = spark.createDataFrame(rows, "label string, event_id long, z double")
+    whole = {(r["label"], r["event_id"]): r for r in
+             kalman.kalman_trace(df, "label", "z", order=["event_id"], num_partitions=parts).collect()}
+    cut_hot, cut_small = 400, 5_030
+    first = df.where(((df.label == "hot") & (df.event_id < cut_hot)) |
+                     ((df.label != "hot") & (df.event_id < cut_small)))
+    rest = df.subtract(first)
+    init = kalman.kalman_final(first, "label", "z", order=["event_id"], num_partitions=parts)
+    got = kalman.kalman_trace(rest, "label", "z", order=["event_id"], num_partitions=parts,
+                              initial=init.select("label", "n", "x0", "x1")).collect()
+    assert len(got) == rest.count()
+    for r in got:
+        w = whole[(r["label"], r["event_id"])]
+        assert r["step"] == w["step"]
+        assert r["x0"] == pytest.approx(w["x0"], rel=1e-9, abs=1e-9)
+        assert r["x1"] == pytest.approx(w["x1"], rel=1e-9, abs=1e-9)
+        assert r["p00"] == w["p00"]
+
+
+def test_initial_for_key_without_new_rows_is_ignored(spark):
+    df = spark.createDataFrame([("a", 1, 1.0), ("a", 2, 2.0)], "label string, event_id long, z double")
+    init = spark.createDataFrame([("a", 3, 5.0, 1.0), ("b", 7, 1.0, 1.0)],
+                                 "label string, n long, x0 double, x1 double")
+    out = kalman.kalman_trace(df, "label", "z", order=["event_id"], initial=init).collect()
+    assert sorted(r["step"] for r in out) == [4, 5]
+    assert {r["label"] for r in out} == {"a"}
+    x, p = (5.0, 1.0), GainTable(PRM).at(3)[1]
+    for zv in (1.0, 2.0):
+        x, p = step(x, p, zv, PRM)
+    assert max(out, key=lambda r: r["step"])["x0"] == pytest.approx(x[0], rel=1e-12)
