@@ -248,6 +248,16 @@ def q_kalman_by_user(spark, sf):
     return _r(kalman.kalman_final(ev, "user_id", "value", ("ts", "event_id")))
 
 
+def q_kalman_lineitem_hot(spark, sf):
+    """Hot keys: three return flags, each holding about a third of lineitem.
+    Range partitioning cuts each flag's trajectory over many partitions.
+    No SQL oracle: a recursive CTE needs one iteration per step (hundreds of
+    thousands); tests check the scan against a sequential run instead."""
+    li = table(spark, sf, "lineitem")
+    return _r(kalman.kalman_final(li, "l_returnflag", "l_quantity",
+                                  ("l_shipdate", "l_orderkey", "l_linenumber")))
+
+
 BATCH_QUERIES: dict[str, Query] = {
     "keyed_projection": q_keyed_projection,
     "filtered_variance": q_filtered_variance,
@@ -287,4 +297,5 @@ BATCH_QUERIES: dict[str, Query] = {
     "kalman_final": q_kalman_final,
     "kalman_trace": q_kalman_trace,
     "kalman_by_user": q_kalman_by_user,
+    "kalman_lineitem_hot": q_kalman_lineitem_hot,
 }
