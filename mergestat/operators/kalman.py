@@ -13,19 +13,23 @@ rows spread over many tasks:
    into many partitions; each partition holds contiguous runs of keys in
    order.  The staged table is checkpointed into the shared checkpoint folder
    (reliable, survives executor loss, keeps partitioning and order).
-2. Pass A (``mapInPandas``): each partition reports only its first and last
-   key run — at most two *segments* per partition.  Only those can continue
-   across a partition boundary.
-3. Step offsets: a running sum of segment lengths per key (a window over the
-   segment table, at most 2 rows per partition).
-4. Pass B: each partition composes the affine map of its first and last run.
-5. Chain: the maps of each key are applied in partition order (grouped
-   pandas over the segment table — a key has at most one segment per
-   partition) giving every segment its incoming estimate.
-6. Pass C: each partition re-runs its rows from those incoming estimates.
-
-Passes A-C are narrow (no shuffle) over the checkpointed table; the segment
-tables are bounded by twice the partition count and are the only broadcast.
+2. Segment pass (``mapInPandas``): each partition reports only its first and
+   last key run — the only runs that can cross a partition boundary — with
+   step counts and composed affine maps.  The first run's map depends on
+   the steps t0 of its key in earlier partitions only through the first S
+   gains (the gains reach a fixed point after S steps), so S+1 variant maps
+   cover every t0: one shared tail, short heads.
+3. Offsets and chain: a range window over partition ids gives each segment
+   its t0 and picks its variant; the maps of each key are applied in
+   partition order (grouped pandas over at most S+2 rows per partition),
+   giving every segment its incoming estimate.
+4. Filter pass: each partition re-runs its rows from those incoming
+   estimates.
+
+Both passes are narrow (no shuffle) over the checkpointed table; the segment
+table is bounded by (S+2) x partitions and is the only broadcast.  If the
+gain recursion ends in a cycle instead of a fixed point, counts and maps are
+taken in two separate passes (exact, one scan more).
 """
 
 from __future__ import annotations
@@ -192,6 +196,110 @@ def _pass_b(ks: list[str], prm: KalmanParams, table: GainTable, has_init: bool):
     return fn
 
 
+def _compose_maps(a, b):
+    """(a after b) for affine maps given as (m00, m01, m10, m11, v0, v1)."""
+    a00, a01, a10, a11, av0, av1 = a
+    b00, b01, b10, b11, bv0, bv1 = b
+    return (a00 * b00 + a01 * b10, a00 * b01 + a01 * b11,
+            a10 * b00 + a11 * b10, a10 * b01 + a11 * b11,
+            a00 * bv0 + a01 * bv1 + av0, a10 * bv0 + a11 * bv1 + av1)
+
+
+_IDENTITY = (1.0, 0.0, 0.0, 1.0, 0.0, 0.0)
+
+
+def _pass_ab(ks: list[str], prm: KalmanParams, table: GainTable, has_init: bool):
+    """Per partition, one scan: the first and last key run with step counts
+    and affine maps (passes A and B in one).
+
+    The last run (when not also the first) starts its key, so its map is
+    exact.  The first run may continue a key from earlier partitions; its
+    map depends on the number t0 of earlier steps, but only through the
+    gains of its first S rows (gains are constant from step S+1 on, the
+    table's fixed point).  So the rows after the first S are composed once
+    (the tail) and S+1 variant maps — t0 = 0..S-1 and one for t0 >= S — are
+    the tail after a short head.  Output: <= S+2 rows per partition; column
+    ``_variant`` is the t0 a row is valid for (S: any t0 >= S; -1: any t0).
+    """
+    g0, g1, _ = _gain_arrays(table)
+    S = len(table) - 1
+    dt = prm.dt
+    ga0, ga1 = prm.ga
+    ks0, ks1 = float(g0[S]), float(g1[S])
+    cols = [*ks, "_pid", "_first", "_variant", "_cnt", "m00", "m01", "m10", "m11", "v0", "v1"]
+
+    def compose(m, z, k0s, k1s):
+        m00, m01, m10, m11, v0, v1 = m
+        for zi, k0, k1 in zip(z, k0s, k1s):
+            m00, m01 = m00 + dt * m10, m01 + dt * m11
+            v0, v1 = v0 + dt * v1 + ga0, v1 + ga1
+            y = zi - v0
+            m10, m11 = m10 - k1 * m00, m11 - k1 * m01
+            m00, m01 = m00 - k0 * m00, m01 - k0 * m01
+            v0, v1 = v0 + k0 * y, v1 + k1 * y
+        return (m00, m01, m10, m11, v0, v1)
+
+    def gains(t, n):
+        idx = np.minimum(np.arange(t, t + n), S)
+        return g0[idx].tolist(), g1[idx].tolist()
+
+    def fn(it):
+        pid = None
+        first = cur = None
+        for pdf in it:
+            if pdf.empty:
+                continue
+            pid = int(pdf["_pid"].iloc[0])
+            z_all = pdf["_z"].to_numpy(dtype=float)
+            if has_init:
+                kind, w = pdf["_k"].to_numpy(), pdf["_w"].to_numpy()
+                ix0, ix1 = pdf["_ix0"].to_numpy(dtype=float), pdf["_ix1"].to_numpy(dtype=float)
+            runs = list(_runs(pdf, ks, cur["key"] if cur else None))
+            for i, (s, e, key, cont) in enumerate(runs):
+                if not cont:
+                    cur = {"key": key, "cnt": 0, "t": 0, "m": _IDENTITY, "exact": True}
+                    if first is None:
+                        first = cur
+                        cur["exact"] = False          # t0 unknown: head + tail
+                        cur["head"] = []
+                    if has_init and kind[s] == 0:
+                        # a known state starts the key here: t0 = 0, map exact
+                        cur["exact"] = True
+                        cur["cnt"] = int(w[s])
+                        cur["t"] = int(w[s])
+                        cur["m"] = (0.0, 0.0, 0.0, 0.0, float(ix0[s]), float(ix1[s]))
+                        s += 1
+                n = e - s
+                cur["cnt"] += n
+                if cur["exact"]:
+                    # Only the first run and a possible last run need maps.
+                    if cur is first or i == len(runs) - 1:
+                        k0s, k1s = gains(cur["t"], n)
+                        cur["m"] = compose(cur["m"], z_all[s:e].tolist(), k0s, k1s)
+                    cur["t"] += n
+                else:
+                    take = min(S - len(cur["head"]), n)
+                    cur["head"].extend(z_all[s:s + take].tolist())
+                    rest = z_all[s + take:e].tolist()
+                    if rest:
+                        cur["m"] = compose(cur["m"], rest, [ks0] * len(rest), [ks1] * len(rest))
+        if first is None:
+            return
+        rows = []
+        if first["exact"]:
+            rows.append((*first["key"], pid, True, -1, first["cnt"], *first["m"]))
+        else:
+            head, tail = first["head"], first["m"]
+            for t0 in range(S + 1):
+                k0s, k1s = gains(t0, len(head))
+                m = _compose_maps(tail, compose(_IDENTITY, head, k0s, k1s))
+                rows.append((*first["key"], pid, True, t0, first["cnt"], *m))
+        if cur is not first:
+            rows.append((*cur["key"], pid, False, -1, cur["cnt"], *cur["m"]))
+        yield pd.DataFrame(rows, columns=cols)
+    return fn
+
+
 def _chain(ks: list[str], prm: KalmanParams):
     """Per key: apply segment maps in partition order -> incoming estimates."""
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -325,6 +433,47 @@ def _key_fields(df: DataFrame, ks: list[str]) -> list[T.StructField]:
     return [T.StructField(k, df.schema[k].dataType, True) for k in ks]
 
 
+def _segment_maps_one_pass(staged, ks, extra, params, table, has_init, key_fields, mcols):
+    """Passes A+B in one scan: variant maps, then a range window over
+    partition ids gives each segment its step offset and picks its map."""
+    S = len(table) - 1
+    seg_schema = T.StructType([*key_fields, T.StructField("_pid", T.IntegerType()),
+                               T.StructField("_first", T.BooleanType()),
+                               T.StructField("_variant", T.IntegerType()),
+                               T.StructField("_cnt", T.LongType()),
+                               *[T.StructField(c, T.DoubleType()) for c in mcols]])
+    segs = (staged.select(*ks, "_z", "_pid", *extra)
+                  .mapInPandas(_pass_ab(ks, params, table, has_init), seg_schema))
+    # Steps of the same key in earlier partitions; one row per segment
+    # counts (variant 0 or -1), the frame stops before the current partition.
+    w = Window.partitionBy(*ks).orderBy("_pid").rangeBetween(Window.unboundedPreceding, -1)
+    one = F.when(F.col("_variant") <= 0, F.col("_cnt"))
+    t0 = F.coalesce(F.sum(one).over(w), F.lit(0)).cast("long")
+    return (segs.withColumn("_t0", t0)
+                .where((F.col("_variant") == -1) |
+                       (F.col("_variant") == F.least(F.col("_t0"), F.lit(S))))
+                .select(*ks, "_pid", "_first", "_t0", *mcols))
+
+
+def _segment_maps_two_passes(staged, ks, extra, params, table, has_init, key_fields, mcols):
+    """Fallback when the gain recursion ends in a cycle rather than a fixed
+    point: counts first (pass A), then maps with known offsets (pass B)."""
+    seg_schema = T.StructType([*key_fields, T.StructField("_pid", T.IntegerType()),
+                               T.StructField("_cnt", T.LongType()),
+                               T.StructField("_first", T.BooleanType())])
+    segs = staged.select(*ks, "_z", "_pid", *extra).mapInPandas(_pass_a(ks, has_init), seg_schema)
+    w = Window.partitionBy(*ks).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = segs.withColumn("_t0", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).cast("long"))
+    first_t0 = offsets.where("_first").select("_pid", "_t0")
+    map_schema = T.StructType([*key_fields, T.StructField("_pid", T.IntegerType()),
+                               T.StructField("_first", T.BooleanType()),
+                               T.StructField("_t0", T.LongType()),
+                               *[T.StructField(c, T.DoubleType()) for c in mcols]])
+    return (staged.select(*ks, "_z", "_pid", *extra)
+                  .join(F.broadcast(first_t0), "_pid", "left")
+                  .mapInPandas(_pass_b(ks, params, table, has_init), map_schema))
+
+
 def kalman_trace(df: DataFrame, keys: str | Sequence[str], z: str,
                  order: Sequence[str] = ("ts", "event_id"),
                  params: KalmanParams = DEFAULT, num_partitions: int | None = None,
@@ -349,24 +498,14 @@ def kalman_trace(df: DataFrame, keys: str | Sequence[str], z: str,
     key_fields = _key_fields(staged, ks)
     extra = ["_k", "_w", "_ix0", "_ix1"] if has_init else []
 
-    seg_schema = T.StructType([*key_fields, T.StructField("_pid", T.IntegerType()),
-                               T.StructField("_cnt", T.LongType()),
-                               T.StructField("_first", T.BooleanType())])
-    segs = staged.select(*ks, "_z", "_pid", *extra).mapInPandas(_pass_a(ks, has_init), seg_schema)
-
-    # Step offset of each segment: rows of the same key in earlier partitions.
-    w = Window.partitionBy(*ks).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = segs.withColumn("_t0", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).cast("long"))
-    first_t0 = offsets.where("_first").select("_pid", "_t0")
-
-    map_schema = T.StructType([*key_fields, T.StructField("_pid", T.IntegerType()),
-                               T.StructField("_first", T.BooleanType()),
-                               T.StructField("_t0", T.LongType()),
-                               *[T.StructField(c, T.DoubleType())
-                                 for c in ("m00", "m01", "m10", "m11", "v0", "v1")]])
-    maps = (staged.select(*ks, "_z", "_pid", *extra)
-                  .join(F.broadcast(first_t0), "_pid", "left")
-                  .mapInPandas(_pass_b(ks, params, table, has_init), map_schema))
+    mcols = ("m00", "m01", "m10", "m11", "v0", "v1")
+    fixed_point = table.repeat_of is not None and table.repeat_of == len(table) - 2
+    if fixed_point:
+        maps = _segment_maps_one_pass(staged, ks, extra, params, table, has_init,
+                                      key_fields, mcols)
+    else:
+        maps = _segment_maps_two_passes(staged, ks, extra, params, table, has_init,
+                                        key_fields, mcols)
 
     chain_schema = T.StructType([T.StructField("_pid", T.IntegerType()),
                                  T.StructField("_first", T.BooleanType()),

@@ -139,3 +139,55 @@ def test_initial_for_key_without_new_rows_is_ignored(spark):
     for zv in (1.0, 2.0):
         x, p = step(x, p, zv, PRM)
     assert max(out, key=lambda r: r["step"])["x0"] == pytest.approx(x[0], rel=1e-12)
+
+
+def test_two_pass_fallback_without_fixed_point(spark, monkeypatch):
+    """When the gain recursion shows no fixed point the scan falls back to
+    counting first and composing with known offsets; same answer."""
+    from mergestat.functions.kalman_math import gain_and_update_cov, predict_cov
+
+    class NoRepeat(GainTable):
+        def __init__(self, prm, limit=100_000):
+            super().__init__(prm, limit)
+            p = self.covs[-1]
+            while len(self.gains) < 3000:
+                k, p = gain_and_update_cov(predict_cov(p, prm), prm)
+                self.gains.append(k)
+                self.covs.append(p)
+            self.repeat_of = None
+
+    monkeypatch.setattr(kalman, "GainTable", NoRepeat)
+    rng = np.random.default_rng(3)
+    zs = rng.normal(0, 20, 1200).cumsum()
+    rows = [("hot", i, float(z)) for i, z in enumerate(zs)] + [("b", 9000, 1.0)]
+    df = spark.createDataFrame(rows, "label string, event_id long, z double")
+    got = sorted((r["step"], r["x0"]) for r in
+                 kalman.kalman_trace(df, "label", "z", order=["event_id"], num_partitions=5)
+                 .where("label = 'hot'").collect())
+    seq = _sequential(zs)
+    assert [s for s, _ in got] == list(range(1, 1201))
+    for (s, x0), (xe, _) in zip(got, seq):
+        assert x0 == pytest.approx(xe[0], rel=1e-9, abs=1e-9)
+
+
+def test_lineitem_hot_query_against_sequential(spark):
+    """The registered hot-key query (no SQL oracle) against a plain
+    sequential filter over the same rows in the same order."""
+    import duckdb
+    from mergestat.plans.catalog import q_kalman_lineitem_hot
+    from tests.conftest import SF001
+    got = {r["l_returnflag"]: r for r in q_kalman_lineitem_hot(spark, SF001).collect()}
+    rows = duckdb.sql(
+        f"SELECT l_returnflag, l_quantity FROM '{SF001}/lineitem.parquet' "
+        "WHERE l_quantity IS NOT NULL "
+        "ORDER BY l_returnflag, l_shipdate, l_orderkey, l_linenumber").fetchall()
+    seq = {}
+    for k, z in rows:
+        x, p, n = seq.get(k, (PRM.x_init, PRM.p_init, 0))
+        x, p = step(x, p, z, PRM)
+        seq[k] = (x, p, n + 1)
+    assert set(got) == set(seq)
+    for k, (x, p, n) in seq.items():
+        assert got[k]["n"] == n
+        assert got[k]["x0"] == pytest.approx(round(x[0], 6), abs=2e-6)
+        assert got[k]["x1"] == pytest.approx(round(x[1], 6), abs=2e-6)
