@@ -128,3 +128,23 @@ def distinct_sketch(df: DataFrame, keys, value: str, rsd: float = 0.05,
     return df.groupBy(*ks).agg(
         F.approx_count_distinct(v, rsd).alias("approx_distinct"),
         F.hll_sketch_estimate(F.hll_sketch_agg(v.cast("string"), lg_k)).alias("sketch_estimate"))
+
+
+def sketch_partials(df: DataFrame, keys, value: str, batch: str, lg_k: int = 12) -> DataFrame:
+    """H6 state per (key, batch): a serialized DataSketches HLL sketch.
+
+    Sketches are the mergeable state of the library path: per-batch (or
+    per-day, per-file) sketches are kept instead of raw values and unioned
+    later without rereading the data."""
+    ks = key_names(keys)
+    return df.groupBy(*ks, batch).agg(
+        F.hll_sketch_agg(F.col(value).cast("string"), lg_k).alias("sketch"),
+        F.count(value).alias("n"))
+
+
+def union_sketches(partials: DataFrame, keys) -> DataFrame:
+    """H6 merge: union per-batch sketches per key, then estimate."""
+    ks = key_names(keys)
+    return partials.groupBy(*ks).agg(
+        F.sum("n").alias("n"),
+        F.hll_sketch_estimate(F.hll_union_agg("sketch", False)).alias("sketch_estimate"))

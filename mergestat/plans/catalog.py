@@ -162,6 +162,13 @@ def q_distinct_sketch(spark, sf):
     return distinct.distinct_sketch(li, "l_returnflag", "l_partkey")
 
 
+def q_distinct_sketch_merged(spark, sf):
+    """Per-day sketches of lineitem part keys, unioned per return flag."""
+    li = table(spark, sf, "lineitem").withColumn("day", F.to_date("l_shipdate"))
+    parts = distinct.sketch_partials(li, "l_returnflag", "l_partkey", "day")
+    return distinct.union_sketches(parts, "l_returnflag")
+
+
 # ---------------------------------------------------------------- 2.6
 
 def q_histogram(spark, sf):
@@ -281,6 +288,7 @@ BATCH_QUERIES: dict[str, Query] = {
     "hll_lineitem": q_hll_lineitem,
     "hll_error_report": q_hll_error_report,
     "distinct_sketch": q_distinct_sketch,
+    "distinct_sketch_merged": q_distinct_sketch_merged,
     "histogram": q_histogram,
     "histogram_custom_edges": q_histogram_custom_edges,
     "histogram_cumulative": q_histogram_cumulative,

@@ -56,3 +56,18 @@ def test_library_sketch(spark):
     r = distinct.distinct_sketch(df, "label", "value").collect()[0]
     assert abs(r["approx_distinct"] - 3000) / 3000 < 0.15
     assert abs(r["sketch_estimate"] - 3000) / 3000 < 0.1
+
+
+def test_union_of_batch_sketches_equals_one_sketch(spark):
+    """Merging per-batch sketches loses nothing against one sketch of all rows."""
+    from tests.conftest import SF001
+    from mergestat.sources.tables import table
+    li = table(spark, SF001, "lineitem").withColumn("day", F.to_date("l_shipdate"))
+    merged = {r["l_returnflag"]: r for r in distinct.union_sketches(
+        distinct.sketch_partials(li, "l_returnflag", "l_partkey", "day"), "l_returnflag").collect()}
+    whole = {r["l_returnflag"]: r for r in distinct.distinct_sketch(li, "l_returnflag", "l_partkey").collect()}
+    exact = {r["l_returnflag"]: r["c"] for r in
+             li.groupBy("l_returnflag").agg(F.countDistinct("l_partkey").alias("c")).collect()}
+    for k, r in whole.items():
+        assert merged[k]["sketch_estimate"] == r["sketch_estimate"]
+        assert abs(merged[k]["sketch_estimate"] - exact[k]) / exact[k] < 0.05

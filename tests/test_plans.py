@@ -47,7 +47,7 @@ def test_entry_and_contract(spark):
     assert set(df.columns) == {"label", "n", "mean", "variance", "stddev"}
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
-    assert set(qs) - set(sql) == {"distinct_sketch", "kalman_lineitem_hot"}
+    assert set(qs) - set(sql) == {"distinct_sketch", "distinct_sketch_merged", "kalman_lineitem_hot"}
 
 
 def test_oracle_batch_queries_match(spark):
