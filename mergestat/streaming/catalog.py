@@ -6,8 +6,8 @@ checkpoint, and returns the final state read back from the snapshot sink —
 so the same SQL oracle as the batch query applies.  Order-insensitive
 statistics stream a folder written in one job, several files per trigger;
 order-sensitive ones (Kalman, per-batch snapshots) are fed one week at a
-time, one trigger per week, restarting the query from its checkpoint each
-time (which also exercises recovery of the state).
+time into one long-running query, each week published atomically and
+processed completely before the next.
 """
 
 from __future__ import annotations
@@ -20,8 +20,9 @@ from mergestat.plans.compare import rounded
 from mergestat.session import scratch_path
 from mergestat.sources.tables import table
 from mergestat.streaming import queries as sq
-from mergestat.streaming.sinks import latest_per_key, run
-from mergestat.streaming.sources import feed_in_order, read_batches, write_batch_files
+from mergestat.streaming.sinks import latest_per_key, run, snapshot_writer
+from mergestat.streaming.sources import (batches_glob, feed_in_order, read_batches,
+                                         write_batch_files)
 
 FILES_PER_TRIGGER = 3
 
@@ -76,18 +77,32 @@ def q_stream_extremes(spark, sf):
 
 def _feed_weekly(spark: SparkSession, sf: str, name: str, build, mode: str,
                  stamp: bool = False, writer=None) -> str:
-    """Feed events one calendar week at a time; one trigger per week."""
+    """Feed events one calendar week at a time into one long-running query;
+    each week is processed completely before the next is published."""
     ev = (table(spark, sf, "events").withColumnRenamed("event_type", "label")
           .withColumn("batch", F.to_date(F.date_trunc("week", "ts"))))
     folder = scratch_path(spark, f"{name}-input")
     out = scratch_path(spark, f"{name}-out")
     ckpt = scratch_path(spark, f"{name}-ckpt")
-    for week in feed_in_order(ev, "batch", folder):
-        stream = read_batches(spark, folder, ev.schema)
-        df = build(stream)
-        if stamp:
-            df = df.withColumn("batch", F.lit(week).cast("date"))
-        run(df, ckpt, out, mode, writer=writer)
+    current: dict = {}
+    if writer is None:
+        base = snapshot_writer(out)
+
+        def writer(batch_df, batch_id):
+            if stamp:
+                batch_df = batch_df.withColumn("batch", F.lit(current["week"]).cast("date"))
+            base(batch_df, batch_id)
+    weeks = feed_in_order(ev, "batch", folder)
+    current["week"] = next(weeks)                  # publish the first week, then start
+    stream = read_batches(spark, batches_glob(folder), ev.schema)
+    q = run(build(stream), ckpt, None, mode, processing_time="100 milliseconds", writer=writer)
+    try:
+        q.processAllAvailable()
+        for week in weeks:
+            current["week"] = week
+            q.processAllAvailable()
+    finally:
+        q.stop()
     return out
 
 

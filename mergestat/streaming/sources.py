@@ -9,10 +9,11 @@ source.  Two ways to lay batches down:
   not guaranteed, so this suits order-insensitive statistics (sums, moments,
   histograms, registers, extremes), with ``maxFilesPerTrigger`` cutting the
   folder into several micro-batches.
-* ``feed_in_order`` — appends one batch at a time and yields after each, so a
-  caller can run one trigger per batch.  Order-sensitive state (Kalman,
-  per-batch snapshots) needs this: batch i is fully processed before batch
-  i+1 exists.  The loop runs over batch *values* (days, weeks), never rows.
+* ``feed_in_order`` — publishes one batch at a time (atomic folder rename)
+  and yields after each, so a caller can process one batch per trigger.
+  Order-sensitive state (Kalman, per-batch snapshots) needs this: batch i is
+  fully processed before batch i+1 exists.  The loop runs over batch
+  *values* (days, weeks), never rows.
 """
 
 from __future__ import annotations
@@ -31,12 +32,37 @@ def write_batch_files(df: DataFrame, batch: str, path: str,
        .write.mode("overwrite").parquet(path))
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
+
+
+def batches_glob(path: str) -> str:
+    """The read path of a folder filled by ``feed_in_order``."""
+    return path.rstrip("/") + "/*"
+
+
 def feed_in_order(df: DataFrame, batch: str, path: str) -> Iterator[object]:
-    """Append each batch value's rows to ``path`` in batch order; yield the
-    batch value after its files are complete."""
+    """Publish each batch value's rows under ``path`` in batch order and
+    yield the value once its files are visible.
+
+    A batch is written to a staging folder beside ``path`` and moved in with
+    one directory rename (atomic on HDFS and local file systems), so a
+    trigger sees a batch whole or not at all and a running query can be
+    driven batch by batch with ``processAllAvailable``.  Read the folder
+    with ``batches_glob(path)``.
+    """
+    spark = df.sparkSession
+    fs, Path = _fs(spark, path)
+    fs.mkdirs(Path(path))
+    staging = path.rstrip("/") + "-staging"
     values = [r[0] for r in df.select(batch).distinct().orderBy(batch).collect()]
-    for v in values:
-        df.where(F.col(batch) == F.lit(v)).write.mode("append").parquet(path)
+    for i, v in enumerate(values):
+        tmp, final = f"{staging}/{i:06d}", f"{path.rstrip('/')}/{i:06d}"
+        df.where(F.col(batch) == F.lit(v)).write.mode("overwrite").parquet(tmp)
+        if not fs.rename(Path(tmp), Path(final)):
+            raise RuntimeError(f"could not publish batch {v!r} to {final}")
         yield v
 
 

@@ -11,7 +11,8 @@ from mergestat.operators.histogram import Bins
 from mergestat.sources.tables import table
 from mergestat.streaming import queries as sq
 from mergestat.streaming.sinks import latest_per_key, run
-from mergestat.streaming.sources import feed_in_order, read_batches, write_batch_files
+from mergestat.streaming.sources import (batches_glob, feed_in_order, read_batches,
+                                         write_batch_files)
 from tests.conftest import SF001
 
 
@@ -79,7 +80,7 @@ def test_kalman_stream_in_order_with_restarts(spark, tmp_dir):
     folder, out, ck = (os.path.join(tmp_dir, x) for x in ("in", "out", "ck"))
     n = 0
     for _ in feed_in_order(ev, "week", folder):
-        s = read_batches(spark, folder, ev.schema)
+        s = read_batches(spark, batches_glob(folder), ev.schema)
         run(sq.stream_kalman(s, "label", "value", ["ts", "event_id"], ["event_id"]), ck, out, "append")
         n += 1
     assert n >= 2
@@ -119,7 +120,7 @@ def test_segmented_kalman_stream_equals_batch(spark, tmp_dir):
     writer = sq.kalman_segmented_writer("label", "value", ["ts", "event_id"], out, st,
                                         passthrough=["event_id"], num_partitions=6)
     for _ in feed_in_order(ev, "week", folder):
-        s = read_batches(spark, folder, ev.schema)
+        s = read_batches(spark, batches_glob(folder), ev.schema)
         run(s, ck, None, "append", writer=writer)
     got = {(r["label"], r["event_id"]): r for r in spark.read.parquet(out).collect()}
     want = kalman.kalman_trace(ev, "label", "value").collect()
