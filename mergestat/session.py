@@ -8,7 +8,6 @@ pick a fresh local folder ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -79,7 +78,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     root = checkpoint_root(spark)
     sep = "" if root.endswith("/") else "/"
     return f"{root}{sep}{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_dir_exists(path: str) -> bool:
-    return os.path.isdir(path.removeprefix("file:"))
