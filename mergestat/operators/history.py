@@ -5,9 +5,9 @@ so far — quiet keys repeat their last state.  In batch form:
 
 1. per-(key, batch) partial states: one partially-aggregated shuffle, so the
    table has one row per key and batch however many rows a batch holds;
-2. a dense grid of batches per key, from the key's first batch to the last
-   batch of the table, generated with ``sequence`` + ``explode`` (no join
-   against a batch list, no cross product);
+2. the quiet batches of each key filled in from the partial before them
+   (``lead`` + ``sequence`` + ``posexplode``): every key from its first
+   batch to the last batch of the table, no join, no cross product;
 3. running totals with a ``rows unbounded preceding`` window per key.  The
    window partitions hold one row per batch, so a hot key costs its number
    of batches, not its number of rows.
@@ -32,26 +32,39 @@ def _v(value) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def batch_grid(partials: DataFrame, keys, batch: str = "batch",
-               step: str = "1 day") -> DataFrame:
-    """(key..., batch) for every batch from the key's first to the last one.
-
-    DATE batches advance by ``step`` (an interval such as "1 day", "7 days",
-    "1 month"; batch values must be aligned to it, e.g. ``date_trunc``);
-    integer batches advance by one.
+def _dense(partials: DataFrame, keys, batch: str = "batch", step: str | None = None) -> DataFrame:
+    """Partials with every quiet batch filled in, per key.
+
+    Each partial row stands for its own batch and the quiet batches up to
+    the key's next partial (``lead``), or up to the table's last batch; a
+    ``sequence`` + ``posexplode`` emits them, the first one carrying the
+    partial's values and the rest NULLs.  One window over the partial table
+    (one row per key and batch), no join and no second scan; the running
+    windows that follow reuse its partitioning.  DATE batches advance by
+    ``step`` (e.g. "1 day", "7 days", "1 month"; batch values aligned to
+    it), integer batches by one.
     """
     ks = key_names(keys)
+    step = step or "1 day"
     last = partials.select(F.max(batch)).scalar()
-    is_date = isinstance(partials.schema[batch].dataType, DateType)
-    inc = F.expr(f"INTERVAL {step}") if is_date else F.lit(1)
-    first = partials.groupBy(*ks).agg(F.min(batch).alias("_first"))
-    return first.select(*ks, F.explode(F.sequence(F.col("_first"), last, inc)).alias(batch))
+    if isinstance(partials.schema[batch].dataType, DateType):
+        inc = F.expr(f"INTERVAL {step}")
+        before = F.lead(batch).over(Window.partitionBy(*ks).orderBy(batch)) - inc
+    else:
+        inc = F.lit(1)
+        before = F.lead(batch).over(Window.partitionBy(*ks).orderBy(batch)) - 1
+    stats = [c for c in partials.columns if c not in (*ks, batch)]
+    spans = partials.withColumn("_end", F.coalesce(before, last))
+    rows = spans.select(*ks, *stats, F.posexplode(F.sequence(F.col(batch), F.col("_end"), inc))
+                        .alias("_pos", "_b"))
+    return rows.select(*ks, F.col("_b").alias(batch),
+                       *[F.when(F.col("_pos") == 0, F.col(c)).alias(c) for c in stats])
 
 
-def _dense(partials: DataFrame, keys, batch: str = "batch", step: str | None = None) -> DataFrame:
-    ks = key_names(keys)
-    grid = batch_grid(partials, keys, batch, step or "1 day")
-    return grid.join(partials, on=[*ks, batch], how="left")
+def batch_grid(partials: DataFrame, keys, batch: str = "batch",
+               step: str = "1 day") -> DataFrame:
+    """(key..., batch) for every batch from the key's first to the last one."""
+    return _dense(partials, keys, batch, step).select(*key_names(keys), batch)
 
 
 def _running(keys, batch: str = "batch") -> Window:
