@@ -124,18 +124,22 @@ def running_histogram_median(df: DataFrame, keys, value, bins: Bins) -> DataFram
 
 def mean_vs_median(df: DataFrame, keys, value, bins: Bins,
                    approx_accuracy: int | None = None) -> DataFrame:
-    """Mean next to the histogram median estimate.
+    """Mean next to the histogram median estimate, from one aggregation
+    (count, mean and slot counts together; the median is a projection).
 
     With ``approx_accuracy`` a ``percentile_approx`` column is added — a
-    bounded-memory quantile sketch.  An exact median is deliberately not
-    offered: it holds every value of a key in one buffer.
+    bounded-memory quantile sketch in the same aggregation.  An exact median
+    is deliberately not offered: it holds every value of a key in one buffer.
     """
     ks = key_names(keys)
     v = _v(value)
-    clean = df.where(v.isNotNull() & ~F.isnan(v))
-    aggs = [F.count(v).alias("n"), F.avg(v).alias("mean")]
+    clean = v.isNotNull() & ~F.isnan(v)
+    pre = df.select(*ks, F.when(clean, v).alias("_v"), bins.slot(v).alias("_s"))
+    s = F.col("_s")
+    aggs = [F.count("_v").alias("n"), F.avg("_v").alias("mean"),
+            F.array(*[F.count_if(s == i).cast("bigint") for i in range(bins.nslots)]).alias("_c")]
     if approx_accuracy:
-        aggs.append(F.percentile_approx(v, 0.5, approx_accuracy).alias("approx_median"))
-    exact = clean.groupBy(*ks).agg(*aggs)
-    est = histogram_median(df, keys, value, bins).select(*ks, "median_estimate")
-    return exact.join(est, on=ks, how="left")
+        aggs.append(F.percentile_approx("_v", 0.5, approx_accuracy).alias("approx_median"))
+    out = pre.groupBy(*ks).agg(*aggs)
+    return (out.withColumn("median_estimate", median_from_counts(F.col("_c"), bins.edges))
+               .drop("_c"))

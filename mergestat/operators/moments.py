@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mergestat.functions.moments import merge_variances
@@ -97,19 +97,19 @@ def variance_from_partials(partials: DataFrame, keys) -> DataFrame:
     """Merge per-batch (n, mean, m2) partials into one variance per key.
 
     The k-way form of Chan's rule: with the pooled mean M,
-    m2 = sum(m2_i) + sum(n_i * (mean_i - M)^2).  Two aggregations over the
-    partial table (one row per key and batch), so its cost grows with the
-    number of batches, never with the rows inside them.
+    m2 = sum(m2_i) + sum(n_i * (mean_i - M)^2).  The pooled mean is a window
+    over the key, and the final aggregation reuses that partitioning: one
+    shuffle of the partial table (one row per key and batch), so the cost
+    grows with the number of batches, never with the rows inside them.
     """
     ks = key_names(keys)
-    pooled = (partials.groupBy(*ks)
-                      .agg(F.sum("n").alias("n_all"),
-                           (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("mean_all")))
-    j = partials.join(pooled, on=ks, how="inner")
-    d = F.col("mean") - F.col("mean_all")
-    return (j.groupBy(*ks)
-             .agg(F.first("n_all").alias("n"), F.first("mean_all").alias("mean"),
-                  ((F.sum("m2") + F.sum(F.col("n") * d * d)) / F.first("n_all")).alias("variance")))
+    w = Window.partitionBy(*ks)
+    pooled = partials.withColumn("_n", F.sum("n").over(w)) \
+                     .withColumn("_m", F.sum(F.col("n") * F.col("mean")).over(w) / F.col("_n"))
+    d = F.col("mean") - F.col("_m")
+    return (pooled.groupBy(*ks)
+                  .agg(F.first("_n").alias("n"), F.first("_m").alias("mean"),
+                       ((F.sum("m2") + F.sum(F.col("n") * d * d)) / F.first("_n")).alias("variance")))
 
 
 def pairwise_merge(left: DataFrame, right: DataFrame, keys) -> DataFrame:
