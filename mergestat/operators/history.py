@@ -119,8 +119,10 @@ def history_variance(df: DataFrame, keys, value, batch, step: str = "1 day") ->
     n = F.sum(pn).over(w)
     s1 = F.sum(F.when(pn > 0, pn * dev).otherwise(0.0)).over(w)
     s2 = F.sum(F.when(pn > 0, F.col("pm2") + pn * dev * dev).otherwise(0.0)).over(w)
-    out = d.select(*ks, "batch", n.alias("n"), s1.alias("_s1"), s2.alias("_s2"), "_c")
-    mean = F.col("_c") + F.col("_s1") / F.col("n")
+    total = F.sum("ps").over(w)
+    out = d.select(*ks, "batch", n.alias("n"), s1.alias("_s1"), s2.alias("_s2"), "_c",
+                   total.alias("_t"))
+    mean = F.col("_t") / F.col("n")
     var = F.greatest(F.lit(0.0), (F.col("_s2") - F.col("_s1") * F.col("_s1") / F.col("n")) / F.col("n"))
     return out.select(*ks, "batch", "n",
                       F.when(F.col("n") > 0, mean).alias("mean"),
