@@ -191,3 +191,18 @@ def test_lineitem_hot_query_against_sequential(spark):
         assert got[k]["n"] == n
         assert got[k]["x0"] == pytest.approx(round(x[0], 6), abs=2e-6)
         assert got[k]["x1"] == pytest.approx(round(x[1], 6), abs=2e-6)
+
+
+def test_hot_key_is_spread_evenly_over_partitions(spark):
+    """The staging range partitioning cuts one dominant key into partitions
+    of similar size instead of sending it to one task."""
+    from pyspark.sql import functions as F
+    rows = [("hot", i, float(i % 17)) for i in range(3000)] + \
+           [(f"k{i}", 10_000 + i, 1.0) for i in range(300)]
+    df = spark.createDataFrame(rows, "label string, event_id long, z double")
+    staged = kalman._stage(df, ["label"], ["event_id"], "z", [], 6)
+    sizes = [r["c"] for r in staged.groupBy("_pid").agg(F.count("*").alias("c")).collect()]
+    assert len(sizes) == 6
+    assert max(sizes) < 2.5 * (3300 / 6)
+    hot_parts = staged.where("label = 'hot'").select("_pid").distinct().count()
+    assert hot_parts >= 5
