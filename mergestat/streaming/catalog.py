@@ -92,14 +92,16 @@ def _feed_weekly(spark: SparkSession, sf: str, name: str, build, mode: str,
             if stamp:
                 batch_df = batch_df.withColumn("batch", F.lit(current["week"]).cast("date"))
             base(batch_df, batch_id)
-    weeks = feed_in_order(ev, "batch", folder)
-    current["week"] = next(weeks)                  # publish the first week, then start
+    # The week is recorded before its files become visible (on_publish), so
+    # a trigger can never stamp a batch with the previous week.
+    weeks = feed_in_order(ev, "batch", folder,
+                          on_publish=lambda w: current.__setitem__("week", w))
+    next(weeks)                                    # publish the first week, then start
     stream = read_batches(spark, batches_glob(folder), ev.schema)
     q = run(build(stream), ckpt, None, mode, processing_time="100 milliseconds", writer=writer)
     try:
         q.processAllAvailable()
-        for week in weeks:
-            current["week"] = week
+        for _ in weeks:
             q.processAllAvailable()
     finally:
         q.stop()

@@ -43,7 +43,8 @@ def batches_glob(path: str) -> str:
     return path.rstrip("/") + "/*"
 
 
-def feed_in_order(df: DataFrame, batch: str, path: str) -> Iterator[object]:
+def feed_in_order(df: DataFrame, batch: str, path: str,
+                  on_publish=None) -> Iterator[object]:
     """Publish each batch value's rows under ``path`` in batch order and
     yield the value once its files are visible.
 
@@ -51,7 +52,9 @@ def feed_in_order(df: DataFrame, batch: str, path: str) -> Iterator[object]:
     one directory rename (atomic on HDFS and local file systems), so a
     trigger sees a batch whole or not at all and a running query can be
     driven batch by batch with ``processAllAvailable``.  Read the folder
-    with ``batches_glob(path)``.
+    with ``batches_glob(path)``.  ``on_publish(value)`` runs just before a
+    batch becomes visible, so anything a running query's sink reads about
+    "the current batch" is set before that batch can be picked up.
     """
     spark = df.sparkSession
     fs, Path = _fs(spark, path)
@@ -61,6 +64,8 @@ def feed_in_order(df: DataFrame, batch: str, path: str) -> Iterator[object]:
     for i, v in enumerate(values):
         tmp, final = f"{staging}/{i:06d}", f"{path.rstrip('/')}/{i:06d}"
         df.where(F.col(batch) == F.lit(v)).write.mode("overwrite").parquet(tmp)
+        if on_publish is not None:
+            on_publish(v)
         if not fs.rename(Path(tmp), Path(final)):
             raise RuntimeError(f"could not publish batch {v!r} to {final}")
         yield v
