@@ -208,17 +208,22 @@ def _compose_maps(a, b):
 _IDENTITY = (1.0, 0.0, 0.0, 1.0, 0.0, 0.0)
 
 
-def _pass_ab(ks: list[str], prm: KalmanParams, table: GainTable, has_init: bool):
+def _pass_ab(ks: list[str], prm: KalmanParams, table: GainTable, has_init: bool,
+             all_runs: bool = False):
     """Per partition, one scan: the first and last key run with step counts
     and affine maps (passes A and B in one).
 
-    The last run (when not also the first) starts its key, so its map is
-    exact.  The first run may continue a key from earlier partitions; its
-    map depends on the number t0 of earlier steps, but only through the
-    gains of its first S rows (gains are constant from step S+1 on, the
-    table's fixed point).  So the rows after the first S are composed once
-    (the tail) and S+1 variant maps — t0 = 0..S-1 and one for t0 >= S — are
-    the tail after a short head.  Output: <= S+2 rows per partition; column
+    A run that starts its key (every run but the partition's first, and a
+    first run opened by a known state) is filtered directly from its known
+    start; its map is the constant end estimate.  The first run may continue
+    a key from earlier partitions; its map depends on the number t0 of
+    earlier steps, but only through the gains of its first S rows (gains are
+    constant from step S+1 on, the table's fixed point).  So the rows after
+    the first S are composed once (the tail) and S+1 variant maps — t0 =
+    0..S-1 and one for t0 >= S — are the tail after a short head.
+
+    Output: <= S+2 rows per partition; with ``all_runs`` also one row per
+    further run (its key's end state), for the final-state query.  Column
     ``_variant`` is the t0 a row is valid for (S: any t0 >= S; -1: any t0).
     """
     g0, g1, _ = _gain_arrays(table)
@@ -239,6 +244,15 @@ def _pass_ab(ks: list[str], prm: KalmanParams, table: GainTable, has_init: bool)
             v0, v1 = v0 + k0 * y, v1 + k1 * y
         return (m00, m01, m10, m11, v0, v1)
 
+    def filt(x0, x1, z, k0s, k1s):
+        for zi, k0, k1 in zip(z, k0s, k1s):
+            x0 = x0 + dt * x1 + ga0
+            x1 = x1 + ga1
+            y = zi - x0
+            x0 = x0 + k0 * y
+            x1 = x1 + k1 * y
+        return x0, x1
+
     def gains(t, n):
         idx = np.minimum(np.arange(t, t + n), S)
         return g0[idx].tolist(), g1[idx].tolist()
@@ -246,6 +260,7 @@ def _pass_ab(ks: list[str], prm: KalmanParams, table: GainTable, has_init: bool)
     def fn(it):
         pid = None
         first = cur = None
+        finished = []
         for pdf in it:
             if pdf.empty:
                 continue
@@ -257,25 +272,31 @@ def _pass_ab(ks: list[str], prm: KalmanParams, table: GainTable, has_init: bool)
             runs = list(_runs(pdf, ks, cur["key"] if cur else None))
             for i, (s, e, key, cont) in enumerate(runs):
                 if not cont:
-                    cur = {"key": key, "cnt": 0, "t": 0, "m": _IDENTITY, "exact": True}
+                    if all_runs and cur is not None and cur is not first:
+                        finished.append((*cur["key"], pid, False, -1, cur["cnt"],
+                                         0.0, 0.0, 0.0, 0.0, *cur["x"]))
+                        if len(finished) >= 10_000:
+                            yield pd.DataFrame(finished, columns=cols)
+                            finished = []
+                    cur = {"key": key, "cnt": 0, "t": 0, "x": prm.x_init, "exact": True}
                     if first is None:
                         first = cur
                         cur["exact"] = False          # t0 unknown: head + tail
                         cur["head"] = []
+                        cur["m"] = _IDENTITY
                     if has_init and kind[s] == 0:
-                        # a known state starts the key here: t0 = 0, map exact
+                        # a known state starts the key here
                         cur["exact"] = True
-                        cur["cnt"] = int(w[s])
-                        cur["t"] = int(w[s])
-                        cur["m"] = (0.0, 0.0, 0.0, 0.0, float(ix0[s]), float(ix1[s]))
+                        cur["cnt"] = cur["t"] = int(w[s])
+                        cur["x"] = (float(ix0[s]), float(ix1[s]))
                         s += 1
                 n = e - s
                 cur["cnt"] += n
                 if cur["exact"]:
-                    # Only the first run and a possible last run need maps.
-                    if cur is first or i == len(runs) - 1:
+                    # Middle runs matter only for the final-state query.
+                    if all_runs or cur is first or i == len(runs) - 1:
                         k0s, k1s = gains(cur["t"], n)
-                        cur["m"] = compose(cur["m"], z_all[s:e].tolist(), k0s, k1s)
+                        cur["x"] = filt(*cur["x"], z_all[s:e].tolist(), k0s, k1s)
                     cur["t"] += n
                 else:
                     take = min(S - len(cur["head"]), n)
@@ -285,9 +306,10 @@ def _pass_ab(ks: list[str], prm: KalmanParams, table: GainTable, has_init: bool)
                         cur["m"] = compose(cur["m"], rest, [ks0] * len(rest), [ks1] * len(rest))
         if first is None:
             return
-        rows = []
+        rows = finished
         if first["exact"]:
-            rows.append((*first["key"], pid, True, -1, first["cnt"], *first["m"]))
+            rows.append((*first["key"], pid, True, -1, first["cnt"], 0.0, 0.0, 0.0, 0.0,
+                         *first["x"]))
         else:
             head, tail = first["head"], first["m"]
             for t0 in range(S + 1):
@@ -295,7 +317,7 @@ def _pass_ab(ks: list[str], prm: KalmanParams, table: GainTable, has_init: bool)
                 m = _compose_maps(tail, compose(_IDENTITY, head, k0s, k1s))
                 rows.append((*first["key"], pid, True, t0, first["cnt"], *m))
         if cur is not first:
-            rows.append((*cur["key"], pid, False, -1, cur["cnt"], *cur["m"]))
+            rows.append((*cur["key"], pid, False, -1, cur["cnt"], 0.0, 0.0, 0.0, 0.0, *cur["x"]))
         yield pd.DataFrame(rows, columns=cols)
     return fn
 
@@ -425,7 +447,7 @@ def _stage(df: DataFrame, ks: list[str], order: list[str], z: str, passthrough:
                   .withColumn("_pid", F.spark_partition_id()))
     # Reliable checkpoint into the shared checkpoint folder: cuts lineage,
     # keeps the range partitioning and the in-partition order, and makes the
-    # three passes read identical partitions even after an executor loss.
+    # passes read identical partitions even after an executor loss.
     return staged.checkpoint(eager=True)
 
 
@@ -433,7 +455,8 @@ def _key_fields(df: DataFrame, ks: list[str]) -> list[T.StructField]:
     return [T.StructField(k, df.schema[k].dataType, True) for k in ks]
 
 
-def _segment_maps_one_pass(staged, ks, extra, params, table, has_init, key_fields, mcols):
+def _segment_maps_one_pass(staged, ks, extra, params, table, has_init, key_fields, mcols,
+                           all_runs: bool = False):
     """Passes A+B in one scan: variant maps, then a range window over
     partition ids gives each segment its step offset and picks its map."""
     S = len(table) - 1
@@ -443,7 +466,7 @@ def _segment_maps_one_pass(staged, ks, extra, params, table, has_init, key_field
                                T.StructField("_cnt", T.LongType()),
                                *[T.StructField(c, T.DoubleType()) for c in mcols]])
     segs = (staged.select(*ks, "_z", "_pid", *extra)
-                  .mapInPandas(_pass_ab(ks, params, table, has_init), seg_schema))
+                  .mapInPandas(_pass_ab(ks, params, table, has_init, all_runs), seg_schema))
     # Steps of the same key in earlier partitions; one row per segment
     # counts (variant 0 or -1), the frame stops before the current partition.
     w = Window.partitionBy(*ks).orderBy("_pid").rangeBetween(Window.unboundedPreceding, -1)
@@ -452,7 +475,7 @@ def _segment_maps_one_pass(staged, ks, extra, params, table, has_init, key_field
     return (segs.withColumn("_t0", t0)
                 .where((F.col("_variant") == -1) |
                        (F.col("_variant") == F.least(F.col("_t0"), F.lit(S))))
-                .select(*ks, "_pid", "_first", "_t0", *mcols))
+                .select(*ks, "_pid", "_first", "_t0", "_cnt", *mcols))
 
 
 def _segment_maps_two_passes(staged, ks, extra, params, table, has_init, key_fields, mcols):
@@ -530,13 +553,38 @@ def kalman_final(df: DataFrame, keys, z: str, order: Sequence[str] = ("ts", "eve
                  params: KalmanParams = DEFAULT, num_partitions: int | None = None,
                  initial: DataFrame | None = None) -> DataFrame:
     """K3: the state after the last observation of each key: count, estimate
-    and covariance.  Pass C emits only run ends, so the final aggregation
-    sees at most one row per key per partition.  Keys of ``initial`` without
-    new observations are not returned."""
+    and covariance.  One segment pass reports every run's end state (or its
+    variant maps when it may continue a key); a JVM-side fold per key over
+    at most one row per partition gives the final estimate, and the
+    covariance is read off the gain table by step count.  Keys of
+    ``initial`` without new observations are not returned."""
     ks = key_names(keys)
-    ends = kalman_trace(df, keys, z, order, params, num_partitions, passthrough=[],
-                        ends_only=True, initial=initial)
-    return final_from_trace(ends, ks)
+    table = GainTable(params)
+    if not (table.repeat_of is not None and table.repeat_of == len(table) - 2):
+        ends = kalman_trace(df, keys, z, order, params, num_partitions, passthrough=[],
+                            ends_only=True, initial=initial)
+        return final_from_trace(ends, ks)
+    # One scan: every run's end state (or, for runs that may continue a key,
+    # its affine map), then a fold per key over at most one row per
+    # partition, JVM-side.  No per-row output is produced.
+    has_init = initial is not None
+    staged = _stage(df, ks, list(order), z, [], num_partitions, initial)
+    extra = ["_k", "_w", "_ix0", "_ix1"] if has_init else []
+    mcols = ("m00", "m01", "m10", "m11", "v0", "v1")
+    maps = _segment_maps_one_pass(staged, ks, extra, params, table, has_init,
+                                  _key_fields(staged, ks), mcols, all_runs=True)
+    seq = F.array_sort(F.collect_list(F.struct("_pid", *mcols)))
+    x = F.aggregate(seq, F.struct(F.lit(params.x_init[0]).alias("a"),
+                                  F.lit(params.x_init[1]).alias("b")),
+                    lambda acc, r: F.struct(
+                        (r["m00"] * acc["a"] + r["m01"] * acc["b"] + r["v0"]).alias("a"),
+                        (r["m10"] * acc["a"] + r["m11"] * acc["b"] + r["v1"]).alias("b")))
+    fin = maps.groupBy(*ks).agg(F.sum("_cnt").alias("n"), x.alias("_x"))
+    idx = F.least(F.col("n"), F.lit(len(table))).cast("int")
+    covs = [F.array(*[F.lit(float(c[i])) for c in table.covs]) for i in range(4)]
+    return fin.select(*ks, "n", F.col("_x.a").alias("x0"), F.col("_x.b").alias("x1"),
+                      *[F.element_at(covs[i], idx).alias(c)
+                        for i, c in enumerate(("p00", "p01", "p10", "p11"))])
 
 
 def final_from_trace(trace: DataFrame, keys) -> DataFrame:
