@@ -109,6 +109,17 @@ class GainTable:
     def __len__(self):
         return len(self.gains)
 
+    def extend(self, n: int) -> None:
+        """Continue the recursion until ``n`` steps are stored (only needed
+        when no repeat was seen; exact, linear in the added steps)."""
+        if self.repeat_of is not None:
+            return
+        p = self.covs[-1]
+        while len(self.gains) < n:
+            k, p = gain_and_update_cov(predict_cov(p, self.prm), self.prm)
+            self.gains.append(k)
+            self.covs.append(p)
+
     def _index(self, i: int) -> int:
         last = len(self.gains) - 1
         if i <= last:

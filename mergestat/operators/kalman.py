@@ -85,24 +85,34 @@ def _runs(pdf: pd.DataFrame, ks: list[str], prev_key):
         yield s, bounds[i + 1], keys[i], False
 
 
-def _gain_arrays(table: GainTable):
-    g0 = np.array([g[0] for g in table.gains])
-    g1 = np.array([g[1] for g in table.gains])
-    c = np.array(table.covs)
-    return g0, g1, c
-
-
-def _gain_index(table: GainTable, t: np.ndarray) -> np.ndarray:
-    """Table index of 1-based steps t (vectorised ``GainTable._index``)."""
-    i = t - 1
-    last = len(table) - 1
-    if table.repeat_of is None:
-        if (i > last).any():
-            raise OverflowError("gain recursion did not settle; raise GainTable limit")
-        return i
-    j = table.repeat_of
-    period = last - j
-    return np.where(i <= last, i, j + 1 + np.mod(i - last - 1, period))
+class _Gains:
+    """Gains and covariances of a ``GainTable`` as arrays, indexed by step.
+
+    Steps past the stored table are read off its cycle; if the recursion
+    showed no repeat, the table is extended on demand (exact)."""
+
+    def __init__(self, table: GainTable):
+        self.table = table
+        self._load()
+
+    def _load(self):
+        t = self.table
+        self.g0 = np.array([g[0] for g in t.gains])
+        self.g1 = np.array([g[1] for g in t.gains])
+        self.covs = np.array(t.covs)
+
+    def index(self, steps: np.ndarray) -> np.ndarray:
+        """Array index of 1-based steps."""
+        i = np.asarray(steps) - 1
+        last = len(self.table) - 1
+        if self.table.repeat_of is None:
+            if i.size and int(i.max()) > last:
+                self.table.extend(int(i.max()) + 1)
+                self._load()
+            return i
+        j = self.table.repeat_of
+        period = last - j
+        return np.where(i <= last, i, j + 1 + np.mod(i - last - 1, period))
 
 
 # ---------------------------------------------------------------- passes
@@ -137,7 +147,7 @@ def _pass_a(ks: list[str], has_init: bool):
 
 def _pass_b(ks: list[str], prm: KalmanParams, table: GainTable, has_init: bool):
     """Per partition: the composed affine map of its first and last run."""
-    g0, g1, _ = _gain_arrays(table)
+    gs = _Gains(table)
     dt = prm.dt
     ga0, ga1 = prm.ga
     cols = [*ks, "_pid", "_first", "_t0", "m00", "m01", "m10", "m11", "v0", "v1"]
@@ -185,8 +195,8 @@ def _pass_b(ks: list[str], prm: KalmanParams, table: GainTable, has_init: bool):
                 # first nor the last run of the partition unless it is first.
                 needed = cur["first"] or i == len(runs) - 1
                 if needed:
-                    idx = _gain_index(table, np.arange(cur["t"] + 1, cur["t"] + (e - s) + 1))
-                    compose(cur, z_all[s:e].tolist(), g0[idx].tolist(), g1[idx].tolist())
+                    idx = gs.index(np.arange(cur["t"] + 1, cur["t"] + (e - s) + 1))
+                    compose(cur, z_all[s:e].tolist(), gs.g0[idx].tolist(), gs.g1[idx].tolist())
                 cur["t"] += e - s
         if first is None:
             return
@@ -226,7 +236,8 @@ def _pass_ab(ks: list[str], prm: KalmanParams, table: GainTable, has_init: bool,
     further run (its key's end state), for the final-state query.  Column
     ``_variant`` is the t0 a row is valid for (S: any t0 >= S; -1: any t0).
     """
-    g0, g1, _ = _gain_arrays(table)
+    gs = _Gains(table)
+    g0, g1 = gs.g0, gs.g1
     S = len(table) - 1
     dt = prm.dt
     ga0, ga1 = prm.ga
@@ -345,7 +356,7 @@ def _pass_c(ks: list[str], passthrough: list[str], prm: KalmanParams, table: Gai
     With ``ends_only`` only the last row of each key run is emitted (enough
     for the final state; the final aggregation then sees at most one row per
     key per partition)."""
-    g0, g1, covs = _gain_arrays(table)
+    gs = _Gains(table)
     dt = prm.dt
     ga0, ga1 = prm.ga
     out_cols = [*ks, *passthrough, "step", "z", "x0", "x1", "p00", "p01", "p10", "p11"]
@@ -383,10 +394,10 @@ def _pass_c(ks: list[str], passthrough: list[str], prm: KalmanParams, table: Gai
                         steps[s], xs0[s], xs1[s] = cur[1], cur[2], cur[3]
                         s += 1
                 t = cur[1]
-                idx = _gain_index(table, np.arange(t + 1, t + (e - s) + 1))
+                idx = gs.index(np.arange(t + 1, t + (e - s) + 1))
                 x0, x1 = cur[2], cur[3]
                 r0, r1 = [], []
-                for z, k0, k1 in zip(z_all[s:e].tolist(), g0[idx].tolist(), g1[idx].tolist()):
+                for z, k0, k1 in zip(z_all[s:e].tolist(), gs.g0[idx].tolist(), gs.g1[idx].tolist()):
                     x0 = x0 + dt * x1 + ga0
                     x1 = x1 + ga1
                     y = z - x0
@@ -398,7 +409,7 @@ def _pass_c(ks: list[str], passthrough: list[str], prm: KalmanParams, table: Gai
                 xs1[s:e] = r1
                 steps[s:e] = np.arange(t + 1, t + (e - s) + 1)
                 cur[1], cur[2], cur[3] = t + (e - s), x0, x1
-            p = covs[_gain_index(table, np.maximum(steps, 1))]
+            p = gs.covs[gs.index(np.maximum(steps, 1))]
             out = pd.DataFrame({c: pdf[c].to_numpy() for c in [*ks, *passthrough]})
             out["step"] = steps
             out["z"] = z_all

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from mergestat.functions.kalman_math import GainTable, KalmanParams
+from mergestat.operators.kalman import _Gains
 
 
 PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
@@ -126,6 +127,7 @@ class KalmanProcessor(StatefulProcessor):
                                T.StructField("x1", T.DoubleType())])
         self.state = handle.getValueState("kalman", schema)
         self.table = GainTable(self.params)
+        self.gains = _Gains(self.table)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows), ignore_index=True)
@@ -139,7 +141,9 @@ class KalmanProcessor(StatefulProcessor):
         prm = self.params
         dt, (ga0, ga1) = prm.dt, prm.ga
         m = len(pdf)
-        k0s, k1s = self.table.gains_from(int(n), m)
+        steps = np.arange(n + 1, n + m + 1, dtype=np.int64)
+        idx = self.gains.index(steps)
+        k0s, k1s = self.gains.g0[idx].tolist(), self.gains.g1[idx].tolist()
         r0, r1 = [], []
         for z, k0, k1 in zip(pdf[self.z].astype(float).tolist(), k0s, k1s):
             x0 = x0 + dt * x1 + ga0
@@ -149,9 +153,8 @@ class KalmanProcessor(StatefulProcessor):
             x1 = x1 + k1 * y
             r0.append(x0)
             r1.append(x1)
-        steps = np.arange(n + 1, n + m + 1, dtype=np.int64)
         self.state.update((int(n + m), float(x0), float(x1)))
-        covs = np.array([self.table.at(int(t))[1] for t in steps])
+        covs = self.gains.covs[idx]
         out = {kname: [kv] * m for kname, kv in zip(self.keys, key)}
         for c in self.passthrough:
             out[c] = pdf[c].to_numpy()

@@ -206,3 +206,21 @@ def test_hot_key_is_spread_evenly_over_partitions(spark):
     assert max(sizes) < 2.5 * (3300 / 6)
     hot_parts = staged.where("label = 'hot'").select("_pid").distinct().count()
     assert hot_parts >= 5
+
+
+def test_gain_table_without_repeat_extends_on_demand():
+    """No cap on steps: without a detected repeat the table grows exactly."""
+    from mergestat.functions.kalman_math import gain_and_update_cov, predict_cov
+    short = GainTable(PRM, limit=5)
+    short.repeat_of = None
+    gs = kalman._Gains(short)
+    idx = gs.index(np.array([1, 40, 300]))
+    p = PRM.p_init
+    ref = []
+    for t in range(1, 301):
+        k, p = gain_and_update_cov(predict_cov(p, PRM), PRM)
+        ref.append((k, p))
+    assert len(short) >= 300
+    for t, i in zip([1, 40, 300], idx):
+        assert (gs.g0[i], gs.g1[i]) == ref[t - 1][0]
+        assert tuple(gs.covs[i]) == ref[t - 1][1]
