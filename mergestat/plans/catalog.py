@@ -265,6 +265,17 @@ def q_kalman_lineitem_hot(spark, sf):
                                   ("l_shipdate", "l_orderkey", "l_linenumber")))
 
 
+def q_variance_by_user(spark, sf):
+    """Many keys: moments per user."""
+    return _r(moments.running_variance(table(spark, sf, "events"), "user_id", "value"))
+
+
+def q_k_largest_by_user(spark, sf):
+    """Many keys: the k largest values of every user."""
+    return _r(extremes.k_largest(table(spark, sf, "events"), "user_id", "value", K_LARGEST,
+                                 tiebreak=["event_id"]))
+
+
 BATCH_QUERIES: dict[str, Query] = {
     "keyed_projection": q_keyed_projection,
     "filtered_variance": q_filtered_variance,
@@ -306,4 +317,6 @@ BATCH_QUERIES: dict[str, Query] = {
     "kalman_trace": q_kalman_trace,
     "kalman_by_user": q_kalman_by_user,
     "kalman_lineitem_hot": q_kalman_lineitem_hot,
+    "variance_by_user": q_variance_by_user,
+    "k_largest_by_user": q_k_largest_by_user,
 }

@@ -267,6 +267,11 @@ def build() -> dict[str, str]:
         "round(avg(o.o_totalprice), 6) AS mean, round(stddev_pop(o.o_totalprice), 6) AS stddev "
         "FROM g JOIN od o ON o.o_orderpriority = g.o_orderpriority AND o.batch <= g.batch "
         "GROUP BY g.o_orderpriority, g.batch")
+    q["variance_by_user"] = ("SELECT user_id, " + mom + " FROM events GROUP BY user_id")
+    q["k_largest_by_user"] = (
+        f"SELECT user_id, rank, round(value, 6) AS value FROM (SELECT user_id, value, "
+        f"row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS rank "
+        f"FROM events WHERE value IS NOT NULL AND NOT isnan(value)) WHERE rank <= {K_LARGEST}")
     q["kalman_final"] = _kalman_sql("event_type", "label", final=True)
     q["kalman_trace"] = _kalman_sql("event_type", "label", final=False)
     q["kalman_by_user"] = _kalman_sql("user_id", "user_id", final=True)
