@@ -71,3 +71,21 @@ def test_union_of_batch_sketches_equals_one_sketch(spark):
     for k, r in whole.items():
         assert merged[k]["sketch_estimate"] == r["sketch_estimate"]
         assert abs(merged[k]["sketch_estimate"] - exact[k]) / exact[k] < 0.05
+
+
+def test_registers_against_python_md5(spark):
+    """Register and rank of every value, recomputed with hashlib."""
+    import hashlib
+    from tests.conftest import SF001
+    from mergestat.sources.tables import table
+    ev = table(spark, SF001, "events")
+    got = {(r["event_type"], r["register"]): r["rank"] for r in
+           distinct.hll_registers(ev, "event_type", "user_id", 64).collect()}
+    want = {}
+    for r in ev.select("event_type", "user_id").where("user_id IS NOT NULL").collect():
+        h = int(hashlib.md5(str(r["user_id"]).encode()).hexdigest()[:8], 16)
+        reg, w = h & 63, h >> 6
+        rank = 27 if w == 0 else (w & -w).bit_length()
+        key = (r["event_type"], reg)
+        want[key] = max(want.get(key, 0), rank)
+    assert got == want
