@@ -45,3 +45,23 @@ def test_plan_limits_before_shuffle(spark):
     assert "WindowGroupLimit" in plan
     # the partial limit sits below the exchange
     assert plan.index("WindowGroupLimit") < plan.rindex("Exchange") or "Partial" in plan
+
+
+def test_hot_key_with_ties_against_sorting(spark):
+    """One dominant key, many duplicate values, spread over many partitions:
+    the limited plan returns exactly the sorted prefix (with tie-break)."""
+    import numpy as np
+    rng = np.random.default_rng(9)
+    rows = [("hot", float(v), i) for i, v in enumerate(rng.integers(0, 20, 5000))]
+    rows += [(f"k{i % 7}", float(v), 10_000 + i) for i, v in enumerate(rng.integers(-5, 5, 300))]
+    df = spark.createDataFrame(rows, "label string, value double, id long").repartition(13)
+    got = {}
+    for r in extremes.k_largest(df, "label", "value", 6, tiebreak=["id"]).collect():
+        got.setdefault(r["label"], []).append((r["rank"], r["value"]))
+    for lab in {r[0] for r in rows}:
+        vals = sorted(((-v, i) for l2, v, i in rows if l2 == lab))[:6]
+        assert sorted(got[lab]) == [(n + 1, -v) for n, (v, _) in enumerate(vals)]
+    small = {}
+    for r in extremes.j_smallest(df, "label", "value", 4, tiebreak=["id"]).collect():
+        small.setdefault(r["label"], []).append(r["value"])
+    assert sorted(small["hot"]) == [0.0] * 4
