@@ -76,7 +76,7 @@ def q_stream_extremes(spark, sf):
 
 
 def _feed_weekly(spark: SparkSession, sf: str, name: str, build, mode: str,
-                 stamp: bool = False, writer=None) -> str:
+                 stamp: bool = False, writer=None, week_holder: dict | None = None) -> str:
     """Feed events one calendar week at a time into one long-running query;
     each week is processed completely before the next is published."""
     ev = (table(spark, sf, "events").withColumnRenamed("event_type", "label")
@@ -84,7 +84,7 @@ def _feed_weekly(spark: SparkSession, sf: str, name: str, build, mode: str,
     folder = scratch_path(spark, f"{name}-input")
     out = scratch_path(spark, f"{name}-out")
     ckpt = scratch_path(spark, f"{name}-ckpt")
-    current: dict = {}
+    current: dict = {} if week_holder is None else week_holder
     if writer is None:
         base = snapshot_writer(out)
 
@@ -125,6 +125,16 @@ def q_stream_kalman_segmented(spark, sf):
     return rounded(spark.read.parquet(out).drop("batch_id"))
 
 
+def q_stream_batch_sum(spark, sf):
+    """A1 on a stream: per-key count and sum within each weekly batch."""
+    out = scratch_path(spark, "stream_batch_sum-out")
+    week: dict = {}
+    writer = sq.batch_sum_writer("label", "value", out, stamp=lambda: week["week"])
+    _feed_weekly(spark, sf, "stream_batch_sum", lambda s: s, "append", writer=writer,
+                 week_holder=week)
+    return rounded(spark.read.parquet(out).drop("batch_id"))
+
+
 def q_stream_state_snapshots(spark, sf):
     """The state of every key after every weekly batch (complete mode)."""
     out = _feed_weekly(spark, sf, "stream_snapshots",
@@ -143,6 +153,7 @@ STREAM_QUERIES = {
     "stream_kalman": q_stream_kalman,
     "stream_kalman_segmented": q_stream_kalman_segmented,
     "stream_state_snapshots": q_stream_state_snapshots,
+    "stream_batch_sum": q_stream_batch_sum,
 }
 
 _WEEKLY_HISTORY_SQL = (
@@ -161,6 +172,10 @@ _EVENT_EXTREMES_SQL = " UNION ALL ".join(
     f"WHERE rank <= {n}"
     for side, d, n in (("largest", "DESC", K_LARGEST), ("smallest", "ASC", J_SMALLEST)))
 
+_WEEKLY_BATCH_SUM_SQL = (
+    "SELECT event_type AS label, CAST(date_trunc('week', ts) AS DATE) AS batch, "
+    "count(value) AS n, round(sum(value), 6) AS sum FROM events GROUP BY 1, 2")
+
 # Stream query -> batch oracle key (or SQL text of its own).
 STREAM_ORACLES = {
     "stream_sum": "running_sum",
@@ -171,4 +186,5 @@ STREAM_ORACLES = {
     "stream_kalman": "kalman_trace",
     "stream_kalman_segmented": "kalman_trace",
     "stream_state_snapshots": _WEEKLY_HISTORY_SQL,
+    "stream_batch_sum": _WEEKLY_BATCH_SUM_SQL,
 }

@@ -109,3 +109,18 @@ def kalman_segmented_writer(keys, z: str, order: Sequence[str], out_path: str,
             fin = prev.join(fin.select(*ks), ks, "left_anti").unionByName(fin)
         fin.write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
     return write
+
+
+def batch_sum_writer(keys, value: str, out_path: str, stamp=None):
+    """A1 on a stream: the sum per key *within* each micro-batch (not
+    running), a ``foreachBatch`` function writing ``out_path/batch_id=<n>``.
+    The aggregation is partial map-side like any batch ``groupBy``.
+    ``stamp()`` may name the batch (e.g. its week) for the output."""
+    ks = key_names(keys)
+
+    def write(batch_df: DataFrame, batch_id: int) -> None:
+        out = batch_df.groupBy(*ks).agg(F.count(value).alias("n"), F.sum(value).alias("sum"))
+        if stamp is not None:
+            out = out.withColumn("batch", F.lit(stamp()).cast("date"))
+        out.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+    return write
