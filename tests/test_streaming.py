@@ -129,3 +129,13 @@ def test_segmented_kalman_stream_equals_batch(spark, tmp_dir):
         g = got[(r["label"], r["event_id"])]
         assert g["step"] == r["step"]
         assert g["x0"] == pytest.approx(r["x0"], rel=1e-9)
+
+
+def test_stream_batch_sum_against_sql(spark):
+    """Per-batch sums on a stream (A1) against the weekly GROUP BY."""
+    import __spark_entry__ as E
+    from tests.conftest import SF01
+    from tests.oracle_harness import compare, duck
+    problems, n = compare(E.queries()["stream_batch_sum"](spark, SF01), duck(SF01),
+                          E.oracle_sql()["stream_batch_sum"])
+    assert not problems and n > 0
