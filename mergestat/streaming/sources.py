@@ -22,6 +22,7 @@ from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 
@@ -48,8 +49,9 @@ def feed_in_order(df: DataFrame, batch: str, path: str,
     """Publish each batch value's rows under ``path`` in batch order and
     yield the value once its files are visible.
 
-    A batch is written to a staging folder beside ``path`` and moved in with
-    one directory rename (atomic on HDFS and local file systems), so a
+    All batches are written by one job into a staging folder beside
+    ``path``, one sub-folder per batch, and each is moved in with one
+    directory rename (atomic on HDFS and local file systems), so a
     trigger sees a batch whole or not at all and a running query can be
     driven batch by batch with ``processAllAvailable``.  Read the folder
     with ``batches_glob(path)``.  ``on_publish(value)`` runs just before a
@@ -60,10 +62,18 @@ def feed_in_order(df: DataFrame, batch: str, path: str,
     fs, Path = _fs(spark, path)
     fs.mkdirs(Path(path))
     staging = path.rstrip("/") + "-staging"
-    values = [r[0] for r in df.select(batch).distinct().orderBy(batch).collect()]
+    values = [r[0] for r in df.select(batch).distinct().orderBy(batch).collect()
+              if r[0] is not None]
+    # One job writes every batch, partitioned by its position in the order;
+    # the value -> position table has one row per batch (broadcast-bounded).
+    order = spark.createDataFrame(
+        [(v, i) for i, v in enumerate(values)],
+        T.StructType([T.StructField(batch, df.schema[batch].dataType),
+                      T.StructField("batch_index", T.IntegerType())]))
+    (df.join(F.broadcast(order), batch)
+       .write.mode("overwrite").partitionBy("batch_index").parquet(staging))
     for i, v in enumerate(values):
-        tmp, final = f"{staging}/{i:06d}", f"{path.rstrip('/')}/{i:06d}"
-        df.where(F.col(batch) == F.lit(v)).write.mode("overwrite").parquet(tmp)
+        tmp, final = f"{staging}/batch_index={i}", f"{path.rstrip('/')}/{i:06d}"
         if on_publish is not None:
             on_publish(v)
         if not fs.rename(Path(tmp), Path(final)):
