@@ -62,15 +62,17 @@ def feed_in_order(df: DataFrame, batch: str, path: str,
     fs, Path = _fs(spark, path)
     fs.mkdirs(Path(path))
     staging = path.rstrip("/") + "-staging"
-    values = [r[0] for r in df.select(batch).distinct().orderBy(batch).collect()
-              if r[0] is not None]
+    # NULL batch values sort first, as in Spark's ascending order; no row is left out.
+    values = [r[0] for r in df.select(batch).distinct().orderBy(batch).collect()]
     # One job writes every batch, partitioned by its position in the order;
     # the value -> position table has one row per batch (broadcast-bounded).
     order = spark.createDataFrame(
         [(v, i) for i, v in enumerate(values)],
         T.StructType([T.StructField(batch, df.schema[batch].dataType),
                       T.StructField("batch_index", T.IntegerType())]))
-    (df.join(F.broadcast(order), batch)
+    order = order.withColumnRenamed(batch, "_batch_value")
+    (df.join(F.broadcast(order), df[batch].eqNullSafe(order["_batch_value"]))
+       .drop("_batch_value")
        .write.mode("overwrite").partitionBy("batch_index").parquet(staging))
     for i, v in enumerate(values):
         tmp, final = f"{staging}/batch_index={i}", f"{path.rstrip('/')}/{i:06d}"
