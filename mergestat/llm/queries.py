@@ -5,10 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash_mih
+from . import ordinal_quality, simhash_mih, token_frames
 from .common import table
 
 
+def op1_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grade probabilities and selection of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = ordinal_quality.train(docs, ordinal_quality.graded(table(spark, sf_dir, "labels")))
+    return ordinal_quality.score(docs, model).drop("text")
+
+
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op5_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, written as seekable frames and read back."""
+    files = token_frames.write(table(spark, sf_dir, "documents"), tokenizer_path())
+    return token_frames.read_back(files)
+
+
 def op8_simhash_mih(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = simhash_mih.near_duplicates(table(spark, sf_dir, "documents"))
@@ -16,5 +34,5 @@ def op8_simhash_mih(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
-QUERIES = {"op8_simhash_mih": op8_simhash_mih}
+QUERIES = {f.__name__: f for f in (op1_ordinal_quality, op5_token_frames, op8_simhash_mih)}
 ORACLE_SQL: dict[str, str] = {}

@@ -230,7 +230,8 @@ def near_duplicates(docs: DataFrame, ident: str = "doc_id", text: str = "text",
     src = docs.select(F.col(f"`{ident}`").alias("ident"), F.col(f"`{text}`").alias("text"),
                       F.xxhash64(F.col(f"`{text}`")).alias("text_key"))
     fps = staged(fingerprints(src, "text", ("ident", "text_key"), shingle, seed), "fingerprints")
-    groups = group_ids(fps, "ident", distance, segments)
+    # staged, so that the join reads two plain shuffles and can split a hot fingerprint
+    groups = staged(group_ids(fps, "ident", distance, segments), "fp-groups")
     return fps.join(groups, "fp").select(F.col("ident").alias(ident), "text_key", "fp", "root", "component")
 
 
