@@ -2,14 +2,16 @@
 
 On a cluster the operator names a shared, fault-tolerant folder in
 ``spark.checkpoint.dir``; every job here that must cut lineage or stage data
-writes under that folder.  Only when the setting is absent (local tests) do we
+writes under that folder.  Only in local mode, with the setting absent, do we
 pick a fresh local folder ourselves.
 """
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -50,14 +52,16 @@ def get_session(
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_root(spark)
+    ship_package(spark)
     return spark
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session.
 
-    Reads ``spark.checkpoint.dir`` (or the SparkContext's checkpoint dir);
-    sets a fresh local folder only when neither is configured.
+    Reads ``spark.checkpoint.dir`` (or the SparkContext's checkpoint dir).  When
+    neither is configured, sets a fresh local folder in local mode and refuses
+    on a cluster, where executors could not see it.
     """
     sc = spark.sparkContext
     root = spark.conf.get(_CKPT_KEY, None) or sc.getConf().get(_CKPT_KEY, None)
@@ -66,6 +70,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         if current.isDefined():
             root = current.get()
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(f"set {_CKPT_KEY} to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="mergestat-ckpt-")
         try:
             spark.conf.set(_CKPT_KEY, root)
@@ -76,6 +82,30 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Workers then import it wherever the driver was started from.  The zip lies
+    in the driver's own temporary folder; Spark's file server hands it out.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="mergestat-py-"), "mergestat.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared checkpoint folder."""
     root = checkpoint_root(spark)
