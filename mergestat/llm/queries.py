@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ordinal_quality, simhash_mih, token_frames
+from . import (hyper_shards, ordinal_quality, pivotal_mix, simhash_decontam, simhash_mih,
+               token_frames)
 from .common import table
 
 
@@ -27,6 +28,17 @@ def op5_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_frames.read_back(files)
 
 
+def op6_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    return pivotal_mix.mix(table(spark, sf_dir, "documents"), keep=["doc_id"]).drop("copies")
+
+
+def op7_simhash_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a near copy of a benchmark item."""
+    return simhash_decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")) \
+        .drop("text_key")
+
+
 def op8_simhash_mih(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = simhash_mih.near_duplicates(table(spark, sf_dir, "documents"))
@@ -34,5 +46,15 @@ def op8_simhash_mih(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ordinal_quality, op5_token_frames, op8_simhash_mih)}
+def op9_hyper_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document under a uniform shuffle."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return hyper_shards.shard(docs).select(
+        "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
+        F.coalesce(F.crc32("text"), F.lit(0)).cast("long").alias("text_crc32"), F.lit("rows").alias("law"),
+        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+QUERIES = {f.__name__: f for f in (op1_ordinal_quality, op5_token_frames, op6_pivotal_mix, op7_simhash_decontam,
+                                   op8_simhash_mih, op9_hyper_shards)}
 ORACLE_SQL: dict[str, str] = {}
