@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (hyper_shards, ordinal_quality, pivotal_mix, simhash_decontam, simhash_mih,
-               token_frames)
+from . import (hyper_shards, markov_secrets, ordinal_quality, pivotal_mix, simhash_decontam,
+               simhash_mih, token_frames)
 from .common import table
 
 
@@ -55,6 +55,20 @@ def op9_hyper_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op10_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = markov_secrets.scan(docs, markov_secrets.train(docs)).select("doc_id", "secrets")
+    base = F.filter("secrets", lambda s: s["kind"] < 3)
+
+    def count(kind):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+                        F.sha2(markov_secrets.listed(base), 256).alias("base_sha256"),
+                        markov_secrets.listed(F.col("secrets")).alias("spans"))
+
+
 QUERIES = {f.__name__: f for f in (op1_ordinal_quality, op5_token_frames, op6_pivotal_mix, op7_simhash_decontam,
-                                   op8_simhash_mih, op9_hyper_shards)}
+                                   op8_simhash_mih, op9_hyper_shards, op10_markov_secrets)}
 ORACLE_SQL: dict[str, str] = {}
