@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (hyper_shards, markov_secrets, ordinal_quality, pivotal_mix, simhash_decontam,
+from . import (arc_warc, hyper_shards, markov_secrets, ordinal_quality, pivotal_mix, simhash_decontam,
                simhash_mih, token_frames)
 from .common import table
 
@@ -17,6 +17,12 @@ def op1_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal_quality.score(docs, model).drop("text")
 
 
+def op2_arc_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as an ARC record, converted to WARC and read back."""
+    arcs = arc_warc.write_arc(table(spark, sf_dir, "pages"))
+    return arc_warc.read_warc(arc_warc.convert(arcs))
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
@@ -69,6 +75,6 @@ def op10_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         markov_secrets.listed(F.col("secrets")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ordinal_quality, op5_token_frames, op6_pivotal_mix, op7_simhash_decontam,
+QUERIES = {f.__name__: f for f in (op1_ordinal_quality, op2_arc_warc, op5_token_frames, op6_pivotal_mix, op7_simhash_decontam,
                                    op8_simhash_mih, op9_hyper_shards, op10_markov_secrets)}
 ORACLE_SQL: dict[str, str] = {}
