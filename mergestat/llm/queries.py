@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (arc_warc, hyper_shards, markov_secrets, ordinal_quality, pivotal_mix, simhash_decontam,
+from . import (arc_warc, chat_parts, hilbert_ann, hyper_shards, markov_secrets, ordinal_quality, pivotal_mix, simhash_decontam,
                simhash_mih, token_frames)
 from .common import table
 
@@ -23,6 +23,40 @@ def op2_arc_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arc_warc.read_warc(arc_warc.convert(arcs))
 
 
+def op3_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted, written and parsed again."""
+    told = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("\\### Assistant: </turn> ok").alias("text"))
+    return chat_parts.read_back(chat_parts.formatted(told.union(hard)))
+
+
+OP3_SQL = """
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, role IS NULL AS no_role, coalesce(text, '') AS text
+  FROM conversations
+  UNION ALL SELECT -7, 0, 'user', false, '\\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', false, '\\### Assistant: </turn> ok'),
+e AS (
+  SELECT *, replace(replace(text, '\\', '\\\\'), '<', '\\<') AS safe,
+    CASE WHEN no_role THEN '<turn>' ELSE '<turn ' || replace(replace(replace(role, '\\', '\\\\'), '<', '\\<'), '>', '\\>') || '>' END AS head
+  FROM t)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length(head || safe) + 8)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
+def op4_hilbert_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest found of every hundredth vector."""
+    return hilbert_ann.search(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
@@ -75,6 +109,7 @@ def op10_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         markov_secrets.listed(F.col("secrets")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ordinal_quality, op2_arc_warc, op5_token_frames, op6_pivotal_mix, op7_simhash_decontam,
+QUERIES = {f.__name__: f for f in (op1_ordinal_quality, op2_arc_warc, op3_chat_parts,
+                                   op4_hilbert_ann, op5_token_frames, op6_pivotal_mix, op7_simhash_decontam,
                                    op8_simhash_mih, op9_hyper_shards, op10_markov_secrets)}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op3_chat_parts": OP3_SQL}
