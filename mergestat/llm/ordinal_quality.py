@@ -259,6 +259,14 @@ def score(docs: DataFrame, model: dict | None, text: str = "text",
     return src.mapInArrow(run, schema.add("kept", "boolean"))
 
 
+def keep_good(docs: DataFrame, model: dict | None, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``score`` keeps, with their own columns only."""
+    names = fresh(docs, *docs.columns)
+    own = docs.toDF(*names)
+    kept = score(own, model, names[docs.columns.index(text)]).where("kept")
+    return kept.select(*[F.col(f"`{n}`").alias(c) for n, c in zip(names, docs.columns)])
+
+
 def graded(labels: DataFrame) -> DataFrame:
     """Grades of the ``labels`` table: 0 toxic, 1 of low quality, 2 good."""
     known = F.col("quality").isNotNull() & F.col("toxic").isNotNull()
