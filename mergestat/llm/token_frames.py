@@ -189,7 +189,7 @@ class FrameReader:
         self.width, n = struct.unpack_from("<BI", raw)
         self.ids = np.frombuffer(raw, "<i8", n, 5)
         self.null = np.frombuffer(raw, "u1", n, 5 + 8 * n).astype(bool)
-        self.first = np.concatenate([[0], np.cumsum(np.frombuffer(raw, "<u4", n, 5 + 9 * n))])
+        self.first = np.concatenate([[0], np.cumsum(np.frombuffer(raw, "<u4", n, 5 + 9 * n), dtype=np.int64)])
         self.dtype = np.dtype("<u2" if self.width == 2 else "<u4")
 
     def _at(self, offset: int, size: int) -> bytes:

@@ -1,0 +1,64 @@
+import numpy as np
+from helpers import none, odd_docs
+
+from mergestat.llm import ordinal_quality as oq
+from mergestat.llm.queries import op1_ordinal_quality
+
+
+def test_gradient_is_that_of_the_likelihood():
+    r = np.random.default_rng(0)
+    rows = [np.unique(r.integers(0, 30, 8)).astype(np.int32) for _ in range(400)]
+    w = np.zeros(30)
+    w[:6] = (3, -3, 2, -2, 4, -4)
+    s = np.array([w[x].sum() for x in rows])
+    u = r.logistic(size=400)
+    grade = (s + u > -2).astype(int) + (s + u > 2)
+    slots, got, cuts = oq.fit(rows, grade, steps=800)
+    assert cuts[0] < cuts[1]
+    found = dict(zip(slots.tolist(), got))
+    assert all(np.sign(found.get(k, 0)) == np.sign(w[k]) for k in range(6))
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    rated = oq.graded(labels)
+    model = oq.train(docs, rated.where("doc_id % 3 > 0"))
+    held = oq.score(docs, model).join(rated.where("doc_id % 3 = 0"), "doc_id").toPandas()
+    kept = held.groupby("grade").kept.mean()
+    assert kept[2] > 0.98 and kept[0] < 0.05 and kept[1] < 0.15
+    assert held.groupby("grade").expected_grade.mean().is_monotonic_increasing
+
+
+def test_scorer_agrees_with_features():
+    texts = ["", "a a b", "the The THE, and?? x_y", "réeuxment réeuxvi réeuxou réeuxpa", "|\n|\n|"]
+    weights = {int(s): 0.1 * k - 1 for k, s in enumerate(sorted({int(s) for t in texts for s in oq.features(t)}))}
+    scorer = oq._Scorer(weights)
+    for t in [None, *texts]:
+        assert abs(scorer.score(t) - sum(weights.get(int(s), 0) for s in oq.features(t))) < 1e-9
+
+
+def test_odd_documents(spark):
+    docs = odd_docs(spark)
+    rated = spark.createDataFrame([(3, 0), (4, 2), (4, 2), (5, 1), (None, 1), (9, None), (10, 2), (77, 1)], "doc_id long, grade int")
+    model = oq.train(docs, rated, l1_docs=0.1)
+    scored = oq.score(docs, model)
+    assert scored.count() == docs.count() and scored.columns.count("kept") == 1
+    for r in scored.collect():
+        assert 0 <= r.p_ge_2 <= r.p_ge_1 <= 1 and abs(r.expected_grade - r.p_ge_1 - r.p_ge_2) < 1e-9
+    good = oq.keep_good(docs, model)
+    assert good.columns == docs.columns and {r.kept for r in good.collect()} <= {None}
+    assert oq.score(none(docs), model).collect() == []
+
+
+def test_without_labels_everything_stays(spark):
+    docs = odd_docs(spark)
+    model = oq.train(docs, spark.createDataFrame([], "doc_id long, grade int"))
+    assert model is None
+    assert oq.keep_good(docs, model).count() == docs.count()
+
+
+def test_query(spark):
+    out = op1_ordinal_quality(spark, "/root/testdata/sf0.001")
+    assert out.columns == ["doc_id", "expected_grade", "p_ge_1", "p_ge_2", "kept"]
+    assert out.count() == 200
