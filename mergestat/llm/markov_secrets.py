@@ -8,7 +8,7 @@ words and identifiers: the log-likelihood ratio of the run must reach
 
 Both models are trained from labelled samples of the scanned documents: secrets
 that the patterns find count as random, all other words as ordinary.  The sample
-is the ``sample_docs`` documents lowest in hash order for each label; smoothing
+is the documents of the ``sample_docs`` ids lowest in hash order for each label; smoothing
 by ``alpha`` counts per pair of characters stands for what the sample lacks, and
 ``uniform`` of the random model's mass goes to strings of evenly drawn
 characters, whatever secrets the sample holds.
@@ -30,7 +30,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh
+from .common import fresh, staged
 
 # Fixed values of the base patterns.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -113,13 +113,20 @@ def train(docs: DataFrame, ident: str = "doc_id", text: str = "text", sample_doc
           alpha: float = ALPHA, uniform: float = UNIFORM) -> list[float]:
     """Log-likelihood ratio random / ordinary of each pair of ``ALPHABET``."""
     src = docs.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"), F.col(f"`{ident}`").alias("ident"))
-    low = [F.xxhash64("ident"), F.col("ident"), F.xxhash64("text")]
-    secret = src.where(F.col("text").rlike(ASSIGN_GUARD) | F.col("text").rlike(ACCESS) | F.col("text").rlike(HEX))
-    token = (secret.orderBy(*low).limit(sample_docs).select(F.explode(base_spans(F.col("text"))).alias("s"))
-             .select(F.lit(1).alias("random"), F.col("s.text").alias("token")))
-    plain = src.orderBy(*low).limit(sample_docs).withColumn("base", base_spans(F.col("text")))
-    plain = plain.select(F.explode(_clear(_runs(F.col("text"), 4), F.col("base"))).alias("s")).select(
-        F.lit(0).alias("random"), F.col("s.text").alias("token"))
+    src = src.where(F.col("ident").isNotNull())
+
+    def lowest(of, random):
+        """Ids alone are ranked and broadcast, so that no task gathers texts."""
+        return of.select("ident").distinct().orderBy(F.xxhash64("ident"), "ident").limit(sample_docs).select(
+            F.col("ident").alias("picked"), F.lit(random).alias("random"))
+
+    secret = F.col("text").rlike(ASSIGN_GUARD) | F.col("text").rlike(ACCESS) | F.col("text").rlike(HEX)
+    picked = staged(lowest(src.where(secret), 1).union(lowest(src, 0)), "secret-sample")
+    sample = src.join(F.broadcast(picked), F.col("ident") == F.col("picked")).withColumn("base", base_spans(F.col("text")))
+    token = sample.where("random = 1").select("random", F.explode("base").alias("s")).select(
+        "random", F.col("s.text").alias("token"))
+    plain = sample.where("random = 0").select("random", F.explode(_clear(_runs(F.col("text"), 4), F.col("base"))).alias("s"))
+    plain = plain.select("random", F.col("s.text").alias("token"))
     seen = token.union(plain).where(F.char_length("token") > 1).select(
         "random", F.explode(_pairs(F.col("token"))).alias("pair")).groupBy("random", "pair").count()
     n = {(r["random"], r["pair"]): r["count"] for r in seen.collect()}
