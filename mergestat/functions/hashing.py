@@ -1,13 +1,13 @@
-"""32-bit hashing and HyperLogLog register coordinates (H1).
+"""Hashing and HyperLogLog register coordinates (H1).
 
-The value is hashed to an unsigned 32-bit integer h.  With m = 2^p
-registers, the low p bits choose the register and the remaining 32-p bits
-give the rank: number of trailing zeros + 1, or 32-p+1 when they are all
-zero.  Everything is integer arithmetic on JVM columns (no strings of bits).
+The value, rendered as a string, is hashed to ``bits(method)`` bits.  With
+m = 2^p registers, the low p bits choose the register and the remaining bits
+give the rank: number of trailing zeros + 1, or their number + 1 when they are
+all zero.  Everything is integer arithmetic on JVM columns (no strings of bits).
 
-``md5`` hashing is portable — any SQL engine can compute the same register
-array, which is what the oracle checks.  ``xxhash64`` is the fast choice
-when portability does not matter.
+``md5`` keeps 32 bits: portable, any SQL engine can compute the same registers,
+but it saturates near 2^32 distinct values.  ``xxhash64`` keeps all 64 and is
+the one for large tables.
 """
 
 from __future__ import annotations
@@ -15,17 +15,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MASK32 = (1 << 32) - 1
+BITS = {"md5": 32, "xxhash64": 64}
 
 
-def hash32(value: Column, method: str = "md5") -> Column:
-    """Unsigned 32-bit hash of ``value`` rendered as a string, as BIGINT."""
+def bits(method: str) -> int:
+    if method not in BITS:
+        raise ValueError(f"unknown hash method {method!r}")
+    return BITS[method]
+
+
+def hash_of(value: Column, method: str = "md5") -> Column:
+    """Hash of ``value`` rendered as a string, in the low ``bits(method)`` bits of a BIGINT."""
     s = value.cast("string")
-    if method == "md5":
+    if bits(method) == 32:
         return F.conv(F.substring(F.md5(s), 1, 8), 16, 10).cast("bigint")
-    if method == "xxhash64":
-        return F.xxhash64(s).bitwiseAND(F.lit(MASK32))
-    raise ValueError(f"unknown hash method {method!r}")
+    return F.xxhash64(s)
 
 
 def register_of(h: Column, p: int) -> Column:
@@ -33,11 +37,11 @@ def register_of(h: Column, p: int) -> Column:
     return h.bitwiseAND(F.lit((1 << p) - 1))
 
 
-def rank_of(h: Column, p: int) -> Column:
-    """Trailing zeros of the upper 32-p bits, plus one (32-p+1 if all zero)."""
-    w = F.shiftright(h, p)
+def rank_of(h: Column, p: int, width: int = 32) -> Column:
+    """Trailing zeros of the upper ``width`` - p bits, plus one."""
+    w = F.shiftrightunsigned(h, p)
     lowest = w.bitwiseAND(-w)
-    return F.when(w == 0, F.lit(32 - p + 1)) \
+    return F.when(w == 0, F.lit(width - p + 1)) \
         .otherwise(F.bit_count(lowest - 1) + 1).cast("int")
 
 

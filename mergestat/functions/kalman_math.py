@@ -18,6 +18,9 @@ filtered in parallel segments (see ``operators.kalman``).
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
+
+import numpy as np
 
 
 @dataclass(frozen=True)
@@ -78,79 +81,58 @@ def step(x, p, z, prm: KalmanParams):
     return (x0 + k0 * y, x1 + k1 * y), p_new
 
 
-class GainTable:
-    """Gains k_t and covariances P_t for t = 1, 2, ... .
+class Gains:
+    """Gains and covariances after step t, for arrays of steps.
 
-    The Riccati recursion is iterated until it reaches a fixed point (or a
-    cycle) in floating point — typically a few dozen steps — so the table is
-    a function of the parameters only and its size does not grow with the
-    data.  Steps past the table's end are read off the cycle exactly; if no
-    repeat was seen within ``limit`` steps, later steps continue the
-    recursion from the last stored entry (exact, only slower).
+    The Riccati recursion ends in a float fixed point or cycle, typically after
+    a few dozen steps; steps past the stored ones are read off the cycle, so the
+    table depends on the parameters and never on the length of a key.  Without
+    process noise it has no fixed point: there the inverse covariance is a sum
+    of powers of t (``_noiseless``) and no table is kept.
     """
 
-    def __init__(self, prm: KalmanParams, limit: int = 100_000):
+    def __init__(self, prm: KalmanParams):
         self.prm = prm
-        gains, covs = [], []
-        seen: dict[tuple, int] = {}
+        p00, p01, p10, p11 = prm.p_init
+        self.closed = prm.sigma == 0 and p00 * p11 - p01 * p10 != 0
+        if self.closed:
+            return
+        gains, covs, seen = [], [], {}
         p = prm.p_init
-        self.repeat_of = None      # covs[-1] == covs[repeat_of]
-        for _ in range(limit):
+        while p not in seen:
+            seen[p] = len(covs)
             k, p = gain_and_update_cov(predict_cov(p, prm), prm)
             gains.append(k)
             covs.append(p)
-            if p in seen:
-                self.repeat_of = seen[p]
-                break
-            seen[p] = len(covs) - 1
-        self.gains = gains
-        self.covs = covs
-
-    def __len__(self):
-        return len(self.gains)
-
-    def extend(self, n: int) -> None:
-        """Continue the recursion until ``n`` steps are stored (only needed
-        when no repeat was seen; exact, linear in the added steps)."""
-        if self.repeat_of is not None:
-            return
-        p = self.covs[-1]
-        while len(self.gains) < n:
-            k, p = gain_and_update_cov(predict_cov(p, self.prm), self.prm)
-            self.gains.append(k)
-            self.covs.append(p)
-
-    def _index(self, i: int) -> int:
-        last = len(self.gains) - 1
-        if i <= last:
-            return i
-        j = self.repeat_of
-        period = last - j
-        return j + 1 + ((i - last - 1) % period)
-
-    def at(self, t: int):
-        """(k, P) of step t (1-based)."""
-        i = t - 1
-        if i < len(self.gains) or self.repeat_of is not None:
-            j = self._index(i)
-            return self.gains[j], self.covs[j]
-        p = self.covs[-1]
-        k = self.gains[-1]
-        for _ in range(i - len(self.gains) + 1):
-            k, p = gain_and_update_cov(predict_cov(p, self.prm), self.prm)
-        return k, p
-
-    def gains_from(self, t0: int, n: int):
-        """Gains of steps t0+1 .. t0+n as two lists (k0s, k1s)."""
-        stored = len(self.gains)
-        if t0 + n <= stored or self.repeat_of is not None:
-            ks = [self.gains[self._index(i)] for i in range(t0, t0 + n)]
-        else:
-            ks = self.gains[t0:stored]
-            i0 = max(t0, stored)
-            # P after step i0 (1-based), then keep recursing.
-            p = self.at(i0)[1]
-            for _ in range(i0, t0 + n):
-                k, p = gain_and_update_cov(predict_cov(p, self.prm), self.prm)
-                ks.append(k)
-        return [k[0] for k in ks], [k[1] for k in ks]
+        # covs[-1] is the state before gains[cycle]
+        self.cycle = seen[p]
+        self.gains, self.covs = np.array(gains), np.array(covs)
+
+    def _noiseless(self, t: np.ndarray) -> np.ndarray:
+        prm, t = self.prm, t.astype(float)
+        p00, p01, p10, p11 = prm.p_init
+        det = p00 * p11 - p01 * p10
+        l00, l01, l10, l11 = p11 / det, -p01 / det, -p10 / det, p00 / det
+        d = prm.dt
+        a = l00 + t / prm.r
+        b = l01 - t * d * l00 - d * t * (t - 1) / 2 / prm.r
+        b2 = l10 - t * d * l00 - d * t * (t - 1) / 2 / prm.r
+        c = l11 - t * d * (l01 + l10) + (t * d) ** 2 * l00 + d * d * (t - 1) * t * (2 * t - 1) / 6 / prm.r
+        det = a * c - b * b2
+        return np.stack([c / det, -b / det, -b2 / det, a / det], axis=-1)
+
+    def at(self, steps) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(k0, k1, covariances) of 1-based ``steps``."""
+        t = np.asarray(steps, np.int64)
+        if self.closed:
+            cov = self._noiseless(t)
+            return cov[..., 0] / self.prm.r, cov[..., 2] / self.prm.r, cov
+        n = len(self.gains)
+        i = np.where(t <= n, t - 1, self.cycle + np.mod(t - 1 - self.cycle, n - self.cycle))
+        g = self.gains[i]
+        return g[..., 0], g[..., 1], self.covs[i]
+
+
+@lru_cache(maxsize=8)
+def gains_of(prm: KalmanParams) -> Gains:
+    return Gains(prm)

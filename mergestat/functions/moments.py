@@ -18,15 +18,6 @@ def moment_state(n: Column, mean: Column, m2: Column) -> Column:
                     m2.cast("double").alias("m2"))
 
 
-def moment_state_of(value: Column) -> list[Column]:
-    """Aggregate expressions producing (n, mean, m2) of ``value`` (nulls ignored)."""
-    return [
-        F.count(value).alias("n"),
-        F.avg(value).alias("mean"),
-        (F.var_pop(value) * F.count(value)).alias("m2"),
-    ]
-
-
 def merge_moments(a: Column, b: Column) -> Column:
     """Chan's pairwise merge of two moment structs.
 
@@ -47,27 +38,3 @@ def merge_moments(a: Column, b: Column) -> Column:
 def variance_of(state: Column) -> Column:
     """Population variance of a state; NULL when n = 0."""
     return F.when(state["n"] > 0, state["m2"] / state["n"])
-
-
-def merge_variances(v1: Column, m1: Column, n1: Column,
-                    v2: Column, m2: Column, n2: Column) -> Column:
-    """The reference's merge written on (variance, mean, count) triples.
-
-    p*v1 + (1-p)*v2 + p*(1-p)*(m1-m2)^2 with p = n1/(n1+n2).
-    """
-    n = (n1 + n2).cast("double")
-    p = n1.cast("double") / n
-    return p * v1 + (1 - p) * v2 + p * (1 - p) * (m1 - m2) * (m1 - m2)
-
-
-# Python form of the same rule, for unit tests and stateful processors.
-def merge_moments_py(a: tuple[int, float, float], b: tuple[int, float, float]):
-    na, ma, qa = a
-    nb, mb, qb = b
-    if na == 0:
-        return b
-    if nb == 0:
-        return a
-    n = na + nb
-    d = mb - ma
-    return n, ma + d * nb / n, qa + qb + d * d * na * nb / n

@@ -8,9 +8,9 @@ is spread over m groups rather than one.  The estimate is a second, tiny
 aggregation over at most m rows per key.
 
 Estimator (Flajolet et al. 2007): raw E = alpha_m * m^2 / sum(2^-M[j]); if
-E <= 5m/2 and V registers are empty, use linear counting m*ln(m/V); if
-E > 2^32/30 apply the large-range correction -2^32 * ln(1 - E/2^32).  Real
-division throughout.
+E <= 5m/2 and V registers are empty, use linear counting m*ln(m/V); with a
+32-bit hash, if E > 2^32/30, apply the large-range correction
+-2^32 * ln(1 - E/2^32).  Real division throughout.
 """
 
 from __future__ import annotations
@@ -20,10 +20,12 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mergestat.functions.hashing import alpha, hash32, rank_of, register_of
+from mergestat.functions.hashing import alpha, bits, hash_of, rank_of, register_of
 from mergestat.sources.tables import key_names
 
 TWO32 = float(2 ** 32)
+#: The largest double below 2^63.
+LARGEST = float(2 ** 63 - 1024)
 
 
 def _log2(m: int) -> int:
@@ -33,42 +35,62 @@ def _log2(m: int) -> int:
     return p
 
 
+def _coordinates(value: Column, p: int, method: str) -> tuple[Column, Column]:
+    h = hash_of(value, method)
+    return register_of(h, p), rank_of(h, p, bits(method))
+
+
+def corrected(raw: Column, empty: Column, m: int, method: str = "md5") -> Column:
+    """H4: the estimate from the raw one and the number of empty registers.
+
+    Linear counting in the low range.  A 32-bit hash also needs the correction
+    for collisions near 2^32; where all its registers are full to the last bit it
+    stays at its largest value.  64 bits need none.
+    """
+    est = F.when((raw <= 2.5 * m) & (empty > 0), F.lit(float(m)) * F.log(F.lit(float(m)) / empty))
+    if bits(method) == 64:
+        return est.otherwise(raw)
+    full = F.least(raw, F.lit(TWO32 - 1))
+    return est.when(raw <= TWO32 / 30, raw).otherwise(-TWO32 * F.log(1 - full / TWO32))
+
+
 def hll_registers(df: DataFrame, keys, value: str | Column, m: int = 64,
                   method: str = "md5") -> DataFrame:
     """H1+H2: (key..., register, rank) for every non-empty register, plus
-    ``n`` rows seen in that register."""
-    p = _log2(m)
+    ``n`` rows seen in that register.  Also a streaming aggregation: state is
+    held per key and register, whatever m is."""
     v = F.col(value) if isinstance(value, str) else value
-    h = hash32(v, method)
+    reg, rank = _coordinates(v, _log2(m), method)
     ks = key_names(keys)
     return (df.where(v.isNotNull())
-              .select(*ks, register_of(h, p).alias("register"), rank_of(h, p).alias("rank"))
+              .select(*ks, reg.alias("register"), rank.alias("rank"))
               .groupBy(*ks, "register")
               .agg(F.max("rank").cast("bigint").alias("rank"), F.count("*").alias("n")))
 
 
-def hll_estimate(registers: DataFrame, keys, m: int = 64) -> DataFrame:
+def _estimated(sums: DataFrame, ks: list[str], m: int, method: str, *more: str) -> DataFrame:
+    """H3+H4 from (key..., n, z, empty_registers)."""
+    est = sums.withColumn("raw_estimate", F.lit(alpha(m) * m * m) / F.col("z"))
+    est = est.withColumn("estimate", corrected(F.col("raw_estimate"), F.col("empty_registers"), m, method))
+    return est.select(*ks, *more, "n", "empty_registers", "raw_estimate", "estimate",
+                      F.least(F.round("estimate"), F.lit(LARGEST)).cast("bigint").alias("estimate_rounded"))
+
+
+def _sums(m: int) -> list[Column]:
+    return [F.sum("n").alias("n"),
+            (F.sum(F.pow(F.lit(2.0), -F.col("rank"))) + (F.lit(m) - F.count("*"))).alias("z"),
+            (F.lit(m) - F.count("*")).cast("bigint").alias("empty_registers")]
+
+
+def hll_estimate(registers: DataFrame, keys, m: int = 64, method: str = "md5") -> DataFrame:
     """H3+H4: raw estimate, empty registers and the corrected estimate."""
     ks = key_names(keys)
-    a = alpha(m)
-    agg = registers.groupBy(*ks).agg(
-        F.sum("n").alias("n"),
-        (F.sum(F.pow(F.lit(2.0), -F.col("rank"))) + (F.lit(m) - F.count("*"))).alias("z"),
-        (F.lit(m) - F.count("*")).cast("bigint").alias("empty_registers"))
-    raw = F.lit(a * m * m) / F.col("z")
-    est = (F.when((F.col("raw_estimate") <= 2.5 * m) & (F.col("empty_registers") > 0),
-                  F.lit(float(m)) * F.log(F.lit(float(m)) / F.col("empty_registers")))
-             .when(F.col("raw_estimate") <= TWO32 / 30, F.col("raw_estimate"))
-             .otherwise(-TWO32 * F.log(1 - F.col("raw_estimate") / TWO32)))
-    return (agg.withColumn("raw_estimate", raw)
-               .withColumn("estimate", est)
-               .select(*ks, "n", "empty_registers", "raw_estimate", "estimate",
-                       F.round("estimate").cast("bigint").alias("estimate_rounded")))
+    return _estimated(registers.groupBy(*ks).agg(*_sums(m)), ks, m, method)
 
 
 def hll_distinct(df: DataFrame, keys, value, m: int = 64, method: str = "md5") -> DataFrame:
     """Registers then estimate in one call."""
-    return hll_estimate(hll_registers(df, keys, value, m, method), keys, m)
+    return hll_estimate(hll_registers(df, keys, value, m, method), keys, m, method)
 
 
 def hll_error_report(df: DataFrame, keys, value: str, m: int = 64,
@@ -76,47 +98,50 @@ def hll_error_report(df: DataFrame, keys, value: str, m: int = 64,
     """H5: estimate next to the exact distinct count and the relative error
     (against distinct values, not rows seen).
 
-    The exact count is itself a two-level aggregation — distinct (key,
-    value) pairs first, then a count per key — so no key's values are ever
-    gathered in one place.
+    One scan: the distinct (key, value) pairs with their row counts give the
+    exact count, the rows and the registers, so no join is needed (a NULL key is
+    a row like any other) and no key's values are ever gathered in one place.
     """
     ks = key_names(keys)
-    est = hll_distinct(df, keys, value, m, method)
-    exact = (df.where(F.col(value).isNotNull()).select(*ks, value).distinct()
-               .groupBy(*ks).agg(F.count("*").alias("exact")))
-    return (est.join(exact, on=ks, how="inner")
-               .select(*ks, "n", "exact", "estimate",
-                       ((F.col("estimate") - F.col("exact")) / F.col("exact")).alias("rel_error")))
+    reg, rank = _coordinates(F.col(value), _log2(m), method)
+    pairs = df.where(F.col(value).isNotNull()).groupBy(*ks, value).agg(F.count("*").alias("n"))
+    registers = pairs.groupBy(*ks, reg.alias("register")).agg(
+        F.max(rank).cast("bigint").alias("rank"), F.sum("n").alias("n"), F.count("*").alias("exact"))
+    sums = registers.groupBy(*ks).agg(*_sums(m), F.sum("exact").alias("exact"))
+    return _estimated(sums, ks, m, method, "exact").select(
+        *ks, "n", "exact", "estimate",
+        ((F.col("estimate") - F.col("exact")) / F.col("exact")).alias("rel_error"))
+
+
+#: Registers up to which a stream may hold them side by side in one row.
+WIDE = 64
 
 
 def hll_registers_wide(df: DataFrame, keys, value: str | Column, m: int = 64,
                        method: str = "md5") -> DataFrame:
     """H2 in one aggregation: per key, the full register array.
 
-    Needed on streams, where a second stateful aggregation cannot follow the
-    first; m conditional maxima in one hash aggregate.
+    For streams, where a second stateful aggregation cannot follow the first;
+    m conditional maxima in one hash aggregate, so m is at most ``WIDE``.
+    Beyond it stream ``hll_registers`` and estimate from what the sink holds.
     """
-    p = _log2(m)
+    if m > WIDE:
+        raise ValueError(f"more than {WIDE} registers: stream hll_registers instead")
     v = F.col(value) if isinstance(value, str) else value
-    h = hash32(v, method)
+    reg, rank = _coordinates(v, _log2(m), method)
     ks = key_names(keys)
-    reg, rk = register_of(h, p), rank_of(h, p)
-    base = df.where(v.isNotNull()).select(*ks, reg.alias("_r"), rk.alias("_k"))
+    base = df.where(v.isNotNull()).select(*ks, reg.alias("_r"), rank.alias("_k"))
     return base.groupBy(*ks).agg(
         F.count("*").alias("n"),
         F.array(*[F.coalesce(F.max(F.when(F.col("_r") == i, F.col("_k"))), F.lit(0))
                   for i in range(m)]).alias("registers"))
 
 
-def estimate_from_array(registers: Column, m: int = 64) -> Column:
+def estimate_from_array(registers: Column, m: int = 64, method: str = "md5") -> Column:
     """H3+H4 on a register array (finish step of the wide/streaming form)."""
-    a = alpha(m)
     z = F.aggregate(registers, F.lit(0.0), lambda acc, r: acc + F.pow(F.lit(2.0), -r))
     zeros = F.size(F.filter(registers, lambda r: r == 0))
-    raw = F.lit(a * m * m) / z
-    return (F.when((raw <= 2.5 * m) & (zeros > 0), F.lit(float(m)) * F.log(F.lit(float(m)) / zeros))
-             .when(raw <= TWO32 / 30, raw)
-             .otherwise(-TWO32 * F.log(1 - raw / TWO32)))
+    return corrected(F.lit(alpha(m) * m * m) / z, zeros, m, method)
 
 
 def distinct_sketch(df: DataFrame, keys, value: str, rsd: float = 0.05,
@@ -148,3 +173,36 @@ def union_sketches(partials: DataFrame, keys) -> DataFrame:
     return partials.groupBy(*ks).agg(
         F.sum("n").alias("n"),
         F.hll_sketch_estimate(F.hll_union_agg("sketch", False)).alias("sketch_estimate"))
+
+
+#: A sketch estimate is in bounds within so many standard errors.
+SIGMAS = 5
+
+
+def _exact(df: DataFrame, ks: list[str], value: str) -> DataFrame:
+    """(key..., n, exact): rows and distinct values, both non-null, in two levels."""
+    pairs = df.groupBy(*ks, value).agg(F.count(value).alias("n"))
+    return pairs.groupBy(*ks).agg(F.sum("n").alias("n"), F.count(value).alias("exact"))
+
+
+def _in_bounds(estimate: Column, error: float) -> Column:
+    return F.abs(estimate - F.col("exact")) <= F.greatest(SIGMAS * error * F.col("exact"), F.lit(1.0))
+
+
+def sketch_report(df: DataFrame, keys, value: str, rsd: float = 0.05, lg_k: int = 12) -> DataFrame:
+    """H6 checked: exact count and whether each library sketch is in bounds."""
+    ks = key_names(keys)
+    exact = _exact(df, ks, value).withColumnsRenamed({k: f"_{k}" for k in ks})
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in ks]
+    both = distinct_sketch(df, ks, value, rsd, lg_k).join(exact, same)
+    return both.select(*ks, "n", "exact", _in_bounds(F.col("approx_distinct"), rsd).alias("approx_in_bounds"),
+                       _in_bounds(F.col("sketch_estimate"), 1.04 / 2 ** (lg_k / 2)).alias("sketch_in_bounds"))
+
+
+def merged_sketch_report(df: DataFrame, partials: DataFrame, keys, value: str, lg_k: int = 12) -> DataFrame:
+    """H6 merge checked: the union of per-batch sketches against the exact count."""
+    ks = key_names(keys)
+    exact = _exact(df, ks, value).withColumnsRenamed({k: f"_{k}" for k in ks}).withColumnRenamed("n", "_n")
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in ks]
+    both = union_sketches(partials, ks).join(exact, same)
+    return both.select(*ks, "n", "exact", _in_bounds(F.col("sketch_estimate"), 1.04 / 2 ** (lg_k / 2)).alias("sketch_in_bounds"))

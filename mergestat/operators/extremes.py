@@ -17,6 +17,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mergestat.sources.tables import key_names
 
@@ -52,16 +53,29 @@ def j_smallest(df: DataFrame, keys, value: str, j: int = 3,
 
 def extremes(df: DataFrame, keys, value: str, k: int = 4, j: int = 3,
              tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Both lists in one long table: (key..., side, rank, value)."""
-    big = k_largest(df, keys, value, k, tiebreak).withColumn("side", F.lit("largest"))
-    small = j_smallest(df, keys, value, j, tiebreak).withColumn("side", F.lit("smallest"))
-    cols = [*key_names(keys), "side", "rank", value]
-    return big.select(*cols).unionByName(small.select(*cols))
+    """Both lists in one long table: (key..., side, rank, value).
+
+    One scan, one sort and one shuffle: every row stands once for either side,
+    under its value or its negative, and the larger of the two limits applies
+    before the shuffle.
+    """
+    ks = key_names(keys)
+    v = F.col(value)
+    if isinstance(df.schema[value].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        v = v.cast("decimal(20,0)")             # the smallest integer has no negative
+    sides = F.explode(F.array(F.struct(F.lit("largest").alias("side"), (-v).alias("by")),
+                              F.struct(F.lit("smallest").alias("side"), v.alias("by"))))
+    both = _clean(df.select(*ks, value, *tiebreak), value).select("*", sides.alias("_s")).select("*", "_s.side", "_s.by")
+    w = Window.partitionBy(*ks, "side").orderBy("by", *[F.col(c).asc() for c in tiebreak])
+    limit = F.when(F.col("side") == "largest", k).otherwise(j)
+    return (both.withColumn("rank", F.row_number().over(w))
+                .where(F.col("rank") <= max(k, j)).where(F.col("rank") <= limit)
+                .select(*ks, "side", F.col("rank").cast("bigint").alias("rank"), value))
 
 
 def extremes_arrays(df: DataFrame, keys, value: str, k: int = 4, j: int = 3,
                     tiebreak: Sequence[str] = ()) -> DataFrame:
-    """The reference's state shape: per key, ``largest`` (descending, <= k)
+    """The state as arrays: per key, ``largest`` (descending, <= k)
     and ``smallest`` (ascending, <= j) arrays.  Built from the limited long
     form, so each collected list holds at most k or j values."""
     ks = key_names(keys)

@@ -12,18 +12,20 @@ so far — quiet keys repeat their last state.  In batch form:
    window partitions hold one row per batch, so a hot key costs its number
    of batches, not its number of rows.
 
-Batches are calendar days (``batch`` is a DATE column) or consecutive
-integers; a day without data is a trigger that brought nothing, so state
-repeats.
+Batches are dates (``batch`` is a DATE column, snapped to ``step``) or
+consecutive integers; a day without data is a trigger that brought nothing, so
+state repeats.  Rows whose batch is NULL come before the first batch.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType
+from pyspark.sql import types as T
 
 from mergestat.functions.binning import median_from_counts
+from mergestat.operators.distinct import _estimated, hll_registers
+from mergestat.operators.extremes import extremes
 from mergestat.operators.histogram import Bins
 from mergestat.sources.tables import key_names
 
@@ -32,39 +34,61 @@ def _v(value) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def _dense(partials: DataFrame, keys, batch: str = "batch", step: str | None = None) -> DataFrame:
+def _snapped(batch: Column, step: str) -> Column:
+    """The first day of the step that a date falls in; steps are counted from
+    Monday 1970-01-05, steps of months or years from 1970-01-01."""
+    n, unit = step.split()
+    n, unit = int(n), unit.rstrip("s").lower()
+    if unit in ("month", "year"):
+        n *= 12 if unit == "year" else 1
+        months = (F.year(batch) - 1970) * 12 + F.month(batch) - 1
+        return F.add_months(F.lit("1970-01-01").cast("date"), (F.floor(months / n) * n).cast("int"))
+    if unit not in ("day", "week"):
+        raise ValueError(f"step {step!r}: use days, weeks, months or years")
+    n *= 7 if unit == "week" else 1
+    monday = F.lit("1970-01-05").cast("date")
+    return F.date_add(monday, (F.floor(F.datediff(batch, monday) / n) * n).cast("int"))
+
+
+def _batch(df: DataFrame, batch: str | Column, step: str) -> Column:
+    """The batch column, checked and snapped to the step."""
+    b = F.col(batch) if isinstance(batch, str) else batch
+    kind = df.select(b.alias("b")).schema["b"].dataType
+    if isinstance(kind, T.DateType):
+        return _snapped(b, step).alias("batch")
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return b.alias("batch")
+    raise TypeError(f"batches are dates or integers, not {kind.simpleString()}; convert with to_date")
+
+
+def _dense(partials: DataFrame, keys, batch: str = "batch", step: str = "1 day",
+           repeat: bool = False) -> DataFrame:
     """Partials with every quiet batch filled in, per key.
 
     Each partial row stands for its own batch and the quiet batches up to
-    the key's next partial (``lead``), or up to the table's last batch; a
-    ``sequence`` + ``posexplode`` emits them, the first one carrying the
-    partial's values and the rest NULLs.  One window over the partial table
-    (one row per key and batch), no join and no second scan; the running
-    windows that follow reuse its partitioning.  DATE batches advance by
-    ``step`` (e.g. "1 day", "7 days", "1 month"; batch values aligned to
-    it), integer batches by one.
+    the key's next partial (``lead``), or up to the table's last batch; the
+    first one carries the partial's values and the rest NULLs (with ``repeat``
+    the values too).  One window over the partial table (one row per key and
+    batch), no join and no second scan; the running windows that follow reuse
+    its partitioning.  DATE batches advance by ``step``, integer batches by one.
+
+    Rows without a batch come before the first batch of the table: their state
+    is a row of batch NULL, and the key goes on from the first batch.
     """
     ks = key_names(keys)
-    step = step or "1 day"
-    last = partials.select(F.max(batch)).scalar()
-    if isinstance(partials.schema[batch].dataType, DateType):
-        inc = F.expr(f"INTERVAL {step}")
-        before = F.lead(batch).over(Window.partitionBy(*ks).orderBy(batch)) - inc
-    else:
-        inc = F.lit(1)
-        before = F.lead(batch).over(Window.partitionBy(*ks).orderBy(batch)) - 1
+    first, last = partials.select(F.min(batch), F.max(batch)).first()
+    kind = partials.schema[batch].dataType
+    first, last = F.lit(first).cast(kind), F.lit(last).cast(kind)
+    inc = F.expr(f"INTERVAL {step}") if isinstance(kind, T.DateType) else F.lit(1).cast(kind)
+    upto = F.coalesce(F.lead(batch).over(Window.partitionBy(*ks).orderBy(batch)) - inc, last).cast(kind)
+    own = F.array(F.col(batch))
+    begin = F.coalesce(F.col(batch), first)
+    quiet = F.when(F.col("_end") >= begin, F.sequence(begin, F.col("_end"), inc))
+    batches = F.when(F.col(batch).isNull(), F.concat(own, F.coalesce(quiet, F.array().cast(T.ArrayType(kind))))).otherwise(quiet)
     stats = [c for c in partials.columns if c not in (*ks, batch)]
-    spans = partials.withColumn("_end", F.coalesce(before, last))
-    rows = spans.select(*ks, *stats, F.posexplode(F.sequence(F.col(batch), F.col("_end"), inc))
-                        .alias("_pos", "_b"))
+    rows = partials.withColumn("_end", upto).select(*ks, *stats, F.posexplode(batches).alias("_pos", "_b"))
     return rows.select(*ks, F.col("_b").alias(batch),
-                       *[F.when(F.col("_pos") == 0, F.col(c)).alias(c) for c in stats])
-
-
-def batch_grid(partials: DataFrame, keys, batch: str = "batch",
-               step: str = "1 day") -> DataFrame:
-    """(key..., batch) for every batch from the key's first to the last one."""
-    return _dense(partials, keys, batch, step).select(*key_names(keys), batch)
+                       *[F.col(c) if repeat else F.when(F.col("_pos") == 0, F.col(c)).alias(c) for c in stats])
 
 
 def _running(keys, batch: str = "batch") -> Window:
@@ -72,10 +96,9 @@ def _running(keys, batch: str = "batch") -> Window:
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
 
-def _partials(df: DataFrame, keys, value, batch) -> DataFrame:
+def _partials(df: DataFrame, keys, value, batch, step: str) -> DataFrame:
     v = _v(value)
-    b = F.col(batch) if isinstance(batch, str) else batch
-    return (df.groupBy(*key_names(keys), b.alias("batch"))
+    return (df.groupBy(*key_names(keys), _batch(df, batch, step))
               .agg(F.count(v).alias("pn"), F.sum(v).alias("ps"),
                    F.avg(v).alias("pmean"), (F.var_pop(v) * F.count(v)).alias("pm2")))
 
@@ -83,7 +106,7 @@ def _partials(df: DataFrame, keys, value, batch) -> DataFrame:
 def history_sum(df: DataFrame, keys, value, batch, step: str = "1 day") -> DataFrame:
     """Running count and sum per key after every batch."""
     ks = key_names(keys)
-    d = _dense(_partials(df, keys, value, batch), keys, step=step)
+    d = _dense(_partials(df, keys, value, batch, step), keys, step=step)
     w = _running(keys)
     return d.select(*ks, "batch",
                     F.sum(F.coalesce("pn", F.lit(0))).over(w).alias("n"),
@@ -93,7 +116,7 @@ def history_sum(df: DataFrame, keys, value, batch, step: str = "1 day") -> DataF
 def history_mean(df: DataFrame, keys, value, batch, step: str = "1 day") -> DataFrame:
     """Running count and mean per key after every batch."""
     ks = key_names(keys)
-    d = _dense(_partials(df, keys, value, batch), keys, step=step)
+    d = _dense(_partials(df, keys, value, batch, step), keys, step=step)
     w = _running(keys)
     n = F.sum(F.coalesce("pn", F.lit(0))).over(w)
     return d.select(*ks, "batch", n.alias("n"),
@@ -101,7 +124,8 @@ def history_mean(df: DataFrame, keys, value, batch, step: str = "1 day") -> Data
 
 
 def history_variance(df: DataFrame, keys, value, batch, step: str = "1 day") -> DataFrame:
-    """Running count, mean and population variance per key after every batch.
+    """Running count, mean and population variance per key after every batch,
+    next to the variance from sums of squares (A5, for comparison only).
 
     Partials (n_i, mean_i, m2_i) are pooled with the k-way Chan rule written
     as running sums around a per-key shift c (the key's overall mean):
@@ -109,7 +133,7 @@ def history_variance(df: DataFrame, keys, value, batch, step: str = "1 day") ->
     the running mean.  Shifting keeps the subtraction well conditioned.
     """
     ks = key_names(keys)
-    d = _dense(_partials(df, keys, value, batch), keys, step=step)
+    d = _dense(_partials(df, keys, value, batch, step), keys, step=step)
     whole = Window.partitionBy(*ks)
     d = d.withColumn("_c", F.sum(F.col("pn") * F.col("pmean")).over(whole)
                      / F.sum("pn").over(whole))
@@ -120,14 +144,16 @@ def history_variance(df: DataFrame, keys, value, batch, step: str = "1 day") ->
     s1 = F.sum(F.when(pn > 0, pn * dev).otherwise(0.0)).over(w)
     s2 = F.sum(F.when(pn > 0, F.col("pm2") + pn * dev * dev).otherwise(0.0)).over(w)
     total = F.sum("ps").over(w)
+    squares = F.sum(F.when(pn > 0, F.col("pm2") + pn * F.col("pmean") * F.col("pmean")).otherwise(0.0)).over(w)
     out = d.select(*ks, "batch", n.alias("n"), s1.alias("_s1"), s2.alias("_s2"), "_c",
-                   total.alias("_t"))
+                   total.alias("_t"), squares.alias("_q"))
     mean = F.col("_t") / F.col("n")
     var = F.greatest(F.lit(0.0), (F.col("_s2") - F.col("_s1") * F.col("_s1") / F.col("n")) / F.col("n"))
     return out.select(*ks, "batch", "n",
                       F.when(F.col("n") > 0, mean).alias("mean"),
                       F.when(F.col("n") > 0, var).alias("variance"),
-                      F.when(F.col("n") > 0, F.sqrt(var)).alias("stddev"))
+                      F.when(F.col("n") > 0, F.sqrt(var)).alias("stddev"),
+                      F.when(F.col("n") > 0, F.col("_q") / F.col("n") - mean * mean).alias("variance_sum_squares"))
 
 
 def history_histogram_median(df: DataFrame, keys, value, batch, bins: Bins,
@@ -139,9 +165,8 @@ def history_histogram_median(df: DataFrame, keys, value, batch, bins: Bins,
     """
     ks = key_names(keys)
     v = _v(value)
-    b = F.col(batch) if isinstance(batch, str) else batch
     s = F.col("_s")
-    parts = (df.select(*ks, b.alias("batch"), bins.slot(v).alias("_s"))
+    parts = (df.select(*ks, _batch(df, batch, step), bins.slot(v).alias("_s"))
                .groupBy(*ks, "batch")
                .agg(*[F.count_if(s == i).alias(f"_c{i}") for i in range(bins.nslots)]))
     d = _dense(parts, keys, step=step)
@@ -154,3 +179,71 @@ def history_histogram_median(df: DataFrame, keys, value, batch, bins: Bins,
         *ks, "batch",
         F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, y: a + y).alias("n"),
         median_from_counts(F.col("counts"), bins.edges).alias("median_estimate"))
+
+
+def history_extremes(df: DataFrame, keys, value: str, batch, k: int = 4, j: int = 3,
+                     step: str = "1 day") -> DataFrame:
+    """The k largest and j smallest values of every key after every batch:
+    (key..., batch, side, rank, value).
+
+    Per (key, batch) the lists are cut before the shuffle, so what is folded
+    along a key is k + j values per batch, never its rows.
+    """
+    ks = key_names(keys)
+    rows = df.select(*ks, _batch(df, batch, step), F.col(value).cast("double").alias("_v"))
+    long = extremes(rows, [*ks, "batch"], "_v", k, j)
+
+    def values(side):
+        return F.collect_list(F.when(F.col("side") == side, F.col("_v"))).alias(side)
+    # a batch without usable values still starts its key
+    seen = rows.select(*ks, "batch").distinct()
+    parts = long.select(*ks, "batch", "side", "_v").unionByName(
+        seen.withColumn("side", F.lit(None).cast("string")).withColumn("_v", F.lit(None).cast("double")))
+    parts = parts.groupBy(*ks, "batch").agg(values("largest"), values("smallest"))
+    one = F.struct("batch", "largest", "smallest")
+
+    def fold(state, p):
+        now = F.struct(p["batch"].alias("batch"),
+                       F.slice(F.sort_array(F.concat(state["largest"], p["largest"]), asc=False), 1, k).alias("largest"),
+                       F.slice(F.sort_array(F.concat(state["smallest"], p["smallest"])), 1, j).alias("smallest"))
+        return F.struct(F.concat(state["out"], F.array(now)).alias("out"), now["largest"].alias("largest"),
+                        now["smallest"].alias("smallest"))
+    none = F.array().cast("array<double>")
+    start = F.struct(F.filter(F.array(F.element_at("all", 1)), lambda _: F.lit(False)).alias("out"),
+                     none.alias("largest"), none.alias("smallest"))
+    states = (parts.groupBy(*ks).agg(F.sort_array(F.collect_list(one)).alias("all"))
+              .select(*ks, F.explode(F.aggregate("all", start, fold)["out"]).alias("s")).select(*ks, "s.*"))
+    dense = _dense(states, keys, step=step, repeat=True)
+    return dense.select(*ks, "batch", F.explode(F.concat(*[
+        F.transform(side, lambda v, i: F.struct(F.lit(side).alias("side"), (i + 1).cast("bigint").alias("rank"), v.alias("value")))
+        for side in ("largest", "smallest")])).alias("e")).select(*ks, "batch", "e.side", "e.rank", F.col("e.value").alias(value))
+
+
+def history_hll(df: DataFrame, keys, value: str, batch, m: int = 64, method: str = "md5",
+                step: str = "1 day") -> DataFrame:
+    """Distinct count of every key after every batch: rows seen, empty registers
+    and the estimates.
+
+    Registers are merged by a running maximum per (key, register); what each
+    batch changes in the sum of 2^-rank and in the number of empty registers
+    runs along the key, so no register array is built per batch.
+    """
+    ks = key_names(keys)
+    b = _batch(df, batch, step)
+    rows = df.select(*ks, b, F.col(value).alias("_v"))
+    reg = hll_registers(rows, [*ks, "batch"], "_v", m, method)
+    before = Window.partitionBy(*ks, "register").orderBy("batch").rowsBetween(Window.unboundedPreceding, -1)
+    was = F.max("rank").over(before)
+    reg = reg.withColumn("_was", was).select(
+        *ks, "batch", "n", F.when(F.col("_was").isNull(), 1).otherwise(0).alias("new"),
+        (F.pow(F.lit(2.0), -F.greatest("rank", F.coalesce("_was", F.lit(0))))
+         - F.pow(F.lit(2.0), -F.coalesce("_was", F.lit(0)))).alias("dz"))
+    seen = rows.select(*ks, "batch").distinct().select(
+        *ks, "batch", F.lit(0).cast("bigint").alias("n"), F.lit(0).alias("new"), F.lit(0.0).alias("dz"))
+    parts = reg.unionByName(seen).groupBy(*ks, "batch").agg(
+        F.sum("n").alias("n"), F.sum("new").alias("new"), F.sum("dz").alias("dz"))
+    d, w = _dense(parts, keys, step=step), _running(keys)
+    sums = d.select(*ks, "batch", F.sum(F.coalesce("n", F.lit(0))).over(w).cast("bigint").alias("n"),
+                    (F.lit(m) + F.sum(F.coalesce("dz", F.lit(0.0))).over(w)).alias("z"),
+                    (F.lit(m) - F.sum(F.coalesce("new", F.lit(0))).over(w)).cast("bigint").alias("empty_registers"))
+    return _estimated(sums, [*ks, "batch"], m, method)

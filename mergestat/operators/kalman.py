@@ -1,35 +1,29 @@
 """Per-key two-state Kalman filter over ordered observations (K1-K5).
 
-The filter is a sequential recursion per key, but its gains do not depend on
-the observations (``functions.kalman_math``), so each step is an affine map
-x -> A_t x + c_t + k_t z_t of the estimate.  A trajectory can therefore be
-cut into segments, each segment reduced to one composed affine map in
-parallel, the maps chained per key, and the segments re-run from their
-correct incoming estimates.  This is what lets one key with a third of all
-rows spread over many tasks:
-
-1. ``repartitionByRange(key, order)`` + ``sortWithinPartitions``: range
-   bounds come from sampling the full sort key, so a hot key's rows are cut
-   into many partitions; each partition holds contiguous runs of keys in
-   order.  The staged table is checkpointed into the shared checkpoint folder
-   (reliable, survives executor loss, keeps partitioning and order).
-2. Segment pass (``mapInPandas``): each partition reports only its first and
-   last key run — the only runs that can cross a partition boundary — with
-   step counts and composed affine maps.  The first run's map depends on
-   the steps t0 of its key in earlier partitions only through the first S
-   gains (the gains reach a fixed point after S steps), so S+1 variant maps
-   cover every t0: one shared tail, short heads.
-3. Offsets and chain: a range window over partition ids gives each segment
-   its t0 and picks its variant; the maps of each key are applied in
-   partition order (grouped pandas over at most S+2 rows per partition),
-   giving every segment its incoming estimate.
-4. Filter pass: each partition re-runs its rows from those incoming
-   estimates.
-
-Both passes are narrow (no shuffle) over the checkpointed table; the segment
-table is bounded by (S+2) x partitions and is the only broadcast.  If the
-gain recursion ends in a cycle instead of a fixed point, counts and maps are
-taken in two separate passes (exact, one scan more).
+The filter is a sequential recursion per key, but its gains depend on the step
+number only (``functions.kalman_math``), so each step is an affine map
+x -> A_t x + c_t + k_t z_t of the estimate.  A trajectory can be cut into
+segments, each segment reduced to one composed map in parallel, the maps chained
+per key, and the segments run from their correct incoming estimates.  So one key
+with a third of all rows spreads over many tasks:
+
+1. Rows are range-partitioned and sorted by (key, order); bounds are sampled from
+   the whole sort key, so a hot key is cut too.  The result is checkpointed in the
+   shared folder, so that all passes see the same partitions even after an
+   executor is lost; Spark's cleaner removes it with the query
+   (``spark.cleaner.referenceTracking.cleanCheckpoints``, set by ``get_session``).
+2. ``_counts``: each partition reports the steps of its first and last key run,
+   the only runs that cross a boundary.  A window per key over partitions gives
+   every run the number of steps before it.
+3. ``_maps``: with that number known, the composed map of those two runs.
+4. ``_chain``: per key the maps applied in partition order give each partition's
+   first run its incoming estimate (one row per partition, the only broadcast).
+5. ``_filter``: each partition runs its rows from there.
+
+Rows stay in Arrow: keys are compared null-safe and typed, other columns are
+passed through untouched.  Inside a batch the recursion runs in numpy over blocks
+of all runs at once (``_scan``).  Rows of equal order within a key have no defined
+order; a key all of whose rows tie cannot be cut.
 """
 
 from __future__ import annotations
@@ -38,396 +32,289 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mergestat.functions.kalman_math import GainTable, KalmanParams
+from mergestat.functions.kalman_math import KalmanParams, gains_of
 from mergestat.sources.tables import key_names
 
 DEFAULT = KalmanParams()
+BLOCK = 64
+MAP = ("m00", "m01", "m10", "m11", "v0", "v1")
+COV = ("p00", "p01", "p10", "p11")
+
+
+# ---------------------------------------------------------------- runs
+
+def run_starts(keys: list[pa.Array], before: list[pa.Array] | None) -> np.ndarray:
+    """Where a new key begins in a sorted batch; ``before`` is the row ahead of it."""
+    n = len(keys[0])
+    new = np.zeros(n, bool)
+    new[0] = before is None
+    for k, c in enumerate(keys):
+        c = pa.concat_arrays([before[k], c]) if before is not None else c
+        a, b = c[1:], c[:-1]
+        same = pc.or_(pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b)))
+        if pa.types.is_floating(c.type):
+            same = pc.or_(same, pc.fill_null(pc.and_(pc.is_nan(a), pc.is_nan(b)), False))
+        new[n - len(a):] |= ~same.to_numpy(zero_copy_only=False)
+    return new
+
+
+class _Runs:
+    """The key runs of a partition, batch by batch.
+
+    After ``read``: ``z`` and ``obs`` (observation rows), ``t`` (step of each),
+    ``start`` (first observation of a run), ``of`` (run of each within the
+    batch), and per run the state known at its start, ``t0`` and ``x``.
+    """
 
-
-# ---------------------------------------------------------------- helpers
-
-def _run_starts(pdf: pd.DataFrame, ks: list[str], prev_key) -> tuple[np.ndarray, list]:
-    """Start offsets of consecutive key runs in a sorted batch, and the key of
-    each run.  A run continuing ``prev_key`` from the previous batch does not
-    start at 0."""
-    n = len(pdf)
-    new = np.zeros(n, dtype=bool)
-    cols = [pdf[k].to_numpy(dtype=object) for k in ks]
-    for c in cols:
-        if n > 1:
-            a, b = c[1:], c[:-1]
-            eq = (a == b) | (pd.isna(a) & pd.isna(b))
-            new[1:] |= ~eq.astype(bool)
-    first_key = tuple(c[0] for c in cols)
-    new[0] = prev_key is None or not _same(first_key, prev_key)
-    starts = np.flatnonzero(new)
-    keys = [tuple(c[s] for c in cols) for s in starts]
-    return starts, keys, first_key
-
-
-def _same(a: tuple, b: tuple) -> bool:
-    return all((x == y) or (pd.isna(x) and pd.isna(y)) for x, y in zip(a, b))
-
-
-def _runs(pdf: pd.DataFrame, ks: list[str], prev_key):
-    """Yield (start, stop, key, continues_previous) for each run of a batch."""
-    n = len(pdf)
-    starts, keys, first_key = _run_starts(pdf, ks, prev_key)
-    bounds = list(starts) + [n]
-    if len(starts) == 0 or starts[0] != 0:
-        # first rows continue the previous batch's run
-        yield 0, bounds[0] if len(starts) else n, first_key, True
-    for i, s in enumerate(starts):
-        yield s, bounds[i + 1], keys[i], False
-
-
-class _Gains:
-    """Gains and covariances of a ``GainTable`` as arrays, indexed by step.
-
-    Steps past the stored table are read off its cycle; if the recursion
-    showed no repeat, the table is extended on demand (exact)."""
-
-    def __init__(self, table: GainTable):
-        self.table = table
-        self._load()
-
-    def _load(self):
-        t = self.table
-        self.g0 = np.array([g[0] for g in t.gains])
-        self.g1 = np.array([g[1] for g in t.gains])
-        self.covs = np.array(t.covs)
-
-    def index(self, steps: np.ndarray) -> np.ndarray:
-        """Array index of 1-based steps."""
-        i = np.asarray(steps) - 1
-        last = len(self.table) - 1
-        if self.table.repeat_of is None:
-            if i.size and int(i.max()) > last:
-                self.table.extend(int(i.max()) + 1)
-                self._load()
-            return i
-        j = self.table.repeat_of
-        period = last - j
-        return np.where(i <= last, i, j + 1 + np.mod(i - last - 1, period))
-
-
-# ---------------------------------------------------------------- passes
-
-def _pass_a(ks: list[str], has_init: bool):
-    """Per partition: its first and last key run (key, steps).  A state row
-    (``initial``) counts as the number of steps it already holds."""
-    def fn(it):
-        first = last = None        # [key, count]
-        pid = None
-        for pdf in it:
-            if pdf.empty:
-                continue
-            pid = int(pdf["_pid"].iloc[0])
-            w = pdf["_w"].to_numpy() if has_init else None
-            for s, e, key, cont in _runs(pdf, ks, last[0] if last else None):
-                c = int(w[s:e].sum()) if has_init else e - s
-                if cont:
-                    last[1] += c
-                else:
-                    last = [key, c]
-                    if first is None:
-                        first = last
-        if first is None:
-            return
-        rows = [(*first[0], pid, first[1], True)]
-        if last is not first:
-            rows.append((*last[0], pid, last[1], False))
-        yield pd.DataFrame(rows, columns=[*ks, "_pid", "_cnt", "_first"])
-    return fn
-
-
-def _pass_b(ks: list[str], prm: KalmanParams, table: GainTable, has_init: bool):
-    """Per partition: the composed affine map of its first and last run."""
-    gs = _Gains(table)
-    dt = prm.dt
+    def __init__(self, ks: list[str], prm: KalmanParams):
+        self.ks, self.prm, self.last, self.any = ks, prm, None, False
+        self.carry = (0, *prm.x_init)       # of the run that the last batch ended in
+
+    def read(self, b: pa.RecordBatch, first: tuple | None = None) -> None:
+        """``first`` is (t0, x0, x1) of the partition's first run, if known."""
+        keys = [b.column(k) for k in self.ks]
+        self.new = run_starts(keys, self.last)
+        self.last = [c[-1:] for c in keys]
+        at = np.cumsum(self.new) - int(self.new[0])
+        runs = int(at[-1]) + 1
+        self.t0 = np.zeros(runs, np.int64)
+        self.x = np.tile(np.array(self.prm.x_init, float), (runs, 1))
+        if not self.new[0]:
+            self.t0[0], self.x[0] = self.carry[0], self.carry[1:]
+        elif not self.any and first is not None:
+            self.t0[0], self.x[0] = first[0], first[1:]
+        self.any = True
+        self.obs = slice(None)
+        if "_k" in b.schema.names:
+            kind = b.column("_k").to_numpy()
+            known = np.flatnonzero(kind == 0)
+            self.t0[at[known]] = b.column("_w").to_numpy(zero_copy_only=False)[known]
+            for i, c in enumerate(("_ix0", "_ix1")):
+                self.x[at[known], i] = b.column(c).to_numpy(zero_copy_only=False)[known]
+            self.known = at[known]
+            self.obs = np.flatnonzero(kind == 1)
+        else:
+            self.known = np.empty(0, int)
+        self.of = at[self.obs]
+        self.runs = runs
+        self.z = b.column("_z").to_numpy(zero_copy_only=False)[self.obs].astype(float)
+        n = np.bincount(self.of, minlength=runs)
+        self.t = self.t0[self.of] + np.arange(len(self.of)) - (np.cumsum(n) - n)[self.of] + 1
+        self.n = n
+
+    def close(self, x0=None, x1=None) -> None:
+        """Carry the state of the last run to the next batch."""
+        r = self.runs - 1
+        end = self.x[r] if not self.n[r] or x0 is None else (x0[-1], x1[-1])
+        self.carry = (int(self.t0[r] + self.n[r]), *end)
+
+
+# ---------------------------------------------------------------- recursion
+
+def _map_blocks(z, k0, k1, prm: KalmanParams) -> np.ndarray:
+    """Composed maps (rows x 6) of the rows of equally long blocks."""
+    n = len(z)
+    m = np.zeros((6, n))
+    m[0] = m[3] = 1.0
+    m00, m01, m10, m11, v0, v1 = m
     ga0, ga1 = prm.ga
-    cols = [*ks, "_pid", "_first", "_t0", "m00", "m01", "m10", "m11", "v0", "v1"]
-
-    def compose(run, z, k0s, k1s):
-        m00, m01, m10, m11, v0, v1 = run["m"]
-        for zi, k0, k1 in zip(z, k0s, k1s):
-            # predict: M <- F M, v <- F v + ga
-            m00, m01 = m00 + dt * m10, m01 + dt * m11
-            v0, v1 = v0 + dt * v1 + ga0, v1 + ga1
-            # update with y = z - (position of v)
-            y = zi - v0
-            m10, m11 = m10 - k1 * m00, m11 - k1 * m01
-            m00, m01 = m00 - k0 * m00, m01 - k0 * m01
-            v0, v1 = v0 + k0 * y, v1 + k1 * y
-        run["m"] = (m00, m01, m10, m11, v0, v1)
-
-    def fn(it):
-        pid = None
-        first = cur = None     # run: key, t, m, first
-        for pdf in it:
-            if pdf.empty:
-                continue
-            pid = int(pdf["_pid"].iloc[0])
-            t0 = pdf["_t0"].iloc[0]
-            z_all = pdf["_z"].to_numpy(dtype=float)
-            if has_init:
-                kind, w = pdf["_k"].to_numpy(), pdf["_w"].to_numpy()
-                ix0, ix1 = pdf["_ix0"].to_numpy(dtype=float), pdf["_ix1"].to_numpy(dtype=float)
-            runs = list(_runs(pdf, ks, cur["key"] if cur else None))
-            for i, (s, e, key, cont) in enumerate(runs):
-                if not cont:
-                    is_first = first is None
-                    t = int(t0) if is_first and not pd.isna(t0) else 0
-                    cur = {"key": key, "t": t, "t0": t, "first": is_first,
-                           "m": (1.0, 0.0, 0.0, 1.0, 0.0, 0.0)}
-                    if is_first:
-                        first = cur
-                    if has_init and kind[s] == 0:
-                        # a known state: the map becomes the constant estimate
-                        cur["t"] = int(w[s])
-                        cur["m"] = (0.0, 0.0, 0.0, 0.0, float(ix0[s]), float(ix1[s]))
-                        s += 1
-                # A run followed by another one in this batch is neither the
-                # first nor the last run of the partition unless it is first.
-                needed = cur["first"] or i == len(runs) - 1
-                if needed:
-                    idx = gs.index(np.arange(cur["t"] + 1, cur["t"] + (e - s) + 1))
-                    compose(cur, z_all[s:e].tolist(), gs.g0[idx].tolist(), gs.g1[idx].tolist())
-                cur["t"] += e - s
-        if first is None:
-            return
-        keep = [first] if cur is first else [first, cur]
-        rows = [(*r["key"], pid, r["first"], r["t0"], *r["m"]) for r in keep]
-        yield pd.DataFrame(rows, columns=cols)
-    return fn
-
-
-def _compose_maps(a, b):
-    """(a after b) for affine maps given as (m00, m01, m10, m11, v0, v1)."""
+    for p in range(z.shape[1]):
+        a, b = k0[:, p], k1[:, p]
+        m00 += prm.dt * m10
+        m01 += prm.dt * m11
+        v0 += prm.dt * v1 + ga0
+        v1 += ga1
+        y = z[:, p] - v0
+        m10 -= b * m00
+        m11 -= b * m01
+        m00 -= a * m00
+        m01 -= a * m01
+        v0 += a * y
+        v1 += b * y
+    return m.T
+
+
+def _after(a, b):
+    """The map a after the map b."""
     a00, a01, a10, a11, av0, av1 = a
     b00, b01, b10, b11, bv0, bv1 = b
-    return (a00 * b00 + a01 * b10, a00 * b01 + a01 * b11,
-            a10 * b00 + a11 * b10, a10 * b01 + a11 * b11,
+    return (a00 * b00 + a01 * b10, a00 * b01 + a01 * b11, a10 * b00 + a11 * b10, a10 * b01 + a11 * b11,
             a00 * bv0 + a01 * bv1 + av0, a10 * bv0 + a11 * bv1 + av1)
 
 
-_IDENTITY = (1.0, 0.0, 0.0, 1.0, 0.0, 0.0)
+def _scan(z, t, of, x, prm: KalmanParams):
+    """Estimates (x0, x1, covariances) of all rows of the batch's runs ``of``.
 
+    Runs are cut into blocks.  Blocks that another one follows are reduced to
+    maps, all at once; the maps carry the estimate from block to block; then all
+    blocks step through their rows together.
+    """
+    k0, k1, cov = gains_of(prm).at(t)
+    n = len(z)
+    run_at = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])) if n else np.empty(0, int)
+    size = np.diff(np.append(run_at, n))
+    blocks = -(-size // BLOCK)
+    run = np.repeat(np.arange(len(run_at)), blocks)
+    nth = np.arange(len(run)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+    at = run_at[run] + nth * BLOCK
+    length = np.minimum(size[run] - nth * BLOCK, BLOCK)
+    state = x[of[run_at]][run].T.copy()
+    full = np.flatnonzero(nth + 1 < blocks[run])
+    if len(full):
+        rows = at[full][:, None] + np.arange(BLOCK)
+        for i, m in zip(full.tolist(), _map_blocks(z[rows], k0[rows], k1[rows], prm).tolist()):
+            a, b = state[0, i], state[1, i]
+            state[0, i + 1] = m[0] * a + m[1] * b + m[4]
+            state[1, i + 1] = m[2] * a + m[3] * b + m[5]
+    longest = np.argsort(-length, kind="stable")
+    at, length, (x0, x1) = at[longest], length[longest], state[:, longest]
+    out0, out1 = np.empty(n), np.empty(n)
+    ga0, ga1 = prm.ga
+    for p in range(int(length[0]) if len(length) else 0):
+        live = int(np.searchsorted(-length, -p, "left"))
+        i = at[:live] + p
+        a, b = x0[:live], x1[:live]
+        a += prm.dt * b + ga0
+        b += ga1
+        y = z[i] - a
+        a += k0[i] * y
+        b += k1[i] * y
+        out0[i], out1[i] = a, b
+    return out0, out1, cov
+
+
+def _composed(z, t, prm: KalmanParams):
+    """One map of consecutive rows."""
+    k0, k1, _ = gains_of(prm).at(t)
+    whole = len(z) // BLOCK * BLOCK
+    maps = list(_map_blocks(*(v[:whole].reshape(-1, BLOCK) for v in (z, k0, k1)), prm)) if whole else []
+    if whole < len(z):
+        maps += list(_map_blocks(*(v[None, whole:] for v in (z, k0, k1)), prm))
+    out = _IDENTITY
+    for m in maps:
+        out = _after(m.tolist(), out)
+    return out
 
-def _pass_ab(ks: list[str], prm: KalmanParams, table: GainTable, has_init: bool,
-             all_runs: bool = False):
-    """Per partition, one scan: the first and last key run with step counts
-    and affine maps (passes A and B in one).
 
-    A run that starts its key (every run but the partition's first, and a
-    first run opened by a known state) is filtered directly from its known
-    start; its map is the constant end estimate.  The first run may continue
-    a key from earlier partitions; its map depends on the number t0 of
-    earlier steps, but only through the gains of its first S rows (gains are
-    constant from step S+1 on, the table's fixed point).  So the rows after
-    the first S are composed once (the tail) and S+1 variant maps — t0 =
-    0..S-1 and one for t0 >= S — are the tail after a short head.
+_IDENTITY = (1.0, 0.0, 0.0, 1.0, 0.0, 0.0)
 
-    Output: <= S+2 rows per partition; with ``all_runs`` also one row per
-    further run (its key's end state), for the final-state query.  Column
-    ``_variant`` is the t0 a row is valid for (S: any t0 >= S; -1: any t0).
-    """
-    gs = _Gains(table)
-    g0, g1 = gs.g0, gs.g1
-    S = len(table) - 1
-    dt = prm.dt
-    ga0, ga1 = prm.ga
-    ks0, ks1 = float(g0[S]), float(g1[S])
-    cols = [*ks, "_pid", "_first", "_variant", "_cnt", "m00", "m01", "m10", "m11", "v0", "v1"]
-
-    def compose(m, z, k0s, k1s):
-        m00, m01, m10, m11, v0, v1 = m
-        for zi, k0, k1 in zip(z, k0s, k1s):
-            m00, m01 = m00 + dt * m10, m01 + dt * m11
-            v0, v1 = v0 + dt * v1 + ga0, v1 + ga1
-            y = zi - v0
-            m10, m11 = m10 - k1 * m00, m11 - k1 * m01
-            m00, m01 = m00 - k0 * m00, m01 - k0 * m01
-            v0, v1 = v0 + k0 * y, v1 + k1 * y
-        return (m00, m01, m10, m11, v0, v1)
-
-    def filt(x0, x1, z, k0s, k1s):
-        for zi, k0, k1 in zip(z, k0s, k1s):
-            x0 = x0 + dt * x1 + ga0
-            x1 = x1 + ga1
-            y = zi - x0
-            x0 = x0 + k0 * y
-            x1 = x1 + k1 * y
-        return x0, x1
-
-    def gains(t, n):
-        idx = np.minimum(np.arange(t, t + n), S)
-        return g0[idx].tolist(), g1[idx].tolist()
-
-    def fn(it):
-        pid = None
-        first = cur = None
-        finished = []
-        for pdf in it:
-            if pdf.empty:
+
+# ---------------------------------------------------------------- passes
+
+def _ends(ks, pid, first, last, names, types, values):
+    """The rows of a partition's first and (if another) last run."""
+    rows = [first] if last is first else [first, last]
+    cols = [pa.concat_arrays([r["key"][k] for r in rows]) for k in range(len(ks))]
+    cols += [pa.array([pid] * len(rows), pa.int32()), pa.array([r is first for r in rows])]
+    cols += [pa.array(c, t) for c, t in zip(zip(*map(values, rows)), types)]
+    return pa.RecordBatch.from_arrays(cols, [*ks, "_pid", "_first", *names])
+
+
+def _counts(ks: list[str]):
+    """Steps of the first and last key run of each partition.  A known state
+    (``initial``) counts as the steps it already holds."""
+    def run(batches):
+        before = first = last = pid = None
+        for b in batches:
+            if not b.num_rows:
                 continue
-            pid = int(pdf["_pid"].iloc[0])
-            z_all = pdf["_z"].to_numpy(dtype=float)
-            if has_init:
-                kind, w = pdf["_k"].to_numpy(), pdf["_w"].to_numpy()
-                ix0, ix1 = pdf["_ix0"].to_numpy(dtype=float), pdf["_ix1"].to_numpy(dtype=float)
-            runs = list(_runs(pdf, ks, cur["key"] if cur else None))
-            for i, (s, e, key, cont) in enumerate(runs):
-                if not cont:
-                    if all_runs and cur is not None and cur is not first:
-                        finished.append((*cur["key"], pid, False, -1, cur["cnt"],
-                                         0.0, 0.0, 0.0, 0.0, *cur["x"]))
-                        if len(finished) >= 10_000:
-                            yield pd.DataFrame(finished, columns=cols)
-                            finished = []
-                    cur = {"key": key, "cnt": 0, "t": 0, "x": prm.x_init, "exact": True}
-                    if first is None:
-                        first = cur
-                        cur["exact"] = False          # t0 unknown: head + tail
-                        cur["head"] = []
-                        cur["m"] = _IDENTITY
-                    if has_init and kind[s] == 0:
-                        # a known state starts the key here
-                        cur["exact"] = True
-                        cur["cnt"] = cur["t"] = int(w[s])
-                        cur["x"] = (float(ix0[s]), float(ix1[s]))
-                        s += 1
-                n = e - s
-                cur["cnt"] += n
-                if cur["exact"]:
-                    # Middle runs matter only for the final-state query.
-                    if all_runs or cur is first or i == len(runs) - 1:
-                        k0s, k1s = gains(cur["t"], n)
-                        cur["x"] = filt(*cur["x"], z_all[s:e].tolist(), k0s, k1s)
-                    cur["t"] += n
-                else:
-                    take = min(S - len(cur["head"]), n)
-                    cur["head"].extend(z_all[s:s + take].tolist())
-                    rest = z_all[s + take:e].tolist()
-                    if rest:
-                        cur["m"] = compose(cur["m"], rest, [ks0] * len(rest), [ks1] * len(rest))
-        if first is None:
-            return
-        rows = finished
-        if first["exact"]:
-            rows.append((*first["key"], pid, True, -1, first["cnt"], 0.0, 0.0, 0.0, 0.0,
-                         *first["x"]))
-        else:
-            head, tail = first["head"], first["m"]
-            for t0 in range(S + 1):
-                k0s, k1s = gains(t0, len(head))
-                m = _compose_maps(tail, compose(_IDENTITY, head, k0s, k1s))
-                rows.append((*first["key"], pid, True, t0, first["cnt"], *m))
-        if cur is not first:
-            rows.append((*cur["key"], pid, False, -1, cur["cnt"], 0.0, 0.0, 0.0, 0.0, *cur["x"]))
-        yield pd.DataFrame(rows, columns=cols)
-    return fn
-
-
-def _chain(ks: list[str], prm: KalmanParams):
-    """Per key: apply segment maps in partition order -> incoming estimates."""
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+            keys = [b.column(k) for k in ks]
+            at = np.flatnonzero(run_starts(keys, before))
+            before = [c[-1:] for c in keys]
+            pid = b.column("_pid")[0].as_py()
+            w = b.column("_w").to_numpy().astype(np.int64) if "_w" in b.schema.names \
+                else np.ones(b.num_rows, np.int64)
+            if last is not None:
+                last["n"] += int(w[:at[0] if len(at) else len(w)].sum())
+            if len(at):
+                n = np.add.reduceat(w, at)
+                ends = [{"key": [c[i:i + 1] for c in keys], "n": int(k)}
+                        for i, k in ((at[0], n[0]), (at[-1], n[-1]))]
+                if first is None:
+                    first = last = ends[0]
+                    at = at[1:]
+                if len(at):
+                    last = ends[1]
+        if first is not None:
+            yield _ends(ks, pid, first, last, ["_n"], [pa.int64()], lambda r: (r["n"],))
+    return run
+
+
+def _maps(ks: list[str], prm: KalmanParams):
+    """The composed map of the first and last key run of each partition.
+
+    A run whose start is known has a map that forgets its argument."""
+    def run(batches):
+        runs, first, last, pid = _Runs(ks, prm), None, None, None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            pid = b.column("_pid")[0].as_py()
+            opening = first is None
+            runs.read(b, (b.column("_t0")[0].as_py(), *prm.x_init))
+            starts = np.flatnonzero(runs.new)
+
+            def opened(r, i):
+                known = r in runs.known or not (opening and r == 0)
+                return {"key": [b.column(k)[i:i + 1] for k in ks], "t0": int(runs.t0[r]),
+                        "m": (0.0, 0.0, 0.0, 0.0, *runs.x[r]) if known else _IDENTITY}
+
+            def extended(run_, r):
+                rows = slice(*np.searchsorted(runs.of, [r, r + 1]))
+                run_["m"] = _after(_composed(runs.z[rows], runs.t[rows], prm), run_["m"])
+
+            if opening:
+                first = last = opened(0, 0)
+            if opening or not runs.new[0]:
+                extended(last, 0)
+            if runs.runs > 1 or (runs.new[0] and not opening):
+                last = opened(runs.runs - 1, int(starts[-1]))
+                extended(last, runs.runs - 1)
+            runs.close()
+        if first is not None:
+            yield _ends(ks, pid, first, last, ["_t0", *MAP], [pa.int64(), *[pa.float64()] * 6],
+                        lambda r: (r["t0"], *map(float, r["m"])))
+    return run
+
+
+def _chain(prm: KalmanParams):
+    """Per key: the maps in partition order give each segment its incoming estimate."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_pid")
         x0, x1 = prm.x_init
-        in0, in1 = [], []
-        for m00, m01, m10, m11, v0, v1 in zip(pdf.m00, pdf.m01, pdf.m10, pdf.m11,
-                                               pdf.v0, pdf.v1):
-            in0.append(x0)
-            in1.append(x1)
+        came = []
+        for m00, m01, m10, m11, v0, v1 in zip(*(pdf[c] for c in MAP)):
+            came.append((x0, x1))
             x0, x1 = m00 * x0 + m01 * x1 + v0, m10 * x0 + m11 * x1 + v1
         return pd.DataFrame({"_pid": pdf["_pid"].to_numpy(), "_first": pdf["_first"].to_numpy(),
-                             "_t0": pdf["_t0"].to_numpy(), "_x0": in0, "_x1": in1})
-    return fn
-
+                             "_x0": [c[0] for c in came], "_x1": [c[1] for c in came]})
+    return run
 
-def _pass_c(ks: list[str], passthrough: list[str], prm: KalmanParams, table: GainTable,
-            ends_only: bool, has_init: bool):
-    """Per partition: filter every row from its segment's incoming estimate.
 
-    With ``ends_only`` only the last row of each key run is emitted (enough
-    for the final state; the final aggregation then sees at most one row per
-    key per partition)."""
-    gs = _Gains(table)
-    dt = prm.dt
-    ga0, ga1 = prm.ga
-    out_cols = [*ks, *passthrough, "step", "z", "x0", "x1", "p00", "p01", "p10", "p11"]
-
-    def fn(it):
-        cur = None          # key, t, x0, x1
-        seen_first = False
-        pending = None      # ends_only: last row of the previous batch
-        for pdf in it:
-            if pdf.empty:
-                continue
-            n = len(pdf)
-            z_all = pdf["_z"].to_numpy(dtype=float)
-            steps = np.empty(n, dtype=np.int64)
-            xs0 = np.empty(n)
-            xs1 = np.empty(n)
-            is_end = np.zeros(n, dtype=bool)
-            if has_init:
-                kind, w = pdf["_k"].to_numpy(), pdf["_w"].to_numpy()
-                ix0, ix1 = pdf["_ix0"].to_numpy(dtype=float), pdf["_ix1"].to_numpy(dtype=float)
-            for s, e, key, cont in _runs(pdf, ks, cur[0] if cur else None):
-                if cont:
-                    pending = None
-                else:
-                    if s > 0:
-                        is_end[s - 1] = True
-                    if not seen_first and not pd.isna(pdf["_t0"].iloc[s]):
-                        cur = [key, int(pdf["_t0"].iloc[s]),
-                               float(pdf["_x0"].iloc[s]), float(pdf["_x1"].iloc[s])]
-                    else:
-                        cur = [key, 0, prm.x_init[0], prm.x_init[1]]
-                    seen_first = True
-                    if has_init and kind[s] == 0:
-                        cur = [key, int(w[s]), float(ix0[s]), float(ix1[s])]
-                        steps[s], xs0[s], xs1[s] = cur[1], cur[2], cur[3]
-                        s += 1
-                t = cur[1]
-                idx = gs.index(np.arange(t + 1, t + (e - s) + 1))
-                x0, x1 = cur[2], cur[3]
-                r0, r1 = [], []
-                for z, k0, k1 in zip(z_all[s:e].tolist(), gs.g0[idx].tolist(), gs.g1[idx].tolist()):
-                    x0 = x0 + dt * x1 + ga0
-                    x1 = x1 + ga1
-                    y = z - x0
-                    x0 = x0 + k0 * y
-                    x1 = x1 + k1 * y
-                    r0.append(x0)
-                    r1.append(x1)
-                xs0[s:e] = r0
-                xs1[s:e] = r1
-                steps[s:e] = np.arange(t + 1, t + (e - s) + 1)
-                cur[1], cur[2], cur[3] = t + (e - s), x0, x1
-            p = gs.covs[gs.index(np.maximum(steps, 1))]
-            out = pd.DataFrame({c: pdf[c].to_numpy() for c in [*ks, *passthrough]})
-            out["step"] = steps
-            out["z"] = z_all
-            out["x0"], out["x1"] = xs0, xs1
-            out["p00"], out["p01"], out["p10"], out["p11"] = p[:, 0], p[:, 1], p[:, 2], p[:, 3]
-            out = out[out_cols]
-            obs = (kind == 1) if has_init else np.ones(n, dtype=bool)
-            if not ends_only:
-                yield out[obs] if has_init else out
+def _filter(ks: list[str], passed: list[str], prm: KalmanParams, ends_only: bool):
+    """Every row's estimate; with ``ends_only`` each run's last row of a batch."""
+    def run(batches):
+        runs = _Runs(ks, prm)
+        for b in batches:
+            if not b.num_rows:
                 continue
-            if pending is not None:
-                yield pending
-            if (is_end & obs).any():
-                yield out[is_end & obs]
-            pending = out.iloc[[n - 1]] if obs[n - 1] else None
-        if pending is not None:
-            yield pending
-    return fn, out_cols
+            runs.read(b, tuple(b.column(c)[0].as_py() for c in ("_t0", "_x0", "_x1")))
+            x0, x1, cov = _scan(runs.z, runs.t, runs.of, runs.x, prm)
+            runs.close(x0, x1)
+            n = len(runs.z)
+            keep = np.flatnonzero(np.append(runs.of[1:] != runs.of[:-1], True)) if ends_only and n else np.arange(n)
+            rows = pa.array(np.arange(b.num_rows)[runs.obs][keep])
+            yield pa.RecordBatch.from_arrays(
+                [*[b.column(c).take(rows) for c in (*ks, *passed)], pa.array(runs.t[keep]), pa.array(runs.z[keep]),
+                 pa.array(x0[keep]), pa.array(x1[keep]), *[pa.array(c) for c in cov.reshape(-1, 4)[keep].T]],
+                [*ks, *passed, "step", "z", "x0", "x1", *COV])
+    return run
 
 
 # ---------------------------------------------------------------- public API
@@ -440,74 +327,20 @@ def _stage(df: DataFrame, ks: list[str], order: list[str], z: str, passthrough:
     base = df.where(F.col(z).isNotNull()).select(*cols, F.col(z).cast("double").alias("_z"))
     sort = [*ks, *order]
     if initial is not None:
-        # Known states travel as data: one row per key, kind 0, sorted ahead
-        # of the key's observations, weighted by the steps it already holds.
+        # Known states travel as rows of kind 0, ahead of their key's observations.
         base = base.select("*", F.lit(1).alias("_k"), F.lit(1).cast("long").alias("_w"),
-                           F.lit(None).cast("double").alias("_ix0"),
-                           F.lit(None).cast("double").alias("_ix1"))
-        other = [c for c in cols if c not in ks]
+                           F.lit(None).cast("double").alias("_ix0"), F.lit(None).cast("double").alias("_ix1"))
         states = initial.select(
-            *ks, *[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in other],
-            F.lit(None).cast("double").alias("_z"), F.lit(0).alias("_k"),
-            F.col("n").cast("long").alias("_w"), F.col("x0").cast("double").alias("_ix0"),
-            F.col("x1").cast("double").alias("_ix1"))
+            *ks, *[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in cols if c not in ks],
+            F.lit(None).cast("double").alias("_z"), F.lit(0).alias("_k"), F.col("n").cast("long").alias("_w"),
+            F.col("x0").cast("double").alias("_ix0"), F.col("x1").cast("double").alias("_ix1"))
         base = base.unionByName(states)
         sort = [*ks, "_k", *order]
-    staged = (base.repartitionByRange(n, *sort)
-                  .sortWithinPartitions(*sort)
-                  .withColumn("_pid", F.spark_partition_id()))
-    # Reliable checkpoint into the shared checkpoint folder: cuts lineage,
-    # keeps the range partitioning and the in-partition order, and makes the
-    # passes read identical partitions even after an executor loss.
+    staged = (base.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
+              .withColumn("_pid", F.spark_partition_id()))
     return staged.checkpoint(eager=True)
 
 
-def _key_fields(df: DataFrame, ks: list[str]) -> list[T.StructField]:
-    return [T.StructField(k, df.schema[k].dataType, True) for k in ks]
-
-
-def _segment_maps_one_pass(staged, ks, extra, params, table, has_init, key_fields, mcols,
-                           all_runs: bool = False):
-    """Passes A+B in one scan: variant maps, then a range window over
-    partition ids gives each segment its step offset and picks its map."""
-    S = len(table) - 1
-    seg_schema = T.StructType([*key_fields, T.StructField("_pid", T.IntegerType()),
-                               T.StructField("_first", T.BooleanType()),
-                               T.StructField("_variant", T.IntegerType()),
-                               T.StructField("_cnt", T.LongType()),
-                               *[T.StructField(c, T.DoubleType()) for c in mcols]])
-    segs = (staged.select(*ks, "_z", "_pid", *extra)
-                  .mapInPandas(_pass_ab(ks, params, table, has_init, all_runs), seg_schema))
-    # Steps of the same key in earlier partitions; one row per segment
-    # counts (variant 0 or -1), the frame stops before the current partition.
-    w = Window.partitionBy(*ks).orderBy("_pid").rangeBetween(Window.unboundedPreceding, -1)
-    one = F.when(F.col("_variant") <= 0, F.col("_cnt"))
-    t0 = F.coalesce(F.sum(one).over(w), F.lit(0)).cast("long")
-    return (segs.withColumn("_t0", t0)
-                .where((F.col("_variant") == -1) |
-                       (F.col("_variant") == F.least(F.col("_t0"), F.lit(S))))
-                .select(*ks, "_pid", "_first", "_t0", "_cnt", *mcols))
-
-
-def _segment_maps_two_passes(staged, ks, extra, params, table, has_init, key_fields, mcols):
-    """Fallback when the gain recursion ends in a cycle rather than a fixed
-    point: counts first (pass A), then maps with known offsets (pass B)."""
-    seg_schema = T.StructType([*key_fields, T.StructField("_pid", T.IntegerType()),
-                               T.StructField("_cnt", T.LongType()),
-                               T.StructField("_first", T.BooleanType())])
-    segs = staged.select(*ks, "_z", "_pid", *extra).mapInPandas(_pass_a(ks, has_init), seg_schema)
-    w = Window.partitionBy(*ks).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = segs.withColumn("_t0", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).cast("long"))
-    first_t0 = offsets.where("_first").select("_pid", "_t0")
-    map_schema = T.StructType([*key_fields, T.StructField("_pid", T.IntegerType()),
-                               T.StructField("_first", T.BooleanType()),
-                               T.StructField("_t0", T.LongType()),
-                               *[T.StructField(c, T.DoubleType()) for c in mcols]])
-    return (staged.select(*ks, "_z", "_pid", *extra)
-                  .join(F.broadcast(first_t0), "_pid", "left")
-                  .mapInPandas(_pass_b(ks, params, table, has_init), map_schema))
-
-
 def kalman_trace(df: DataFrame, keys: str | Sequence[str], z: str,
                  order: Sequence[str] = ("ts", "event_id"),
                  params: KalmanParams = DEFAULT, num_partitions: int | None = None,
@@ -523,85 +356,48 @@ def kalman_trace(df: DataFrame, keys: str | Sequence[str], z: str,
     resumes those keys from a known estimate after n steps, so a long
     history can be filtered in increments.
     """
-    ks = key_names(keys)
-    order = list(order)
-    passthrough = list(order if passthrough is None else passthrough)
-    table = GainTable(params)
-    has_init = initial is not None
-    staged = _stage(df, ks, order, z, passthrough, num_partitions, initial)
-    key_fields = _key_fields(staged, ks)
-    extra = ["_k", "_w", "_ix0", "_ix1"] if has_init else []
-
-    mcols = ("m00", "m01", "m10", "m11", "v0", "v1")
-    fixed_point = table.repeat_of is not None and table.repeat_of == len(table) - 2
-    if fixed_point:
-        maps = _segment_maps_one_pass(staged, ks, extra, params, table, has_init,
-                                      key_fields, mcols)
-    else:
-        maps = _segment_maps_two_passes(staged, ks, extra, params, table, has_init,
-                                        key_fields, mcols)
-
-    chain_schema = T.StructType([T.StructField("_pid", T.IntegerType()),
-                                 T.StructField("_first", T.BooleanType()),
-                                 T.StructField("_t0", T.LongType()),
-                                 T.StructField("_x0", T.DoubleType()),
-                                 T.StructField("_x1", T.DoubleType())])
-    incoming = (maps.groupBy(*ks).applyInPandas(_chain(ks, params), chain_schema)
-                    .where("_first").drop("_first"))
-
-    out_fields = [*key_fields, *[T.StructField(c, staged.schema[c].dataType, True)
-                                 for c in passthrough if c not in ks],
-                  T.StructField("step", T.LongType()), T.StructField("z", T.DoubleType()),
-                  *[T.StructField(c, T.DoubleType())
-                    for c in ("x0", "x1", "p00", "p01", "p10", "p11")]]
-    passthrough = [c for c in passthrough if c not in ks]
-    fn, out_cols = _pass_c(ks, passthrough, params, table, ends_only, has_init)
-    return (staged.join(F.broadcast(incoming), "_pid", "left")
-                  .mapInPandas(fn, T.StructType(out_fields)))
+    ks, order = key_names(keys), list(order)
+    passed = [c for c in (order if passthrough is None else passthrough) if c not in ks]
+    staged = _stage(df, ks, order, z, passed, num_partitions, initial)
+
+    def fields(*named):
+        return [T.StructField(c, t) for c, t in named]
+    key_fields = [T.StructField(k, staged.schema[k].dataType) for k in ks]
+    run_fields = [*key_fields, *fields(("_pid", T.IntegerType()), ("_first", T.BooleanType()))]
+    doubles = [(c, T.DoubleType()) for c in MAP]
+
+    extra = ["_k", "_w", "_ix0", "_ix1"] if initial is not None else []
+    slim = staged.select(*ks, "_z", *extra, "_pid")
+    counts = slim.mapInArrow(_counts(ks), T.StructType([*run_fields, *fields(("_n", T.LongType()))]))
+    before = Window.partitionBy(*ks).orderBy("_pid").rangeBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_t0", F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("long")) \
+        .where("_first").select("_pid", "_t0")
+    maps = slim.join(F.broadcast(offsets), "_pid").select(*slim.columns, "_t0").mapInArrow(
+        _maps(ks, params), T.StructType([*run_fields, *fields(("_t0", T.LongType()), *doubles)]))
+    chained = maps.groupBy(*ks).applyInPandas(
+        lambda pdf: _chain(params)(pdf), "_pid int, _first boolean, _x0 double, _x1 double")
+    came = chained.where("_first").drop("_first").join(F.broadcast(offsets), "_pid")
+    out = T.StructType([*key_fields, *[T.StructField(c, staged.schema[c].dataType) for c in passed],
+                        *fields(("step", T.LongType()), *[(c, T.DoubleType()) for c in ("z", "x0", "x1", *COV)])])
+    rows = slim if not passed and ends_only else staged
+    return (rows.join(F.broadcast(came), "_pid").select(*rows.columns, "_t0", "_x0", "_x1")
+            .mapInArrow(_filter(ks, passed, params, ends_only), out))
 
 
 def kalman_final(df: DataFrame, keys, z: str, order: Sequence[str] = ("ts", "event_id"),
                  params: KalmanParams = DEFAULT, num_partitions: int | None = None,
                  initial: DataFrame | None = None) -> DataFrame:
     """K3: the state after the last observation of each key: count, estimate
-    and covariance.  One segment pass reports every run's end state (or its
-    variant maps when it may continue a key); a JVM-side fold per key over
-    at most one row per partition gives the final estimate, and the
-    covariance is read off the gain table by step count.  Keys of
-    ``initial`` without new observations are not returned."""
-    ks = key_names(keys)
-    table = GainTable(params)
-    if not (table.repeat_of is not None and table.repeat_of == len(table) - 2):
-        ends = kalman_trace(df, keys, z, order, params, num_partitions, passthrough=[],
-                            ends_only=True, initial=initial)
-        return final_from_trace(ends, ks)
-    # One scan: every run's end state (or, for runs that may continue a key,
-    # its affine map), then a fold per key over at most one row per
-    # partition, JVM-side.  No per-row output is produced.
-    has_init = initial is not None
-    staged = _stage(df, ks, list(order), z, [], num_partitions, initial)
-    extra = ["_k", "_w", "_ix0", "_ix1"] if has_init else []
-    mcols = ("m00", "m01", "m10", "m11", "v0", "v1")
-    maps = _segment_maps_one_pass(staged, ks, extra, params, table, has_init,
-                                  _key_fields(staged, ks), mcols, all_runs=True)
-    seq = F.array_sort(F.collect_list(F.struct("_pid", *mcols)))
-    x = F.aggregate(seq, F.struct(F.lit(params.x_init[0]).alias("a"),
-                                  F.lit(params.x_init[1]).alias("b")),
-                    lambda acc, r: F.struct(
-                        (r["m00"] * acc["a"] + r["m01"] * acc["b"] + r["v0"]).alias("a"),
-                        (r["m10"] * acc["a"] + r["m11"] * acc["b"] + r["v1"]).alias("b")))
-    fin = maps.groupBy(*ks).agg(F.sum("_cnt").alias("n"), x.alias("_x"))
-    idx = F.least(F.col("n"), F.lit(len(table))).cast("int")
-    covs = [F.array(*[F.lit(float(c[i])) for c in table.covs]) for i in range(4)]
-    return fin.select(*ks, "n", F.col("_x.a").alias("x0"), F.col("_x.b").alias("x1"),
-                      *[F.element_at(covs[i], idx).alias(c)
-                        for i, c in enumerate(("p00", "p01", "p10", "p11"))])
+    and covariance.  Only run ends leave the filter pass.  Keys of ``initial``
+    without new observations are not returned."""
+    ends = kalman_trace(df, keys, z, order, params, num_partitions, passthrough=[],
+                        ends_only=True, initial=initial)
+    return final_from_trace(ends, keys)
 
 
 def final_from_trace(trace: DataFrame, keys) -> DataFrame:
     """Last row per key of a trace: (key..., n, x0, x1, p00, p01, p10, p11)."""
     ks = key_names(keys)
-    last = F.max_by(F.struct("step", "x0", "x1", "p00", "p01", "p10", "p11"), F.col("step"))
+    last = F.max_by(F.struct("step", "x0", "x1", *COV), F.col("step"))
     return (trace.groupBy(*ks).agg(last.alias("s"))
-                .select(*ks, F.col("s.step").alias("n"), "s.x0", "s.x1",
-                        "s.p00", "s.p01", "s.p10", "s.p11"))
+                .select(*ks, F.col("s.step").alias("n"), "s.x0", "s.x1", *[f"s.{c}" for c in COV]))

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mergestat.functions.moments import merge_variances
+from mergestat.functions.moments import merge_moments, moment_state, variance_of
 from mergestat.sources.tables import key_names
 
 
@@ -57,6 +57,14 @@ def running_variance(df: DataFrame, keys, value) -> DataFrame:
         F.var_pop(v).alias("variance"), F.stddev_pop(v).alias("stddev"))
 
 
+def running_variances(df: DataFrame, keys, value) -> DataFrame:
+    """A5 next to A8: ``running_variance`` with ``variance_sum_squares``."""
+    v = _v(value)
+    return df.groupBy(*key_names(keys)).agg(
+        F.count(v).alias("n"), F.avg(v).alias("mean"), F.var_pop(v).alias("variance"),
+        F.stddev_pop(v).alias("stddev"), (F.avg(v * v) - F.avg(v) * F.avg(v)).alias("variance_sum_squares"))
+
+
 def running_stddev(df: DataFrame, keys, value) -> DataFrame:
     """Population standard deviation per key."""
     return df.groupBy(*key_names(keys)).agg(F.stddev_pop(_v(value)).alias("stddev"))
@@ -113,19 +121,15 @@ def variance_from_partials(partials: DataFrame, keys) -> DataFrame:
 
 
 def pairwise_merge(left: DataFrame, right: DataFrame, keys) -> DataFrame:
-    """A7 in the reference's two-argument form: merge two (n, mean, variance)
-    tables per key with p*v1 + (1-p)*v2 + p*(1-p)*(m1-m2)^2."""
+    """A7 on two tables of (key..., n, mean, variance): one merged row per key.
+
+    The tables are put one below the other and merged in one aggregation, so a
+    NULL key meets its own and a key of one side only needs no other rule.
+    """
     ks = key_names(keys)
-    a = left.select(*ks, F.col("n").alias("n1"), F.col("mean").alias("m1"),
-                    F.col("variance").alias("v1"))
-    b = right.select(*ks, F.col("n").alias("n2"), F.col("mean").alias("m2"),
-                     F.col("variance").alias("v2"))
-    j = a.join(b, on=ks, how="full_outer").fillna(0, subset=["n1", "n2"])
-    n = F.col("n1") + F.col("n2")
-    mean = (F.coalesce(F.col("m1") * F.col("n1"), F.lit(0.0))
-            + F.coalesce(F.col("m2") * F.col("n2"), F.lit(0.0))) / n
-    var = (F.when(F.col("n1") == 0, F.col("v2"))
-             .when(F.col("n2") == 0, F.col("v1"))
-             .otherwise(merge_variances(F.col("v1"), F.col("m1"), F.col("n1"),
-                                        F.col("v2"), F.col("m2"), F.col("n2"))))
-    return j.select(*ks, n.alias("n"), mean.alias("mean"), var.alias("variance"))
+    state = moment_state(F.col("n"), F.col("mean"), F.col("variance") * F.col("n"))
+    both = left.select(*ks, state.alias("s")).union(right.select(*ks, state.alias("s")))
+    none = moment_state(F.lit(0), F.lit(None), F.lit(None))
+    # at most one state of either side
+    merged = both.groupBy(*ks).agg(F.reduce(F.collect_list("s"), none, merge_moments).alias("s"))
+    return merged.select(*ks, "s.n", "s.mean", variance_of(F.col("s")).alias("variance"))

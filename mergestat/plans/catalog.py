@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from mergestat.operators import distinct, extremes, histogram, history, kalman, moments
 from mergestat.operators.histogram import Bins
 from mergestat.plans.compare import rounded
-from mergestat.sources.tables import events_stream_view, keyed, only_key, table
+from mergestat.sources.tables import events_stream_view, keyed, keyed_event, only_key, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,11 +85,10 @@ def q_variance_sum_squares(spark, sf):
 
 
 def q_variance_lineitem(spark, sf):
-    # l_extendedprice variances (~1e9) carry no sixth decimal in double
-    # precision, so the checked output is the standard deviation.
+    # variances near 1e9 carry no sixth decimal in double precision
     li = table(spark, sf, "lineitem")
-    return _r(moments.running_variance(li, ["l_returnflag", "l_linestatus"], "l_extendedprice")
-              .drop("variance"))
+    v = moments.running_variance(li, ["l_returnflag", "l_linestatus"], "l_extendedprice")
+    return _r(v.withColumn("variance", F.round("variance", 0)))
 
 
 def q_variance_merge_partials(spark, sf):
@@ -100,10 +99,9 @@ def q_variance_merge_partials(spark, sf):
 
 def q_variance_pairwise_merge(spark, sf):
     li = table(spark, sf, "lineitem")
-    a = moments.running_variance(li.where(F.col("l_linestatus") == "O"), "l_returnflag",
-                                 "l_quantity")
-    b = moments.running_variance(li.where(F.col("l_linestatus") == "F"), "l_returnflag",
-                                 "l_quantity")
+    open_ = F.col("l_linestatus").eqNullSafe(F.lit("O"))       # every row is on one side
+    a = moments.running_variance(li.where(open_), "l_returnflag", "l_quantity")
+    b = moments.running_variance(li.where(~open_), "l_returnflag", "l_quantity")
     return _r(moments.pairwise_merge(a, b, "l_returnflag"))
 
 
@@ -158,15 +156,16 @@ def q_hll_error_report(spark, sf):
 
 
 def q_distinct_sketch(spark, sf):
+    """Exact count, and whether either library sketch is within its bound of it."""
     li = table(spark, sf, "lineitem")
-    return distinct.distinct_sketch(li, "l_returnflag", "l_partkey")
+    return distinct.sketch_report(li, "l_returnflag", "l_partkey")
 
 
 def q_distinct_sketch_merged(spark, sf):
-    """Per-day sketches of lineitem part keys, unioned per return flag."""
+    """Per-day sketches of lineitem part keys, unioned per return flag, against the exact count."""
     li = table(spark, sf, "lineitem").withColumn("day", F.to_date("l_shipdate"))
     parts = distinct.sketch_partials(li, "l_returnflag", "l_partkey", "day")
-    return distinct.union_sketches(parts, "l_returnflag")
+    return distinct.merged_sketch_report(li, parts, "l_returnflag", "l_partkey")
 
 
 # ---------------------------------------------------------------- 2.6
@@ -219,8 +218,22 @@ def q_history_mean(spark, sf):
 
 
 def q_history_variance(spark, sf):
-    return _r(history.history_variance(_events(spark, sf), "label", "value", "batch")
-              .drop("stddev"))
+    return _r(history.history_variance(_events(spark, sf), "label", "value", "batch"))
+
+
+def q_history_extremes(spark, sf):
+    return _r(history.history_extremes(_events(spark, sf), "label", "value", "batch", K_LARGEST, J_SMALLEST))
+
+
+def q_history_hll(spark, sf):
+    ev = table(spark, sf, "events").withColumnRenamed("event_type", "label").withColumn("batch", F.to_date("ts"))
+    return _r(history.history_hll(ev, "label", "user_id", "batch", HLL_M))
+
+
+def q_history_by_user(spark, sf):
+    """Many keys: count and sum of every user after every day."""
+    ev = table(spark, sf, "events").withColumn("batch", F.to_date("ts"))
+    return _r(history.history_sum(ev, "user_id", "value", "batch"))
 
 
 def q_history_histogram_median(spark, sf):
@@ -231,21 +244,26 @@ def q_history_histogram_median(spark, sf):
 def q_history_orders_monthly(spark, sf):
     od = (table(spark, sf, "orders")
           .withColumn("month", F.to_date(F.date_trunc("month", "o_orderdate"))))
-    # stddev rather than variance: o_totalprice variances (~1e10) carry no
-    # sixth decimal in double precision.
+    # variances near 1e10 carry no sixth decimal in double precision
     h = history.history_variance(od, "o_orderpriority", "o_totalprice", "month", step="1 month")
-    return _r(h.select("o_orderpriority", "batch", "n", "mean", "stddev"))
+    return _r(h.drop("variance_sum_squares").withColumn("variance", F.round("variance", -2)))
 
 
 # ---------------------------------------------------------------- 2.7
 
-def q_kalman_final(spark, sf):
+def _whole_events(spark, sf) -> DataFrame:
+    """Label and the whole event, as the filter takes them."""
     ev = table(spark, sf, "events").withColumnRenamed("event_type", "label")
+    return keyed_event(ev, "label", ["ts", "event_id", "value"]).select("label", "event.*")
+
+
+def q_kalman_final(spark, sf):
+    ev = _whole_events(spark, sf)
     return _r(kalman.kalman_final(ev, "label", "value", ("ts", "event_id")))
 
 
 def q_kalman_trace(spark, sf):
-    ev = table(spark, sf, "events").withColumnRenamed("event_type", "label")
+    ev = _whole_events(spark, sf)
     return _r(kalman.kalman_trace(ev, "label", "value", ("ts", "event_id"))
               .select("label", "event_id", "step", "z", "x0", "x1", "p00", "p01", "p10", "p11"))
 
@@ -313,6 +331,9 @@ BATCH_QUERIES: dict[str, Query] = {
     "history_variance": q_history_variance,
     "history_histogram_median": q_history_histogram_median,
     "history_orders_monthly": q_history_orders_monthly,
+    "history_extremes": q_history_extremes,
+    "history_hll": q_history_hll,
+    "history_by_user": q_history_by_user,
     "kalman_final": q_kalman_final,
     "kalman_trace": q_kalman_trace,
     "kalman_by_user": q_kalman_by_user,

@@ -54,22 +54,30 @@ def _registers_sql(src: str, key: str, value: str, m: int) -> str:
             f"GROUP BY {key}, register")
 
 
-def _estimate_sql(src: str, key: str, value: str, m: int) -> str:
-    a = alpha(m)
+def _corrected_sql(sums: str, m: int) -> str:
+    """CTEs ``e`` and ``f``: estimates from the CTE ``sums`` with n, z, empty_registers."""
     two32 = float(2 ** 32)
+    return f"""e AS (SELECT *, {_lit(alpha(m) * m * m)} / z AS raw_estimate FROM {sums}),
+f AS (SELECT *, CASE WHEN raw_estimate <= {_lit(2.5 * m)} AND empty_registers > 0
+                     THEN {_lit(float(m))} * ln({_lit(float(m))} / empty_registers)
+                     WHEN raw_estimate <= {_lit(two32 / 30)} THEN raw_estimate
+                     ELSE -{_lit(two32)} * ln(1 - least(raw_estimate, {_lit(two32 - 1)}) / {_lit(two32)}) END AS estimate
+      FROM e)
+"""
+
+
+def _estimate_sql(src: str, key: str, value: str, m: int) -> str:
     return f"""
 WITH r AS ({_registers_sql(src, key, value, m)}),
 z AS (SELECT {key}, CAST(sum(n) AS BIGINT) AS n,
              sum(pow(2.0, -rank)) + ({m} - count(*)) AS z,
              CAST({m} - count(*) AS BIGINT) AS empty_registers
       FROM r GROUP BY {key}),
-e AS (SELECT {key}, n, empty_registers, {_lit(a * m * m)} / z AS raw_estimate FROM z),
-f AS (SELECT *, CASE WHEN raw_estimate <= {_lit(2.5 * m)} AND empty_registers > 0
-                     THEN {_lit(float(m))} * ln({_lit(float(m))} / empty_registers)
-                     WHEN raw_estimate <= {_lit(two32 / 30)} THEN raw_estimate
-                     ELSE -{_lit(two32)} * ln(1 - raw_estimate / {_lit(two32)}) END AS estimate
-      FROM e)
-"""
+{_corrected_sql("z", m)}"""
+
+
+_EST = ("n, empty_registers, round(raw_estimate, 6) AS raw_estimate, "
+        "round(estimate, 6) AS estimate, CAST(round(estimate) AS BIGINT) AS estimate_rounded")
 
 
 def _extremes_sql(tbl: str, key: str, value: str, tie: str) -> str:
@@ -81,10 +89,81 @@ def _extremes_sql(tbl: str, key: str, value: str, tie: str) -> str:
     return side("largest", "DESC", K_LARGEST) + " UNION ALL " + side("smallest", "ASC", J_SMALLEST)
 
 
-def _grid(parts: str) -> str:
-    return (f"f AS (SELECT label, min(batch) AS first FROM {parts} GROUP BY label), "
-            f"g AS (SELECT label, CAST(unnest(generate_series(first, "
-            f"(SELECT max(batch) FROM {parts}), INTERVAL 1 DAY)) AS DATE) AS batch FROM f)")
+# How rows fall into batches: the batch of a row, and the step between batches.
+DAILY = ("CAST(ts AS DATE)", "INTERVAL 1 DAY")
+WEEKLY = ("CAST(date_trunc('week', ts) AS DATE)", "INTERVAL 7 DAY")
+
+
+def _grid(every=DAILY, src: str = "events", key: str = "event_type") -> str:
+    """CTEs ``ev`` (label, batch, ...) and ``g``: every key with every batch from its
+    first on; rows without a batch come before the table's first batch."""
+    batch, step = every
+    return (f"ev AS (SELECT *, {key} AS label, {batch} AS batch FROM {src}), "
+            f"born AS (SELECT label, CASE WHEN count(*) > count(batch) THEN (SELECT min(batch) FROM ev) "
+            f"ELSE min(batch) END AS first FROM ev GROUP BY label), "
+            f"g AS (SELECT label, CAST(unnest(generate_series(first, (SELECT max(batch) FROM ev), {step})) "
+            f"AS DATE) AS batch FROM born UNION ALL SELECT DISTINCT label, NULL FROM ev WHERE batch IS NULL)")
+
+
+_UPTO = ("g JOIN ev e ON e.label IS NOT DISTINCT FROM g.label "
+         "AND (e.batch IS NULL OR e.batch <= g.batch)")
+
+
+def history_sum_sql(every=DAILY, key: str = "event_type", name: str = "label") -> str:
+    return (f"WITH {_grid(every, key=key)} SELECT g.label AS {name}, g.batch, count(e.value) AS n, "
+            f"round(sum(e.value), 6) AS sum FROM {_UPTO} GROUP BY g.label, g.batch")
+
+
+def history_mean_sql(every=DAILY) -> str:
+    return (f"WITH {_grid(every)} SELECT g.label, g.batch, count(e.value) AS n, round(avg(e.value), 6) AS mean "
+            f"FROM {_UPTO} GROUP BY g.label, g.batch")
+
+
+def history_variance_sql(every=DAILY, stddev: bool = False, squares: bool = False) -> str:
+    return (f"WITH {_grid(every)} SELECT g.label, g.batch, count(e.value) AS n, round(avg(e.value), 6) AS mean, "
+            f"round(var_pop(e.value), 6) AS variance"
+            + (", round(stddev_pop(e.value), 6) AS stddev" if stddev else "")
+            + (", round(avg(e.value * e.value) - avg(e.value) * avg(e.value), 6) AS variance_sum_squares" if squares else "")
+            + f" FROM {_UPTO} GROUP BY g.label, g.batch")
+
+
+def history_histogram_sql(every=DAILY) -> str:
+    b = EVENT_BINS
+    return (
+        f"WITH {_grid(every)}, s AS (SELECT g.label, g.batch, {_slot_sql('e.value', b)} AS slot FROM {_UPTO}), "
+        f"run AS (SELECT label, batch, slot, count(slot) AS c FROM s GROUP BY label, batch, slot), "
+        f"cum AS (SELECT label, batch, slot, sum(c) OVER (PARTITION BY label, batch ORDER BY slot NULLS FIRST "
+        f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum, "
+        f"sum(c) OVER (PARTITION BY label, batch) AS n FROM run), "
+        f"m AS (SELECT label, batch, CAST(max(n) AS BIGINT) AS n, "
+        f"min(CASE WHEN cum > floor(n / 2) THEN slot END) AS ms FROM cum GROUP BY label, batch) "
+        f"SELECT label, batch, n, {_mid_sql('ms', b)} AS median_estimate FROM m")
+
+
+def history_hll_sql(every=DAILY, m: int = HLL_M) -> str:
+    p = m.bit_length() - 1
+    return f"""
+WITH {_grid(every)},
+h AS (SELECT label, batch, {_hash_sql("user_id")} AS h FROM ev WHERE user_id IS NOT NULL),
+x AS (SELECT label, batch, h & {m - 1} AS register, CASE WHEN h >> {p} = 0 THEN {32 - p + 1}
+        ELSE bit_count(((h >> {p}) & -(h >> {p})) - 1) + 1 END AS rank FROM h),
+r AS (SELECT g.label, g.batch, e.register, max(e.rank) AS rank, count(e.register) AS n
+      FROM g LEFT JOIN x e ON e.label IS NOT DISTINCT FROM g.label AND (e.batch IS NULL OR e.batch <= g.batch)
+      GROUP BY g.label, g.batch, e.register),
+z AS (SELECT label, batch, CAST(sum(n) AS BIGINT) AS n,
+             coalesce(sum(pow(2.0, -rank)), 0) + ({m} - count(register)) AS z,
+             CAST({m} - count(register) AS BIGINT) AS empty_registers
+      FROM r GROUP BY label, batch),
+{_corrected_sql("z", m)} SELECT label, batch, {_EST} FROM f"""
+
+
+def history_extremes_sql(every=DAILY) -> str:
+    def side(name, direction, n):
+        return (f"SELECT label, batch, '{name}' AS side, rank, round(value, 6) AS value FROM (SELECT g.label, g.batch, "
+                f"e.value, row_number() OVER (PARTITION BY g.label, g.batch ORDER BY e.value {direction}) AS rank "
+                f"FROM {_UPTO} WHERE e.value IS NOT NULL AND NOT isnan(e.value)) WHERE rank <= {n}")
+    return (f"WITH {_grid(every)} " + side("largest", "DESC", K_LARGEST) + " UNION ALL "
+            + side("smallest", "ASC", J_SMALLEST))
 
 
 def _kalman_sql(key_expr: str, key: str, final: bool, prm: KalmanParams = KalmanParams()) -> str:
@@ -146,7 +225,7 @@ def build() -> dict[str, str]:
         f"round(var_pop(value), 6) AS variance FROM ev GROUP BY label")
     q["variance_lineitem"] = (
         "SELECT l_returnflag, l_linestatus, count(l_extendedprice) AS n, "
-        "round(avg(l_extendedprice), 6) AS mean, "
+        "round(avg(l_extendedprice), 6) AS mean, round(var_pop(l_extendedprice), 0) AS variance, "
         "round(stddev_pop(l_extendedprice), 6) AS stddev FROM lineitem "
         "GROUP BY l_returnflag, l_linestatus")
     q["variance_merge_partials"] = (f"WITH {EV} SELECT label, count(value) AS n, round(avg(value), 6) "
@@ -154,8 +233,7 @@ def build() -> dict[str, str]:
                                     f"GROUP BY label")
     q["variance_pairwise_merge"] = (
         "SELECT l_returnflag, count(l_quantity) AS n, round(avg(l_quantity), 6) AS mean, "
-        "round(var_pop(l_quantity), 6) AS variance FROM lineitem "
-        "WHERE l_linestatus IN ('O', 'F') GROUP BY l_returnflag")
+        "round(var_pop(l_quantity), 6) AS variance FROM lineitem GROUP BY l_returnflag")
     q["higher_moments"] = (
         f"WITH {EV}, m AS (SELECT label, avg(value) AS mu FROM ev GROUP BY label) "
         f"SELECT ev.label, count(value) AS n, "
@@ -172,17 +250,15 @@ def build() -> dict[str, str]:
                                              "o_orderkey")
     evl = "(SELECT event_type AS label, user_id FROM events)"
     q["hll_registers"] = _registers_sql(evl, "label", "user_id", HLL_M)
-    est_cols = ("n, empty_registers, round(raw_estimate, 6) AS raw_estimate, "
-                "round(estimate, 6) AS estimate, CAST(round(estimate) AS BIGINT) AS estimate_rounded")
     q["hll_estimate"] = _estimate_sql(evl, "label", "user_id", HLL_M) + \
-        f"SELECT label, {est_cols} FROM f"
+        f"SELECT label, {_EST} FROM f"
     q["hll_lineitem"] = _estimate_sql("lineitem", "l_returnflag", "l_partkey", HLL_M) + \
-        f"SELECT l_returnflag, {est_cols} FROM f"
+        f"SELECT l_returnflag, {_EST} FROM f"
     q["hll_error_report"] = _estimate_sql(evl, "label", "user_id", HLL_M) + (
         ", x AS (SELECT event_type AS label, count(DISTINCT user_id) AS exact FROM events "
         "GROUP BY event_type) "
         "SELECT f.label, n, exact, round(estimate, 6) AS estimate, "
-        "round((estimate - exact) / exact, 6) AS rel_error FROM f JOIN x ON f.label = x.label")
+        "round((estimate - exact) / exact, 6) AS rel_error FROM f JOIN x ON f.label IS NOT DISTINCT FROM x.label")
     hist_body = (f"SELECT label, CAST(slot AS BIGINT) AS slot, count(*) AS count FROM "
                  f"(SELECT label, {slot} AS slot FROM ev) WHERE slot IS NOT NULL "
                  f"GROUP BY label, slot")
@@ -220,31 +296,17 @@ def build() -> dict[str, str]:
         "WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY label) "
         f"SELECT mv.label, mv.n, mv.mean, {_mid_sql('m.ms', b)} AS median_estimate "
         f"FROM mv LEFT JOIN m ON m.label = mv.label")
-    hist_grid = f"WITH {EV}, {_grid('ev')}"
-    q["history_sum"] = (
-        f"{hist_grid}, p AS (SELECT label, batch, count(value) AS pn, sum(value) AS ps FROM ev "
-        f"GROUP BY label, batch), d AS (SELECT g.label, g.batch, p.pn, p.ps FROM g "
-        f"LEFT JOIN p ON p.label = g.label AND p.batch = g.batch) "
-        f"SELECT label, batch, CAST(sum(coalesce(pn, 0)) OVER w AS BIGINT) AS n, "
-        f"round(sum(ps) OVER w, 6) AS sum FROM d WINDOW w AS (PARTITION BY label ORDER BY batch "
-        f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
-    upto = (f"{hist_grid} SELECT g.label, g.batch, count(e.value) AS n, round(avg(e.value), 6) AS mean"
-            "{extra} FROM g JOIN ev e ON e.label = g.label AND e.batch <= g.batch "
-            "GROUP BY g.label, g.batch")
-    q["history_mean"] = upto.format(extra="")
-    q["history_variance"] = upto.format(extra=", round(var_pop(e.value), 6) AS variance")
-    q["history_histogram_median"] = (
-        f"{hist_grid}, s AS (SELECT label, batch, {slot} AS slot FROM ev), "
-        f"p AS (SELECT label, batch, slot, count(*) AS c FROM s WHERE slot IS NOT NULL "
-        f"GROUP BY label, batch, slot), "
-        f"run AS (SELECT g.label, g.batch, p.slot, sum(p.c) AS c FROM g LEFT JOIN p "
-        f"ON p.label = g.label AND p.batch <= g.batch GROUP BY g.label, g.batch, p.slot), "
-        f"cum AS (SELECT label, batch, slot, sum(c) OVER (PARTITION BY label, batch ORDER BY slot "
-        f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum, "
-        f"sum(c) OVER (PARTITION BY label, batch) AS n FROM run), "
-        f"m AS (SELECT label, batch, CAST(coalesce(max(n), 0) AS BIGINT) AS n, "
-        f"min(CASE WHEN cum > floor(n / 2) THEN slot END) AS ms FROM cum GROUP BY label, batch) "
-        f"SELECT label, batch, n, {_mid_sql('ms', b)} AS median_estimate FROM m")
+    q["history_sum"] = history_sum_sql()
+    q["history_mean"] = history_mean_sql()
+    q["history_variance"] = history_variance_sql(stddev=True, squares=True)
+    q["history_histogram_median"] = history_histogram_sql()
+    q["history_extremes"] = history_extremes_sql()
+    q["history_hll"] = history_hll_sql()
+    q["history_by_user"] = history_sum_sql(key="user_id", name="user_id")
+    exact = "SELECT l_returnflag, count(l_partkey) AS n, count(DISTINCT l_partkey) AS exact, "
+    q["distinct_sketch"] = exact + ("true AS approx_in_bounds, true AS sketch_in_bounds "
+                                    "FROM lineitem GROUP BY l_returnflag")
+    q["distinct_sketch_merged"] = exact + "true AS sketch_in_bounds FROM lineitem GROUP BY l_returnflag"
     ab = ACCTBAL_BINS
     acct = (f"SELECT c_mktsegment, CAST(slot AS BIGINT) AS slot, count(*) AS count FROM "
             f"(SELECT c_mktsegment, {_slot_sql('c_acctbal', ab)} AS slot FROM customer) "
@@ -264,7 +326,8 @@ def build() -> dict[str, str]:
         "g AS (SELECT o_orderpriority, CAST(unnest(generate_series(first, "
         "(SELECT max(batch) FROM od), INTERVAL 1 MONTH)) AS DATE) AS batch FROM f) "
         "SELECT g.o_orderpriority, g.batch, count(o.o_totalprice) AS n, "
-        "round(avg(o.o_totalprice), 6) AS mean, round(stddev_pop(o.o_totalprice), 6) AS stddev "
+        "round(avg(o.o_totalprice), 6) AS mean, round(stddev_pop(o.o_totalprice), 6) AS stddev, "
+        "round(var_pop(o.o_totalprice), -2) AS variance "
         "FROM g JOIN od o ON o.o_orderpriority = g.o_orderpriority AND o.batch <= g.batch "
         "GROUP BY g.o_orderpriority, g.batch")
     q["variance_by_user"] = ("SELECT user_id, " + mom + " FROM events GROUP BY user_id")

@@ -23,12 +23,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def as_cols(cols: str | Column | Sequence[str | Column]) -> list[Column]:
-    if isinstance(cols, (str, Column)):
-        cols = [cols]
-    return [F.col(c) if isinstance(c, str) else c for c in cols]
-
-
 def key_names(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 

@@ -17,10 +17,12 @@ from pyspark.sql import functions as F
 
 from mergestat.plans.catalog import EVENT_BINS, HLL_M, J_SMALLEST, K_LARGEST
 from mergestat.plans.compare import rounded
+from mergestat.plans.oracle import (WEEKLY, history_extremes_sql, history_histogram_sql, history_hll_sql,
+                                    history_sum_sql, history_variance_sql)
 from mergestat.session import scratch_path
 from mergestat.sources.tables import table
 from mergestat.streaming import queries as sq
-from mergestat.streaming.sinks import latest_per_key, run, snapshot_writer
+from mergestat.streaming.sinks import StateTable, latest_per_key, run, snapshot_writer
 from mergestat.streaming.sources import (batches_glob, feed_in_order, read_batches,
                                          write_batch_files)
 
@@ -40,7 +42,7 @@ def _run_final(spark: SparkSession, sf: str, name: str, build, keys,
                mode: str = "update") -> DataFrame:
     stream, _ = _events_stream(spark, sf, name)
     out = scratch_path(spark, f"{name}-out")
-    run(build(stream), scratch_path(spark, f"{name}-ckpt"), out, mode)
+    run(build(stream), scratch_path(spark, f"{name}-ckpt"), None, mode, writer=StateTable(out, keys).write)
     return latest_per_key(spark, out, keys)
 
 
@@ -108,21 +110,23 @@ def _feed_weekly(spark: SparkSession, sf: str, name: str, build, mode: str,
     return out
 
 
-def q_stream_kalman(spark, sf):
-    out = _feed_weekly(spark, sf, "stream_kalman",
-                       lambda s: sq.stream_kalman(s, "label", "value", ["ts", "event_id"],
-                                                  passthrough=["event_id"]), "append")
+def _kalman_stream(spark: SparkSession, sf: str, name: str, partitions: int | None) -> DataFrame:
+    out = scratch_path(spark, f"{name}-trace")
+    state = scratch_path(spark, f"{name}-state")
+    writer = sq.kalman_segmented_writer("label", "value", ["ts", "event_id"], out, state,
+                                        passthrough=["event_id"], num_partitions=partitions)
+    _feed_weekly(spark, sf, name, lambda s: s, "append", writer=writer)
     return rounded(spark.read.parquet(out).drop("batch_id"))
 
 
+def q_stream_kalman(spark, sf):
+    """K4 on a stream, one trigger per week."""
+    return _kalman_stream(spark, sf, "stream_kalman", None)
+
+
 def q_stream_kalman_segmented(spark, sf):
-    """K4 on a stream through the segmented scan, one trigger per week."""
-    out = scratch_path(spark, "stream_kalman_seg-trace")
-    state = scratch_path(spark, "stream_kalman_seg-state")
-    writer = sq.kalman_segmented_writer("label", "value", ["ts", "event_id"], out, state,
-                                        passthrough=["event_id"])
-    _feed_weekly(spark, sf, "stream_kalman_seg", lambda s: s, "append", writer=writer)
-    return rounded(spark.read.parquet(out).drop("batch_id"))
+    """The same with each week's keys cut over more partitions than there are keys."""
+    return _kalman_stream(spark, sf, "stream_kalman_seg", 16)
 
 
 def q_stream_batch_sum(spark, sf):
@@ -144,6 +148,47 @@ def q_stream_state_snapshots(spark, sf):
     return rounded(spark.read.parquet(out).drop("batch_id"))
 
 
+def _snapshots(spark, sf, name, build) -> DataFrame:
+    """The state of every key after every weekly batch, from a complete-mode query."""
+    out = _feed_weekly(spark, sf, name, build, "complete", stamp=True)
+    return spark.read.parquet(out).drop("batch_id")
+
+
+def q_stream_variance_snapshots(spark, sf):
+    """Both variances after every batch, side by side."""
+    return rounded(_snapshots(spark, sf, "variance_snapshots",
+                              lambda s: sq.stream_variances(s, "label", "value")).drop("stddev"))
+
+
+def q_stream_histogram_snapshots(spark, sf):
+    df = _snapshots(spark, sf, "histogram_snapshots",
+                    lambda s: sq.stream_histogram_median(s, "label", "value", EVENT_BINS))
+    return rounded(df.select("label", "batch", F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("n"),
+                             "median_estimate"))
+
+
+def q_stream_hll_snapshots(spark, sf):
+    df = _snapshots(spark, sf, "hll_snapshots", lambda s: sq.stream_hll(s, "label", "user_id", HLL_M))
+    return rounded(df.withColumn("estimate_rounded", F.round("estimate").cast("bigint")))
+
+
+def q_stream_extremes_snapshots(spark, sf):
+    """Top-k lists of every key after every batch: the state processor emits the
+    keys that changed, the state table holds the others."""
+    out = scratch_path(spark, "extremes_snapshots-out")
+    states = StateTable(scratch_path(spark, "extremes_snapshots-state"), ["label"])
+    week: dict = {}
+
+    def writer(changed, batch_id):
+        states.write(changed, batch_id)
+        states.read(spark, before=batch_id + 1).withColumn("batch", F.lit(week["week"]).cast("date")) \
+            .write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+    _feed_weekly(spark, sf, "extremes_snapshots",
+                 lambda s: sq.stream_extremes(s, "label", "value", K_LARGEST, J_SMALLEST), "update",
+                 writer=writer, week_holder=week)
+    return rounded(spark.read.parquet(out).drop("batch_id"))
+
+
 STREAM_QUERIES = {
     "stream_sum": q_stream_sum,
     "stream_variance": q_stream_variance,
@@ -154,17 +199,12 @@ STREAM_QUERIES = {
     "stream_kalman_segmented": q_stream_kalman_segmented,
     "stream_state_snapshots": q_stream_state_snapshots,
     "stream_batch_sum": q_stream_batch_sum,
+    "stream_variance_snapshots": q_stream_variance_snapshots,
+    "stream_histogram_snapshots": q_stream_histogram_snapshots,
+    "stream_hll_snapshots": q_stream_hll_snapshots,
+    "stream_extremes_snapshots": q_stream_extremes_snapshots,
 }
 
-_WEEKLY_HISTORY_SQL = (
-    "WITH ev AS (SELECT event_type AS label, value, "
-    "CAST(date_trunc('week', ts) AS DATE) AS batch FROM events), "
-    "f AS (SELECT label, min(batch) AS first FROM ev GROUP BY label), "
-    "g AS (SELECT label, CAST(unnest(generate_series(first, (SELECT max(batch) FROM ev), "
-    "INTERVAL 7 DAY)) AS DATE) AS batch FROM f) "
-    "SELECT g.label, g.batch, count(e.value) AS n, round(sum(e.value), 6) AS sum "
-    "FROM g JOIN ev e ON e.label = g.label AND e.batch <= g.batch GROUP BY g.label, g.batch")
-
 _EVENT_EXTREMES_SQL = " UNION ALL ".join(
     f"SELECT event_type AS label, '{side}' AS side, rank, round(value, 6) AS value FROM "
     f"(SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY value "
@@ -185,6 +225,10 @@ STREAM_ORACLES = {
     "stream_extremes": _EVENT_EXTREMES_SQL,
     "stream_kalman": "kalman_trace",
     "stream_kalman_segmented": "kalman_trace",
-    "stream_state_snapshots": _WEEKLY_HISTORY_SQL,
+    "stream_state_snapshots": history_sum_sql(WEEKLY),
+    "stream_variance_snapshots": history_variance_sql(WEEKLY, squares=True),
+    "stream_histogram_snapshots": history_histogram_sql(WEEKLY),
+    "stream_hll_snapshots": history_hll_sql(WEEKLY),
+    "stream_extremes_snapshots": history_extremes_sql(WEEKLY),
     "stream_batch_sum": _WEEKLY_BATCH_SUM_SQL,
 }

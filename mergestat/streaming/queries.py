@@ -21,9 +21,8 @@ from mergestat.functions.kalman_math import KalmanParams
 from mergestat.operators import distinct, histogram, kalman, moments
 from mergestat.operators.histogram import Bins
 from mergestat.sources.tables import key_names
-from mergestat.streaming.sinks import batch_folders
-from mergestat.streaming.stateful import (ExtremesProcessor, KalmanProcessor,
-                                          extremes_schema, kalman_schema, local_extremes,
+from mergestat.streaming.sinks import StateTable
+from mergestat.streaming.stateful import (ExtremesProcessor, extremes_schema, local_extremes,
                                           stateful)
 
 
@@ -35,6 +34,11 @@ def stream_variance(stream: DataFrame, keys, value) -> DataFrame:
     return moments.running_variance(stream, keys, value)
 
 
+def stream_variances(stream: DataFrame, keys, value) -> DataFrame:
+    """Both variances (A5 and A8) in one running state."""
+    return moments.running_variances(stream, keys, value)
+
+
 def stream_histogram_median(stream: DataFrame, keys, value, bins: Bins) -> DataFrame:
     return histogram.running_histogram_median(stream, keys, value, bins)
 
@@ -50,7 +54,13 @@ def stream_hll(stream: DataFrame, keys, value, m: int = 64, method: str = "md5")
         *ks, "n",
         F.size(F.filter(r, lambda x: x == 0)).cast("bigint").alias("empty_registers"),
         (F.lit(alpha(m) * m * m) / z).alias("raw_estimate"),
-        distinct.estimate_from_array(r, m).alias("estimate"))
+        distinct.estimate_from_array(r, m, method).alias("estimate"))
+
+
+def stream_hll_registers(stream: DataFrame, keys, value, m: int = 4096, method: str = "xxhash64") -> DataFrame:
+    """H2 for any m: state per key and register; what the sink holds goes to
+    ``distinct.hll_estimate``."""
+    return distinct.hll_registers(stream, keys, value, m, method)
 
 
 def stream_extremes(stream: DataFrame, keys, value: str, k: int = 4, j: int = 3) -> DataFrame:
@@ -58,24 +68,11 @@ def stream_extremes(stream: DataFrame, keys, value: str, k: int = 4, j: int = 3)
     ks = key_names(keys)
     fields = [T.StructField(c, stream.schema[c].dataType, True) for c in ks]
     slim = stream.select(*ks, F.col(value).cast("double").alias(value))
-    reduced = slim.mapInPandas(local_extremes(ks, value, k, j), slim.schema)
+    reduced = slim.mapInArrow(local_extremes(ks, value, k, j), slim.schema)
     return stateful(reduced, ks, ExtremesProcessor(ks, value, k, j),
                     extremes_schema(fields, value), "Update")
 
 
-def stream_kalman(stream: DataFrame, keys, z: str, order: Sequence[str],
-                  passthrough: Sequence[str] = (),
-                  params: KalmanParams = KalmanParams()) -> DataFrame:
-    """K4: the estimate after every observation (append mode)."""
-    ks = key_names(keys)
-    fields = [T.StructField(c, stream.schema[c].dataType, True) for c in ks]
-    pfields = [T.StructField(c, stream.schema[c].dataType, True) for c in passthrough]
-    cols = list(dict.fromkeys([*ks, *order, *passthrough, z]))
-    return stateful(stream.select(*cols), ks,
-                    KalmanProcessor(ks, z, order, passthrough, params),
-                    kalman_schema(fields, pfields), "Append")
-
-
 def kalman_segmented_writer(keys, z: str, order: Sequence[str], out_path: str,
                             state_path: str, passthrough: Sequence[str] = (),
                             params: KalmanParams = KalmanParams(),
@@ -83,31 +80,33 @@ def kalman_segmented_writer(keys, z: str, order: Sequence[str], out_path: str,
     """K4 on a stream without one task per key: a ``foreachBatch`` function.
 
     Each micro-batch runs the segmented batch scan (``operators.kalman``),
-    so a key holding most of a trigger's rows is still cut over many
-    partitions.  The state between triggers is a table, ``state_path/
-    batch_id=<n>``: every key's (n, x0, x1) after batch n — the full
-    snapshot the reference prints after each batch.  A batch reads the
-    newest snapshot older than itself, resumes the keys it touches from it
-    (``initial``), writes its trace to ``out_path/batch_id=<n>`` and the new
-    snapshot; a replayed batch overwrites both, so the output is exactly once.
+    so a key holding most of a trigger's rows is cut over many partitions.
+    The state between triggers, (n, x0, x1) of every key, is a ``StateTable``
+    at ``state_path``: a batch reads the states before it, resumes the keys it
+    touches from them (``initial``), writes its trace to
+    ``out_path/batch_id=<n>`` and the states it changed.  A replayed batch
+    overwrites both, so the output is exactly once.
     """
     ks = key_names(keys)
+    states = StateTable(state_path, ks)
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
-        older = [b for b in batch_folders(spark, state_path) if b < batch_id]
-        prev = (spark.read.parquet(f"{state_path}/batch_id={older[-1]}") if older else None)
-        init = None
-        if prev is not None:
-            init = prev.join(batch_df.select(*ks).distinct(), ks, "left_semi")
-        trace = kalman.kalman_trace(batch_df, ks, z, order, params, num_partitions,
-                                    passthrough=list(passthrough), initial=init)
-        out = f"{out_path}/batch_id={batch_id}"
-        trace.write.mode("overwrite").parquet(out)
+        batch_df = batch_df.persist()
+        try:
+            init = states.read(spark, before=batch_id)
+            if init is not None:
+                touched = batch_df.select(*[F.col(c).alias(f"_t_{c}") for c in ks]).distinct()
+                same = [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in ks]
+                init = init.join(touched, same, "left_semi")
+            trace = kalman.kalman_trace(batch_df, ks, z, order, params, num_partitions,
+                                        passthrough=list(passthrough), initial=init)
+            out = f"{out_path}/batch_id={batch_id}"
+            trace.write.mode("overwrite").parquet(out)
+        finally:
+            batch_df.unpersist()
         fin = kalman.final_from_trace(spark.read.parquet(out), ks).select(*ks, "n", "x0", "x1")
-        if prev is not None:
-            fin = prev.join(fin.select(*ks), ks, "left_anti").unionByName(fin)
-        fin.write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
+        states.write(fin, batch_id)
     return write
 
 

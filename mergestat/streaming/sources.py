@@ -51,7 +51,8 @@ def feed_in_order(df: DataFrame, batch: str, path: str,
 
     All batches are written by one job into a staging folder beside
     ``path``, one sub-folder per batch, and each is moved in with one
-    directory rename (atomic on HDFS and local file systems), so a
+    directory rename, which HDFS and local file systems do atomically (an
+    object store does not: keep this folder off one), so a
     trigger sees a batch whole or not at all and a running query can be
     driven batch by batch with ``processAllAvailable``.  Read the folder
     with ``batches_glob(path)``.  ``on_publish(value)`` runs just before a
@@ -65,14 +66,17 @@ def feed_in_order(df: DataFrame, batch: str, path: str,
     # NULL batch values sort first, as in Spark's ascending order; no row is left out.
     values = [r[0] for r in df.select(batch).distinct().orderBy(batch).collect()]
     # One job writes every batch, partitioned by its position in the order;
-    # the value -> position table has one row per batch (broadcast-bounded).
+    # the value -> position table has one row per batch.
     order = spark.createDataFrame(
         [(v, i) for i, v in enumerate(values)],
         T.StructType([T.StructField(batch, df.schema[batch].dataType),
                       T.StructField("batch_index", T.IntegerType())]))
     order = order.withColumnRenamed(batch, "_batch_value")
-    (df.join(F.broadcast(order), df[batch].eqNullSafe(order["_batch_value"]))
-       .drop("_batch_value")
+    # Ranges of (batch, row hash): a task writes into one or two batches, and a
+    # large batch is the work of several.
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.join(order, df[batch].eqNullSafe(order["_batch_value"])).drop("_batch_value")
+       .repartitionByRange(n, "batch_index", F.xxhash64(*[F.col(c) for c in df.columns]))
        .write.mode("overwrite").partitionBy("batch_index").parquet(staging))
     for i, v in enumerate(values):
         tmp, final = f"{staging}/batch_index={i}", f"{path.rstrip('/')}/{i:06d}"

@@ -1,29 +1,34 @@
-"""Custom per-key state on streams.
+"""Custom per-key state on streams.
 
 Statistics whose state is an aggregation buffer (sums, moments, histogram
-counts, registers) run as native streaming aggregations.  The two that are
-not — bounded top-k/bottom-j lists and the ordered Kalman recursion — use
-``transformWithStateInPandas`` with a ``StatefulProcessor``: the user-defined
-update function of the reference, with state kept in the RocksDB state store
-and checkpointed with the query.
+counts, registers) run as native streaming aggregations.  Bounded top-k and
+bottom-j lists do not: they use ``transformWithState`` with a
+``StatefulProcessor``, the user-defined update function, with state kept in the
+RocksDB state store and checkpointed with the query.  Keys reach the processor as
+typed rows, so large ids beside NULLs stay what they are.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from mergestat.functions.kalman_math import GainTable, KalmanParams
-from mergestat.operators.kalman import _Gains
-
+from mergestat.operators.kalman import run_starts
 
 PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# The driver-side worker that prepares a state operator gets no shipped files, so
+# processors of this module travel by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+#: Rows that a task of the pre-reduction holds before it passes them on.
+HELD_ROWS = 500_000
 
 
 def use_rocksdb(spark) -> None:
@@ -38,30 +43,37 @@ def stateful(df: DataFrame, keys: Sequence[str], processor: StatefulProcessor,
              output_schema: T.StructType | str, mode: str = "Update") -> DataFrame:
     """Run a per-key state function over a (streaming) DataFrame."""
     use_rocksdb(df.sparkSession)
-    return df.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=processor, outputStructType=output_schema,
-        outputMode=mode, timeMode="None")
-
+    return df.groupBy(*keys).transformWithState(
+        statefulProcessor=processor, outputStructType=output_schema, outputMode=mode, timeMode="None")
 
-# ---------------------------------------------------------------- T3
 
 def local_extremes(keys: Sequence[str], value: str, k: int, j: int):
-    """Stateless pre-reduction for ``mapInPandas``: within each Arrow batch
-    keep only the k largest and j smallest values of every key, so a hot
-    key ships at most k+j rows per batch to the state operator."""
+    """Stateless pre-reduction for ``mapInArrow``: a task keeps the k largest and
+    j smallest values of every key over all its batches and sends them on once,
+    so a hot key ships at most k + j rows per task to the state operator."""
     keys = list(keys)
 
-    def fn(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            v = pdf[value]
-            pdf = pdf[v.notna() & ~np.isnan(v.astype(float))]
-            if pdf.empty:
-                continue
-            g = pdf.groupby(keys, dropna=False, sort=False)[value]
-            rank_desc = g.rank(method="first", ascending=False)
-            rank_asc = g.rank(method="first", ascending=True)
-            yield pdf[(rank_desc <= k) | (rank_asc <= j)]
-    return fn
+    def cut(t: pa.Table) -> pa.Table:
+        t = t.sort_by([*[(c, "ascending") for c in keys], (value, "ascending")]).combine_chunks()
+        if not t.num_rows:
+            return t
+        start = np.flatnonzero(run_starts([t.column(c).chunk(0) for c in keys], None))
+        size = np.diff(np.append(start, t.num_rows))
+        rank = np.arange(t.num_rows) - np.repeat(start, size)
+        return t.filter(pa.array((rank < j) | (np.repeat(size, size) - rank <= k)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for b in batches:
+            v = b.column(value).to_numpy(zero_copy_only=False).astype(float)
+            t = pa.Table.from_batches([b]).filter(pa.array(~np.isnan(v)))
+            held = cut(t if held is None else pa.concat_tables([held, t]))
+            if held.num_rows > HELD_ROWS:
+                yield from held.to_batches()
+                held = None
+        if held is not None:
+            yield from held.to_batches()
+    return run
 
 
 class ExtremesProcessor(StatefulProcessor):
@@ -75,24 +87,15 @@ class ExtremesProcessor(StatefulProcessor):
                                T.StructField("smallest", T.ArrayType(T.DoubleType()))])
         self.state = handle.getValueState("extremes", schema)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        vals = [pdf[self.value].to_numpy(dtype=float) for pdf in rows]
-        v = np.concatenate(vals) if vals else np.empty(0)
-        v = v[~np.isnan(v)]
-        if self.state.exists():
-            big, small = self.state.get()
-            big, small = list(big), list(small)
-        else:
-            big, small = [], []
-        big = sorted(np.concatenate([np.asarray(big, float), v]).tolist(), reverse=True)[:self.k]
-        small = sorted(np.concatenate([np.asarray(small, float), v]).tolist())[:self.j]
-        self.state.update(([float(x) for x in big], [float(x) for x in small]))
-        n = len(big) + len(small)
-        out = {kname: [kv] * n for kname, kv in zip(self.keys, key)}
-        out["side"] = ["largest"] * len(big) + ["smallest"] * len(small)
-        out["rank"] = list(range(1, len(big) + 1)) + list(range(1, len(small) + 1))
-        out[self.value] = big + small
-        yield pd.DataFrame(out)
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        big, small = map(list, self.state.get()) if self.state.exists() else ([], [])
+        for r in rows:                          # few: at most k + j of each task
+            big = sorted([*big, r[self.value]], reverse=True)[:self.k]
+            small = sorted([*small, r[self.value]])[:self.j]
+        self.state.update((big, small))
+        for side, values in (("largest", big), ("smallest", small)):
+            for rank, v in enumerate(values, 1):
+                yield Row(**dict(zip(self.keys, key)), side=side, rank=rank, **{self.value: v})
 
     def close(self) -> None:
         pass
@@ -100,78 +103,4 @@ class ExtremesProcessor(StatefulProcessor):
 
 def extremes_schema(key_fields: Sequence[T.StructField], value: str) -> T.StructType:
     return T.StructType([*key_fields, T.StructField("side", T.StringType()),
-                         T.StructField("rank", T.LongType()),
-                         T.StructField(value, T.DoubleType())])
-
-
-# ---------------------------------------------------------------- K4
-
-class KalmanProcessor(StatefulProcessor):
-    """Kalman estimate after every observation of one key.
-
-    Within a micro-batch a key's rows are filtered in ``order``; across
-    micro-batches in arrival order, so batches must arrive in time order
-    (``sources.feed_in_order``).  State: observation count and estimate —
-    the covariance is a function of the count (``GainTable``).
-    """
-
-    def __init__(self, keys: Sequence[str], z: str, order: Sequence[str],
-                 passthrough: Sequence[str] = (), params: KalmanParams = KalmanParams()):
-        self.keys, self.z, self.order = list(keys), z, list(order)
-        self.passthrough = list(passthrough)
-        self.params = params
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        schema = T.StructType([T.StructField("n", T.LongType()),
-                               T.StructField("x0", T.DoubleType()),
-                               T.StructField("x1", T.DoubleType())])
-        self.state = handle.getValueState("kalman", schema)
-        self.table = GainTable(self.params)
-        self.gains = _Gains(self.table)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True)
-        pdf = pdf[pdf[self.z].notna()].sort_values(self.order, kind="stable")
-        if pdf.empty:
-            return
-        if self.state.exists():
-            n, x0, x1 = self.state.get()
-        else:
-            n, (x0, x1) = 0, self.params.x_init
-        prm = self.params
-        dt, (ga0, ga1) = prm.dt, prm.ga
-        m = len(pdf)
-        steps = np.arange(n + 1, n + m + 1, dtype=np.int64)
-        idx = self.gains.index(steps)
-        k0s, k1s = self.gains.g0[idx].tolist(), self.gains.g1[idx].tolist()
-        r0, r1 = [], []
-        for z, k0, k1 in zip(pdf[self.z].astype(float).tolist(), k0s, k1s):
-            x0 = x0 + dt * x1 + ga0
-            x1 = x1 + ga1
-            y = z - x0
-            x0 = x0 + k0 * y
-            x1 = x1 + k1 * y
-            r0.append(x0)
-            r1.append(x1)
-        self.state.update((int(n + m), float(x0), float(x1)))
-        covs = self.gains.covs[idx]
-        out = {kname: [kv] * m for kname, kv in zip(self.keys, key)}
-        for c in self.passthrough:
-            out[c] = pdf[c].to_numpy()
-        out["step"] = steps
-        out["z"] = pdf[self.z].astype(float).to_numpy()
-        out["x0"], out["x1"] = r0, r1
-        for i, c in enumerate(("p00", "p01", "p10", "p11")):
-            out[c] = covs[:, i]
-        yield pd.DataFrame(out)
-
-    def close(self) -> None:
-        pass
-
-
-def kalman_schema(key_fields: Sequence[T.StructField],
-                  passthrough_fields: Sequence[T.StructField]) -> T.StructType:
-    return T.StructType([*key_fields, *passthrough_fields,
-                         T.StructField("step", T.LongType()), T.StructField("z", T.DoubleType()),
-                         *[T.StructField(c, T.DoubleType())
-                           for c in ("x0", "x1", "p00", "p01", "p10", "p11")]])
+                         T.StructField("rank", T.LongType()), T.StructField(value, T.DoubleType())])

@@ -51,6 +51,40 @@ def test_xxhash_method_runs(spark):
     assert abs(r["estimate"] - 2000) / 2000 < 0.4
 
 
+def test_estimates_are_finite_for_full_registers(spark):
+    for method, width in (("md5", 32), ("xxhash64", 64)):
+        last = 0.0
+        for rank in (5, 20, width - 7, width - 6, width - 5):
+            regs = spark.createDataFrame([("k", i, rank, 1) for i in range(64)], "label string, register int, rank long, n long")
+            e = distinct.hll_estimate(regs, "label", 64, method).first()["estimate"]
+            arr = regs.groupBy("label").agg(F.collect_list("rank").alias("a")).select(
+                distinct.estimate_from_array(F.col("a"), 64, method).alias("e")).first()["e"]
+            assert math.isfinite(e) and e >= last and e == arr
+            last = e
+        assert last > 2 ** 31
+
+
+def test_sixty_four_bits_reach_beyond_thirty_two(spark):
+    from mergestat.functions.hashing import rank_of, register_of
+    df = spark.createDataFrame([(-2 ** 63,), (0,), (-1,), (1 << 40,)], "h long")
+    out = df.select(register_of(F.col("h"), 6).alias("r"), rank_of(F.col("h"), 6, 64).alias("k")).collect()
+    assert [(x["r"], x["k"]) for x in out] == [(0, 58), (0, 59), (63, 1), (0, 35)]
+
+
+def test_error_report_keeps_null_and_large_keys_in_one_scan(spark):
+    from mergestat.plans.compare import plan_text
+    big = 2 ** 60
+    rows = [(k, v) for k in (big, big + 1, None) for v in range(40)] * 2 + [(big, None)]
+    df = spark.createDataFrame(rows, "label long, value long")
+    got = {r["label"]: r for r in distinct.hll_error_report(df, "label", "value", 64).collect()}
+    assert set(got) == {big, big + 1, None}
+    assert all((r["n"], r["exact"]) == (80, 40) and abs(r["rel_error"]) < 0.5 for r in got.values())
+    from tests.conftest import SF001
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    plan = plan_text(distinct.hll_error_report(ev, "event_type", "user_id"), "simple")
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+
+
 def test_library_sketch(spark):
     df = spark.range(3000).select(F.lit("a").alias("label"), F.col("id").alias("value"))
     r = distinct.distinct_sketch(df, "label", "value").collect()[0]

@@ -1,50 +1,40 @@
-"""k largest / j smallest: the reference's top-k job as a fixture."""
+"""k largest / j smallest against sorting."""
 
-import pytest
+import random
 
 from mergestat.operators import extremes
 from mergestat.plans.compare import plan_text
 
+BIG = 2 ** 60
 
-def _topk_rows():
-    rows, rid = [], 0
-    for b, i in enumerate([3, 2, 1, 2, 3, 4]):
-        for lab, vals in (("A", (float(i), i / 10)), ("B", (2.0 * i, i / 5))):
-            for v in vals:
-                rows.append((lab, v, b, rid))
-                rid += 1
-    return rows
 
+def test_lists_of_large_and_null_keys(spark):
+    r = random.Random(8)
+    rows = [(k, r.choice([None, float("nan"), float(r.randint(-9, 9))]), i)
+            for i, k in enumerate([BIG, BIG + 1, None, 4] * 40)] + [(5, -2.5, 900), (6, None, 901)]
+    df = spark.createDataFrame(rows, "label long, value double, id long").repartition(5)
+    got = {x["label"]: x for x in extremes.extremes_arrays(df, "label", "value", 4, 3, tiebreak=["id"]).collect()}
+    for k in {k for k, _, _ in rows} - {6}:
+        vs = sorted(v for key, v, _ in rows if key == k and v is not None and v == v)
+        assert (got[k]["largest"], got[k]["smallest"]) == (vs[::-1][:4], vs[:3])
+    assert 6 not in got
 
-def test_reference_fixture(spark):
-    df = spark.createDataFrame(_topk_rows(), "label string, value double, batch int, id long")
-    arr = {r["label"]: r for r in
-           extremes.extremes_arrays(df, "label", "value", 4, 3, tiebreak=["id"]).collect()}
-    assert arr["A"]["largest"] == [4.0, 3.0, 3.0, 2.0]
-    assert arr["A"]["smallest"] == pytest.approx([0.1, 0.2, 0.2])
-    assert arr["B"]["largest"] == [8.0, 6.0, 6.0, 4.0]
-    assert arr["B"]["smallest"] == pytest.approx([0.2, 0.4, 0.4])
-    first = df.where("batch = 0")
-    a1 = {r["label"]: r for r in extremes.extremes_arrays(first, "label", "value", 4, 3).collect()}
-    assert a1["A"]["largest"] == [3.0, 0.3] and a1["A"]["smallest"] == [0.3, 3.0]
 
+def test_smallest_integer_and_decimals(spark):
+    low = -2 ** 63
+    df = spark.createDataFrame([(low,), (5,), (2 ** 63 - 1,)], "value long").selectExpr("'a' as label", "value")
+    got = {(r["side"], r["rank"]): r["value"] for r in extremes.extremes(df, "label", "value", 1, 1).collect()}
+    assert got == {("largest", 1): 2 ** 63 - 1, ("smallest", 1): low}
 
-def test_fewer_than_k_nan_null_negative(spark):
-    df = spark.createDataFrame([("a", -5.0, 1), ("a", float("nan"), 2), ("a", None, 3),
-                                ("a", -7.0, 4)], "label string, value double, id long")
-    r = extremes.extremes_arrays(df, "label", "value", 4, 3, tiebreak=["id"]).collect()[0]
-    assert r["largest"] == [-5.0, -7.0]
-    assert r["smallest"] == [-7.0, -5.0]
 
-
-def test_plan_limits_before_shuffle(spark):
+def test_plan_limits_before_shuffle_and_scans_once(spark):
     from tests.conftest import SF001
     from mergestat.sources.tables import events_stream_view, table
     ev = events_stream_view(table(spark, SF001, "events"))
     plan = plan_text(extremes.k_largest(ev, "label", "value", 4, ["event_id"]))
-    assert "WindowGroupLimit" in plan
-    # the partial limit sits below the exchange
     assert plan.index("WindowGroupLimit") < plan.rindex("Exchange") or "Partial" in plan
+    both = plan_text(extremes.extremes(ev, "label", "value", 4, 3, ["event_id"]), "simple")
+    assert both.count("FileScan") == 1 and both.count("Exchange") == 1 and "WindowGroupLimit" in both
 
 
 def test_hot_key_with_ties_against_sorting(spark):

@@ -1,57 +1,127 @@
-"""State after every batch: the reference jobs' printed series."""
+"""State after every batch, against a plain computation over all earlier rows."""
+
+import datetime as dt
+import math
+import random
+import statistics
 
 import pytest
+from pyspark.sql import functions as F
 
-from mergestat.operators import history
+from mergestat.operators import distinct, history
 from mergestat.operators.histogram import Bins
 
+BIG = 2 ** 60
+
+
+def rows(seed=3, batches=9):
+    r = random.Random(seed)
+    out = []
+    for k in (BIG, BIG + 1, None, 7):
+        for _ in range(25):
+            b = r.choice([None, *range(2, batches)]) if k != 7 else r.randint(4, 5)
+            out.append((k, r.choice([None, float("nan") if k == 7 else 1.5, *(round(r.uniform(-50, 50), 2) for _ in range(6))]), b))
+    return out
+
+
+def frame(spark, data):
+    return spark.createDataFrame(data, "label long, value double, batch int")
+
+
+def upto(data):
+    """{(key, batch): values of all rows up to it} on the full grid."""
+    known = [b for _, _, b in data if b is not None]
+    out = {}
+    for k in {k for k, _, _ in data}:
+        mine = [(v, b) for key, v, b in data if key == k]
+        early = any(b is None for _, b in mine)
+        first = min(known) if early else min(b for _, b in mine)
+        if early:
+            out[k, None] = [v for v, b in mine if b is None]
+        for b in range(first, max(known) + 1):
+            out[k, b] = [v for v, x in mine if x is None or x <= b]
+    return out
+
+
+def got(df):
+    return {(r["label"], r["batch"]): r for r in df.collect()}
+
+
+def test_every_row_counts_in_every_statistic(spark):
+    data = [d for d in rows() if d[1] is None or not math.isnan(d[1])]
+    df, want = frame(spark, data), upto(data)
+    total = got(history.history_sum(df, "label", "value", "batch"))
+    mean = got(history.history_mean(df, "label", "value", "batch"))
+    var = got(history.history_variance(df, "label", "value", "batch"))
+    assert set(total) == set(mean) == set(var) == set(want)
+    for key, values in want.items():
+        vs = [v for v in values if v is not None]
+        assert total[key]["n"] == mean[key]["n"] == var[key]["n"] == len(vs)
+        if vs:
+            assert total[key]["sum"] == pytest.approx(sum(vs))
+            assert mean[key]["mean"] == pytest.approx(sum(vs) / len(vs))
+            assert var[key]["variance"] == pytest.approx(statistics.pvariance(vs), abs=1e-9)
+            assert var[key]["variance_sum_squares"] == pytest.approx(statistics.pvariance(vs), abs=1e-7)
+    last = max(b for _, b in want if b is not None)
+    assert sum(total[k, b]["n"] for k, b in total if b == last) == sum(v is not None for _, v, _ in data)
+
+
+def test_extremes(spark):
+    data = rows()
+    want = upto(data)
+    found = {}
+    for r in history.history_extremes(frame(spark, data), "label", "value", "batch", 4, 3).collect():
+        found.setdefault((r["label"], r["batch"], r["side"]), []).append((r["rank"], r["value"]))
+    expected = {}
+    for (k, b), values in want.items():
+        vs = sorted(v for v in values if v is not None and not math.isnan(v))
+        for side, top in (("largest", vs[::-1][:4]), ("smallest", vs[:3])):
+            if top:
+                expected[k, b, side] = list(enumerate(top, 1))
+    assert {k: sorted(v) for k, v in found.items()} == expected
+
+
+@pytest.mark.parametrize("method", ["md5", "xxhash64"])
+def test_distinct_counts(spark, method):
+    data = rows()
+    df, want = frame(spark, data), upto(data)
+    found = got(history.history_hll(df, "label", "value", "batch", 16, method))
+    assert set(found) == set(want)
+    for key, values in want.items():
+        one = spark.createDataFrame([(v,) for v in values], "value double").withColumn("k", F.lit(1))
+        e = distinct.hll_distinct(one, "k", "value", 16, method).collect()
+        assert found[key]["n"] == (e[0]["n"] if e else 0)
+        assert found[key]["estimate"] == pytest.approx(e[0]["estimate"] if e else 0.0)
+
+
+def test_histogram(spark):
+    data = rows(5)
+    bins = Bins(edges=[-40.0, -10.0, 0.0, 5.0, 30.0])
+    found = got(history.history_histogram_median(frame(spark, data), "label", "value", "batch", bins))
+    for key, values in upto(data).items():
+        vs = sorted(v for v in values if v is not None and not math.isnan(v))
+        assert found[key]["n"] == len(vs)
+        if vs:
+            mid = vs[len(vs) // 2]
+            want = next(((a + b) / 2 for a, b in zip(bins.edges, bins.edges[1:]) if a <= mid < b), None)
+            assert found[key]["median_estimate"] == want
+
+
+def test_only_rows_without_a_batch(spark):
+    df = frame(spark, [(1, 2.0, None), (1, 3.0, None)])
+    assert [tuple(r) for r in history.history_sum(df, "label", "value", "batch").collect()] == [(1, None, 2, 5.0)]
+    assert history.history_sum(frame(spark, []), "label", "value", "batch").collect() == []
+
 
-def test_sum_history_fixture(spark):
-    rows = []
-    for i in (1, 2, 3):
-        rows += [("A", 1.0, i), ("A", 0.1, i), ("A", 0.01, i), ("B", float(i), i), ("B", -float(i), i)]
-    df = spark.createDataFrame(rows, "label string, value double, batch int")
-    h = {(r["label"], r["batch"]): r["sum"] for r in
-         history.history_sum(df, "label", "value", "batch").collect()}
-    assert [h[("A", b)] for b in (1, 2, 3)] == pytest.approx([1.11, 2.22, 3.33])
-    assert [h[("B", b)] for b in (1, 2, 3)] == pytest.approx([0, 0, 0])
-
-
-def test_mean_history_fixture(spark):
-    rows = []
-    for i in range(1, 8):
-        rows += [("A", float(i), i)] * 4 + [("B", float(i), i), ("B", -float(i), i)]
-    df = spark.createDataFrame(rows, "label string, value double, batch int")
-    h = {(r["label"], r["batch"]): r for r in history.history_mean(df, "label", "value", "batch").collect()}
-    assert [h[("A", i)]["mean"] for i in range(1, 8)] == pytest.approx([1, 1.5, 2, 2.5, 3, 3.5, 4])
-    assert [h[("A", i)]["n"] for i in range(1, 8)] == [4 * i for i in range(1, 8)]
-    assert all(h[("B", i)]["mean"] == 0 and h[("B", i)]["n"] == 2 * i for i in range(1, 8))
-
-
-def test_variance_history_fixture(spark):
-    rows = []
-    for i in range(10):
-        rows += [("A", float(i), i), ("A", -float(i), i)]
-    df = spark.createDataFrame(rows, "label string, value double, batch int")
-    h = {r["batch"]: r for r in history.history_variance(df, "label", "value", "batch").collect()}
-    expect = [0, .5, 1.6666666666666667, 3.5, 6, 9.166666666666666, 13, 17.5, 22.666666666666668, 28.5]
-    assert [h[i]["variance"] for i in range(10)] == pytest.approx(expect, abs=1e-9)
-    assert [h[i]["n"] for i in range(10)] == [2 * (i + 1) for i in range(10)]
-
-
-def test_quiet_keys_repeat_state(spark):
-    df = spark.createDataFrame([("A", 1.0, 1), ("B", 2.0, 2), ("A", 3.0, 4)],
-                               "label string, value double, batch int")
-    h = {(r["label"], r["batch"]): r["sum"] for r in
-         history.history_sum(df, "label", "value", "batch").collect()}
-    assert h == {("A", 1): 1.0, ("A", 2): 1.0, ("A", 3): 1.0, ("A", 4): 4.0,
-                 ("B", 2): 2.0, ("B", 3): 2.0, ("B", 4): 2.0}
-
-
-def test_histogram_history(spark):
-    rows = [("k", 0.5, 1), ("k", 1.5, 1), ("k", 3.5, 2), ("k", 3.6, 2), ("k", 3.7, 3)]
-    df = spark.createDataFrame(rows, "label string, value double, batch int")
-    b = Bins(edges=[0.0, 1.0, 2.0, 3.0, 4.0])
-    h = {r["batch"]: r for r in history.history_histogram_median(df, "label", "value", "batch", b).collect()}
-    assert [h[i]["n"] for i in (1, 2, 3)] == [2, 4, 5]
-    assert [h[i]["median_estimate"] for i in (1, 2, 3)] == [1.5, 3.5, 3.5]
+def test_dates_are_snapped_to_the_step(spark):
+    days = [dt.date(2024, 1, 3), dt.date(2024, 1, 17), dt.date(2024, 3, 31), None]
+    df = spark.createDataFrame([(1, float(i), d) for i, d in enumerate(days)], "label long, value double, batch date")
+    week = history.history_sum(df, "label", "value", "batch", step="1 week").orderBy("batch").collect()
+    assert week[0]["batch"] is None and [r["batch"].weekday() for r in week[1:]] == [0] * (len(week) - 1)
+    assert (week[1]["batch"], week[-1]["batch"], week[-1]["n"]) == (dt.date(2024, 1, 1), dt.date(2024, 3, 25), 4)
+    month = history.history_sum(df, "label", "value", "batch", step="2 months").orderBy("batch").collect()
+    assert [(r["batch"], r["n"]) for r in month] == [(None, 1), (dt.date(2024, 1, 1), 3), (dt.date(2024, 3, 1), 4)]
+    with pytest.raises(ValueError):
+        history.history_sum(df, "label", "value", "batch", step="5 minutes")
+    with pytest.raises(TypeError):
+        history.history_sum(df.withColumn("t", F.col("batch").cast("timestamp")), "label", "value", "t")

@@ -1,178 +1,133 @@
-"""Kalman filter: the reference job's 66-step trajectory, and the segmented
-scan against a plain sequential run — including one key cut into many
-partitions."""
-
-import datetime as dt
+"""Kalman filter: the segmented scan against a plain sequential run."""
 
 import numpy as np
 import pytest
 
-from mergestat.functions.kalman_math import GainTable, KalmanParams, step
+from mergestat.functions.kalman_math import Gains, KalmanParams, gain_and_update_cov, predict_cov, step
 from mergestat.operators import kalman
+from mergestat.plans.compare import plan_text
 
 PRM = KalmanParams()
+BIG = 2 ** 60
 
 
-def _trajectory(n=66):
-    pos, vel, out = 30.0, -9.0, []
-    for t in range(1, n + 1):
-        pos, vel = pos + vel + 1.5, vel + 3
-        out.append((pos, vel, pos + 1.0))
-    return out
-
-
-def _sequential(zs):
-    x, p, out = PRM.x_init, PRM.p_init, []
+def sequential(zs, prm=PRM, x=None, p=None):
+    x, p, out = x or prm.x_init, p or prm.p_init, []
     for z in zs:
-        x, p = step(x, p, z, PRM)
+        x, p = step(x, p, z, prm)
         out.append((x, p))
     return out
 
 
-def test_fixture_trajectory(spark):
-    traj = _trajectory()
-    t0 = dt.datetime(2024, 1, 1)
-    rows = [("k", t0 + dt.timedelta(seconds=i), i, z) for i, (_, _, z) in enumerate(traj)]
-    df = spark.createDataFrame(rows, "label string, ts timestamp, event_id long, z double")
-    tr = {r["step"]: r for r in kalman.kalman_trace(df, "label", "z").collect()}
-    assert tr[1]["x0"] == pytest.approx(22.236842, abs=1e-6)
-    assert tr[1]["x1"] == pytest.approx(9.315789, abs=1e-6)
-    assert (tr[1]["p00"], tr[1]["p01"], tr[1]["p11"]) == pytest.approx((.447368, .263158, 1.684211), abs=1e-6)
-    assert tr[2]["x0"] == pytest.approx(21.061776, abs=1e-6)
-    assert tr[3]["x1"] == pytest.approx(0.612727, abs=1e-6)
-    assert tr[10]["x0"] == pytest.approx(91.004084, abs=1e-6)
-    assert tr[66]["x0"] == pytest.approx(5971.0, abs=1e-6)
-    assert tr[66]["x1"] == pytest.approx(189.0, abs=1e-6)
-    assert tr[66]["p00"] == pytest.approx(.402603, abs=1e-6)
-    fin = kalman.kalman_final(df, "label", "z").collect()[0]
-    assert fin["n"] == 66 and fin["x0"] == pytest.approx(tr[66]["x0"], abs=1e-9)
+def close(a, b):
+    return a == pytest.approx(b, rel=1e-9, abs=1e-9)
 
 
-@pytest.mark.parametrize("parts", [1, 3, 11])
-def test_hot_key_split_over_partitions(spark, parts):
-    """One key holding most rows, range-cut into many partitions, gives the
-    sequential answer."""
-    rng = np.random.default_rng(7)
-    n_hot, rows = 1500, []
-    zs_hot = rng.normal(0, 50, n_hot).cumsum()
-    for i, z in enumerate(zs_hot):
-        rows.append(("hot", i, float(z)))
-    small = {}
-    for i in range(120):
-        k = f"k{i % 7}"
-        z = float(rng.normal())
-        small.setdefault(k, []).append(z)
-        rows.append((k, 10_000 + i, z))
-    df = spark.createDataFrame(rows, "label string, event_id long, z double")
-    tr = kalman.kalman_trace(df, "label", "z", order=["event_id"], num_partitions=parts)
+def frame(spark, keyed, key="long"):
+    """Rows (key, event_id, z, tag) of {key: observations}; tag is a large or NULL id."""
+    rows, e = [], 0
+    for k, zs in keyed.items():
+        for z in zs:
+            rows.append((k, e, None if z is None else float(z), BIG + e if e % 3 else None))
+            e += 1
+    return spark.createDataFrame(rows, f"label {key}, event_id long, z double, tag long")
+
+
+def checked(trace, keyed, prm=PRM):
     got = {}
-    for r in tr.collect():
-        got.setdefault(r["label"], []).append((r["step"], r["x0"], r["x1"]))
-    expect = {"hot": _sequential(zs_hot), **{k: _sequential(v) for k, v in small.items()}}
-    for k, seq in expect.items():
-        g = sorted(got[k])
-        assert [s for s, _, _ in g] == list(range(1, len(seq) + 1))
-        for (s, x0, x1), (xe, _) in zip(g, seq):
-            assert x0 == pytest.approx(xe[0], rel=1e-9, abs=1e-9)
-            assert x1 == pytest.approx(xe[1], rel=1e-9, abs=1e-9)
-    fin = {r["label"]: r for r in
-           kalman.kalman_final(df, "label", "z", order=["event_id"], num_partitions=parts).collect()}
-    assert fin["hot"]["n"] == n_hot
-    assert fin["hot"]["x0"] == pytest.approx(expect["hot"][-1][0][0], rel=1e-9)
-
-
-def test_null_observations_skipped(spark):
-    df = spark.createDataFrame([("a", 1, 1.0), ("a", 2, None), ("a", 3, 2.0)],
-                               "label string, event_id long, z double")
-    fin = kalman.kalman_final(df, "label", "z", order=["event_id"]).collect()[0]
-    assert fin["n"] == 2
-    assert fin["x0"] == pytest.approx(_sequential([1.0, 2.0])[-1][0][0])
-
-
-def test_gain_table_cycle_indexing():
-    gt = GainTable(PRM)
-    assert gt.repeat_of is not None
-    # at(t) follows the plain recursion far past the stored table
-    from mergestat.functions.kalman_math import gain_and_update_cov, predict_cov
-    p = PRM.p_init
-    for t in range(1, 300):
-        k, p = gain_and_update_cov(predict_cov(p, PRM), PRM)
-        assert gt.at(t) == (k, p)
-    short = GainTable(PRM, limit=5)
-    assert short.gains_from(3, 10)[0] == gt.gains_from(3, 10)[0]
+    for r in trace.collect():
+        got.setdefault(r["label"], []).append(r)
+    assert set(got) == {k for k, zs in keyed.items() if any(z is not None for z in zs)}
+    for k, rows in got.items():
+        rows.sort(key=lambda r: r["step"])
+        want = sequential([z for z in keyed[k] if z is not None], prm)
+        assert [r["step"] for r in rows] == list(range(1, len(want) + 1))
+        for r, (x, p) in zip(rows, want):
+            assert close((r["x0"], r["x1"]), x) and close((r["p00"], r["p01"], r["p10"], r["p11"]), p)
+
+
+def walk(seed, n, scale=20):
+    return np.random.default_rng(seed).normal(0, scale, n).cumsum().tolist()
+
+
+@pytest.mark.parametrize("parts", [1, 3, 11])
+def test_hot_key_and_large_ids_beside_null(spark, parts):
+    """Ids that differ in the last bit stay apart, NULL is a key, one key spans partitions."""
+    keyed = {BIG: walk(1, 40), BIG + 1: walk(2, 1500), None: walk(3, 70), 5: [1.0, None, 2.0], 6: [None],
+             **{100 + k: walk(k, 1 + k % 4) for k in range(60)}}
+    df = frame(spark, keyed)
+    trace = kalman.kalman_trace(df, "label", "z", ["event_id"], num_partitions=parts, passthrough=["event_id", "tag"])
+    checked(trace, keyed)
+    tags = {r["event_id"]: r["tag"] for r in trace.collect()}
+    assert all(t == (BIG + e if e % 3 else None) for e, t in tags.items())
+    fin = {r["label"]: r for r in kalman.kalman_final(df, "label", "z", ["event_id"], num_partitions=parts).collect()}
+    for k, zs in keyed.items():
+        zs = [z for z in zs if z is not None]
+        if zs:
+            (x, p), r = sequential(zs)[-1], fin.pop(k)
+            assert r["n"] == len(zs) and close((r["x0"], r["x1"]), x) and close(r["p11"], p[3])
+    assert not fin
+
+
+@pytest.mark.parametrize("prm", [PRM, KalmanParams(dt=0.01), KalmanParams(sigma=1e-6), KalmanParams(sigma=0.0),
+                                 KalmanParams(r=100.0), KalmanParams(sigma=0.0, p_init=(3.0, 0.5, 0.5, 1.0))])
+def test_parameters(spark, prm):
+    keyed = {"hot": walk(4, 2500, 5), "b": walk(5, 3), "c": walk(6, 64), "d": walk(7, 65), "e": walk(8, 128)}
+    checked(kalman.kalman_trace(frame(spark, keyed, "string"), "label", "z", ["event_id"], prm, num_partitions=5), keyed, prm)
+
+
+def test_gains_follow_the_recursion():
+    for prm, steps in ((PRM, 300), (KalmanParams(sigma=1e-6), 3000), (KalmanParams(sigma=0.0), 5000), (KalmanParams(dt=0.01), 3000)):
+        p, want = prm.p_init, []
+        for _ in range(steps):
+            k, p = gain_and_update_cov(predict_cov(p, prm), prm)
+            want.append((*k, *p))
+        k0, k1, cov = Gains(prm).at(np.arange(1, steps + 1))
+        assert np.allclose(np.column_stack([k0, k1, cov]), want, rtol=1e-8, atol=1e-12)
+
+
+def test_two_column_keys(spark):
+    rows = [(a, b, i, float(i * i % 17)) for i, (a, b) in enumerate([("x", 1), ("x", None), (None, 1), ("x", 1), (None, None)] * 30)]
+    df = spark.createDataFrame(rows, "a string, b long, event_id long, z double")
+    got = {(r["a"], r["b"]): r for r in kalman.kalman_final(df, ["a", "b"], "z", ["event_id"], num_partitions=4).collect()}
+    assert len(got) == 4
+    for k, r in got.items():
+        zs = [z for a, b, _, z in rows if (a, b) == k]
+        assert r["n"] == len(zs) and close((r["x0"], r["x1"]), sequential(zs)[-1][0])
 
 
 @pytest.mark.parametrize("parts", [1, 5, 11])
 def test_resume_from_initial_equals_whole(spark, parts):
-    """Filtering the first part, then the rest from the first part's final
-    state, equals one run over everything — hot key included."""
-    rng = np.random.default_rng(11)
-    rows = [("hot", i, float(z)) for i, z in enumerate(rng.normal(0, 30, 900).cumsum())]
-    rows += [(f"k{i % 5}", 5_000 + i, float(rng.normal())) for i in range(60)]
-    df = spark.createDataFrame(rows, "label string, event_id long, z double")
-    whole = {(r["label"], r["event_id"]): r for r in
-             kalman.kalman_trace(df, "label", "z", order=["event_id"], num_partitions=parts).collect()}
-    cut_hot, cut_small = 400, 5_030
-    first = df.where(((df.label == "hot") & (df.event_id < cut_hot)) |
-                     ((df.label != "hot") & (df.event_id < cut_small)))
-    rest = df.subtract(first)
-    init = kalman.kalman_final(first, "label", "z", order=["event_id"], num_partitions=parts)
-    got = kalman.kalman_trace(rest, "label", "z", order=["event_id"], num_partitions=parts,
-                              initial=init.select("label", "n", "x0", "x1")).collect()
-    assert len(got) == rest.count()
+    keyed = {BIG: walk(11, 900, 30), None: walk(12, 50), BIG + 1: walk(13, 9), 3: walk(14, 4)}
+    df = frame(spark, keyed)
+    whole = {r["event_id"]: r for r in kalman.kalman_trace(df, "label", "z", ["event_id"], num_partitions=parts).collect()}
+    first = df.where("event_id % 1000 < 400 and label is not null or event_id < 925")
+    rest = df.join(first.select("event_id"), "event_id", "left_anti")
+    init = kalman.kalman_final(first, "label", "z", ["event_id"], num_partitions=parts).select("label", "n", "x0", "x1")
+    got = kalman.kalman_trace(rest, "label", "z", ["event_id"], num_partitions=parts, initial=init).collect()
+    assert len(got) == rest.count() > 0
     for r in got:
-        w = whole[(r["label"], r["event_id"])]
-        assert r["step"] == w["step"]
-        assert r["x0"] == pytest.approx(w["x0"], rel=1e-9, abs=1e-9)
-        assert r["x1"] == pytest.approx(w["x1"], rel=1e-9, abs=1e-9)
-        assert r["p00"] == w["p00"]
+        w = whole[r["event_id"]]
+        assert r["step"] == w["step"] and close((r["x0"], r["x1"]), (w["x0"], w["x1"])) and close(r["p00"], w["p00"])
 
 
 def test_initial_for_key_without_new_rows_is_ignored(spark):
     df = spark.createDataFrame([("a", 1, 1.0), ("a", 2, 2.0)], "label string, event_id long, z double")
-    init = spark.createDataFrame([("a", 3, 5.0, 1.0), ("b", 7, 1.0, 1.0)],
-                                 "label string, n long, x0 double, x1 double")
+    init = spark.createDataFrame([("a", 3, 5.0, 1.0), ("b", 7, 1.0, 1.0)], "label string, n long, x0 double, x1 double")
     out = kalman.kalman_trace(df, "label", "z", order=["event_id"], initial=init).collect()
-    assert sorted(r["step"] for r in out) == [4, 5]
-    assert {r["label"] for r in out} == {"a"}
-    x, p = (5.0, 1.0), GainTable(PRM).at(3)[1]
-    for zv in (1.0, 2.0):
-        x, p = step(x, p, zv, PRM)
-    assert max(out, key=lambda r: r["step"])["x0"] == pytest.approx(x[0], rel=1e-12)
-
-
-def test_two_pass_fallback_without_fixed_point(spark, monkeypatch):
-    """When the gain recursion shows no fixed point the scan falls back to
-    counting first and composing with known offsets; same answer."""
-    from mergestat.functions.kalman_math import gain_and_update_cov, predict_cov
-
-    class NoRepeat(GainTable):
-        def __init__(self, prm, limit=100_000):
-            super().__init__(prm, limit)
-            p = self.covs[-1]
-            while len(self.gains) < 3000:
-                k, p = gain_and_update_cov(predict_cov(p, prm), prm)
-                self.gains.append(k)
-                self.covs.append(p)
-            self.repeat_of = None
-
-    monkeypatch.setattr(kalman, "GainTable", NoRepeat)
-    rng = np.random.default_rng(3)
-    zs = rng.normal(0, 20, 1200).cumsum()
-    rows = [("hot", i, float(z)) for i, z in enumerate(zs)] + [("b", 9000, 1.0)]
-    df = spark.createDataFrame(rows, "label string, event_id long, z double")
-    got = sorted((r["step"], r["x0"]) for r in
-                 kalman.kalman_trace(df, "label", "z", order=["event_id"], num_partitions=5)
-                 .where("label = 'hot'").collect())
-    seq = _sequential(zs)
-    assert [s for s, _ in got] == list(range(1, 1201))
-    for (s, x0), (xe, _) in zip(got, seq):
-        assert x0 == pytest.approx(xe[0], rel=1e-9, abs=1e-9)
+    assert sorted((r["label"], r["step"]) for r in out) == [("a", 4), ("a", 5)]
+    p = tuple(Gains(PRM).at(np.array([3]))[2][0])
+    want = sequential([1.0, 2.0], x=(5.0, 1.0), p=p)[-1][0]
+    assert close((max(out, key=lambda r: r["step"])["x0"]), want[0])
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "label long, event_id long, z double")
+    assert kalman.kalman_final(df, "label", "z", ["event_id"]).collect() == []
 
 
 def test_lineitem_hot_query_against_sequential(spark):
-    """The registered hot-key query (no SQL oracle) against a plain
-    sequential filter over the same rows in the same order."""
+    """The registered hot-key query against a sequential filter over the same rows."""
     import duckdb
     from mergestat.plans.catalog import q_kalman_lineitem_hot
     from tests.conftest import SF001
@@ -181,46 +136,26 @@ def test_lineitem_hot_query_against_sequential(spark):
         f"SELECT l_returnflag, l_quantity FROM '{SF001}/lineitem.parquet' "
         "WHERE l_quantity IS NOT NULL "
         "ORDER BY l_returnflag, l_shipdate, l_orderkey, l_linenumber").fetchall()
-    seq = {}
-    for k, z in rows:
-        x, p, n = seq.get(k, (PRM.x_init, PRM.p_init, 0))
-        x, p = step(x, p, z, PRM)
-        seq[k] = (x, p, n + 1)
-    assert set(got) == set(seq)
-    for k, (x, p, n) in seq.items():
-        assert got[k]["n"] == n
-        assert got[k]["x0"] == pytest.approx(round(x[0], 6), abs=2e-6)
-        assert got[k]["x1"] == pytest.approx(round(x[1], 6), abs=2e-6)
+    assert set(got) == {k for k, _ in rows}
+    for k, r in got.items():
+        zs = [z for key, z in rows if key == k]
+        x, _ = sequential(zs)[-1]
+        assert r["n"] == len(zs) and (r["x0"], r["x1"]) == pytest.approx(tuple(round(v, 6) for v in x), abs=2e-6)
 
 
 def test_hot_key_is_spread_evenly_over_partitions(spark):
-    """The staging range partitioning cuts one dominant key into partitions
-    of similar size instead of sending it to one task."""
     from pyspark.sql import functions as F
-    rows = [("hot", i, float(i % 17)) for i in range(3000)] + \
-           [(f"k{i}", 10_000 + i, 1.0) for i in range(300)]
-    df = spark.createDataFrame(rows, "label string, event_id long, z double")
+    df = spark.range(3000).selectExpr("'hot' as label", "id as event_id", "cast(id % 17 as double) as z").union(
+        spark.range(300).selectExpr("concat('k', id)", "10000 + id", "1d"))
     staged = kalman._stage(df, ["label"], ["event_id"], "z", [], 6)
     sizes = [r["c"] for r in staged.groupBy("_pid").agg(F.count("*").alias("c")).collect()]
-    assert len(sizes) == 6
-    assert max(sizes) < 2.5 * (3300 / 6)
-    hot_parts = staged.where("label = 'hot'").select("_pid").distinct().count()
-    assert hot_parts >= 5
-
-
-def test_gain_table_without_repeat_extends_on_demand():
-    """No cap on steps: without a detected repeat the table grows exactly."""
-    from mergestat.functions.kalman_math import gain_and_update_cov, predict_cov
-    short = GainTable(PRM, limit=5)
-    short.repeat_of = None
-    gs = kalman._Gains(short)
-    idx = gs.index(np.array([1, 40, 300]))
-    p = PRM.p_init
-    ref = []
-    for t in range(1, 301):
-        k, p = gain_and_update_cov(predict_cov(p, PRM), PRM)
-        ref.append((k, p))
-    assert len(short) >= 300
-    for t, i in zip([1, 40, 300], idx):
-        assert (gs.g0[i], gs.g1[i]) == ref[t - 1][0]
-        assert tuple(gs.covs[i]) == ref[t - 1][1]
+    assert len(sizes) == 6 and max(sizes) < 2.5 * (3300 / 6)
+    assert staged.where("label = 'hot'").select("_pid").distinct().count() >= 5
+
+
+def test_segments_are_at_most_two_rows_per_partition(spark):
+    df = spark.range(5000).selectExpr("id % 3 as label", "id as event_id", "cast(id % 17 as double) as z")
+    staged = kalman._stage(df, ["label"], ["event_id"], "z", [], 7).select("label", "_z", "_pid")
+    counts = staged.mapInArrow(kalman._counts(["label"]), "label long, _pid int, _first boolean, _n long").collect()
+    assert len(counts) <= 2 * 7
+    assert "Python" not in plan_text(staged)

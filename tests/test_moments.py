@@ -1,98 +1,82 @@
-"""Sums, means and variances: the reference's variance tests plus merge laws."""
+"""Sums, means and variances against the statistics module; merge laws."""
 
 import math
+import random
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
 
-from mergestat.functions.moments import merge_moments, merge_moments_py, variance_of
+from mergestat.functions.moments import merge_moments, variance_of
 from mergestat.operators import moments
 
-
-def _var(spark, values):
-    df = spark.createDataFrame([("a", float(v)) for v in values], "label string, value double")
-    return moments.running_variance(df, "label", "value").collect()[0]
-
-
-@pytest.mark.parametrize("values,expected", [
-    ([-5, -4, -3], 2 / 3),
-    ([0, 0, 0], 0.0),
-    ([-2, 2, -4, 4], 10.0),
-    ([-1, 3, -2, 4], 6.5),
-    ([0, 4, -1, 5], 6.5),
-    (list(range(-2, 16)), 26.916666666666668),
-    (list(range(-5, 16)), 36.666666666666664),
-    ([1], 0.0),
-    ([1, 2], 0.25),
-])
-def test_known_variances(spark, values, expected):
-    r = _var(spark, values)
-    assert r["variance"] == pytest.approx(expected, abs=1e-9)
-    assert r["stddev"] == pytest.approx(math.sqrt(expected), abs=1e-9)
-
-
-def test_mean_of_range(spark):
-    r = _var(spark, range(-2, 16))
-    assert r["mean"] == pytest.approx(6.5)
-    assert r["n"] == 18
-
-
-def test_merge_every_split_equals_whole():
-    """Merge of the parts = the whole, at every split point (tolerance 1e-9)."""
-    vals = [float(v) for v in range(-5, 16)]
-
-    def state(xs):
-        n = len(xs)
-        if n == 0:
-            return (0, 0.0, 0.0)
-        m = sum(xs) / n
-        return (n, m, sum((x - m) ** 2 for x in xs))
-    whole = state(vals)
-    for i in range(0, len(vals) + 1):
-        n, m, q = merge_moments_py(state(vals[:i]), state(vals[i:]))
-        assert n == whole[0]
-        assert q / n == pytest.approx(36.666666666666664, abs=1e-9)
-        assert m == pytest.approx(whole[1], abs=1e-12)
-
-
-def test_merge_with_empty_is_identity():
-    assert merge_moments_py((0, 0.0, 0.0), (1, 3.0, 0.0)) == (1, 3.0, 0.0)
-
-
-def test_merge_moments_column_form(spark):
-    df = spark.createDataFrame([(3, 1.0, 2.0, 2, 4.0, 1.0)], "na long, ma double, qa double, "
-                               "nb long, mb double, qb double")
-    a = F.struct(F.col("na").alias("n"), F.col("ma").alias("mean"), F.col("qa").alias("m2"))
-    b = F.struct(F.col("nb").alias("n"), F.col("mb").alias("mean"), F.col("qb").alias("m2"))
-    r = df.select(merge_moments(a, b).alias("s")).select("s.*", variance_of(F.col("s")).alias("v"))
-    row = r.collect()[0]
-    exp = merge_moments_py((3, 1.0, 2.0), (2, 4.0, 1.0))
-    assert (row["n"], row["mean"], row["m2"]) == pytest.approx(exp)
-
-
-def test_pairwise_merge_matches_whole(spark):
-    vals = [float(v) for v in range(-5, 16)]
-    rows = [("k", v, "L" if i < 7 else "R") for i, v in enumerate(vals)]
-    df = spark.createDataFrame(rows, "label string, value double, part string")
-    a = moments.running_variance(df.where("part = 'L'"), "label", "value")
-    b = moments.running_variance(df.where("part = 'R'"), "label", "value")
-    r = moments.pairwise_merge(a, b, "label").collect()[0]
-    assert r["n"] == 21
-    assert r["variance"] == pytest.approx(36.666666666666664, abs=1e-9)
-
-
-def test_sum_fixture_per_batch(spark):
-    """Sum job: A gets 1, 0.1, 0.01 each batch; B gets i and -i."""
-    rows = []
-    for i in (1, 2, 3):
-        rows += [("A", 1.0, i), ("A", 0.1, i), ("A", 0.01, i), ("B", float(i), i), ("B", -float(i), i)]
-    df = spark.createDataFrame(rows, "label string, value double, batch int")
-    per = {(r["batch"], r["label"]): r["sum"] for r in
-           moments.batch_sum(df, "label", "value", "batch").collect()}
-    assert per[(2, "A")] == pytest.approx(1.11)
-    assert per[(3, "B")] == pytest.approx(0.0)
-    tot = {r["label"]: r["sum"] for r in moments.running_sum(df, "label", "value").collect()}
-    assert tot == pytest.approx({"A": 3.33, "B": 0.0})
+BIG = 2 ** 60
+
+
+def data(seed=1):
+    r = random.Random(seed)
+    keys = [BIG, BIG + 1, None, 3]
+    return [(r.choice(keys), r.choice([None, r.gauss(1e4, 3)]), r.choice("xyz")) for _ in range(400)] + [(9, 2.5, "x")]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "label long, value double, part string")
+
+
+def values(rows, key, part=None):
+    return [v for k, v, p in rows if k == key and v is not None and (part is None or p in part)]
+
+
+def test_moments_per_key(spark):
+    rows = data()
+    got = {r["label"]: r for r in moments.running_variances(frame(spark, rows), "label", "value").collect()}
+    assert set(got) == {k for k, _, _ in rows}
+    for k, r in got.items():
+        vs = values(rows, k)
+        assert r["n"] == len(vs) and r["mean"] == pytest.approx(statistics.fmean(vs))
+        assert r["variance"] == pytest.approx(statistics.pvariance(vs), rel=1e-9, abs=1e-12)
+        assert r["stddev"] == pytest.approx(statistics.pstdev(vs), rel=1e-9, abs=1e-9)
+        assert r["variance_sum_squares"] == pytest.approx(statistics.pvariance(vs), abs=1e-5)
+
+
+def test_merge_of_parts_is_the_whole(spark):
+    """Large, NULL and one-sided keys: one merged row each."""
+    rows = data(2) + [(11, 4.0, "y"), (12, None, "x"), (13, None, "y")]
+    df = frame(spark, rows)
+    a = moments.running_variance(df.where("part = 'x'"), "label", "value")
+    b = moments.running_variance(df.where("part <> 'x'"), "label", "value")
+    got = moments.pairwise_merge(a, b, "label").collect()
+    assert len(got) == len({k for k, _, _ in rows})
+    for r in got:
+        vs = values(rows, r["label"])
+        assert r["n"] == len(vs)
+        if vs:
+            assert r["mean"] == pytest.approx(statistics.fmean(vs))
+            assert r["variance"] == pytest.approx(statistics.pvariance(vs), rel=1e-9, abs=1e-12)
+        else:
+            assert r["mean"] is None and r["variance"] is None
+
+
+def test_merge_moments_is_associative_with_identity(spark):
+    rows = [(2, 1.5, 3.0), (0, None, None), (5, -2.0, 0.5), (1, 1e6, 0.0)]
+    df = spark.createDataFrame([(rows,)], "s array<struct<n:long,mean:double,m2:double>>")
+    left = F.reduce("s", F.col("s")[1], merge_moments)
+    right = F.reduce(F.reverse("s"), F.col("s")[1], lambda a, b: merge_moments(b, a))
+    r = df.select(left.alias("l"), right.alias("r"), variance_of(left).alias("v")).first()
+    assert r["l"]["n"] == r["r"]["n"] == 8
+    assert tuple(r["l"]) == pytest.approx(tuple(r["r"]))
+    assert r["v"] == pytest.approx(r["l"]["m2"] / 8)
+
+
+def test_sum_per_batch_and_in_all(spark):
+    rows = data(4)
+    df = frame(spark, rows)
+    per = {(r["batch"], r["label"]): r["sum"] for r in moments.batch_sum(df, "label", "value", "part").collect()}
+    for (p, k), s in per.items():
+        vs = values(rows, k, p)
+        assert s is None if not vs else s == pytest.approx(sum(vs))
+    total = {r["label"]: r["sum"] for r in moments.running_sum(df, "label", "value").collect()}
+    assert total == pytest.approx({k: sum(values(rows, k)) for k in {k for k, _, _ in rows}})
 
 
 def test_nulls_ignored_and_nan_propagates(spark):

@@ -1,4 +1,4 @@
-"""Property tests: merge of parts = whole for any data and any split."""
+"""Property tests: a run cut anywhere equals the whole."""
 
 import math
 
@@ -6,65 +6,41 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from mergestat.functions.kalman_math import GainTable, KalmanParams, step
-from mergestat.functions.moments import merge_moments_py
+from mergestat.functions.kalman_math import KalmanParams, step
+from mergestat.operators import kalman
 
 finite = st.floats(min_value=-1e6, max_value=1e6, allow_nan=False, allow_infinity=False)
+PRM = KalmanParams()
 
 
-def _state(xs):
-    if not xs:
-        return (0, 0.0, 0.0)
-    a = np.asarray(xs, dtype=float)
-    return (len(a), float(a.mean()), float(((a - a.mean()) ** 2).sum()))
-
-
-@settings(max_examples=200, deadline=None)
-@given(st.lists(finite, min_size=0, max_size=60), st.data())
-def test_moment_merge_any_split(xs, data):
-    cut = data.draw(st.integers(min_value=0, max_value=len(xs)))
-    n, m, q = merge_moments_py(_state(xs[:cut]), _state(xs[cut:]))
-    wn, wm, wq = _state(xs)
-    assert n == wn
-    if n:
-        scale = max(1.0, max(abs(x) for x in xs))
-        assert math.isclose(m, wm, rel_tol=1e-9, abs_tol=1e-9 * scale)
-        assert math.isclose(q / n, wq / n, rel_tol=1e-7, abs_tol=1e-7 * scale * scale)
+def _plain(zs):
+    x, p, out = PRM.x_init, PRM.p_init, []
+    for z in zs:
+        x, p = step(x, p, z, PRM)
+        out.append(x)
+    return out
 
 
 @settings(max_examples=100, deadline=None)
-@given(st.lists(finite, min_size=1, max_size=40), st.data())
-def test_kalman_affine_split(zs, data):
-    """Filtering in two pieces through a composed affine map equals one pass:
-    the identity the segmented scan rests on."""
-    prm = KalmanParams()
-    table = GainTable(prm)
+@given(st.lists(finite, min_size=1, max_size=200), st.data())
+def test_composed_maps_carry_the_estimate(zs, data):
     cut = data.draw(st.integers(min_value=0, max_value=len(zs)))
-    x, p = prm.x_init, prm.p_init
-    for z in zs:
-        x, p = step(x, p, z, prm)
-    # map of the second piece, applied to the state after the first piece
-    x1, p1 = prm.x_init, prm.p_init
-    for z in zs[:cut]:
-        x1, p1 = step(x1, p1, z, prm)
-    e0 = (1.0, 0.0)
-    e1 = (0.0, 1.0)
-    zero = (0.0, 0.0)
+    z, t = np.array(zs), np.arange(1, len(zs) + 1)
+    x0, x1 = PRM.x_init if not cut else _plain(zs[:cut])[-1]
+    m00, m01, m10, m11, v0, v1 = kalman._composed(z[cut:], t[cut:], PRM)
+    got = (m00 * x0 + m01 * x1 + v0, m10 * x0 + m11 * x1 + v1)
+    scale = max(1.0, max(map(abs, zs)))
+    assert all(math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-9 * scale) for a, b in zip(got, _plain(zs)[-1]))
+
 
-    def run(x0, zsub, with_z):
-        xx, pp = x0, table.at(cut)[1] if cut else prm.p_init
-        dt, (ga0, ga1) = prm.dt, prm.ga
-        for i, z in enumerate(zsub):
-            (k0, k1), _ = table.at(cut + i + 1)
-            a0 = xx[0] + dt * xx[1] + (ga0 if with_z else 0.0)
-            a1 = xx[1] + (ga1 if with_z else 0.0)
-            y = (z if with_z else 0.0) - a0
-            xx = (a0 + k0 * y, a1 + k1 * y)
-        return xx
-    v = run(zero, zs[cut:], True)
-    c0 = run(e0, zs[cut:], False)
-    c1 = run(e1, zs[cut:], False)
-    got = (c0[0] * x1[0] + c1[0] * x1[1] + v[0], c0[1] * x1[0] + c1[1] * x1[1] + v[1])
-    scale = max(1.0, max(abs(z) for z in zs))
-    assert math.isclose(got[0], x[0], rel_tol=1e-9, abs_tol=1e-9 * scale)
-    assert math.isclose(got[1], x[1], rel_tol=1e-9, abs_tol=1e-9 * scale)
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(finite, min_size=1, max_size=150), min_size=1, max_size=6))
+def test_scan_of_many_runs_equals_plain_recursions(runs):
+    z = np.array([v for r in runs for v in r])
+    of = np.repeat(np.arange(len(runs)), [len(r) for r in runs])
+    t = np.concatenate([np.arange(1, len(r) + 1) for r in runs])
+    x = np.tile(np.array(PRM.x_init), (len(runs), 1))
+    x0, x1, _ = kalman._scan(z, t, of, x, PRM)
+    want = np.array([e for r in runs for e in _plain(r)])
+    scale = max(1.0, np.abs(z).max())
+    assert np.allclose(np.column_stack([x0, x1]), want, rtol=1e-9, atol=1e-9 * scale)

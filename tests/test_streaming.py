@@ -10,7 +10,7 @@ from mergestat.operators import moments
 from mergestat.operators.histogram import Bins
 from mergestat.sources.tables import table
 from mergestat.streaming import queries as sq
-from mergestat.streaming.sinks import latest_per_key, run
+from mergestat.streaming.sinks import StateTable, batch_folders, latest_per_key, run
 from mergestat.streaming.sources import (batches_glob, feed_in_order, read_batches,
                                          write_batch_files)
 from tests.conftest import SF001
@@ -27,7 +27,7 @@ def _stream_final(spark, tmp_dir, build, files_per_trigger, keys=("label",)):
     write_batch_files(ev, "batch", folder, order=["ts", "event_id"], num_files=7)
     s = read_batches(spark, folder, ev.schema, files_per_trigger)
     out = os.path.join(tmp_dir, "out")
-    q = run(build(s), os.path.join(tmp_dir, "ck"), out, "update")
+    q = run(build(s), os.path.join(tmp_dir, "ck"), None, "update", writer=StateTable(out, list(keys)).write)
     return latest_per_key(spark, out, list(keys)), q
 
 
@@ -73,24 +73,76 @@ def test_extremes_stream_equals_batch(spark, tmp_dir):
     assert sorted(map(key, got.collect())) == sorted(map(key, want.collect()))
 
 
-def test_kalman_stream_in_order_with_restarts(spark, tmp_dir):
-    """One trigger per weekly batch, restarting from the checkpoint each time."""
-    from mergestat.operators import kalman
-    ev = _events(spark).withColumn("week", F.to_date(F.date_trunc("week", "ts")))
+BIG = 2 ** 60
+
+
+def _odd_events(spark):
+    """Ids that differ in the last bit, a NULL key, NULL and tied order values."""
+    rows = [(k, None if i % 11 == 0 else i // 2, i, float((i * 37) % 23) if i % 7 else None, i // 40)
+            for i, k in enumerate([BIG, BIG + 1, None, 5] * 50)]
+    return spark.createDataFrame(rows, "label long, ts int, event_id long, value double, batch int")
+
+
+def test_extremes_stream_of_large_and_null_keys(spark, tmp_dir):
+    from mergestat.operators import extremes
+    ev = _odd_events(spark)
     folder, out, ck = (os.path.join(tmp_dir, x) for x in ("in", "out", "ck"))
-    n = 0
-    for _ in feed_in_order(ev, "week", folder):
+    for _ in feed_in_order(ev, "batch", folder):
         s = read_batches(spark, batches_glob(folder), ev.schema)
-        run(sq.stream_kalman(s, "label", "value", ["ts", "event_id"], ["event_id"]), ck, out, "append")
-        n += 1
-    assert n >= 2
-    got = {(r["label"], r["event_id"]): r for r in spark.read.parquet(out).collect()}
-    want = kalman.kalman_trace(ev, "label", "value").collect()
+        run(sq.stream_extremes(s, "label", "value", 4, 3), ck, None, "update", writer=StateTable(out, ["label"]).write)
+    want = extremes.extremes(ev, "label", "value", 4, 3, tiebreak=["event_id"])
+    key = lambda r: (str(r["label"]), r["side"], r["rank"], r["value"])
+    assert sorted(map(key, latest_per_key(spark, out, ["label"]).collect())) == sorted(map(key, want.collect()))
+
+
+def test_kalman_stream_of_large_and_null_keys(spark, tmp_dir):
+    """One trigger per batch, restarting from the checkpoint each time, equals one run
+    in which rows are ordered by (batch, order)."""
+    from mergestat.operators import kalman
+    ev = _odd_events(spark)
+    folder, out, st, ck = (os.path.join(tmp_dir, x) for x in ("in", "out", "state", "ck"))
+    writer = sq.kalman_segmented_writer("label", "value", ["ts", "event_id"], out, st, passthrough=["event_id"], num_partitions=3)
+    for _ in feed_in_order(ev, "batch", folder):
+        run(read_batches(spark, batches_glob(folder), ev.schema), ck, None, "append", writer=writer)
+    got = {r["event_id"]: r for r in spark.read.parquet(out).collect()}
+    want = kalman.kalman_trace(ev, "label", "value", ["batch", "ts", "event_id"]).collect()
     assert len(got) == len(want)
     for r in want:
-        g = got[(r["label"], r["event_id"])]
-        assert g["step"] == r["step"]
-        assert g["x0"] == pytest.approx(r["x0"], rel=1e-9)
+        g = got[r["event_id"]]
+        assert (g["label"], g["step"]) == (r["label"], r["step"])
+        assert (g["x0"], g["x1"]) == pytest.approx((r["x0"], r["x1"]), rel=1e-9)
+    last = StateTable(st, ["label"]).read(spark).collect()
+    assert sorted(str(r["label"]) for r in last) == sorted(map(str, (BIG, BIG + 1, None, 5)))
+
+
+def test_state_table_stays_small_and_survives_replays(spark, tmp_dir):
+    table_ = StateTable(os.path.join(tmp_dir, "st"), ["k"], every=5)
+    state = {}
+    for n in range(50):
+        rows = [(n % 7, n), (None, n)] + [(100, n)] * (n % 3)
+        changed = spark.createDataFrame(rows, "k long, v long").coalesce(1)
+        table_.write(changed, n)
+        for k in {k for k, _ in rows}:
+            state[k] = sorted(v for key, v in rows if key == k)
+        if n in (9, 13, 14, 49):
+            table_.write(changed, n)             # a replayed batch
+            got = {}
+            for r in table_.read(spark).collect():
+                got.setdefault(r["k"], []).append(r["v"])
+            assert {k: sorted(v) for k, v in got.items()} == state
+    assert len(batch_folders(spark, table_.path + "/changed")) <= 10
+    assert len(batch_folders(spark, table_.path + "/full")) <= 2
+
+
+def test_many_registers_on_a_stream(spark, tmp_dir):
+    from mergestat.operators import distinct
+    ev = _events(spark)
+    got, _ = _stream_final(spark, tmp_dir, lambda s: sq.stream_hll_registers(s, "label", "user_id", 4096), 2, ("label", "register"))
+    g = _as_dict(distinct.hll_estimate(got, "label", 4096, "xxhash64"))
+    w = _as_dict(distinct.hll_distinct(ev, "label", "user_id", 4096, "xxhash64"))
+    assert {k: r["estimate"] for k, r in g.items()} == pytest.approx({k: r["estimate"] for k, r in w.items()})
+    with pytest.raises(ValueError):
+        sq.stream_hll(ev, "label", "user_id", 4096)
 
 
 def test_restart_keeps_state(spark, tmp_dir):
@@ -101,10 +153,10 @@ def test_restart_keeps_state(spark, tmp_dir):
     folder, out, ck = (os.path.join(tmp_dir, x) for x in ("in", "out", "ck"))
     ev.where(F.col("batch") < half).write.parquet(folder + "/a")
     s = read_batches(spark, folder + "/*", ev.schema)
-    run(sq.stream_sum(s, "label", "value"), ck, out, "update")
+    run(sq.stream_sum(s, "label", "value"), ck, None, "update", writer=StateTable(out, ["label"]).write)
     ev.where(F.col("batch") >= half).write.parquet(folder + "/b")
     s = read_batches(spark, folder + "/*", ev.schema)
-    run(sq.stream_sum(s, "label", "value"), ck, out, "update")
+    run(sq.stream_sum(s, "label", "value"), ck, None, "update", writer=StateTable(out, ["label"]).write)
     g = _as_dict(latest_per_key(spark, out, ["label"]))
     w = _as_dict(moments.running_sum(ev, "label", "value"))
     for k in w:
