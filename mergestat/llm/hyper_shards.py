@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 
 from .common import fresh, staged, unit_hash
 
-SHARDS, SEED, BLOCKS, BLOCK_ROWS = 8, 42, 512, 500_000
+SHARDS, SEED, BLOCKS, BLOCK_ROWS = 8, 42, 512, 100_000
+#: Counts (8 bytes each) up to which the matrix and the pieces' starts are broadcast.
+BROADCAST_COUNTS = 2_000_000
 #: numpy draws hypergeometric counts below this population.
 DRAWN_DIRECTLY = 10 ** 9
 
@@ -72,12 +74,12 @@ def communication_matrix(block_sizes: list[int], shard_sizes: list[int], seed: i
     return out
 
 
-def _dealt(rows: DataFrame, counts: DataFrame, names: tuple[str, ...], seed: int, pieces: int) -> DataFrame:
+def _dealt(rows: DataFrame, counts: DataFrame, names: list[str], seed: int, pieces: int) -> DataFrame:
     """Adds shard, the second permutation's key and its piece to (id, block) rows."""
     ident, block, at, key, piece = names
     order = [F.xxhash64(F.lit(seed), F.lit(1), F.col(ident)), F.col(ident)]
     place = F.row_number().over(Window.partitionBy(block).orderBy(*order)) - 1
-    d = rows.withColumn(at, place).join(F.broadcast(counts), F.col(block) == F.col("__of"))
+    d = rows.withColumn(at, place).join(counts, F.col(block) == F.col("__of"))
     d = d.withColumn("shard", F.size(F.filter("__below", lambda c: c <= F.col(at))).cast("int"))
     again = (F.lit(seed), F.lit(2), F.col(ident), F.col(block), F.col(at))
     return d.withColumn(key, F.xxhash64(F.lit(3), *again)).withColumn(
@@ -104,6 +106,8 @@ def shard(docs: DataFrame, shards: int = SHARDS, ident: str = "doc_id", seed: in
     counts = spark.createDataFrame(
         [(b, [int(x) for x in np.cumsum(row)]) for b, row in zip(order, matrix)],
         "__of int, __below array<bigint>")
+    small = blocks * shards <= BROADCAST_COUNTS
+    counts = F.broadcast(counts) if small else counts
 
     ids = _dealt(d.select(id_, block), counts, names, seed, pieces)
     before = Window.partitionBy("shard").orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
@@ -114,6 +118,6 @@ def shard(docs: DataFrame, shards: int = SHARDS, ident: str = "doc_id", seed: in
     out = _dealt(d, counts, names, seed, pieces)
     rank = F.row_number().over(Window.partitionBy("shard", piece).orderBy(key, block, at)) - 1
     out = out.withColumn("__rank", rank).join(
-        F.broadcast(start), (F.col("shard") == F.col("__of_shard")) & (F.col(piece) == F.col("__of_piece")))
+        F.broadcast(start) if small else start, (F.col("shard") == F.col("__of_shard")) & (F.col(piece) == F.col("__of_piece")))
     return out.select(*[F.col(f"`{c}`") for c in keep], "shard",
                       (F.col("__rank") + F.col("__start")).cast("long").alias("slot"))
