@@ -43,7 +43,7 @@ SAMPLE_ROWS, PARTITION_ROWS = 2000, 100_000
 
 def half_window(n: int) -> int:
     """Places a query looks at on either side among n distinct vectors."""
-    return max(64, math.ceil(n ** 0.75 / 50))
+    return max(128, math.ceil(n ** 0.75 / 9))
 
 
 def hilbert(grid: np.ndarray, bits: int) -> np.ndarray:
@@ -161,11 +161,11 @@ def _windows(half: int, k: int):
             if not len(asking):
                 continue
             q_out, c_out, d_out = [], [], []
+            x = _matrix(vectors, np.arange(a, z), dims[a])
             for i in asking.tolist():
                 lo = max(a, min(i - half, z - 2 * half - 1))
                 hi = min(z, lo + 2 * half + 1)
-                x = _matrix(vectors, np.arange(lo, hi), dims[a])
-                d = np.sqrt(((x - x[i - lo]) ** 2).sum(1))
+                d = np.sqrt(((x[lo - a:hi - a] - x[i - a]) ** 2).sum(1))
                 d[i - lo] = np.inf
                 near = np.lexsort((ids[lo:hi], d))[:k]
                 near = near[np.isfinite(d[near])]

@@ -83,7 +83,8 @@ def recall(spark, path, every):
 
 def test_recall(spark):
     assert recall(spark, "/root/testdata/sf0.1/embeddings.parquet", 10) >= 0.95
-    assert recall(spark, "/root/testdata/check_s/embeddings.parquet", 200) >= 0.9
+    assert recall(spark, "/root/testdata/check_s/embeddings.parquet", 200) >= 0.95
+    assert recall(spark, "/root/testdata/check_l/embeddings.parquet", 500) >= 0.95
 
 
 def test_query(spark):
