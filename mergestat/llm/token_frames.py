@@ -170,10 +170,17 @@ class FrameWriter:
 
 
 class FrameReader:
-    """Random access to the documents of one file."""
+    """Random access to the documents of one file.
 
-    def __init__(self, uri: str):
+    ``read_bytes`` is read at once: little for single documents, more where
+    all follow one another.
+    """
+
+    def __init__(self, uri: str, read_bytes: int = 1 << 14):
+        import zstandard
         self.file = random_reader(uri)
+        self.block, self.block_at, self.read_bytes = b"", 0, read_bytes
+        self.zstd = zstandard.ZstdDecompressor()
         size = self.file.size()
         count, flags, magic = struct.unpack("<IBI", self._at(size - 9, 9))
         if magic != FOOTER_MAGIC or flags != CHECKSUM_FLAG:
@@ -193,16 +200,20 @@ class FrameReader:
         self.dtype = np.dtype("<u2" if self.width == 2 else "<u4")
 
     def _at(self, offset: int, size: int) -> bytes:
-        self.file.seek(int(offset))
-        return self.file.read(int(size))
+        """A piece of the file, from the block read last or a new one."""
+        offset, size = int(offset), int(size)
+        at = offset - self.block_at
+        if at < 0 or at + size > len(self.block):
+            self.file.seek(offset)
+            self.block, self.block_at, at = self.file.read(max(size, self.read_bytes)), offset, 0
+        return self.block[at:at + size]
 
     def document(self, k: int) -> np.ndarray:
         """The ids of the file's k-th document; reads its frames only."""
         import xxhash
-        import zstandard
         out = []
         for f in range(int(self.first[k]), int(self.first[k + 1])):
-            plain = zstandard.ZstdDecompressor().decompress(
+            plain = self.zstd.decompress(
                 self._at(self.offset[f], self.table[f, 0]), max_output_size=int(self.table[f, 1]))
             if len(plain) != self.table[f, 1] or xxhash.xxh64_intdigest(plain) & 0xFFFFFFFF != self.table[f, 2]:
                 raise ValueError(f"frame {f} fails its checksum")
@@ -283,7 +294,7 @@ def read_back(manifest: DataFrame, ident: str = "doc_id") -> DataFrame:
         import zlib
         for b in batches:
             for file, start in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                r, rows = FrameReader(file), []
+                r, rows = FrameReader(file, 4 << 20), []
                 for k in range(len(r.ids)):
                     ids = r.document(k)
                     rows.append((None if r.null[k] else int(r.ids[k]), start, len(ids),
