@@ -67,9 +67,8 @@ def run_starts(keys: list[pa.Array], before: list[pa.Array] | None) -> np.ndarra
 class _Runs:
     """The key runs of a partition, batch by batch.
 
-    After ``read``: ``z`` and ``obs`` (observation rows), ``t`` (step of each),
-    ``start`` (first observation of a run), ``of`` (run of each within the
-    batch), and per run the state known at its start, ``t0`` and ``x``.
+    After ``read``: of the observation rows (``obs``) value ``z``, step ``t`` and
+    run within the batch ``of``; of the runs the state at their start, ``t0``, ``x``.
     """
 
     def __init__(self, ks: list[str], prm: KalmanParams):
@@ -102,11 +101,9 @@ class _Runs:
         else:
             self.known = np.empty(0, int)
         self.of = at[self.obs]
-        self.runs = runs
+        self.runs, self.n = runs, np.bincount(self.of, minlength=runs)
         self.z = b.column("_z").to_numpy(zero_copy_only=False)[self.obs].astype(float)
-        n = np.bincount(self.of, minlength=runs)
-        self.t = self.t0[self.of] + np.arange(len(self.of)) - (np.cumsum(n) - n)[self.of] + 1
-        self.n = n
+        self.t = self.t0[self.of] + np.arange(len(self.of)) - (np.cumsum(self.n) - self.n)[self.of] + 1
 
     def close(self, x0=None, x1=None) -> None:
         """Carry the state of the last run to the next batch."""

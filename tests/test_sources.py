@@ -37,6 +37,26 @@ def test_console_sink_processing_time(spark, tmp_dir):
         q.stop()
 
 
+def test_console_prints_each_batch(tmp_dir):
+    """S3 prints from the JVM, so the test reads a process of its own."""
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys
+sys.path.insert(0, {root!r})
+from mergestat.session import get_session
+from mergestat.streaming import queries as sq
+from mergestat.streaming.sinks import run
+spark = get_session("local[1]", shuffle_partitions=1)
+spark.createDataFrame([("a", 1.5), ("a", 2.0)], "k string, v double").write.parquet({tmp_dir!r} + "/in")
+s = spark.readStream.schema("k string, v double").parquet({tmp_dir!r} + "/in")
+run(sq.stream_sum(s, "k", "v"), {tmp_dir!r} + "/ck", None, "complete")
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=200)
+    assert "Batch: 0" in done.stdout and "|a  |3.5|" in done.stdout, done.stdout + done.stderr[-2000:]
+
+
 def test_complete_mode_snapshots(spark, tmp_dir):
     ev = table(spark, SF001, "events").withColumn("batch", F.to_date("ts"))
     folder, out = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
