@@ -103,11 +103,20 @@ def usable(vector: Column) -> Column:
 
 
 def _matrix(column: pa.Array, rows: np.ndarray, dim: int) -> np.ndarray:
+    """Rows of a column of number arrays of one length."""
     flat = column.flatten().to_numpy(zero_copy_only=False)
     first = column.offsets.to_numpy()[:-1][rows] - column.offsets[0].as_py()
     return flat[first[:, None] + np.arange(dim)].astype(np.float64)
 
 
+def _packed(column: pa.Array, rows: slice, kind: str) -> np.ndarray:
+    """Neighbouring rows of a binary column of equally long vectors."""
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int32)[column.offset:][rows.start:rows.stop + 1]
+    raw = np.frombuffer(data, np.uint8)[ends[0]:ends[-1]]
+    return raw.view(kind).reshape(rows.stop - rows.start, -1).astype(np.float64)
+
+
 def _classes(vectors: DataFrame, k: int) -> DataFrame:
     """(cid, v, dim, ids): distinct vectors with their k + 1 smallest ids."""
     first = F.row_number().over(Window.partitionBy("v").orderBy("id"))
@@ -126,27 +135,31 @@ def _scales(classes: DataFrame) -> dict[int, tuple[np.ndarray, float]]:
     return found
 
 
-def _indexed(classes: DataFrame, curves: int, seed: int) -> DataFrame:
-    """Adds ``keys``: the sort key on each curve."""
+def _indexed(classes: DataFrame, curves: int, seed: int, kind: str) -> DataFrame:
+    """(cid, dim, raw, keys): the vector's bytes, which every curve's row carries,
+    and the sort key on each curve."""
     scales = _scales(classes)
 
     def run(batches):
         for b in batches:
             dims, ids, vectors = b.column("dim").to_numpy(), b.column("cid").to_numpy(), b.column("v")
             keys = np.empty((b.num_rows, curves), np.int64)
+            raw = np.empty(b.num_rows, object)
             for dim in np.unique(dims):
                 rows = np.flatnonzero(dims == dim)
                 x = _matrix(vectors, rows, dim)
                 mean, spread = scales.get(int(dim), (np.zeros(dim), 1.0))
                 keys[rows] = curve_keys(x, ids[rows], mean, spread, curves, seed)
+                raw[rows] = [v.tobytes() for v in x.astype(kind)]
             offsets = pa.array(np.arange(0, b.num_rows * curves + 1, curves, dtype=np.int32))
             yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))], [*b.schema.names, "keys"])
+                [b.column("cid"), b.column("dim"), pa.array(raw, pa.binary()),
+                 pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))], ["cid", "dim", "raw", "keys"])
 
-    return classes.mapInArrow(run, T.StructType([*classes.schema, T.StructField("keys", T.ArrayType(T.LongType()))]))
+    return classes.mapInArrow(run, "cid long, dim int, raw binary, keys array<bigint>")
 
 
-def _windows(half: int, k: int):
+def _windows(half: int, k: int, kind: str):
     """Task function: sorted rows of a partition to each query's nearest classes."""
     def run(batches):
         held = [b for b in batches if b.num_rows]
@@ -154,14 +167,14 @@ def _windows(half: int, k: int):
             return
         t = pa.Table.from_batches(held).combine_chunks()
         curve, dims, ids, ask = (t.column(c).to_numpy() for c in ("curve", "dim", "cid", "asks"))
-        vectors = t.column("v").chunk(0)
+        vectors = t.column("raw").chunk(0)
         cut = np.flatnonzero((curve[1:] != curve[:-1]) | (dims[1:] != dims[:-1])) + 1
         for a, z in zip([0, *cut], [*cut, len(curve)]):
             asking = a + np.flatnonzero(ask[a:z])
             if not len(asking):
                 continue
             q_out, c_out, d_out = [], [], []
-            x = _matrix(vectors, np.arange(a, z), dims[a])
+            x = _packed(vectors, slice(int(a), int(z)), kind)
             for i in asking.tolist():
                 lo = max(a, min(i - half, z - 2 * half - 1))
                 hi = min(z, lo + 2 * half + 1)
@@ -191,15 +204,16 @@ def search(table: DataFrame, queries: Column, ident: str = "vec_id", vector: str
     asking = asked.select(F.col("q").alias("cid")).distinct().withColumn("asks", F.lit(True))
     n = classes.count()
     half = half or half_window(n)
-    index = staged(_indexed(classes.drop("ids"), curves, seed).join(asking, "cid", "left").withColumn(
+    kind = "<f4" if isinstance(classes.schema["v"].dataType.elementType, T.FloatType) else "<f8"
+    index = staged(_indexed(classes.drop("ids"), curves, seed, kind).join(asking, "cid", "left").withColumn(
         "asks", F.coalesce("asks", F.lit(False))), "vector-index")
 
     spark = table.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n * curves // PARTITION_ROWS))
     key = ["curve", "dim", "key", "cid"]
-    places = index.select("cid", "dim", "asks", "v", F.posexplode("keys").alias("curve", "key")).repartitionByRange(
+    places = index.select("cid", "dim", "asks", "raw", F.posexplode("keys").alias("curve", "key")).repartitionByRange(
         parts, *key).sortWithinPartitions(*key)
-    found = places.mapInArrow(_windows(half, k), "q long, c long, d double")
+    found = places.mapInArrow(_windows(half, k, kind), "q long, c long, d double")
     best = found.groupBy("q", "c").agg(F.min("d").alias("d"))
     best = best.withColumn("rn", F.row_number().over(Window.partitionBy("q").orderBy("d", "c"))).where(F.col("rn") <= k)
     ids = classes.select("cid", "ids")

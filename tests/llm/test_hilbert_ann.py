@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 from helpers import same_rows
 from pyspark.sql import functions as F
 
@@ -40,7 +41,8 @@ def test_the_curve_visits_every_cell_once_and_moves_one_step():
         assert (np.abs(np.diff(path, axis=0)).sum(1) == 1).all()
 
 
-def test_odd_vectors(spark):
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_odd_vectors(spark, kind):
     r = np.random.default_rng(0)
     rows = [(k, [float(x) for x in np.float32(r.standard_normal(8))]) for k in range(60)]
     same = rows[3][1]
@@ -48,7 +50,7 @@ def test_odd_vectors(spark):
     rows += [(600, None), (601, []), (602, [0.0] * 8), (603, [1.0, None] + [0.0] * 6), (700, [float("nan")] * 8),
              (800, [float("inf")] + [0.0] * 7), (None, rows[0][1]), (900, [1.0, 2.0]), (901, [2.0, 1.0]), (1000, [5.0]),
              (100, rows[7][1]), (100, rows[8][1])]
-    df = spark.createDataFrame([(i, v, "c", 1, None) for i, v in rows], SCHEMA)
+    df = spark.createDataFrame([(i, v, "c", 1, None) for i, v in rows], SCHEMA.replace("float", kind))
     equal(ha.search(df, F.col("id") % 100 == 0).collect(), slow(rows))
 
 
