@@ -8,6 +8,12 @@ copies, until one of the two is integral and leaves; the other goes on as the
 residual.  Words are conserved in every exchange, so all that a source can miss
 of its target is the rounding of its last residual.
 
+A document of more than one part in 2 x ``fan`` of its source would leave too much
+to the last residual.  Such documents, fewer than 2 x ``fan`` of a source, come
+first, the largest ahead: each is settled in one exchange with all that follow,
+whose common fraction takes up the difference (where they cannot, it goes to the
+nearer whole).
+
 The pairings form a reduction tree.  Documents fall into groups of about ``fan``
 by a hash of their id; each group is folded to one residual, residuals of
 ``fan`` neighbouring groups meet on the next level, and so on to one residual
@@ -122,7 +128,42 @@ def _decided(unit: Column, up: Column) -> Column:
                     unit["whole"].alias("whole"), up.alias("up"))
 
 
-def decide(sizes: DataFrame, goal: DataFrame, fan: int = FAN, seed: int = SEED) -> DataFrame:
+def _long_documents(unit: DataFrame, limit: float, seed: int) -> tuple[DataFrame, DataFrame]:
+    """Decisions on the long units of each source, and (of_source, left, words):
+    what they leave of the target for how many words of the other units."""
+    order = F.xxhash64(F.lit(seed), "ident", "size")
+    one = F.struct((-F.col("size")).alias("largest_first"), order.alias("order"), "ident", "size", "m")
+    group = unit.groupBy("source").agg(F.first("target").alias("target"), F.first("source_size").alias("source_size"),
+                                       F.sort_array(F.collect_list(one)).alias("units"))
+
+    def settle(state, x):
+        rate = F.greatest(F.lit(0.0), F.least(F.lit(float(limit)), state["left"] / state["words"]))
+
+        def taken(v):
+            whole = F.floor(v)
+            # what the others could not take up if this one is rounded up, or down
+            left = state["left"] - whole * x["size"]
+            words = (state["words"] - x["m"] * x["size"]).cast("long")
+            over, under = F.greatest(x["size"] - left, F.lit(0.0)), F.greatest(left - limit * words, F.lit(0.0))
+            coin = unit_hash(F.lit(seed), F.lit(-2), x["ident"], x["size"]) < v - whole
+            up = ((v > whole) & F.when((over == 0) & (under == 0), coin).otherwise(over <= under)).cast("long")
+            done = F.struct(x["ident"].alias("ident"), x["size"].alias("size"), x["m"].alias("m"),
+                            (whole + up).alias("copies"))
+            return F.struct(F.concat(state["done"], F.array(done)).alias("done"),
+                            (left - up * x["size"]).alias("left"), words.alias("words"))
+        return F.transform(F.array(rate * x["m"]), taken)[0]
+
+    first = F.element_at("units", 1)
+    empty = F.filter(F.array(F.struct(first["ident"].alias("ident"), first["size"].alias("size"), first["m"].alias("m"),
+                                      F.lit(0).cast("long").alias("copies"))), lambda _: F.lit(False))
+    out = staged(group.select("source", F.aggregate(
+        "units", F.struct(empty.alias("done"), F.col("target").alias("left"), F.col("source_size").cast("long").alias("words")),
+        settle).alias("r")), "mix-long")
+    decided = out.select("source", F.explode("r.done").alias("d")).select("d.ident", "source", "d.size", "d.m", "d.copies")
+    return decided, out.select(F.col("source").alias("of_source"), "r.left", "r.words")
+
+
+def decide(sizes: DataFrame, goal: DataFrame, limit: float = LIMIT, fan: int = FAN, seed: int = SEED) -> DataFrame:
     """(ident, source, size, m, copies): copies of each unit of m equal rows.
 
     ``sizes`` has ident, source and size; ``goal`` is from ``targets``.
@@ -131,18 +172,26 @@ def decide(sizes: DataFrame, goal: DataFrame, fan: int = FAN, seed: int = SEED)
         goal = F.broadcast(goal)
     unit = sizes.groupBy("ident", "source", "size").agg(F.count("*").alias("m"))
     unit = unit.join(goal, unit.source.eqNullSafe(goal.source)).drop(goal.source)
-    each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    unit = staged(unit.withColumn("all", F.col("m") * each).withColumn("whole", F.floor("all")).select(
-        "ident", "source", "size", "m", "whole", (F.col("all") - F.col("whole")).alias("part")), "mix-units")
+    long = F.col("size") * (2 * fan) > F.col("source_size")
+    unit = staged(unit.withColumn("long", long), "mix-units")
+    settled, rest = _long_documents(unit.where("long"), limit, seed)
+    settled = [settled]
+    if rest.count() <= BROADCAST_ROWS:
+        rest = F.broadcast(rest)
+    unit = unit.where(~F.col("long")).join(rest, unit.source.eqNullSafe(F.col("of_source")), "left")
+    left, words = F.coalesce("left", "target"), F.coalesce("words", "source_size")
+    each = F.when(words > 0, F.greatest(F.lit(0.0), F.least(F.lit(float(limit)), left / words))).otherwise(F.lit(0.0))
+    unit = unit.withColumn("all", F.col("m") * each).withColumn("whole", F.floor("all")).select(
+        "ident", "source", "size", "m", "whole", (F.col("all") - F.col("whole")).alias("part"))
     open_ = (F.col("size") > 0) & (F.col("part") > 0)
-    settled = [unit.where(~open_).select(
-        "ident", "source", "size", "m", (F.col("whole") + F.round("part").cast("long")).alias("copies"))]
+    settled.append(unit.where(~open_).select(
+        "ident", "source", "size", "m", (F.col("whole") + F.round("part").cast("long")).alias("copies")))
 
     live = unit.where(open_)
     per = live.groupBy("source").agg(F.ceil(F.count("*") / fan).alias("groups"))
     widest = per.agg(F.max("groups")).first()[0]
     if widest is None:
-        return settled[0]
+        return settled[0].union(settled[1])
     if per.count() <= BROADCAST_ROWS:
         per = F.broadcast(per)
     order = F.xxhash64(F.lit(seed), "ident", "size")
@@ -185,7 +234,7 @@ def mix(docs: DataFrame, ident: str = "doc_id", source: str = "source", text: st
         d = sizes.select(*[F.col("ident" if c == ident else "source").alias(c) for c in keep],
                          F.col("ident").alias(i), F.col("source").alias(s), F.col("size").alias(z))
     goal = staged(targets(sizes, weights, limit, share), "mix-targets")
-    found = staged(decide(sizes, goal, fan, seed), "mix-decided")
+    found = staged(decide(sizes, goal, limit, fan, seed), "mix-decided")
     alike = found.agg(F.max("m")).first()[0] or 1
     found = found.toDF("__i", "__s", "__z", "__m", "__k")
     out = d.join(found, F.col(i).eqNullSafe(F.col("__i")) & F.col(s).eqNullSafe(F.col("__s"))
