@@ -2,7 +2,10 @@
 
 Each of ``curves`` orderings projects the vectors on its own random orthogonal
 directions, shifts them by a random offset, cuts them to a grid and orders them
-by their place on the Hilbert curve.  Spark range-partitions the rows by (curve,
+by their place on the Hilbert curve.  The curve goes on inside a cell, level by
+level down to the resolution of the components, and the outermost cells are
+open, their outside squeezed in; so a dense cluster of distinct vectors is
+ordered by place too, wherever it lies.  Spark range-partitions the rows by (curve,
 place); a query looks at the rows within ``half`` places on either side (at the
 edge of a partition: as many on the one side) and keeps its nearest by the exact
 distance.  What the windows of all curves found is merged and ranked.
@@ -37,7 +40,9 @@ from pyspark.sql import types as T
 
 from .common import staged
 
-K, CURVES, AXES, KEY_BITS, TIE_BITS, SEED = 10, 64, 16, 48, 15, 42
+K, CURVES, AXES, KEY_BITS, SEED = 10, 64, 16, 48, 42
+#: Bits an axis, down to the resolution of the components.
+DEPTH = {"<f4": 28, "<f8": 52}
 SAMPLE_ROWS, PARTITION_ROWS = 2000, 100_000
 
 
@@ -46,36 +51,49 @@ def half_window(n: int) -> int:
     return max(128, math.ceil(n ** 0.75 / 9))
 
 
-def hilbert(grid: np.ndarray, bits: int) -> np.ndarray:
-    """Place on the Hilbert curve of each row of grid coordinates below 2**bits.
+def _unfolded(grid: np.ndarray, bits: int) -> list[np.ndarray]:
+    """Axes whose bits, read across from the top level down, are the place of
+    each row of grid coordinates below 2**bits on the Hilbert curve.
 
     From the top bit down, an axis whose bit is set reflects the first axis
     below that bit, one whose bit is not set swaps with it; the Gray code of
     what results, read across the axes, is the place.
     """
-    axes = [c.astype(np.uint64) for c in grid.T]
-    one = np.uint64(1)
+    kind = np.uint32 if bits <= 32 else np.uint64
+    axes = [c.astype(kind) for c in grid.T]
+    one = kind(1)
     for level in range(bits - 1, 0, -1):
-        bit = np.uint64(level)
-        low = np.uint64((1 << level) - 1)
+        bit, low = kind(level), kind((1 << level) - 1)
         for k in range(len(axes)):
-            up = ((axes[k] >> bit) & one).astype(bool)
-            swap = (axes[0] ^ axes[k]) & low
-            axes[k] = np.where(up, axes[k], axes[k] ^ swap)
-            axes[0] = np.where(up, axes[0] ^ low, axes[0] ^ swap)
+            up = (kind(0) - ((axes[k] >> bit) & one)) & low
+            swap = (axes[0] ^ axes[k]) & (up ^ low)
+            axes[k] ^= swap
+            axes[0] ^= swap | up
     for k in range(1, len(axes)):
-        axes[k] = axes[k] ^ axes[k - 1]
+        axes[k] ^= axes[k - 1]
     turn = np.zeros_like(axes[0])
     for level in range(bits - 1, 0, -1):
-        up = ((axes[-1] >> np.uint64(level)) & one).astype(bool)
-        turn = np.where(up, turn ^ np.uint64((1 << level) - 1), turn)
-    place = np.zeros_like(axes[0])
+        turn ^= (kind(0) - ((axes[-1] >> kind(level)) & one)) & kind((1 << level) - 1)
+    return [a ^ turn for a in axes]
+
+
+def hilbert(grid: np.ndarray, bits: int) -> np.ndarray:
+    """Place on the Hilbert curve of each row of grid coordinates below 2**bits."""
+    axes = _unfolded(grid, bits)
+    place, one = np.zeros(len(grid), np.uint64), np.uint64(1)
     for level in range(bits - 1, -1, -1):
         for a in axes:
-            place = (place << one) | (((a ^ turn) >> np.uint64(level)) & one)
+            place = (place << one) | ((a >> level).astype(np.uint64) & one)
     return place
 
 
+def hilbert_bytes(grid: np.ndarray, bits: int) -> np.ndarray:
+    """``hilbert`` of any length, as bytes (rows x bytes) that sort alike."""
+    axes = np.stack(_unfolded(grid, bits), 1).astype(">u8")
+    apart = np.unpackbits(axes.view(np.uint8).reshape(*axes.shape, 8), axis=2)[:, :, 64 - bits:]
+    return np.packbits(apart.transpose(0, 2, 1).reshape(len(grid), -1), axis=1)
+
+
 def _directions(dim: int, curve: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng([seed, dim, curve])
     axes = min(AXES, dim)
@@ -83,17 +101,31 @@ def _directions(dim: int, curve: int, seed: int) -> tuple[np.ndarray, np.ndarray
     return q, rng.random(axes)
 
 
-def curve_keys(x: np.ndarray, ids: np.ndarray, mean: np.ndarray, spread: float, curves: int, seed: int) -> np.ndarray:
-    """Sort keys (rows x curves) of vectors; equal places are split by a hash of the id."""
-    out = np.empty((len(x), curves), np.int64)
-    tie = ((ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - TIE_BITS)).astype(np.int64)
+def _grid(at: np.ndarray, bits: int, depth: int) -> np.ndarray:
+    """Coordinates of ``depth`` bits of places in units of the 2**bits cells; what
+    lies outside is squeezed into the outermost cells, in order."""
+    cell = np.clip(np.floor(at), 0, (1 << bits) - 1)
+    rest = at - cell
+    rest = np.where(cell == 0, 1 / (2 - np.minimum(rest, 1)), np.where(cell == (1 << bits) - 1, rest / (1 + np.abs(rest)), rest))
+    fine = 1 << (depth - bits)
+    return cell.astype(np.int64) * fine + np.clip(rest * fine, 0, fine - 1).astype(np.int64)
+
+
+def curve_keys(x: np.ndarray, ids: np.ndarray, mean: np.ndarray, spread: float, curves: int, seed: int,
+               kind: str) -> np.ndarray:
+    """Sort keys (rows x curves x bytes) of vectors: the place on the curve, then the id."""
+    depth = DEPTH[kind]
+    width = AXES * depth // 8
+    out = np.zeros((len(x), curves, width + 8), np.uint8)
+    tie = (ids.astype(np.int64).view(np.uint64) ^ np.uint64(1 << 63)).astype(">u8").view(np.uint8).reshape(-1, 8)
     for c in range(curves):
         q, shift = _directions(x.shape[1], c, seed)
         bits = min(16, KEY_BITS // q.shape[1])
         # six standard deviations cover the grid, less one cell for the shift
         cell = 6 * spread / ((1 << bits) - 1)
-        grid = np.clip(np.floor(((x - mean) @ q + 3 * spread) / cell + shift), 0, (1 << bits) - 1)
-        out[:, c] = (hilbert(grid, bits).astype(np.int64) << TIE_BITS) | tie
+        place = hilbert_bytes(_grid(((x - mean) @ q + 3 * spread) / cell + shift, bits, depth), depth)
+        out[:, c, :place.shape[1]] = place
+        out[:, c, width:] = tie
     return out
 
 
@@ -117,6 +149,13 @@ def _packed(column: pa.Array, rows: slice, kind: str) -> np.ndarray:
     return raw.view(kind).reshape(rows.stop - rows.start, -1).astype(np.float64)
 
 
+def _binary(keys: np.ndarray) -> pa.Array:
+    """Binary column of equally long byte strings, the last axis of ``keys``."""
+    n, width = keys.size // keys.shape[-1], keys.shape[-1]
+    ends = np.arange(n + 1, dtype=np.int32) * np.int32(width)
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(keys))])
+
+
 def _classes(vectors: DataFrame, k: int) -> DataFrame:
     """(cid, v, dim, ids): distinct vectors with their k + 1 smallest ids."""
     first = F.row_number().over(Window.partitionBy("v").orderBy("id"))
@@ -143,20 +182,20 @@ def _indexed(classes: DataFrame, curves: int, seed: int, kind: str) -> DataFrame
     def run(batches):
         for b in batches:
             dims, ids, vectors = b.column("dim").to_numpy(), b.column("cid").to_numpy(), b.column("v")
-            keys = np.empty((b.num_rows, curves), np.int64)
+            keys = np.empty((b.num_rows, curves, AXES * DEPTH[kind] // 8 + 8), np.uint8)
             raw = np.empty(b.num_rows, object)
             for dim in np.unique(dims):
                 rows = np.flatnonzero(dims == dim)
                 x = _matrix(vectors, rows, dim)
                 mean, spread = scales.get(int(dim), (np.zeros(dim), 1.0))
-                keys[rows] = curve_keys(x, ids[rows], mean, spread, curves, seed)
+                keys[rows] = curve_keys(x, ids[rows], mean, spread, curves, seed, kind)
                 raw[rows] = [v.tobytes() for v in x.astype(kind)]
             offsets = pa.array(np.arange(0, b.num_rows * curves + 1, curves, dtype=np.int32))
             yield pa.RecordBatch.from_arrays(
                 [b.column("cid"), b.column("dim"), pa.array(raw, pa.binary()),
-                 pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))], ["cid", "dim", "raw", "keys"])
+                 pa.ListArray.from_arrays(offsets, _binary(keys))], ["cid", "dim", "raw", "keys"])
 
-    return classes.mapInArrow(run, "cid long, dim int, raw binary, keys array<bigint>")
+    return classes.mapInArrow(run, "cid long, dim int, raw binary, keys array<binary>")
 
 
 def _windows(half: int, k: int, kind: str):
@@ -210,7 +249,7 @@ def search(table: DataFrame, queries: Column, ident: str = "vec_id", vector: str
 
     spark = table.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n * curves // PARTITION_ROWS))
-    key = ["curve", "dim", "key", "cid"]
+    key = ["curve", "dim", "key"]
     places = index.select("cid", "dim", "asks", "raw", F.posexplode("keys").alias("curve", "key")).repartitionByRange(
         parts, *key).sortWithinPartitions(*key)
     found = places.mapInArrow(_windows(half, k, kind), "q long, c long, d double")

@@ -92,6 +92,36 @@ def test_recall(spark):
             assert recall(spark, path, every) >= 0.95
 
 
+def found_share(x, rows, every=40):
+    """Share of the true 10 nearest that the collected ``rows`` hold; ids are places in ``x``."""
+    got = {}
+    for r in rows:
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    asked = range(0, len(x), every)
+    hit = 0
+    for q in asked:
+        d = ((x - x[q]) ** 2).sum(1)
+        d[q] = np.inf
+        hit += len(got.get(q, set()) & set(np.argsort(d)[:10].tolist()))
+    return hit / (10 * len(asked))
+
+
+def clustered(n, noise, far=1.0, seed=0):
+    """Directions of which each third row lies close to one vector."""
+    r = np.random.default_rng(seed)
+    x = r.standard_normal((n, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[::3] = far * x[0] + noise * r.standard_normal((len(x[::3]), 64)) / 8
+    return x.astype(np.float32).astype(float)
+
+
+@pytest.mark.parametrize("noise, far", [(1e-2, 1.0), (1e-4, 1.0), (1e-4, 30.0)])
+def test_recall_within_a_dense_cluster(spark, noise, far):
+    x = clustered(6000, noise, far)
+    df = spark.createDataFrame([(i, v.tolist(), "c", 1, None) for i, v in enumerate(x)], SCHEMA)
+    assert found_share(x, ha.search(df, F.col("id") % 40 == 0).collect()) >= 0.95
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.01"
     rows = [tuple(r)[:2] for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
