@@ -5,10 +5,13 @@ directions, shifts them by a random offset, cuts them to a grid and orders them
 by their place on the Hilbert curve.  The curve goes on inside a cell, level by
 level down to the resolution of the components, and the outermost cells are
 open, their outside squeezed in; so a dense cluster of distinct vectors is
-ordered by place too, wherever it lies.  Spark range-partitions the rows by (curve,
-place); a query looks at the rows within ``half`` places on either side (at the
-edge of a partition: as many on the one side) and keeps its nearest by the exact
-distance.  What the windows of all curves found is merged and ranked.
+ordered by place too, wherever it lies.  A query looks at the rows within
+``half`` places on either side (at an end of the curve: as many on the one side)
+and keeps its nearest by the exact distance.  What the windows of all curves found is merged and ranked.
+
+Each ordering is cut into blocks of several windows, and a block also gets the
+``half`` rows before and behind it, so every window is whole, however many
+partitions there are.  The cuts come from a sort of the keys alone.
 
 The scale of the grid comes from at most ``SAMPLE_ROWS`` vectors; every vector is
 indexed.  Curves help as far as the data have structure.  Where they have none
@@ -31,9 +34,11 @@ give fewer rows; an empty table gives none.
 from __future__ import annotations
 
 import math
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,6 +49,8 @@ K, CURVES, AXES, KEY_BITS, SEED = 10, 64, 16, 48, 42
 #: Bits an axis, down to the resolution of the components.
 DEPTH = {"<f4": 28, "<f8": 52}
 SAMPLE_ROWS, PARTITION_ROWS = 2000, 100_000
+#: Rows of a block at least, and windows it is as long as at least.
+BLOCK_ROWS, BLOCK_WINDOWS = 4000, 4
 
 
 def half_window(n: int) -> int:
@@ -146,7 +153,7 @@ def _packed(column: pa.Array, rows: slice, kind: str) -> np.ndarray:
     _, offsets, data = column.buffers()
     ends = np.frombuffer(offsets, np.int32)[column.offset:][rows.start:rows.stop + 1]
     raw = np.frombuffer(data, np.uint8)[ends[0]:ends[-1]]
-    return raw.view(kind).reshape(rows.stop - rows.start, -1).astype(np.float64)
+    return raw.view(kind).reshape(rows.stop - rows.start, -1)
 
 
 def _binary(keys: np.ndarray) -> pa.Array:
@@ -198,34 +205,152 @@ def _indexed(classes: DataFrame, curves: int, seed: int, kind: str) -> DataFrame
     return classes.mapInArrow(run, "cid long, dim int, raw binary, keys array<binary>")
 
 
-def _windows(half: int, k: int, kind: str):
-    """Task function: sorted rows of a partition to each query's nearest classes."""
+def _marks(every: int):
+    """Task function: sorted keys to each ``every``-th of a partition's part of an
+    ordering and its last one, with their places in that part."""
     def run(batches):
-        held = [b for b in batches if b.num_rows]
-        if not held:
-            return
+        part, now, at, last = TaskContext.get().partitionId(), None, 0, None
+        out = []
+
+        def flush():
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (
+                pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.bool_()))],
+                ["curve", "dim", "part", "pos", "key", "last"])
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            curve, dims, keys = b.column("curve").to_numpy(), b.column("dim").to_numpy(), b.column("key")
+            cut = np.flatnonzero((curve[1:] != curve[:-1]) | (dims[1:] != dims[:-1])) + 1
+            for a, z in zip([0, *cut.tolist()], [*cut.tolist(), len(curve)]):
+                if now != (int(curve[a]), int(dims[a])):
+                    if now:
+                        out.append((*now, part, at - 1, last, True))
+                    now, at = (int(curve[a]), int(dims[a])), 0
+                out += [(*now, part, at + i - a, keys[i].as_py(), False) for i in range(a + -at % every, z, every)]
+                at, last = at + z - a, keys[z - 1].as_py()
+            if out:
+                yield flush()
+                out = []
+        if now:
+            out.append((*now, part, at - 1, last, True))
+            yield flush()
+
+    return run
+
+
+def _cuts(index: DataFrame, sizes: dict[int, int], curves: int, half: int, parts: int) -> tuple[dict, int]:
+    """{(curve, dim): (number of its first block, cuts, first keys carried over
+    each cut forwards, last keys carried backwards)} and the number of blocks.
+
+    Cuts lie on keys whose place in the ordering is known; at least ``half`` rows
+    are carried.
+    """
+    rows = max(BLOCK_ROWS, BLOCK_WINDOWS * (2 * half + 1))
+    every = max(1, half // 2)
+    known: dict = {}
+    if max(sizes.values(), default=0) >= 2 * rows:
+        key = ["curve", "dim", "key"]
+        keys = index.select("dim", F.posexplode("keys").alias("curve", "key")).repartitionByRange(parts, *key)
+        marks = keys.sortWithinPartitions(*key).select(*key).mapInArrow(
+            _marks(every), "curve int, dim int, part int, pos long, key binary, last boolean")
+        for r in sorted(marks.collect(), key=lambda r: (r["curve"], r["dim"], r["part"], r["pos"], r["last"])):
+            places, names, before = known.setdefault((r["curve"], r["dim"]), ([], [], [0]))
+            places.append(before[0] + r["pos"])
+            names.append(bytes(r["key"]))
+            if r["last"]:
+                before[0] += r["pos"] + 1
+    found, blocks = {}, 0
+    for curve in range(curves):
+        for dim in sorted(sizes):
+            n = sizes[dim]
+            many = max(1, n // rows)
+            cuts, ahead, behind = [], [], []
+            if many > 1:
+                places, names, _ = known[curve, dim]
+                for b in range(1, many):
+                    at = bisect_left(places, b * n // many)
+                    cuts.append(names[at])
+                    ahead.append(names[bisect_right(places, places[at] - half) - 1])
+                    behind.append(names[bisect_left(places, places[at] + half - 1)])
+            found[curve, dim] = (blocks, *(np.array(x, f"S{len(names[0])}") if x else None for x in (cuts, ahead, behind)))
+            blocks += many
+    return found, blocks
+
+
+def _dealt(cuts: dict):
+    """Task function: rows of the index to one row per curve and block that a
+    vector is in or carried to; it asks in its own block."""
+    def run(batches):
+        for whole in batches:
+            for start in range(0, whole.num_rows, 500):
+                b = whole.slice(start, 500)
+                dims, ask = b.column("dim").to_numpy(), b.column("asks").to_numpy(zero_copy_only=False)
+                flat = b.column("keys").flatten()
+                keys = _packed(flat, slice(0, len(flat)), "u1").reshape(b.num_rows, -1, len(flat[0].as_py()))
+                out = []
+                for dim in np.unique(dims).tolist():
+                    rows = np.flatnonzero(dims == dim)
+                    for c in range(keys.shape[1]):
+                        first, cut, ahead, behind = cuts[c, dim]
+                        own = np.zeros(len(rows), np.int64)
+                        if cut is not None:
+                            key = np.ascontiguousarray(keys[rows, c]).view(cut.dtype).ravel()
+                            own = np.searchsorted(cut, key, "right")
+                            on = np.flatnonzero(own < len(cut))
+                            on = on[key[on] >= ahead[own[on]]]
+                            back = np.flatnonzero(own > 0)
+                            back = back[key[back] <= behind[own[back] - 1]]
+                            for moved, by in ((on, 1), (back, -1)):
+                                out.append((rows[moved], np.full(len(moved), c), first + own[moved] + by, np.zeros(len(moved), bool)))
+                        out.append((rows, np.full(len(rows), c), first + own, ask[rows]))
+                rows, curve, block, asks = (np.concatenate(x) for x in zip(*out))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(block.astype(np.int32)), _binary(keys[rows, curve]), b.column("cid").take(pa.array(rows)),
+                     pa.array(asks), b.column("raw").take(pa.array(rows))], ["block", "key", "cid", "asks", "raw"])
+
+    return run
+
+
+def _windows(half: int, k: int, kind: str):
+    """Task function: sorted rows of blocks to each query's nearest classes."""
+    def nearest(held):
         t = pa.Table.from_batches(held).combine_chunks()
-        curve, dims, ids, ask = (t.column(c).to_numpy() for c in ("curve", "dim", "cid", "asks"))
-        vectors = t.column("raw").chunk(0)
-        cut = np.flatnonzero((curve[1:] != curve[:-1]) | (dims[1:] != dims[:-1])) + 1
-        for a, z in zip([0, *cut], [*cut, len(curve)]):
-            asking = a + np.flatnonzero(ask[a:z])
-            if not len(asking):
+        ids, ask = t.column("cid").to_numpy(), t.column("asks").to_numpy()
+        asking = np.flatnonzero(ask)
+        if not len(asking):
+            return
+        q_out, c_out, d_out = [], [], []
+        vectors, z = t.column("raw"), t.num_rows
+        x = np.concatenate([_packed(v, slice(0, len(v)), kind) for v in vectors.chunks])
+        for i in asking.tolist():
+            lo = max(0, min(i - half, z - 2 * half - 1))
+            hi = min(z, lo + 2 * half + 1)
+            d = np.sqrt(((x[lo:hi].astype(np.float64) - x[i]) ** 2).sum(1))
+            d[i - lo] = np.inf
+            near = np.lexsort((ids[lo:hi], d))[:k]
+            near = near[np.isfinite(d[near])]
+            q_out.append(np.full(len(near), ids[i]))
+            c_out.append(ids[lo:hi][near])
+            d_out.append(d[near])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (q_out, c_out, d_out)], ["q", "c", "d"])
+
+    def run(batches):
+        held, now = [], None
+        for b in batches:
+            if not b.num_rows:
                 continue
-            q_out, c_out, d_out = [], [], []
-            x = _packed(vectors, slice(int(a), int(z)), kind)
-            for i in asking.tolist():
-                lo = max(a, min(i - half, z - 2 * half - 1))
-                hi = min(z, lo + 2 * half + 1)
-                d = np.sqrt(((x[lo - a:hi - a] - x[i - a]) ** 2).sum(1))
-                d[i - lo] = np.inf
-                near = np.lexsort((ids[lo:hi], d))[:k]
-                near = near[np.isfinite(d[near])]
-                q_out.append(np.full(len(near), ids[i]))
-                c_out.append(ids[lo:hi][near])
-                d_out.append(d[near])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (q_out, c_out, d_out)],
-                                             ["q", "c", "d"])
+            block = b.column("block").to_numpy()
+            cut = (np.flatnonzero(block[1:] != block[:-1]) + 1).tolist()
+            for a, z in zip([0, *cut], [*cut, len(block)]):
+                if block[a] != now and held:
+                    yield from nearest(held)
+                    held = []
+                now = block[a]
+                held.append(b.slice(a, z - a))
+        if held:
+            yield from nearest(held)
+
     return run
 
 
@@ -248,10 +373,13 @@ def search(table: DataFrame, queries: Column, ident: str = "vec_id", vector: str
         "asks", F.coalesce("asks", F.lit(False))), "vector-index")
 
     spark = table.sparkSession
+    # the number of partitions decides on who does the work, not on what is found
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n * curves // PARTITION_ROWS))
-    key = ["curve", "dim", "key"]
-    places = index.select("cid", "dim", "asks", "raw", F.posexplode("keys").alias("curve", "key")).repartitionByRange(
-        parts, *key).sortWithinPartitions(*key)
+    cuts, blocks = _cuts(index, dict(classes.groupBy("dim").count().collect()), curves, half, parts)
+    parts = max(1, min(parts, blocks))
+    places = index.mapInArrow(_dealt(cuts), "block int, key binary, cid long, asks boolean, raw binary")
+    places = places.repartitionById(parts, F.floor(F.col("block") * F.lit(parts).cast("long") / F.lit(max(1, blocks))).cast("int"))
+    places = places.sortWithinPartitions("block", "key").select("block", "cid", "asks", "raw")
     found = places.mapInArrow(_windows(half, k, kind), "q long, c long, d double")
     best = found.groupBy("q", "c").agg(F.min("d").alias("d"))
     best = best.withColumn("rn", F.row_number().over(Window.partitionBy("q").orderBy("d", "c"))).where(F.col("rn") <= k)

@@ -122,6 +122,42 @@ def test_recall_within_a_dense_cluster(spark, noise, far):
     assert found_share(x, ha.search(df, F.col("id") % 40 == 0).collect()) >= 0.95
 
 
+def test_windows_are_whole_whatever_the_partitions(spark, monkeypatch):
+    x = clustered(3000, 1e-3, seed=3)
+    df = spark.createDataFrame([(i, v.tolist(), "c", 1, None) for i, v in enumerate(x)], SCHEMA)
+    scale = []
+    monkeypatch.setattr(ha, "_scales", lambda classes, f=ha._scales: scale.append(f(classes)) or scale[-1])
+
+    def run(parts, curves, half):
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            return ha.search(df, F.col("id") % 40 == 0, curves=curves, half=half).collect()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+
+    def uncut(curves, half):
+        keys = ha.curve_keys(x, np.arange(len(x)), *scale[-1][64], curves, ha.SEED, "<f4")
+        out = {}
+        for q in range(0, len(x), 40):
+            seen = set()
+            for c in range(curves):
+                order = np.argsort(np.ascontiguousarray(keys[:, c]).view(f"S{keys.shape[2]}").ravel())
+                i = int(np.flatnonzero(order == q)[0])
+                lo = max(0, min(i - half, len(x) - 2 * half - 1))
+                seen |= set(order[lo:lo + 2 * half + 1].tolist())
+            seen = np.array(sorted(seen - {q}))
+            d = np.sqrt(((x[seen] - x[q]) ** 2).sum(1))
+            for rank, j in enumerate(np.lexsort((seen, d))[:10], 1):
+                out[q, rank] = int(seen[j])
+        return out
+
+    for rows, curves, half, parts in ((4000, 6, 100, 400), (200, 6, 20, 4), (200, 6, 20, 97), (1, 3, 1, 4)):
+        monkeypatch.setattr(ha, "BLOCK_ROWS", rows, raising=False)
+        got = {(r.query_id, r["rank"]): r.vec_id for r in run(parts, curves, half)}
+        assert got == uncut(curves, half), (rows, half, parts)
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.01"
     rows = [tuple(r)[:2] for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
