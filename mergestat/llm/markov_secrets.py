@@ -1,7 +1,8 @@
 """Secret scan: fixed patterns, and character Markov models of random strings.
 
 Three patterns find the base spans.  Beside them every run of 16 or more of the
-characters of ``ALPHABET`` that touches no base span is scored by two
+characters of ``ALPHABET``, and of a run that touches base spans every such piece
+outside them, is scored by two
 first-order character Markov models, one of random strings and one of ordinary
 words and identifiers: the log-likelihood ratio of the run must reach
 ``least`` (the prior odds against a random string).
@@ -100,6 +101,28 @@ def _clear(runs: Column, base: Column) -> Column:
     return F.filter(runs, lambda r: ~F.exists(base, lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
 
 
+def _outside(runs: Column, base: Column, chars: int) -> Column:
+    """Pieces of ``chars`` characters or more that base spans leave of the runs."""
+    def pieces(r):
+        cut = F.array_sort(F.transform(
+            F.filter(base, lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])),
+            lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"))))
+        # each span's end opens a piece, up to the next span's start
+        def between(cut):
+            opens = F.concat(F.array(r["start"]), F.transform(cut, lambda b: b["end"]))
+            closes = F.concat(F.transform(cut, lambda b: b["start"]), F.array(r["end"]))
+            def piece(a, i):
+                # spans may overlap: what an earlier one covers is no piece
+                begin = F.array_max(F.slice(opens, F.lit(1), i + 1))
+                return F.struct(F.lit(3).alias("kind"), begin.alias("start"), closes[i].alias("end"))
+            found = F.filter(F.transform(opens, piece), lambda x: x["end"] - x["start"] >= chars)
+            return F.transform(found, lambda x: F.struct(
+                x["kind"], x["start"], x["end"],
+                F.substr(r["text"], x["start"] - r["start"] + 1, x["end"] - x["start"]).alias("text")))
+        return F.when(F.size(cut) == 0, F.array(r)).otherwise(_let(cut, between))
+    return F.flatten(F.transform(runs, pieces))
+
+
 def _runs(text: Column, chars: int) -> Column:
     pattern = f"{RUN}{{{chars},}}"
     return F.when(text.rlike(pattern), spans(text, pattern, 3)).otherwise(F.array().cast(_SPAN))
@@ -155,7 +178,7 @@ def scan(docs: DataFrame, model: list[float], text: str = "text", least: float =
     keep = [F.col(f"`{c}`") for c in docs.columns if c.lower() != "secrets"]
     d = docs.select(*keep, F.coalesce(F.col(f"`{text}`"), F.lit("")).alias(body))
     d = d.withColumn(base, base_spans(F.col(body)))
-    added = F.filter(_clear(_runs(F.col(body), RUN_CHARS), F.col(base)), lambda r: ratio(r["text"], model) >= least)
+    added = F.filter(_outside(_runs(F.col(body), RUN_CHARS), F.col(base), RUN_CHARS), lambda r: ratio(r["text"], model) >= least)
     return d.select(*keep, F.concat(base, added).alias("secrets"))
 
 

@@ -44,6 +44,27 @@ def test_running_sums(spark):
         assert row.s == [sum(row.x[:k + 1]) for k in range(len(row.x))]
 
 
+def test_pieces_beside_base_spans_are_scored(spark):
+    r = random.Random(11)
+    hex_, access = "0f3a" * 6, "AKIA" + "Z9" * 8
+    bits = [hex_, access, access + "/" + hex_, "token=abcdefgh", "/", "-", "_", " ", "password=", "G" * 15, "G" * 16, "\U0001F600", "H+/" * 9]
+    texts = ["".join(r.choices(bits, k=r.randint(1, 9))) for _ in range(400)] + [None, ""]
+    key = "wJalrXUtnFEMIK7MDENGbPxRfiCYqL0s9TzQvHkG"
+    texts += [f"see {access}/{key} there", f"{hex_}-{key}", f"{key}_{hex_}-{key}"]
+
+    def pieces(t):
+        """Places of runs outside the base spans, by character."""
+        taken = {i for s in slow(t).split(",") if s for i in range(int(s.split(":")[1]), int(s.split(":")[2]))}
+        free = "".join(" " if i in taken else c for i, c in enumerate(t or ""))
+        return [(m.start(), m.end(), m[0]) for m in re.finditer(f"{ms.RUN}{{{ms.RUN_CHARS},}}", free)]
+
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    everything = [1.0] * len(ms.ALPHABET) ** 2
+    for row in ms.scan(df, everything).collect():
+        assert [(s.start, s.end, s.text) for s in row.secrets if s.kind == 3] == pieces(row.text), row.text
+    assert pieces(texts[-3]) == [(4 + len(access), 4 + len(access) + 41, "/" + key)]
+
+
 def test_random_strings_are_told_from_identifiers(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
     model = ms.train(docs)
