@@ -14,8 +14,11 @@ All hashes are of the seed, the id and the place in the block, so a retried task
 repeats itself.  DataFrame operations only; the driver holds blocks x shards
 counts, where a block is ``block_rows`` rows or more.
 
-Defined cases: rows with equal (or null) ids share a block and are otherwise
-rows like any other; a null text is kept; an empty table gives no rows; columns
+Rows whose id (or null) more than a block of them share are staged once with a
+number of their own, which takes part in their hashes, so that they spread over
+all blocks; there are fewer such ids than blocks.
+
+Defined cases: rows with equal (or null) ids are rows like any other; a null text is kept; an empty table gives no rows; columns
 of the input named ``shard`` or ``slot`` are replaced.
 """
 
@@ -25,7 +28,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, staged, unit_hash
+from .common import fresh, is_empty, staged, unit_hash
 
 SHARDS, SEED, BLOCKS, BLOCK_ROWS = 8, 42, 512, 100_000
 #: Counts (8 bytes each) up to which the matrix and the pieces' starts are broadcast.
@@ -76,8 +79,8 @@ def communication_matrix(block_sizes: list[int], shard_sizes: list[int], seed: i
 
 def _dealt(rows: DataFrame, counts: DataFrame, names: list[str], seed: int, pieces: int) -> DataFrame:
     """Adds shard, the second permutation's key and its piece to (id, block) rows."""
-    ident, block, at, key, piece = names
-    order = [F.xxhash64(F.lit(seed), F.lit(1), F.col(ident)), F.col(ident)]
+    ident, block, at, key, piece, salt = names
+    order = [F.xxhash64(F.lit(seed), F.lit(1), F.col(ident), F.col(salt)), F.col(ident), F.col(salt)]
     place = F.row_number().over(Window.partitionBy(block).orderBy(*order)) - 1
     d = rows.withColumn(at, place).join(counts, F.col(block) == F.col("__of"))
     d = d.withColumn("shard", F.size(F.filter("__below", lambda c: c <= F.col(at))).cast("int"))
@@ -86,18 +89,31 @@ def _dealt(rows: DataFrame, counts: DataFrame, names: list[str], seed: int, piec
         piece, F.floor(unit_hash(*again) * pieces).cast("int")).drop("__of", "__below")
 
 
+def _salted(rows: DataFrame, ident: str, salt: str, most: int) -> DataFrame:
+    """Adds a number of its own to each row whose id more than ``most`` rows share."""
+    often = staged(rows.groupBy(ident).count().where(F.col("count") > most).select(
+        F.col(ident).alias("__often"), F.lit(True).alias("__hot")), "shard-often")
+    if is_empty(often):
+        return rows.withColumn(salt, F.lit(None).cast("long"))
+    hot = rows.join(F.broadcast(often), F.col(ident).eqNullSafe(F.col("__often")), "left")
+    return staged(hot.withColumn(salt, F.when(F.col("__hot"), F.monotonically_increasing_id())).drop(
+        "__often", "__hot"), "shard-rows")
+
+
 def shard(docs: DataFrame, shards: int = SHARDS, ident: str = "doc_id", seed: int = SEED,
           blocks: int = BLOCKS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``docs`` with ``shard`` (from 0) and ``slot`` (gapless from 0 in its shard)."""
     spark = docs.sparkSession
-    names = fresh(docs, "id", "block", "at", "key", "piece")
-    id_, block, at, key, piece = names
+    names = fresh(docs, "id", "block", "at", "key", "piece", "salt")
+    id_, block, at, key, piece, salt = names
     keep = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
     d = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{ident}`").alias(id_))
     total = d.count()
     blocks = max(blocks, -(-total // block_rows))
     pieces = -(-blocks // shards)
-    of: Column = F.pmod(F.xxhash64(F.lit(seed), F.col(id_)), F.lit(blocks)).cast("int")
+    d = _salted(d, id_, salt, max(1, -(-total // blocks)))
+    # a null salt leaves the hash as it is without one
+    of: Column = F.pmod(F.xxhash64(F.lit(seed), F.col(id_), F.col(salt)), F.lit(blocks)).cast("int")
     d = d.withColumn(block, of)
     sizes = dict(d.groupBy(block).count().collect())
     order = sorted(sizes)
@@ -109,7 +125,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, ident: str = "doc_id", seed: in
     small = blocks * shards <= BROADCAST_COUNTS
     counts = F.broadcast(counts) if small else counts
 
-    ids = _dealt(d.select(id_, block), counts, names, seed, pieces)
+    ids = _dealt(d.select(id_, block, salt), counts, names, seed, pieces)
     before = Window.partitionBy("shard").orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
     start = staged(ids.groupBy("shard", piece).count().withColumn(
         "__start", F.coalesce(F.sum("count").over(before), F.lit(0))).drop("count"), "shard-pieces")

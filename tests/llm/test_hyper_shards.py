@@ -47,6 +47,24 @@ def test_reruns_agree_and_seeds_differ(spark):
     assert not same_rows(a, hs.shard(docs, seed=1).collect())
 
 
+def test_a_repeated_id_spreads_over_blocks(spark, monkeypatch):
+    sizes = []
+    draw = hs.communication_matrix
+    monkeypatch.setattr(hs, "communication_matrix", lambda b, *more: sizes.append(b) or draw(b, *more))
+    docs = spark.range(6000).selectExpr(
+        "case when id % 3 = 0 then 7 when id % 3 = 1 then null else id end as doc_id", "if(id % 3 = 0, 't', cast(id as string)) as text")
+    rows = hs.shard(docs, 8, blocks=64).collect()
+    lawful(rows, 8)
+    assert same_rows([(r.doc_id, r.text) for r in rows], [(r.doc_id, r.text) for r in docs.collect()])
+    assert len(sizes[0]) == 64 and max(sizes[0]) < 2 * 6000 / 64
+    # the hot id's 2,000 rows are spread over shards and slots as any others
+    hits = np.zeros((8, 10))
+    for r in rows:
+        if r.doc_id == 7:
+            hits[r.shard, r.slot // 75] += 1
+    assert ((hits - 25) ** 2 / 25).sum() < 130
+
+
 def test_the_shuffle_is_uniform(spark):
     docs = spark.range(8000).selectExpr("id as doc_id", "'t' as text")
     rows = hs.shard(docs, 4, blocks=16).collect()
