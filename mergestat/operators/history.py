@@ -30,6 +30,10 @@ from mergestat.operators.histogram import Bins
 from mergestat.sources.tables import key_names
 
 
+#: Batches of a key that are folded in one row.
+FOLD = 256
+
+
 def _v(value) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
@@ -181,16 +185,56 @@ def history_histogram_median(df: DataFrame, keys, value, batch, bins: Bins,
         median_from_counts(F.col("counts"), bins.edges).alias("median_estimate"))
 
 
+def _running_lists(parts: DataFrame, ks, at: str, k: int, j: int, kind: T.ArrayType, most: int) -> DataFrame:
+    """``parts`` (key..., at, largest, smallest) with the lists of all rows up to
+    each; no key has more than ``most`` rows.
+
+    Longer histories are folded in blocks of ``FOLD`` rows; what the blocks close
+    with is a history again, whose state before a block is merged into its rows.
+    """
+    def merged(a, b):
+        return (F.slice(F.sort_array(F.concat(a["largest"], b["largest"]), asc=False), 1, k).alias("largest"),
+                F.slice(F.sort_array(F.concat(a["smallest"], b["smallest"])), 1, j).alias("smallest"))
+
+    def fold(state, p):
+        now = F.struct(p[at].alias(at), *merged(state, p))
+        return F.struct(F.concat(state["out"], F.array(now)).alias("out"), now["largest"].alias("largest"),
+                        now["smallest"].alias("smallest"))
+    none = F.array().cast(kind)
+    start = F.struct(F.filter(F.array(F.element_at("all", 1)), lambda _: F.lit(False)).alias("out"),
+                     none.alias("largest"), none.alias("smallest"))
+    block = f"{at}_of"
+    number = (F.floor((F.row_number().over(Window.partitionBy(*ks).orderBy(at)) - 1) / FOLD) if most > FOLD else F.lit(0)).cast("bigint")
+    folded = (parts.withColumn(block, number).groupBy(*ks, block)
+              .agg(F.sort_array(F.collect_list(F.struct(at, "largest", "smallest"))).alias("all"))
+              .select(*ks, block, F.aggregate("all", start, fold)["out"].alias("out")))
+    if most <= FOLD:
+        return folded.select(*ks, F.explode("out").alias("s")).select(*ks, "s.*")
+    closing = folded.select(*ks, block, F.element_at("out", -1).alias("s")).select(*ks, block, "s.largest", "s.smallest")
+    before = _running_lists(closing, ks, block, k, j, kind, -(-most // FOLD))
+    before = before.select(*[F.col(c).alias(f"_before{i}") for i, c in enumerate(ks)], (F.col(block) + 1).alias("_before"),
+                           F.struct("largest", "smallest").alias("b"))
+    same = F.col(block) == F.col("_before")
+    for i, c in enumerate(ks):
+        same &= F.col(c).eqNullSafe(F.col(f"_before{i}"))
+    rows = folded.join(before, same, "left").select(
+        *ks, F.coalesce("b", F.struct(none.alias("largest"), none.alias("smallest"))).alias("b"), F.explode("out").alias("s"))
+    return rows.select(*ks, F.col(f"s.{at}").alias(at), *merged(F.col("b"), F.col("s")))
+
+
 def history_extremes(df: DataFrame, keys, value: str, batch, k: int = 4, j: int = 3,
                      step: str = "1 day") -> DataFrame:
     """The k largest and j smallest values of every key after every batch:
     (key..., batch, side, rank, value).
 
     Per (key, batch) the lists are cut before the shuffle, so what is folded
-    along a key is k + j values per batch, never its rows.
+    along a key is k + j values per batch, never its rows; at most ``FOLD``
+    batches are folded in one row.  Numbers keep their own type.
     """
     ks = key_names(keys)
-    rows = df.select(*ks, _batch(df, batch, step), F.col(value).cast("double").alias("_v"))
+    kind = df.schema[value].dataType
+    kind = kind if isinstance(kind, T.NumericType) else T.DoubleType()
+    rows = df.select(*ks, _batch(df, batch, step), F.col(value).cast(kind).alias("_v"))
     long = extremes(rows, [*ks, "batch"], "_v", k, j)
 
     def values(side):
@@ -198,21 +242,10 @@ def history_extremes(df: DataFrame, keys, value: str, batch, k: int = 4, j: int
     # a batch without usable values still starts its key
     seen = rows.select(*ks, "batch").distinct()
     parts = long.select(*ks, "batch", "side", "_v").unionByName(
-        seen.withColumn("side", F.lit(None).cast("string")).withColumn("_v", F.lit(None).cast("double")))
+        seen.withColumn("side", F.lit(None).cast("string")).withColumn("_v", F.lit(None).cast(kind)))
     parts = parts.groupBy(*ks, "batch").agg(values("largest"), values("smallest"))
-    one = F.struct("batch", "largest", "smallest")
-
-    def fold(state, p):
-        now = F.struct(p["batch"].alias("batch"),
-                       F.slice(F.sort_array(F.concat(state["largest"], p["largest"]), asc=False), 1, k).alias("largest"),
-                       F.slice(F.sort_array(F.concat(state["smallest"], p["smallest"])), 1, j).alias("smallest"))
-        return F.struct(F.concat(state["out"], F.array(now)).alias("out"), now["largest"].alias("largest"),
-                        now["smallest"].alias("smallest"))
-    none = F.array().cast("array<double>")
-    start = F.struct(F.filter(F.array(F.element_at("all", 1)), lambda _: F.lit(False)).alias("out"),
-                     none.alias("largest"), none.alias("smallest"))
-    states = (parts.groupBy(*ks).agg(F.sort_array(F.collect_list(one)).alias("all"))
-              .select(*ks, F.explode(F.aggregate("all", start, fold)["out"]).alias("s")).select(*ks, "s.*"))
+    most = seen.groupBy(*ks).count().agg(F.max("count")).first()[0] or 0
+    states = _running_lists(parts, ks, "batch", k, j, T.ArrayType(kind), most)
     dense = _dense(states, keys, step=step, repeat=True)
     return dense.select(*ks, "batch", F.explode(F.concat(*[
         F.transform(side, lambda v, i: F.struct(F.lit(side).alias("side"), (i + 1).cast("bigint").alias("rank"), v.alias("value")))

@@ -125,3 +125,22 @@ def test_dates_are_snapped_to_the_step(spark):
         history.history_sum(df, "label", "value", "batch", step="5 minutes")
     with pytest.raises(TypeError):
         history.history_sum(df.withColumn("t", F.col("batch").cast("timestamp")), "label", "value", "t")
+
+
+@pytest.mark.parametrize("fold", [2, 3, 256])
+def test_extremes_of_long_histories_keep_whole_numbers(spark, monkeypatch, fold):
+    monkeypatch.setattr(history, "FOLD", fold, raising=False)
+    r = random.Random(8)
+    data = [(k, r.choice([None, *(2 ** 60 + r.randint(-40, 40) for _ in range(6))]), r.choice([None, *range(20)]))
+            for k in (BIG, BIG, BIG, None, 7) for _ in range(25)]
+    df = spark.createDataFrame(data, "label long, value long, batch int")
+    out = {}
+    for row in history.history_extremes(df, "label", "value", "batch", 4, 3).collect():
+        out.setdefault((row["label"], row["batch"], row["side"]), []).append((row["rank"], row["value"]))
+    want = {}
+    for (key, batch), values in upto(data).items():
+        vs = sorted(v for v in values if v is not None)
+        for side, best in (("largest", vs[::-1][:4]), ("smallest", vs[:3])):
+            if best:
+                want[key, batch, side] = list(enumerate(best, 1))
+    assert {c: sorted(v) for c, v in out.items()} == want
