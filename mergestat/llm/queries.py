@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (arc_warc, chat_parts, hilbert_ann, hyper_shards, markov_secrets, ordinal_quality, pivotal_mix, simhash_decontam,
-               simhash_mih, token_frames)
-from .common import table
+from . import (arc_warc, chat_parts, hilbert_ann, hyper_shards, markov_secrets, ordinal_quality, part_codes, piece_codec,
+               pivotal_mix, simhash_decontam, simhash_mih, token_frames, word_runs)
+from .common import WORD, table
 
 
 def op1_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,7 +109,61 @@ def op10_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         markov_secrets.listed(F.col("secrets")).alias("spans"))
 
 
+def op11_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, and the text they decode to."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = tokenizer_path("piece_bpe_32k.model")
+    told = piece_codec.decode(piece_codec.encode(docs, model), model)
+    return told.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_part_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every vector."""
+    coded, books = part_codes.encode(table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding"))
+    return part_codes.label_totals(coded).select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error",
+                                                 F.lit(books.sha256).alias("codebooks_sha256"))
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """Documents, one in ten of which repeats its words from some place on, as its id decides."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+
+    def repeated(words):
+        n = F.size(words)
+        start = (g % n).cast("int")
+        period = (1 + F.floor((n - start) / (3 + g % 8))).cast("int")
+        from_start = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(
+            words, F.when(i < start, i).otherwise(start + (i - start) % period)))
+        return F.when(n > 0, F.array_join(from_start, " ")).otherwise(F.lit(""))
+
+    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    planted = F.transform(F.array(words), repeated)[0]
+    return docs.withColumn("text", F.when(h % 10 == 0, planted).otherwise(F.col("text")))
+
+
+def op13_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, and its text without their repeats."""
+    docs = with_periods(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = word_runs.collapse(docs).select("doc_id", "runs", "collapsed")
+
+    def better(best, r):
+        # exact: lengths and periods are cross-multiplied; runs come by start, then period
+        return F.when(best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"]), r).otherwise(best)
+
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n"))), "")
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), better)
+    found = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"),
+                         F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    return found.select("doc_id", "n_runs", "best.start", "best.length", "best.period",
+                        F.expr("1000 * best.length div best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
 QUERIES = {f.__name__: f for f in (op1_ordinal_quality, op2_arc_warc, op3_chat_parts,
                                    op4_hilbert_ann, op5_token_frames, op6_pivotal_mix, op7_simhash_decontam,
-                                   op8_simhash_mih, op9_hyper_shards, op10_markov_secrets)}
+                                   op8_simhash_mih, op9_hyper_shards, op10_markov_secrets, op11_piece_codec,
+                                   op12_part_codes, op13_word_runs)}
 ORACLE_SQL: dict[str, str] = {"op3_chat_parts": OP3_SQL}
