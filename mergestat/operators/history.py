@@ -24,9 +24,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mergestat.functions.binning import median_from_counts
+from mergestat.functions.moments import HIGHER, centred, power_sums, shape_of
 from mergestat.operators.distinct import _estimated, hll_registers
 from mergestat.operators.extremes import extremes
 from mergestat.operators.histogram import Bins
+from mergestat.operators.moments import higher_partials
 from mergestat.sources.tables import key_names
 
 
@@ -160,6 +162,29 @@ def history_variance(df: DataFrame, keys, value, batch, step: str = "1 day") ->
                       F.when(F.col("n") > 0, F.col("_q") / F.col("n") - mean * mean).alias("variance_sum_squares"))
 
 
+def history_higher_moments(df: DataFrame, keys, value, batch, step: str = "1 day") -> DataFrame:
+    """Running count, mean, population variance, skewness and excess kurtosis per
+    key after every batch.
+
+    Each batch's state becomes power sums about a per-key shift (the key's overall
+    mean), which add up along the key; the moments after a batch are those sums
+    taken back to the running mean.
+    """
+    ks = key_names(keys)
+    parts = higher_partials(df, keys, value, _batch(df, batch, step))
+    d = _dense(parts, keys, step=step)
+    d = d.withColumn("_c", F.sum(F.col("n") * F.col("mean")).over(Window.partitionBy(*ks)) / F.sum("n").over(Window.partitionBy(*ks)))
+    w = _running(keys)
+    sums = power_sums(*[F.col(c) for c in HIGHER], F.col("_c"))
+    run = d.select(*ks, "batch", "_c", F.sum(F.coalesce("n", F.lit(0))).over(w).alias("n"),
+                   *[F.sum(F.when(F.col("n") > 0, s).otherwise(0.0)).over(w).alias(f"_s{p}") for p, s in enumerate(sums, 1)])
+    m2, m3, m4 = centred(F.col("n"), *[F.col(f"_s{p}") for p in range(1, 5)])
+    run = run.select(*ks, "batch", "n", F.when(F.col("n") > 0, F.col("_c") + F.col("_s1") / F.col("n")).alias("mean"),
+                     F.greatest(m2, F.lit(0.0)).alias("m2"), m3.alias("m3"), m4.alias("m4"))
+    variance, skewness, kurtosis = shape_of(F.col("n"), F.col("m2"), F.col("m3"), F.col("m4"))
+    return run.select(*ks, "batch", "n", "mean", variance.alias("variance"), skewness.alias("skewness"), kurtosis.alias("kurtosis"))
+
+
 def history_histogram_median(df: DataFrame, keys, value, batch, bins: Bins,
                              step: str = "1 day") -> DataFrame:
     """Running histogram and its median estimate per key after every batch.

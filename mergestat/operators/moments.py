@@ -13,7 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mergestat.functions.moments import merge_moments, moment_state, variance_of
+from mergestat.functions.moments import (HIGHER, centred, higher_of, higher_state, merge_higher, merge_moments, moment_state,
+                                         power_sums, shape_of, variance_of)
 from mergestat.sources.tables import key_names
 
 
@@ -133,3 +134,45 @@ def pairwise_merge(left: DataFrame, right: DataFrame, keys) -> DataFrame:
     # at most one state of either side
     merged = both.groupBy(*ks).agg(F.reduce(F.collect_list("s"), none, merge_moments).alias("s"))
     return merged.select(*ks, "s.n", "s.mean", variance_of(F.col("s")).alias("variance"))
+
+
+def higher_partials(df: DataFrame, keys, value, batch) -> DataFrame:
+    """Per (key, batch) mergeable states up to the fourth moment: n, mean, m2, m3, m4."""
+    b = F.col(batch) if isinstance(batch, str) else batch
+    ks = key_names(keys)
+    return df.groupBy(*ks, b.alias("batch")).agg(higher_of(_v(value)).alias("_s")).select(*ks, "batch", "_s.*")
+
+
+def shapes(states: DataFrame, keys) -> DataFrame:
+    """(key..., n, mean, variance, skewness, kurtosis) of states (key..., n, mean, m2, m3, m4)."""
+    variance, skewness, kurtosis = shape_of(F.col("n"), F.col("m2"), F.col("m3"), F.col("m4"))
+    return states.select(*key_names(keys), "n", "mean", variance.alias("variance"), skewness.alias("skewness"),
+                         kurtosis.alias("kurtosis"))
+
+
+def higher_from_partials(partials: DataFrame, keys) -> DataFrame:
+    """A7 for A10: one state (key..., n, mean, m2, m3, m4) per key of its partials.
+
+    The k-way form: every partial's powers are taken about the key's pooled mean,
+    where they add up.  That mean is a window over the key's partials and the
+    aggregation reuses its partitioning: one shuffle of one row per key and batch.
+    """
+    ks = key_names(keys)
+    w = Window.partitionBy(*ks)
+    pooled = partials.where("n > 0").withColumn("_m", F.sum(F.col("n") * F.col("mean")).over(w) / F.sum("n").over(w))
+    sums = power_sums(*[F.col(c) for c in HIGHER], F.col("_m"))
+    merged = pooled.groupBy(*ks).agg(F.sum("n").alias("n"), F.first("_m").alias("_m"),
+                                     *[F.sum(s).alias(f"_s{p}") for p, s in enumerate(sums, 1)])
+    s = [F.col(f"_s{p}") for p in range(1, 5)]
+    m2, m3, m4 = centred(F.col("n"), *s)
+    return merged.select(*ks, "n", (F.col("_m") + s[0] / F.col("n")).alias("mean"), m2.alias("m2"), m3.alias("m3"), m4.alias("m4"))
+
+
+def pairwise_merge_higher(left: DataFrame, right: DataFrame, keys) -> DataFrame:
+    """A7 for A10 on two tables of states (key..., n, mean, m2, m3, m4): one merged state per key."""
+    ks = key_names(keys)
+    state = higher_state(*[F.col(c) for c in HIGHER])
+    both = left.select(*ks, state.alias("s")).union(right.select(*ks, state.alias("s")))
+    none = higher_state(F.lit(0), *[F.lit(None)] * 4)
+    # at most one state of either side
+    return both.groupBy(*ks).agg(F.reduce(F.collect_list("s"), none, merge_higher).alias("s")).select(*ks, "s.*")

@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mergestat.operators import distinct, extremes, histogram, history, kalman, moments
+from mergestat.operators import distinct, exact, extremes, histogram, history, kalman, moments
 from mergestat.operators.histogram import Bins
 from mergestat.plans.compare import rounded
 from mergestat.sources.tables import events_stream_view, keyed, keyed_event, only_key, table
@@ -109,6 +109,44 @@ def q_higher_moments(spark, sf):
     return _r(moments.higher_moments(_events(spark, sf), "label", "value"))
 
 
+def q_higher_moments_merge_partials(spark, sf):
+    """Third and fourth moments of each day, merged per key."""
+    parts = moments.higher_partials(_events(spark, sf), "label", "value", "batch")
+    return _r(moments.shapes(moments.higher_from_partials(parts, "label"), "label"))
+
+
+def q_higher_moments_pairwise_merge(spark, sf):
+    li = table(spark, sf, "lineitem").withColumn("open", F.col("l_linestatus").eqNullSafe(F.lit("O")))
+    sides = moments.higher_partials(li, "l_returnflag", "l_quantity", "open")
+    a, b = (sides.where(F.col("batch") == side).drop("batch") for side in (True, False))
+    return _r(moments.shapes(moments.pairwise_merge_higher(a, b, "l_returnflag"), "l_returnflag"))
+
+
+def q_exact_sum(spark, sf):
+    """A2 independent of order: compared to the last bit, nothing rounded."""
+    return exact.exact_sum(_events(spark, sf), "label", "value")
+
+
+def q_exact_batch_sum(spark, sf):
+    """A1 independent of order: compared to the last bit, nothing rounded."""
+    return exact.exact_batch_sum(_events(spark, sf), "label", "value", "batch")
+
+
+def q_exact_median(spark, sf):
+    """Mean, exact median and histogram estimate."""
+    return _r(exact.mean_and_medians(_events(spark, sf), "label", "value", EVENT_BINS))
+
+
+def q_exact_median_lineitem(spark, sf):
+    """Hot keys: three return flags with a third of the rows each."""
+    return exact.exact_median(table(spark, sf, "lineitem"), "l_returnflag", "l_extendedprice")
+
+
+def q_exact_median_by_user(spark, sf):
+    """Many keys: the median of every user."""
+    return exact.exact_median(table(spark, sf, "events"), "user_id", "value")
+
+
 # ---------------------------------------------------------------- 2.4
 
 def q_k_largest(spark, sf):
@@ -241,6 +279,10 @@ def q_history_histogram_median(spark, sf):
                                                EVENT_BINS))
 
 
+def q_history_higher_moments(spark, sf):
+    return _r(history.history_higher_moments(_events(spark, sf), "label", "value", "batch"))
+
+
 def q_history_orders_monthly(spark, sf):
     od = (table(spark, sf, "orders")
           .withColumn("month", F.to_date(F.date_trunc("month", "o_orderdate"))))
@@ -308,6 +350,13 @@ BATCH_QUERIES: dict[str, Query] = {
     "variance_merge_partials": q_variance_merge_partials,
     "variance_pairwise_merge": q_variance_pairwise_merge,
     "higher_moments": q_higher_moments,
+    "higher_moments_merge_partials": q_higher_moments_merge_partials,
+    "higher_moments_pairwise_merge": q_higher_moments_pairwise_merge,
+    "exact_sum": q_exact_sum,
+    "exact_batch_sum": q_exact_batch_sum,
+    "exact_median": q_exact_median,
+    "exact_median_lineitem": q_exact_median_lineitem,
+    "exact_median_by_user": q_exact_median_by_user,
     "k_largest": q_k_largest,
     "j_smallest": q_j_smallest,
     "extremes_acctbal": q_extremes_acctbal,
@@ -329,6 +378,7 @@ BATCH_QUERIES: dict[str, Query] = {
     "history_sum": q_history_sum,
     "history_mean": q_history_mean,
     "history_variance": q_history_variance,
+    "history_higher_moments": q_history_higher_moments,
     "history_histogram_median": q_history_histogram_median,
     "history_orders_monthly": q_history_orders_monthly,
     "history_extremes": q_history_extremes,

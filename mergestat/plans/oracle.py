@@ -127,6 +127,57 @@ def history_variance_sql(every=DAILY, stddev: bool = False, squares: bool = Fals
             + f" FROM {_UPTO} GROUP BY g.label, g.batch")
 
 
+def _shape_sql(rows: str, keys: str) -> str:
+    """Moments of ``value`` in the CTE ``rows`` about each group's own mean."""
+    same = " AND ".join(f"x.{k} IS NOT DISTINCT FROM m.{k}" for k in keys.split(", "))
+    grouped = ", ".join(f"x.{k}" for k in keys.split(", "))
+
+    def power(p):
+        return f"avg(power(value - mu, {p}))"
+    spread = "CASE WHEN var_pop(value) > 0 THEN"
+    return (f"m AS (SELECT {keys}, avg(value) AS mu FROM {rows} GROUP BY {keys}) "
+            f"SELECT {grouped}, count(value) AS n, round(avg(value), 6) AS mean, round(var_pop(value), 6) AS variance, "
+            f"round({spread} {power(3)} / power({power(2)}, 1.5) END, 6) AS skewness, "
+            f"round({spread} {power(4)} / power({power(2)}, 2) - 3 END, 6) AS kurtosis "
+            f"FROM {rows} x JOIN m ON {same} GROUP BY {grouped}")
+
+
+def history_higher_sql(every=DAILY) -> str:
+    return (f"WITH {_grid(every)}, upto AS (SELECT g.label, g.batch, e.value FROM {_UPTO}), "
+            + _shape_sql("upto", "label, batch"))
+
+
+#: Exact sums: doubles times this power of two are integers in the checked tables.
+FIXED_POINT = 66
+
+
+def exact_sum_sql(keys: str, mean: bool) -> str:
+    """Sums in 128-bit integers, rounded once, half to even, by integer division."""
+    total = f"sum(CAST(value * power(2::DOUBLE, {FIXED_POINT}) AS HUGEINT))::HUGEINT"
+
+    def nearest(whole: str, parts: str) -> str:
+        # the quotient's size to within one place, then 54 or 55 bits of it, a sticky bit, and one rounding
+        size = f"CAST(floor(log2(greatest(abs({whole}::DOUBLE), 1::DOUBLE) / ({parts})::DOUBLE)) AS INTEGER)"
+        unit = f"CAST(power(2::DOUBLE, greatest({size} - 54, 0)) AS HUGEINT)"
+        q, r = f"(abs({whole}) // (({parts}) * {unit}))", f"(abs({whole}) % (({parts}) * {unit}))"
+        half = f"CASE WHEN {q} >= 18014398509481984::HUGEINT THEN 4::HUGEINT ELSE 2::HUGEINT END"
+        rounded = (f"(CASE WHEN {q} < 9007199254740992::HUGEINT THEN {q} ELSE "
+                   f"(CASE WHEN ({q} % ({half})) * 2 > ({half}) OR (({q} % ({half})) * 2 = ({half}) AND ({r} > 0 OR "
+                   f"({q} // ({half})) % 2 = 1)) THEN {q} // ({half}) + 1 ELSE {q} // ({half}) END) * ({half}) END)")
+        return f"sign({whole}) * ({rounded})::DOUBLE * {unit}::DOUBLE / power(2::DOUBLE, {FIXED_POINT})"
+    return (f"WITH {EV}, t AS (SELECT {keys}, count(value) AS n, {total} AS total FROM ev GROUP BY {keys}) "
+            f"SELECT {keys}, n, {nearest('total', '1')} AS sum"
+            + (f", {nearest('total', 'n')} AS mean" if mean else "") + " FROM t")
+
+
+def median_sql(table: str, key: str, value: str) -> str:
+    """The value of rank n div 2, counted from 0."""
+    return (f"SELECT {key}, CAST(max(c) AS BIGINT) AS n, max(CASE WHEN i = c // 2 THEN {value} END) AS median FROM "
+            f"(SELECT {key}, {value}, row_number() OVER (PARTITION BY {key} ORDER BY {value}) - 1 AS i, "
+            f"count(*) OVER (PARTITION BY {key}) AS c FROM {table} "
+            f"WHERE {value} IS NOT NULL AND NOT isnan({value})) GROUP BY {key}")
+
+
 def history_histogram_sql(every=DAILY) -> str:
     b = EVENT_BINS
     return (
@@ -240,6 +291,14 @@ def build() -> dict[str, str]:
         f"round(avg(power(value - mu, 3)) / power(avg(power(value - mu, 2)), 1.5), 6) AS skewness, "
         f"round(avg(power(value - mu, 4)) / power(avg(power(value - mu, 2)), 2) - 3, 6) AS kurtosis "
         f"FROM ev JOIN m ON ev.label = m.label GROUP BY ev.label")
+    q["higher_moments_merge_partials"] = f"WITH {EV}, " + _shape_sql("ev", "label")
+    q["higher_moments_pairwise_merge"] = (
+        "WITH li AS (SELECT l_returnflag, l_quantity AS value FROM lineitem), " + _shape_sql("li", "l_returnflag"))
+    q["history_higher_moments"] = history_higher_sql()
+    q["exact_sum"] = exact_sum_sql("label", mean=True)
+    q["exact_batch_sum"] = exact_sum_sql("batch, label", mean=False)
+    q["exact_median_lineitem"] = median_sql("lineitem", "l_returnflag", "l_extendedprice")
+    q["exact_median_by_user"] = median_sql("events", "user_id", "value")
     for name, direction, n in (("k_largest", "DESC", K_LARGEST), ("j_smallest", "ASC", J_SMALLEST)):
         q[name] = (f"WITH {EV} SELECT label, rank, round(value, 6) AS value FROM "
                    f"(SELECT label, value, row_number() OVER (PARTITION BY label ORDER BY value "
@@ -296,6 +355,11 @@ def build() -> dict[str, str]:
         "WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY label) "
         f"SELECT mv.label, mv.n, mv.mean, {_mid_sql('m.ms', b)} AS median_estimate "
         f"FROM mv LEFT JOIN m ON m.label = mv.label")
+    q["exact_median"] = (
+        med + f", em AS ({median_sql('ev', 'label', 'value')}), mv AS (SELECT label, avg(value) AS mean FROM ev "
+        "WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY label) "
+        f"SELECT em.label, em.n, round(mv.mean, 6) AS mean, round(em.median, 6) AS median, {_mid_sql('m.ms', b)} "
+        f"AS median_estimate FROM em JOIN mv ON mv.label = em.label LEFT JOIN m ON m.label = em.label")
     q["history_sum"] = history_sum_sql()
     q["history_mean"] = history_mean_sql()
     q["history_variance"] = history_variance_sql(stddev=True, squares=True)

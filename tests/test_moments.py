@@ -98,3 +98,54 @@ def test_variance_from_partials_equals_direct(spark):
     for k, d in direct.items():
         assert merged[k]["n"] == d["n"]
         assert merged[k]["variance"] == pytest.approx(d["variance"], rel=1e-9)
+
+
+def _higher(vs):
+    n = len(vs)
+    mu = math.fsum(vs) / n
+    m = [math.fsum((v - mu) ** p for v in vs) for p in (2, 3, 4)]
+    spread = m[0] > 0
+    return (n, mu, m[0] / n, math.sqrt(n) * m[1] / m[0] ** 1.5 if spread else None, n * m[2] / m[0] ** 2 - 3 if spread else None)
+
+
+def _close(got, want):
+    assert got[0] == want[0]
+    for g, w in zip(got[1:], want[1:]):
+        assert (g is None and w is None) or g == pytest.approx(w, rel=1e-7, abs=1e-9)
+
+
+def test_higher_moments_merge_at_every_split(spark):
+    """Two halves of one sequence, cut at every place, merge into the whole: as
+    expressions on literal states, by tables and from any number of parts."""
+    r = random.Random(8)
+    vs = [r.choice([r.expovariate(0.02), r.gauss(500, 3), 7.0]) for _ in range(30)]
+    rows = [(cut, cut <= i, v) for cut in range(len(vs) + 1) for i, v in enumerate(vs)]
+    df = spark.createDataFrame(rows, "cut int, late boolean, value double")
+    sides = moments.higher_partials(df, "cut", "value", "late")
+    a, b = (sides.where(F.col("batch") == late).drop("batch") for late in (False, True))
+    for merged in (moments.pairwise_merge_higher(a, b, "cut"), moments.pairwise_merge_higher(b, a, "cut"),
+                   moments.higher_from_partials(sides, "cut")):
+        got = moments.shapes(merged, "cut").collect()
+        assert len(got) == len(vs) + 1
+        for x in got:
+            _close(tuple(x)[1:], _higher(vs))
+
+
+def test_higher_moments_of_flat_single_and_missing_values(spark):
+    rows = [("flat", 1, 2.0), ("flat", 2, 2.0), ("one", 1, 5.0), ("none", 1, None), (None, 1, 1.0), (None, 2, 4.0), (None, 2, 5.0)]
+    df = spark.createDataFrame(rows, "k string, batch int, value double")
+    parts = moments.higher_partials(df, "k", "value", "batch")
+    got = {x.k: tuple(x)[1:] for x in moments.shapes(moments.higher_from_partials(parts, "k"), "k").collect()}
+    assert got["flat"] == (2, 2.0, 0.0, None, None) and got["one"] == (1, 5.0, 0.0, None, None) and "none" not in got
+    _close(got[None], _higher([1.0, 4.0, 5.0]))
+    empty = moments.pairwise_merge_higher(parts.where("k = 'none'").drop("batch"), parts.where("k = 'zzz'").drop("batch"), "k")
+    assert [tuple(x) for x in moments.shapes(empty, "k").collect()] == [("none", 0, None, None, None, None)]
+
+
+def test_higher_moments_are_well_conditioned(spark):
+    r = random.Random(9)
+    vs = [1e8 + r.expovariate(1) for _ in range(900)]
+    df = spark.createDataFrame([(1, i % 7, v) for i, v in enumerate(vs)], "k int, batch int, value double")
+    got = moments.shapes(moments.higher_from_partials(moments.higher_partials(df, "k", "value", "batch"), "k"), "k").first()
+    want = _higher([v - 1e8 for v in vs])
+    assert got["skewness"] == pytest.approx(want[3], rel=1e-4) and got["kurtosis"] == pytest.approx(want[4], rel=1e-4)
