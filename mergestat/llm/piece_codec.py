@@ -15,9 +15,10 @@ and asks at each step whether the pair across the border would be next.  A
 token's own merges are found once; a piece whose merges do not end in itself is
 never a token.
 
-Texts are cut first where no piece of the vocabulary spans the border (before a
-run of spaces, around characters that stand in no longer piece); these units are
-encoded on their own, and each distinct one once per task.
+Texts are cut first where no piece of the vocabulary spans the border: before a
+run of spaces, and between characters of different families, where characters
+that stand side by side in some piece are of one family.  These units are encoded
+on their own, and each distinct one once while it stays in the cache.
 
 Scale: one pass over the rows without a shuffle; memory is one Arrow batch, the
 vocabulary and bounded caches.  The model file must lie at the same path on
@@ -33,6 +34,7 @@ byte fallback and identity normalisation are refused.
 from __future__ import annotations
 
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -42,8 +44,8 @@ from pyspark.sql import types as T
 
 #: The sign that stands for a space inside pieces; a fixed value of the format.
 SPACE = "▁"
-#: Cached units, their length at most, and cached answers of the pair test.
-CACHE_UNITS, UNIT_CHARS, CACHE_PAIRS = 600_000, 64, 2_000_000
+#: Units in each of two generations of the cache, their length at most, and cached answers of the pair test.
+CACHE_UNITS, UNIT_CHARS, CACHE_PAIRS = 300_000, 64, 1_000_000
 
 
 class PieceEncoder:
@@ -67,13 +69,32 @@ class PieceEncoder:
         for p, i in self.ids.items():
             self.auto.add_word(p, (i, len(p)))
         self.auto.make_automaton()
-        joined = sorted({c for p in self.ids if len(p) > 1 for c in p} - {SPACE})
         spans_space = any(SPACE in p.lstrip(SPACE) for p in self.ids)
-        body = "[" + "".join(map(re.escape, joined)) + "]"
-        self.units = re.compile(".+" if spans_space else f"{SPACE}+{body}*|{body}+|.", re.DOTALL)
-        self.tables: dict[int, tuple | None] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.units = re.compile(".+" if spans_space else self._cutting(self.ids), re.DOTALL)
+        self.tables: dict[int, list | None] = {}
+        self.size = len(lib)
+        self.pairs: dict[int, bool] = {}
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    @staticmethod
+    def _cutting(pieces) -> str:
+        """Pattern of a run of spaces with the characters of one family behind it."""
+        head: dict[str, str] = {}
+
+        def family(c):
+            while head.setdefault(c, c) != c:
+                head[c] = c = head[head[c]]
+            return c
+        for p in pieces:
+            p = p.lstrip(SPACE)
+            for a, b in zip(p, p[1:]):
+                head[family(a)] = family(b)
+        families: dict[str, list[str]] = {}
+        for c in head:
+            families.setdefault(family(c), []).append(c)
+        runs = ["[" + "".join(map(re.escape, sorted(f))) + "]+" for f in sorted(families.values(), key=len, reverse=True)]
+        return f"{SPACE}*(?:{'|'.join(runs + [f'[^{SPACE}]'])})|{SPACE}+"
 
     @staticmethod
     def _unusual(path: str) -> bool:
@@ -135,35 +156,37 @@ class PieceEncoder:
                 return True
             cross = self.score.get(left[i][2] + right[j][1])
 
-    def _fits(self, a: int, b: int) -> bool:
-        found = self.pairs.get((a, b))
-        if found is None:
-            if len(self.pairs) >= CACHE_PAIRS:
-                self.pairs.clear()
-            found = self.pairs[a, b] = self.compatible(a, b)
+    def _learnt(self, pair: int) -> bool:
+        """Whether a token may follow another (or, as the number of pieces, no token), kept for later."""
+        a, b = divmod(pair, self.size)
+        found = self._edges(b) is not None and (a == self.size or self.compatible(a, b))
+        if len(self.pairs) >= CACHE_PAIRS:
+            self.pairs.clear()
+        self.pairs[pair] = found
         return found
 
     def unit(self, text: str) -> list[int]:
         """Ids of a text without dummy prefix, spaces already replaced."""
-        n = len(text)
-        last = [-1] * n                 # last token of the prefix that ends here, -1: its bytes
-        size = [1] * n
-        fits, edges = self._fits, self._edges
+        n, size = len(text), self.size
+        last = [size] * (n + 1)         # last token of the prefix of that length; none at the start and behind a byte
+        step = [1] * (n + 1)
+        get, learn = self.pairs.get, self._learnt
         done = -1
         for end, (token, length) in self.auto.iter(text):
-            if end == done:
-                continue
-            before = end - length
-            if edges(token) is not None and (before < 0 or last[before] < 0 or fits(last[before], token)):
-                last[end], size[end], done = token, length, end
+            if end != done:
+                pair = last[end + 1 - length] * size + token
+                fits = get(pair)
+                if fits or fits is None and learn(pair):
+                    done, end = end, end + 1
+                    last[end], step[end] = token, length
         out: list[int] = []
-        at = n - 1
-        while at >= 0:
-            if last[at] < 0:
-                out.extend(self.byte_id[b] for b in reversed(text[at].encode()))
+        at = n
+        while at > 0:
+            if last[at] == size:
+                out.extend(self.byte_id[b] for b in reversed(text[at - 1].encode()))
             else:
                 out.append(last[at])
-            at -= size[at]
+            at -= step[at]
         out.reverse()
         return out
 
@@ -172,15 +195,19 @@ class PieceEncoder:
         if not text:
             return b""
         units = self.units.findall(SPACE + text.replace(" ", SPACE))
-        known = self.known
-        if len(known) > CACHE_UNITS:
-            known.clear()
-        new = {}
+        known, older, long = self.known, self.older, {}
         for u in set(units).difference(known):
-            (known if len(u) <= UNIT_CHARS else new)[u] = np.array(self.unit(u), "<i4").tobytes()
-        if new:
-            return b"".join([known.get(u) or new[u] for u in units])
-        return b"".join(map(known.__getitem__, units))
+            ids = older.get(u)
+            if ids is None:
+                ids = array("i", self.unit(u)).tobytes()
+            (known if len(u) <= UNIT_CHARS else long)[u] = ids
+        if long:
+            out = b"".join([known.get(u) or long[u] for u in units])
+        else:
+            out = b"".join(map(known.__getitem__, units))
+        if len(known) > CACHE_UNITS:
+            self.known, self.older = {}, known
+        return out
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.raw(text), "<i4").tolist()
