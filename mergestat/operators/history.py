@@ -32,8 +32,8 @@ from mergestat.operators.moments import higher_partials
 from mergestat.sources.tables import key_names
 
 
-#: Batches of a key that are folded in one row.
-FOLD = 256
+#: Batches of a key that are folded in one row, and quiet integer batches that are filled in at once.
+FOLD, STRETCH = 256, 1 << 16
 
 
 def _v(value) -> Column:
@@ -89,10 +89,25 @@ def _dense(partials: DataFrame, keys, batch: str = "batch", step: str = "1 day",
     upto = F.coalesce(F.lead(batch).over(Window.partitionBy(*ks).orderBy(batch)) - inc, last).cast(kind)
     own = F.array(F.col(batch))
     begin = F.coalesce(F.col(batch), first)
-    quiet = F.when(F.col("_end") >= begin, F.sequence(begin, F.col("_end"), inc))
-    batches = F.when(F.col(batch).isNull(), F.concat(own, F.coalesce(quiet, F.array().cast(T.ArrayType(kind))))).otherwise(quiet)
     stats = [c for c in partials.columns if c not in (*ks, batch)]
-    rows = partials.withColumn("_end", upto).select(*ks, *stats, F.posexplode(batches).alias("_pos", "_b"))
+    rows = partials.withColumn("_end", upto)
+    if isinstance(kind, T.DateType):
+        stretch, end = begin, F.col("_end")
+    else:
+        # integer batches may lie far apart: stretches of STRETCH first, so that no array grows with a gap
+        long = begin.cast("decimal(20,0)"), F.col("_end").cast("decimal(20,0)")
+        starts = F.when(long[1] >= long[0], F.transform(
+            F.sequence(F.lit(0).cast("bigint"), F.floor((long[1] - long[0]) / STRETCH).cast("bigint")),
+            lambda i: (long[0] + i.cast("decimal(20,0)") * STRETCH).cast(kind)))
+        rows = rows.select("*", F.posexplode_outer(starts).alias("_nth", "_from"))
+        stretch = F.coalesce("_from", begin)
+        end = F.least(F.col("_end").cast("decimal(20,0)"), stretch.cast("decimal(20,0)") + (STRETCH - 1)).cast(kind)
+        own = F.when(F.coalesce("_nth", F.lit(0)) == 0, own).otherwise(F.array().cast(T.ArrayType(kind)))
+    quiet = F.when(end >= stretch, F.sequence(stretch, end, inc))
+    batches = F.when(F.col(batch).isNull(), F.concat(own, F.coalesce(quiet, F.array().cast(T.ArrayType(kind))))).otherwise(quiet)
+    rows = rows.select(*ks, *stats, *(["_nth"] if "_nth" in rows.columns else []), F.posexplode(batches).alias("_pos", "_b"))
+    if "_nth" in rows.columns:
+        rows = rows.withColumn("_pos", F.col("_pos") + F.coalesce("_nth", F.lit(0)))
     return rows.select(*ks, F.col("_b").alias(batch),
                        *[F.col(c) if repeat else F.when(F.col("_pos") == 0, F.col(c)).alias(c) for c in stats])
 
@@ -187,27 +202,29 @@ def history_higher_moments(df: DataFrame, keys, value, batch, step: str = "1 day
 
 def history_histogram_median(df: DataFrame, keys, value, batch, bins: Bins,
                              step: str = "1 day") -> DataFrame:
-    """Running histogram and its median estimate per key after every batch.
+    """Running count, mean, histogram and its median estimate per key after every batch.
 
-    Per (key, batch): B+2 slot counts in one partial-aggregated shuffle; then
-    B+2 running sums in one window; the median is a projection.
+    Per (key, batch): B+2 slot counts and the sum of the values that have a slot, in
+    one partial-aggregated shuffle; then their running sums in one window; mean and
+    median are projections.
     """
     ks = key_names(keys)
     v = _v(value)
     s = F.col("_s")
-    parts = (df.select(*ks, _batch(df, batch, step), bins.slot(v).alias("_s"))
+    parts = (df.select(*ks, _batch(df, batch, step), bins.slot(v).alias("_s"), v.cast("double").alias("_v"))
                .groupBy(*ks, "batch")
-               .agg(*[F.count_if(s == i).alias(f"_c{i}") for i in range(bins.nslots)]))
+               .agg(*[F.count_if(s == i).alias(f"_c{i}") for i in range(bins.nslots)],
+                    F.sum(F.when(s.isNotNull(), F.col("_v"))).alias("_sum")))
     d = _dense(parts, keys, step=step)
     w = _running(keys)
     run = [F.sum(F.coalesce(f"_c{i}", F.lit(0))).over(w).cast("bigint").alias(f"_r{i}")
            for i in range(bins.nslots)]
-    r = d.select(*ks, "batch", *run)
+    r = d.select(*ks, "batch", F.sum("_sum").over(w).alias("_sum"), *run)
     counts = F.array(*[F.col(f"_r{i}") for i in range(bins.nslots)])
-    return r.select(*ks, "batch", counts.alias("counts")).select(
-        *ks, "batch",
-        F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, y: a + y).alias("n"),
-        median_from_counts(F.col("counts"), bins.edges).alias("median_estimate"))
+    r = r.select(*ks, "batch", "_sum", counts.alias("counts"),
+                 F.aggregate(counts, F.lit(0).cast("bigint"), lambda a, y: a + y).alias("n"))
+    return r.select(*ks, "batch", "n", F.when(F.col("n") > 0, F.col("_sum") / F.col("n")).alias("mean"), "counts",
+                    median_from_counts(F.col("counts"), bins.edges).alias("median_estimate"))
 
 
 def _running_lists(parts: DataFrame, ks, at: str, k: int, j: int, kind: T.ArrayType, most: int) -> DataFrame:

@@ -275,8 +275,8 @@ def q_history_by_user(spark, sf):
 
 
 def q_history_histogram_median(spark, sf):
-    return _r(history.history_histogram_median(_events(spark, sf), "label", "value", "batch",
-                                               EVENT_BINS))
+    h = history.history_histogram_median(_events(spark, sf), "label", "value", "batch", EVENT_BINS)
+    return _r(h.withColumn("counts", F.array_join("counts", ",")))
 
 
 def q_history_higher_moments(spark, sf):

@@ -180,15 +180,19 @@ def median_sql(table: str, key: str, value: str) -> str:
 
 def history_histogram_sql(every=DAILY) -> str:
     b = EVENT_BINS
+    slots = ", ".join(f"count(CASE WHEN slot = {i} THEN 1 END)" for i in range(b.nslots))
     return (
-        f"WITH {_grid(every)}, s AS (SELECT g.label, g.batch, {_slot_sql('e.value', b)} AS slot FROM {_UPTO}), "
+        f"WITH {_grid(every)}, s AS (SELECT g.label, g.batch, e.value, {_slot_sql('e.value', b)} AS slot FROM {_UPTO}), "
         f"run AS (SELECT label, batch, slot, count(slot) AS c FROM s GROUP BY label, batch, slot), "
         f"cum AS (SELECT label, batch, slot, sum(c) OVER (PARTITION BY label, batch ORDER BY slot NULLS FIRST "
         f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum, "
         f"sum(c) OVER (PARTITION BY label, batch) AS n FROM run), "
         f"m AS (SELECT label, batch, CAST(max(n) AS BIGINT) AS n, "
-        f"min(CASE WHEN cum > floor(n / 2) THEN slot END) AS ms FROM cum GROUP BY label, batch) "
-        f"SELECT label, batch, n, {_mid_sql('ms', b)} AS median_estimate FROM m")
+        f"min(CASE WHEN cum > floor(n / 2) THEN slot END) AS ms FROM cum GROUP BY label, batch), "
+        f"h AS (SELECT label, batch, round(avg(value) FILTER (slot IS NOT NULL), 6) AS mean, "
+        f"array_to_string([{slots}], ',') AS counts FROM s GROUP BY label, batch) "
+        f"SELECT m.label, m.batch, m.n, h.mean, h.counts, {_mid_sql('m.ms', b)} AS median_estimate "
+        f"FROM m JOIN h ON h.label IS NOT DISTINCT FROM m.label AND h.batch IS NOT DISTINCT FROM m.batch")
 
 
 def history_hll_sql(every=DAILY, m: int = HLL_M) -> str:
@@ -217,7 +221,7 @@ def history_extremes_sql(every=DAILY) -> str:
             + side("smallest", "ASC", J_SMALLEST))
 
 
-def _kalman_sql(key_expr: str, key: str, final: bool, prm: KalmanParams = KalmanParams()) -> str:
+def _kalman_sql(key_expr: str, key: str, final: bool, prm: KalmanParams = KalmanParams(), weekly: bool = False) -> str:
     dt = _lit(prm.dt)
     ga0, ga1 = (_lit(x) for x in prm.ga)
     q00, q01, q10, q11 = (_lit(x) for x in prm.q)
@@ -245,12 +249,23 @@ k({key}, event_id, step, z, x0, x1, p00, p01, p10, p11) AS (
               FROM k JOIN o ON o.{key} = k.{key} AND o.step = k.step + 1)))
 """
     rnd = ", ".join(f"round({c}, 6) AS {c}" for c in ("x0", "x1", "p00", "p01", "p10", "p11"))
+    if weekly:
+        week = "CAST(date_trunc('week', ts) AS DATE)"
+        return body + (f", w AS (SELECT DISTINCT {week} AS batch FROM events), "
+                       f"s AS (SELECT k.{key}, w.batch, max(k.step) AS step FROM k JOIN events e ON e.event_id = k.event_id "
+                       f"JOIN w ON {week} <= w.batch GROUP BY ALL) SELECT s.{key}, s.batch, s.step AS n, {rnd} "
+                       f"FROM s JOIN k ON k.{key} = s.{key} AND k.step = s.step")
     if final:
         return body + (f"SELECT {key}, step AS n, {rnd} FROM k WHERE step > 0 AND step = "
                        f"(SELECT max(step) FROM k k2 WHERE k2.{key} = k.{key})")
     return body + f"SELECT {key}, event_id, step, round(z, 6) AS z, {rnd} FROM k WHERE step > 0"
 
 
+def kalman_weekly_sql() -> str:
+    """The filter state of every key after every week."""
+    return _kalman_sql("event_type", "label", final=False, weekly=True)
+
+
 def build() -> dict[str, str]:
     b = EVENT_BINS
     nb = b.nbins

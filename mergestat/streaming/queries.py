@@ -18,10 +18,11 @@ from pyspark.sql import types as T
 
 from mergestat.functions.hashing import alpha
 from mergestat.functions.kalman_math import KalmanParams
-from mergestat.operators import distinct, histogram, kalman, moments
+from mergestat.functions.moments import higher_of
+from mergestat.operators import distinct, exact, histogram, kalman, moments
 from mergestat.operators.histogram import Bins
 from mergestat.sources.tables import key_names
-from mergestat.streaming.sinks import StateTable
+from mergestat.streaming.sinks import batch_folders
 from mergestat.streaming.stateful import (ExtremesProcessor, extremes_schema, local_extremes,
                                           stateful)
 
@@ -64,13 +65,16 @@ def stream_hll_registers(stream: DataFrame, keys, value, m: int = 4096, method:
 
 
 def stream_extremes(stream: DataFrame, keys, value: str, k: int = 4, j: int = 3) -> DataFrame:
-    """Running k largest / j smallest per key (update mode)."""
+    """Running k largest / j smallest per key (update mode).  Numbers keep
+    their own type in state and output."""
     ks = key_names(keys)
     fields = [T.StructField(c, stream.schema[c].dataType, True) for c in ks]
-    slim = stream.select(*ks, F.col(value).cast("double").alias(value))
+    kind = stream.schema[value].dataType
+    kind = kind if isinstance(kind, T.NumericType) else T.DoubleType()
+    slim = stream.select(*ks, F.col(value).cast(kind).alias(value))
     reduced = slim.mapInArrow(local_extremes(ks, value, k, j), slim.schema)
-    return stateful(reduced, ks, ExtremesProcessor(ks, value, k, j),
-                    extremes_schema(fields, value), "Update")
+    return stateful(reduced, ks, ExtremesProcessor(ks, value, k, j, kind),
+                    extremes_schema(fields, value, kind), "Update")
 
 
 def kalman_segmented_writer(keys, z: str, order: Sequence[str], out_path: str,
@@ -81,45 +85,58 @@ def kalman_segmented_writer(keys, z: str, order: Sequence[str], out_path: str,
 
     Each micro-batch runs the segmented batch scan (``operators.kalman``),
     so a key holding most of a trigger's rows is cut over many partitions.
-    The state between triggers, (n, x0, x1) of every key, is a ``StateTable``
-    at ``state_path``: a batch reads the states before it, resumes the keys it
-    touches from them (``initial``), writes its trace to
-    ``out_path/batch_id=<n>`` and the states it changed.  A replayed batch
-    overwrites both, so the output is exactly once.
+    It resumes the keys it touches from the states after the batch before it
+    (``initial``), writes its trace to ``out_path/batch_id=<n>`` and the states of all
+    keys, quiet ones as they were, to ``state_path/batch_id=<n>`` (S4).  A
+    replayed batch overwrites both, so the output is exactly once.  Batches must
+    come in time order; ``reorder.reordered`` puts them so.
     """
     ks = key_names(keys)
-    states = StateTable(state_path, ks)
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
+        earlier = [n for n in batch_folders(spark, state_path) if n < batch_id]
+        states = spark.read.parquet(f"{state_path}/batch_id={earlier[-1]}") if earlier else None
         batch_df = batch_df.persist()
         try:
-            init = states.read(spark, before=batch_id)
-            if init is not None:
+            init = None
+            if states is not None:
                 touched = batch_df.select(*[F.col(c).alias(f"_t_{c}") for c in ks]).distinct()
-                same = [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in ks]
-                init = init.join(touched, same, "left_semi")
+                init = states.join(touched, [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in ks], "left_semi")
             trace = kalman.kalman_trace(batch_df, ks, z, order, params, num_partitions,
                                         passthrough=list(passthrough), initial=init)
             out = f"{out_path}/batch_id={batch_id}"
             trace.write.mode("overwrite").parquet(out)
         finally:
             batch_df.unpersist()
-        fin = kalman.final_from_trace(spark.read.parquet(out), ks).select(*ks, "n", "x0", "x1")
-        states.write(fin, batch_id)
+        now = kalman.final_from_trace(spark.read.parquet(out), ks)
+        if states is not None:
+            moved = now.select(*[F.col(c).alias(f"_t_{c}") for c in ks])
+            now = now.unionByName(states.join(moved, [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in ks], "left_anti"))
+        now.write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
     return write
 
 
-def batch_sum_writer(keys, value: str, out_path: str, stamp=None):
+def batch_sum_writer(keys, value: str, out_path: str):
     """A1 on a stream: the sum per key *within* each micro-batch (not
     running), a ``foreachBatch`` function writing ``out_path/batch_id=<n>``.
-    The aggregation is partial map-side like any batch ``groupBy``.
-    ``stamp()`` may name the batch (e.g. its week) for the output."""
+    The aggregation is partial map-side like any batch ``groupBy``."""
     ks = key_names(keys)
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        out = batch_df.groupBy(*ks).agg(F.count(value).alias("n"), F.sum(value).alias("sum"))
-        if stamp is not None:
-            out = out.withColumn("batch", F.lit(stamp()).cast("date"))
-        out.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        batch_df.groupBy(*ks).agg(F.count(value).alias("n"), F.sum(value).alias("sum")) \
+            .write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
     return write
+
+
+def stream_exact_sum(stream: DataFrame, keys, value) -> DataFrame:
+    """A2 on a stream, independent of order: lane sums per key and exponent;
+    ``exact.exact_totals`` rounds what the sink holds."""
+    return exact.sum_states(stream, keys, value)
+
+
+def stream_higher_moments(stream: DataFrame, keys, value) -> DataFrame:
+    """A10 on a stream: running states up to the fourth moment."""
+    ks = key_names(keys)
+    v = F.col(value) if isinstance(value, str) else value
+    return stream.groupBy(*ks).agg(higher_of(v).alias("_s")).select(*ks, "_s.*")

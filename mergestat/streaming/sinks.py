@@ -5,8 +5,8 @@
   replaces its own output (idempotent) and the table holds the state history.
   In ``complete`` mode every batch holds all keys (the reference's printout);
   in ``update`` mode only keys that changed.
-* ``StateTable`` keeps the current state of all keys of an update-mode query:
-  changed keys per batch, everything now and then, nothing older than needed.
+* ``latest_per_key`` puts together what an update-mode query last wrote for each
+  key; ``states`` reads states from a query's checkpoint.
 * ``run`` starts a query with its own checkpoint folder (S5) and a trigger
   (S6): ``availableNow`` for tests and catalogue runs, ``processingTime`` for
   a live job.
@@ -68,63 +68,15 @@ def snapshots(spark: SparkSession, sink_path: str) -> DataFrame:
     return spark.read.parquet(sink_path)
 
 
-class StateTable:
-    """The current state of every key, written batch by batch.
+def latest_per_key(spark: SparkSession, sink_path: str, keys: Sequence[str]) -> DataFrame:
+    """The rows that an update-mode query last wrote for each key (top-k lists have several).
 
-    ``changed/batch_id=<n>`` holds the rows of the keys that batch n changed;
-    after every ``every`` batches ``full/batch_id=<n>`` holds all keys, and
-    folders that no later or replayed batch can need are removed.  So a read
-    takes one full table and at most 2 x ``every`` small ones, however long the
-    stream has run.  A key may have several rows (top-k lists); its last batch
-    counts as a whole.
+    Reads everything the sink wrote; ``states.state_of`` reads the current states of a
+    long run from its checkpoint instead.
     """
-
-    def __init__(self, path: str, keys: Sequence[str], every: int = 10):
-        self.path, self.keys, self.every = path, list(keys), every
-
-    def _full(self, n: int) -> str:
-        return f"{self.path}/full/batch_id={n}"
-
-    def _parts(self, spark: SparkSession, before: int | None):
-        """(newest full table, batches changed since) below ``before``."""
-        ok = [n for n in batch_folders(spark, f"{self.path}/full") if before is None or n < before]
-        changed = batch_folders(spark, f"{self.path}/changed")
-        full = ok[-1] if ok else None
-        return full, [n for n in changed if (full is None or n > full) and (before is None or n < before)]
-
-    def _merged(self, spark: SparkSession, full: int | None, changed: list[int]) -> DataFrame | None:
-        parts = [] if full is None else [spark.read.parquet(self._full(full)).withColumn("_batch", F.lit(full))]
-        parts += [spark.read.parquet(f"{self.path}/changed/batch_id={n}").withColumn("_batch", F.lit(n)) for n in changed]
-        if not parts:
-            return None
-        rows = parts[0]
-        for p in parts[1:]:
-            rows = rows.unionByName(p)
-        last = F.max("_batch").over(Window.partitionBy(*self.keys))
-        return rows.withColumn("_last", last).where("_batch = _last").drop("_batch", "_last")
-
-    def read(self, spark: SparkSession, before: int | None = None) -> DataFrame | None:
-        """State after the last batch (below ``before``); None without any."""
-        return self._merged(spark, *self._parts(spark, before))
-
-    def write(self, changed: DataFrame, batch_id: int) -> None:
-        """A ``foreachBatch`` function; a replayed batch replaces its own rows."""
-        spark = changed.sparkSession
-        changed.write.mode("overwrite").parquet(f"{self.path}/changed/batch_id={batch_id}")
-        if batch_id % self.every != self.every - 1:
-            return
-        older, since = self._parts(spark, batch_id)
-        self._merged(spark, older, [*since, batch_id]).write.mode("overwrite").parquet(self._full(batch_id))
-        # a replay of batch_id needs the full table before it and what followed that
-        for kind, gone in (("full", lambda n: older is not None and n < older),
-                           ("changed", lambda n: older is not None and n <= older)):
-            for n in filter(gone, batch_folders(spark, f"{self.path}/{kind}")):
-                _remove(spark, f"{self.path}/{kind}/batch_id={n}")
-
-
-def latest_per_key(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """The current state of each key of a ``StateTable``."""
-    return StateTable(path, keys).read(spark)
+    rows = spark.read.parquet(sink_path)
+    last = F.max("batch_id").over(Window.partitionBy(*keys))
+    return rows.withColumn("_last", last).where("batch_id = _last").drop("batch_id", "_last")
 
 
 def last_batch(spark: SparkSession, sink_path: str) -> DataFrame:
@@ -139,11 +91,6 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    fs, p = _fs(spark, path)
-    fs.delete(p, True)
-
-
 def batch_folders(spark: SparkSession, path: str) -> list[int]:
     """Ids of the completely written ``batch_id=<n>`` folders under ``path``,
     listed through the Hadoop file system of the path."""

@@ -1,28 +1,23 @@
 """Micro-batch sources.
 
-The reference feeds a queue of in-memory datasets, one per batch.  Here a
-batch is a set of parquet files in a folder watched by the file stream
-source.  Two ways to lay batches down:
+The reference feeds a queue of in-memory datasets, one per batch.  Here there are two
+ways to have a table in batches:
 
 * ``write_batch_files`` — one Spark job, range-partitioned on (batch, order)
-  so every file holds a contiguous slice of one batch.  File arrival order is
-  not guaranteed, so this suits order-insensitive statistics (sums, moments,
-  histograms, registers, extremes), with ``maxFilesPerTrigger`` cutting the
-  folder into several micro-batches.
-* ``feed_in_order`` — publishes one batch at a time (atomic folder rename)
-  and yields after each, so a caller can process one batch per trigger.
-  Order-sensitive state (Kalman, per-batch snapshots) needs this: batch i is
-  fully processed before batch i+1 exists.  The loop runs over batch
-  *values* (days, weeks), never rows.
+  so every file holds a contiguous slice of one batch, in a folder watched by
+  Spark's file source.  File arrival order is not guaranteed, so this suits
+  order-insensitive statistics (sums, moments, histograms, registers, extremes),
+  with ``maxFilesPerTrigger`` cutting the folder into several micro-batches.
+* ``batch_log`` — the batches of a table as ranges of its own files, one a
+  trigger, in order, without a copy.  Order-sensitive state (Kalman, per-batch
+  snapshots) needs this.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 
@@ -33,60 +28,6 @@ def write_batch_files(df: DataFrame, batch: str, path: str,
        .write.mode("overwrite").parquet(path))
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
-
-
-def batches_glob(path: str) -> str:
-    """The read path of a folder filled by ``feed_in_order``."""
-    return path.rstrip("/") + "/*"
-
-
-def feed_in_order(df: DataFrame, batch: str, path: str,
-                  on_publish=None) -> Iterator[object]:
-    """Publish each batch value's rows under ``path`` in batch order and
-    yield the value once its files are visible.
-
-    All batches are written by one job into a staging folder beside
-    ``path``, one sub-folder per batch, and each is moved in with one
-    directory rename, which HDFS and local file systems do atomically (an
-    object store does not: keep this folder off one), so a
-    trigger sees a batch whole or not at all and a running query can be
-    driven batch by batch with ``processAllAvailable``.  Read the folder
-    with ``batches_glob(path)``.  ``on_publish(value)`` runs just before a
-    batch becomes visible, so anything a running query's sink reads about
-    "the current batch" is set before that batch can be picked up.
-    """
-    spark = df.sparkSession
-    fs, Path = _fs(spark, path)
-    fs.mkdirs(Path(path))
-    staging = path.rstrip("/") + "-staging"
-    # NULL batch values sort first, as in Spark's ascending order; no row is left out.
-    values = [r[0] for r in df.select(batch).distinct().orderBy(batch).collect()]
-    # One job writes every batch, partitioned by its position in the order;
-    # the value -> position table has one row per batch.
-    order = spark.createDataFrame(
-        [(v, i) for i, v in enumerate(values)],
-        T.StructType([T.StructField(batch, df.schema[batch].dataType),
-                      T.StructField("batch_index", T.IntegerType())]))
-    order = order.withColumnRenamed(batch, "_batch_value")
-    # Ranges of (batch, row hash): a task writes into one or two batches, and a
-    # large batch is the work of several.
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (df.join(order, df[batch].eqNullSafe(order["_batch_value"])).drop("_batch_value")
-       .repartitionByRange(n, "batch_index", F.xxhash64(*[F.col(c) for c in df.columns]))
-       .write.mode("overwrite").partitionBy("batch_index").parquet(staging))
-    for i, v in enumerate(values):
-        tmp, final = f"{staging}/batch_index={i}", f"{path.rstrip('/')}/{i:06d}"
-        if on_publish is not None:
-            on_publish(v)
-        if not fs.rename(Path(tmp), Path(final)):
-            raise RuntimeError(f"could not publish batch {v!r} to {final}")
-        yield v
-
-
 def read_batches(spark: SparkSession, path: str, schema: StructType,
                  max_files_per_trigger: int | None = None) -> DataFrame:
     """A streaming DataFrame over the batch folder."""

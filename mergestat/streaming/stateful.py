@@ -15,6 +15,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import types as T
@@ -65,8 +66,9 @@ def local_extremes(keys: Sequence[str], value: str, k: int, j: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for b in batches:
-            v = b.column(value).to_numpy(zero_copy_only=False).astype(float)
-            t = pa.Table.from_batches([b]).filter(pa.array(~np.isnan(v)))
+            v = b.column(value)
+            usable = pc.and_(pc.is_valid(v), pc.invert(pc.is_nan(v))) if pa.types.is_floating(v.type) else pc.is_valid(v)
+            t = pa.Table.from_batches([b]).filter(pc.fill_null(usable, False))
             held = cut(t if held is None else pa.concat_tables([held, t]))
             if held.num_rows > HELD_ROWS:
                 yield from held.to_batches()
@@ -79,12 +81,12 @@ def local_extremes(keys: Sequence[str], value: str, k: int, j: int):
 class ExtremesProcessor(StatefulProcessor):
     """Running k largest / j smallest values of one key (multiset)."""
 
-    def __init__(self, keys: Sequence[str], value: str, k: int = 4, j: int = 3):
-        self.keys, self.value, self.k, self.j = list(keys), value, k, j
+    def __init__(self, keys: Sequence[str], value: str, k: int = 4, j: int = 3, kind: T.DataType = T.DoubleType()):
+        self.keys, self.value, self.k, self.j, self.kind = list(keys), value, k, j, kind
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        schema = T.StructType([T.StructField("largest", T.ArrayType(T.DoubleType())),
-                               T.StructField("smallest", T.ArrayType(T.DoubleType()))])
+        schema = T.StructType([T.StructField("largest", T.ArrayType(self.kind)),
+                               T.StructField("smallest", T.ArrayType(self.kind))])
         self.state = handle.getValueState("extremes", schema)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
@@ -101,6 +103,6 @@ class ExtremesProcessor(StatefulProcessor):
         pass
 
 
-def extremes_schema(key_fields: Sequence[T.StructField], value: str) -> T.StructType:
+def extremes_schema(key_fields: Sequence[T.StructField], value: str, kind: T.DataType = T.DoubleType()) -> T.StructType:
     return T.StructType([*key_fields, T.StructField("side", T.StringType()),
-                         T.StructField("rank", T.LongType()), T.StructField(value, T.DoubleType())])
+                         T.StructField("rank", T.LongType()), T.StructField(value, kind)])

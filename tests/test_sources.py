@@ -70,18 +70,3 @@ def test_complete_mode_snapshots(spark, tmp_dir):
     counts = [snap.where(F.col("batch_id") == i).count() for i in ids]
     assert counts == sorted(counts) and counts[-1] == 5
     assert last_batch(spark, out).count() == 5
-
-
-def test_feed_in_order_keeps_null_batches(spark, tmp_dir):
-    """Every row is published; NULL batch values form the first batch."""
-    import datetime as dt
-    from mergestat.streaming.sources import batches_glob, feed_in_order
-    rows = [(1, dt.date(2024, 1, 2)), (2, None), (3, dt.date(2024, 1, 1)), (4, dt.date(2024, 1, 2))]
-    df = spark.createDataFrame(rows, "id long, b date")
-    folder = os.path.join(tmp_dir, "feed")
-    seen = list(feed_in_order(df, "b", folder))
-    assert seen == [None, dt.date(2024, 1, 1), dt.date(2024, 1, 2)]
-    back = spark.read.schema("id long, b date").parquet(batches_glob(folder))
-    assert sorted(r["id"] for r in back.collect()) == [1, 2, 3, 4]
-    first = spark.read.schema("id long, b date").parquet(os.path.join(folder, "000000"))
-    assert [r["id"] for r in first.collect()] == [2]

@@ -10,9 +10,9 @@ from mergestat.operators import moments
 from mergestat.operators.histogram import Bins
 from mergestat.sources.tables import table
 from mergestat.streaming import queries as sq
-from mergestat.streaming.sinks import StateTable, batch_folders, latest_per_key, run
-from mergestat.streaming.sources import (batches_glob, feed_in_order, read_batches,
-                                         write_batch_files)
+from mergestat.streaming import batch_log, states
+from mergestat.streaming.sinks import batch_folders, latest_per_key, run
+from mergestat.streaming.sources import read_batches, write_batch_files
 from tests.conftest import SF001
 
 
@@ -27,10 +27,24 @@ def _stream_final(spark, tmp_dir, build, files_per_trigger, keys=("label",)):
     write_batch_files(ev, "batch", folder, order=["ts", "event_id"], num_files=7)
     s = read_batches(spark, folder, ev.schema, files_per_trigger)
     out = os.path.join(tmp_dir, "out")
-    q = run(build(s), os.path.join(tmp_dir, "ck"), None, "update", writer=StateTable(out, list(keys)).write)
+    q = run(build(s), os.path.join(tmp_dir, "ck"), out, "update")
     return latest_per_key(spark, out, list(keys)), q
 
 
+def _through(spark, tmp_dir, df, order, build, mode, out=None, writer=None, batch=None):
+    """``df`` from files of its own through a query, one batch a trigger; the log."""
+    df.write.parquet(os.path.join(tmp_dir, "table"))
+    files = spark.read.parquet(os.path.join(tmp_dir, "table"))
+    log = batch_log.write_log(files, F.col(order) if batch is None else batch, order)
+    ck = os.path.join(tmp_dir, "ck")
+    q = run(build(batch_log.read_log(spark, log, files.schema, order, ck)), ck, out, mode, processing_time="0 seconds", writer=writer)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return log
+
+
 def _as_dict(df, key="label"):
     return {r[key]: r.asDict() for r in df.collect()}
 
@@ -86,24 +100,20 @@ def _odd_events(spark):
 def test_extremes_stream_of_large_and_null_keys(spark, tmp_dir):
     from mergestat.operators import extremes
     ev = _odd_events(spark)
-    folder, out, ck = (os.path.join(tmp_dir, x) for x in ("in", "out", "ck"))
-    for _ in feed_in_order(ev, "batch", folder):
-        s = read_batches(spark, batches_glob(folder), ev.schema)
-        run(sq.stream_extremes(s, "label", "value", 4, 3), ck, None, "update", writer=StateTable(out, ["label"]).write)
+    out = os.path.join(tmp_dir, "out")
+    _through(spark, tmp_dir, ev, "batch", lambda s: sq.stream_extremes(s, "label", "value", 4, 3), "update", out)
     want = extremes.extremes(ev, "label", "value", 4, 3, tiebreak=["event_id"])
     key = lambda r: (str(r["label"]), r["side"], r["rank"], r["value"])
     assert sorted(map(key, latest_per_key(spark, out, ["label"]).collect())) == sorted(map(key, want.collect()))
 
 
 def test_kalman_stream_of_large_and_null_keys(spark, tmp_dir):
-    """One trigger per batch, restarting from the checkpoint each time, equals one run
-    in which rows are ordered by (batch, order)."""
+    """One trigger per batch equals one run in which rows are ordered by (batch, order)."""
     from mergestat.operators import kalman
     ev = _odd_events(spark)
-    folder, out, st, ck = (os.path.join(tmp_dir, x) for x in ("in", "out", "state", "ck"))
+    out, st = (os.path.join(tmp_dir, x) for x in ("out", "state"))
     writer = sq.kalman_segmented_writer("label", "value", ["ts", "event_id"], out, st, passthrough=["event_id"], num_partitions=3)
-    for _ in feed_in_order(ev, "batch", folder):
-        run(read_batches(spark, batches_glob(folder), ev.schema), ck, None, "append", writer=writer)
+    _through(spark, tmp_dir, ev, "batch", lambda s: s, "append", writer=writer)
     got = {r["event_id"]: r for r in spark.read.parquet(out).collect()}
     want = kalman.kalman_trace(ev, "label", "value", ["batch", "ts", "event_id"]).collect()
     assert len(got) == len(want)
@@ -111,27 +121,62 @@ def test_kalman_stream_of_large_and_null_keys(spark, tmp_dir):
         g = got[r["event_id"]]
         assert (g["label"], g["step"]) == (r["label"], r["step"])
         assert (g["x0"], g["x1"]) == pytest.approx((r["x0"], r["x1"]), rel=1e-9)
-    last = StateTable(st, ["label"]).read(spark).collect()
+    last = spark.read.parquet(f"{st}/batch_id={batch_folders(spark, st)[-1]}").collect()
     assert sorted(str(r["label"]) for r in last) == sorted(map(str, (BIG, BIG + 1, None, 5)))
 
 
-def test_state_table_stays_small_and_survives_replays(spark, tmp_dir):
-    table_ = StateTable(os.path.join(tmp_dir, "st"), ["k"], every=5)
-    state = {}
-    for n in range(50):
-        rows = [(n % 7, n), (None, n)] + [(100, n)] * (n % 3)
-        changed = spark.createDataFrame(rows, "k long, v long").coalesce(1)
-        table_.write(changed, n)
-        for k in {k for k, _ in rows}:
-            state[k] = sorted(v for key, v in rows if key == k)
-        if n in (9, 13, 14, 49):
-            table_.write(changed, n)             # a replayed batch
-            got = {}
-            for r in table_.read(spark).collect():
-                got.setdefault(r["k"], []).append(r["v"])
-            assert {k: sorted(v) for k, v in got.items()} == state
-    assert len(batch_folders(spark, table_.path + "/changed")) <= 10
-    assert len(batch_folders(spark, table_.path + "/full")) <= 2
+def test_kalman_states_of_quiet_keys_and_replays(spark, tmp_dir):
+    """The states after a batch hold all keys, quiet ones as they were; a batch that is
+    run again replaces its own trace and states."""
+    from mergestat.operators import kalman
+    rows = [(b * 10 + i, k, float(b * 7 + i), b) for b, keys in enumerate(["ab", "a", "b", "cc"]) for i, k in enumerate(keys)]
+    ev = spark.createDataFrame(rows, "ts int, k string, z double, b int")
+    out, st = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "st")
+    write = sq.kalman_segmented_writer("k", "z", ["ts"], out, st, num_partitions=2)
+    for b in (0, 1, 2, 2, 3, 3):
+        write(ev.where(F.col("b") == b), b)
+        got = {r["k"]: r for r in spark.read.parquet(f"{st}/batch_id={b}").collect()}
+        want = {r["k"]: r for r in kalman.kalman_final(ev.where(F.col("b") <= b), "k", "z", ["ts"]).collect()}
+        assert got.keys() == want.keys()
+        for k, r in want.items():
+            assert tuple(got[k][c] for c in r.asDict())[1:] == pytest.approx(tuple(r)[1:])
+    assert spark.read.parquet(out).count() == len(rows)
+
+
+def test_states_from_the_checkpoint(spark, tmp_dir):
+    """Of every retained batch, native buffers and a processor's state alike."""
+    from mergestat.operators import extremes
+    ev = _events(spark).withColumn("week", F.to_date(F.date_trunc("week", "ts")))
+    log = _through(spark, os.path.join(tmp_dir, "v"), ev, "ts", lambda s: s.groupBy("label").agg(F.var_pop("value").alias("v")),
+                   "update", os.path.join(tmp_dir, "v-out"), batch=F.col("week"))
+    ck = os.path.join(tmp_dir, "v", "ck")
+    weeks = {r["batch_id"]: r["batch"] for r in batch_log.batches_of(spark, log, ck).collect()}
+    kept = states.batches_kept(spark, ck)
+    assert sorted(weeks.values()) == sorted({r[0] for r in ev.select("week").collect()}) and list(kept) == sorted(weeks)
+    for n in kept:
+        got = _as_dict(states.state_of(spark, ck, n, names=["n", "mean", "m2"]))
+        want = _as_dict(moments.running_variance(ev.where(F.col("week") <= F.lit(weeks[n])), "label", "value"))
+        assert got.keys() == want.keys()
+        for k in want:
+            assert got[k]["n"] == want[k]["n"] and got[k]["m2"] / got[k]["n"] == pytest.approx(want[k]["variance"])
+    with pytest.raises(ValueError):
+        states.state_of(spark, ck, names=["n"])
+    _through(spark, os.path.join(tmp_dir, "x"), ev, "ts", lambda s: sq.stream_extremes(s, "label", "value", 4, 3),
+             "update", os.path.join(tmp_dir, "x-out"), batch=F.col("week"))
+    last = _as_dict(states.state_of(spark, os.path.join(tmp_dir, "x", "ck"), variable="extremes"))
+    for side in ("largest", "smallest"):
+        for k in last:
+            want = extremes.extremes(ev.where(F.col("label") == k), "label", "value", 4, 3).where(F.col("side") == side)
+            assert last[k][side] == [r["value"] for r in want.orderBy("rank").collect()]
+
+
+def test_extremes_keep_their_type(spark, tmp_dir):
+    big = [BIG, BIG + 1, BIG + 2, None, 3, -BIG - 1, -BIG]
+    ev = spark.createDataFrame([("a", v, i // 3) for i, v in enumerate(big)], "k string, v long, b int")
+    out = os.path.join(tmp_dir, "out")
+    _through(spark, tmp_dir, ev, "b", lambda s: sq.stream_extremes(s, "k", "v", 2, 2), "update", out)
+    got = sorted((r["side"], r["rank"], r["v"]) for r in latest_per_key(spark, out, ["k"]).collect())
+    assert got == [("largest", 1, BIG + 2), ("largest", 2, BIG + 1), ("smallest", 1, -BIG - 1), ("smallest", 2, -BIG)]
 
 
 def test_many_registers_on_a_stream(spark, tmp_dir):
@@ -153,10 +198,10 @@ def test_restart_keeps_state(spark, tmp_dir):
     folder, out, ck = (os.path.join(tmp_dir, x) for x in ("in", "out", "ck"))
     ev.where(F.col("batch") < half).write.parquet(folder + "/a")
     s = read_batches(spark, folder + "/*", ev.schema)
-    run(sq.stream_sum(s, "label", "value"), ck, None, "update", writer=StateTable(out, ["label"]).write)
+    run(sq.stream_sum(s, "label", "value"), ck, out, "update")
     ev.where(F.col("batch") >= half).write.parquet(folder + "/b")
     s = read_batches(spark, folder + "/*", ev.schema)
-    run(sq.stream_sum(s, "label", "value"), ck, None, "update", writer=StateTable(out, ["label"]).write)
+    run(sq.stream_sum(s, "label", "value"), ck, out, "update")
     g = _as_dict(latest_per_key(spark, out, ["label"]))
     w = _as_dict(moments.running_sum(ev, "label", "value"))
     for k in w:
@@ -168,12 +213,10 @@ def test_segmented_kalman_stream_equals_batch(spark, tmp_dir):
     the previous snapshot; one hot key spread over many partitions."""
     from mergestat.operators import kalman
     ev = _events(spark).withColumn("week", F.to_date(F.date_trunc("week", "ts")))
-    folder, out, st, ck = (os.path.join(tmp_dir, x) for x in ("in", "out", "state", "ck"))
+    out, st = (os.path.join(tmp_dir, x) for x in ("out", "state"))
     writer = sq.kalman_segmented_writer("label", "value", ["ts", "event_id"], out, st,
                                         passthrough=["event_id"], num_partitions=6)
-    for _ in feed_in_order(ev, "week", folder):
-        s = read_batches(spark, batches_glob(folder), ev.schema)
-        run(s, ck, None, "append", writer=writer)
+    _through(spark, tmp_dir, ev, "ts", lambda s: s, "append", writer=writer, batch=F.col("week"))
     got = {(r["label"], r["event_id"]): r for r in spark.read.parquet(out).collect()}
     want = kalman.kalman_trace(ev, "label", "value").collect()
     assert len(got) == len(want)
@@ -183,6 +226,17 @@ def test_segmented_kalman_stream_equals_batch(spark, tmp_dir):
         assert g["x0"] == pytest.approx(r["x0"], rel=1e-9)
 
 
+def test_exact_sum_and_higher_moments_on_a_stream(spark, tmp_dir):
+    from mergestat.operators import exact
+    got, _ = _stream_final(spark, os.path.join(tmp_dir, "s"), lambda s: sq.stream_exact_sum(s, "label", "value"), 2, ("label", "exponent"))
+    want = exact.exact_sum(_events(spark).repartition(11), "label", "value")
+    assert sorted(map(str, exact.exact_totals(got, "label").collect())) == sorted(map(str, want.collect()))
+    got, _ = _stream_final(spark, os.path.join(tmp_dir, "m"), lambda s: sq.stream_higher_moments(s, "label", "value"), 2)
+    g, w = _as_dict(moments.shapes(got, "label")), _as_dict(moments.higher_moments(_events(spark), "label", "value"))
+    for k in w:
+        assert (g[k]["skewness"], g[k]["kurtosis"]) == pytest.approx((w[k]["skewness"], w[k]["kurtosis"]))
+
+
 def test_stream_batch_sum_against_sql(spark):
     """Per-batch sums on a stream (A1) against the weekly GROUP BY."""
     import __spark_entry__ as E
