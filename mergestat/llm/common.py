@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -47,3 +47,32 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def content(df: DataFrame, columns=None) -> F.Column:
+    """A hash of a row's values, of all columns that can be hashed."""
+    def plain(kind):
+        parts = [getattr(kind, a) for a in ("elementType", "valueType") if hasattr(kind, a)] + [f.dataType for f in getattr(kind, "fields", [])]
+        return kind.typeName() not in ("map", "variant") and all(map(plain, parts))
+    names = [f.name for f in df.schema.fields if plain(f.dataType) and (columns is None or f.name in columns)]
+    return F.xxhash64(*[F.col(f"`{c}`") for c in names]) if names else F.lit(0).cast("long")
+
+
+def numbered(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Numbers the rows of equal ``keys`` from 0, which of them gets which being open.
+
+    Rows are staged and numbered within their partition, behind the counts of the
+    partitions before it, so no group meets in one task.
+    """
+    part, own, start, *marks = fresh(df, "part", "own", "start", *[f"key{i}" for i in range(len(keys))])
+    held = staged(df.withColumn(part, F.spark_partition_id()), "numbered")
+    before = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = held.groupBy(*keys, part).count().withColumn(start, F.coalesce(F.sum("count").over(before), F.lit(0)))
+    other = fresh(df, "part_of")[0]
+    starts = starts.select(*[F.col(k).alias(m) for k, m in zip(keys, marks)], F.col(part).alias(other), start)
+    same = F.col(part) == F.col(other)
+    for k, m in zip(keys, marks):
+        same &= F.col(k).eqNullSafe(F.col(m))
+    place = F.row_number().over(Window.partitionBy(*keys, part).orderBy(F.lit(0))) - 1
+    return held.withColumn(own, place).join(starts, same).withColumn(name, F.col(own) + F.col(start)).drop(
+        part, own, start, other, *marks)

@@ -14,12 +14,14 @@ All hashes are of the seed, the id and the place in the block, so a retried task
 repeats itself.  DataFrame operations only; the driver holds blocks x shards
 counts, where a block is ``block_rows`` rows or more.
 
-Rows whose id (or null) more than a block of them share are staged once with a
-number of their own, which takes part in their hashes, so that they spread over
-all blocks; there are fewer such ids than blocks.
+Where ids recur, a hash of the whole row takes part in every hash and order, so
+rows of one id and other contents have places of their own.  Rows equal in all of it
+are alike, and which of them goes where is open; if more than a block of rows are
+alike, they are numbered first (without meeting in one task) and the number takes part as well,
+so that they spread over all blocks; there are fewer such groups than blocks.
 
 Defined cases: rows with equal (or null) ids are rows like any other; a null text is kept; an empty table gives no rows; columns
-of the input named ``shard`` or ``slot`` are replaced.
+of the input named ``shard`` or ``slot`` are replaced, those of any other name are kept.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, is_empty, staged, unit_hash
+from .common import content, fresh, is_empty, numbered, staged, unit_hash
 
 SHARDS, SEED, BLOCKS, BLOCK_ROWS = 8, 42, 512, 100_000
 #: Counts (8 bytes each) up to which the matrix and the pieces' starts are broadcast.
@@ -77,63 +79,74 @@ def communication_matrix(block_sizes: list[int], shard_sizes: list[int], seed: i
     return out
 
 
-def _dealt(rows: DataFrame, counts: DataFrame, names: list[str], seed: int, pieces: int) -> DataFrame:
-    """Adds shard, the second permutation's key and its piece to (id, block) rows."""
-    ident, block, at, key, piece, salt = names
-    order = [F.xxhash64(F.lit(seed), F.lit(1), F.col(ident), F.col(salt)), F.col(ident), F.col(salt)]
-    place = F.row_number().over(Window.partitionBy(block).orderBy(*order)) - 1
-    d = rows.withColumn(at, place).join(counts, F.col(block) == F.col("__of"))
-    d = d.withColumn("shard", F.size(F.filter("__below", lambda c: c <= F.col(at))).cast("int"))
-    again = (F.lit(seed), F.lit(2), F.col(ident), F.col(block), F.col(at))
-    return d.withColumn(key, F.xxhash64(F.lit(3), *again)).withColumn(
-        piece, F.floor(unit_hash(*again) * pieces).cast("int")).drop("__of", "__below")
-
-
-def _salted(rows: DataFrame, ident: str, salt: str, most: int) -> DataFrame:
-    """Adds a number of its own to each row whose id more than ``most`` rows share."""
-    often = staged(rows.groupBy(ident).count().where(F.col("count") > most).select(
-        F.col(ident).alias("__often"), F.lit(True).alias("__hot")), "shard-often")
-    if is_empty(often):
-        return rows.withColumn(salt, F.lit(None).cast("long"))
-    hot = rows.join(F.broadcast(often), F.col(ident).eqNullSafe(F.col("__often")), "left")
-    return staged(hot.withColumn(salt, F.when(F.col("__hot"), F.monotonically_increasing_id())).drop(
-        "__often", "__hot"), "shard-rows")
+def _dealt(rows: DataFrame, counts: DataFrame, n: dict[str, str], seed: int, pieces: int) -> DataFrame:
+    """Adds shard, the second permutation's key and its piece to (id, block, tie, salt) rows."""
+    own = [F.col(n[c]) for c in ("id", "tie", "salt")]
+    order = [F.xxhash64(F.lit(seed), F.lit(1), *own), *own]
+    place = F.row_number().over(Window.partitionBy(n["block"]).orderBy(*order)) - 1
+    d = rows.withColumn(n["at"], place).join(counts, F.col(n["block"]) == F.col(n["of"]))
+    d = d.withColumn("shard", F.size(F.filter(n["below"], lambda c: c <= F.col(n["at"]))).cast("int"))
+    again = (F.lit(seed), F.lit(2), F.col(n["id"]), F.col(n["block"]), F.col(n["at"]))
+    return d.withColumn(n["key"], F.xxhash64(F.lit(3), *again)).withColumn(
+        n["piece"], F.floor(unit_hash(*again) * pieces).cast("int")).drop(n["of"], n["below"])
+
+
+def _told_apart(rows: DataFrame, n: dict[str, str], keep: list[str], most: int) -> DataFrame:
+    """Adds ``tie``, a hash of the row where ids recur, and ``salt``, a number of their own
+    for rows of which more than ``most`` are alike."""
+    id_, tie, salt = n["id"], n["tie"], n["salt"]
+    none = F.lit(None).cast("long")
+    recurs = rows.groupBy(id_).count().agg(F.max("count")).first()[0] or 0
+    if recurs < 2:
+        return rows.withColumn(tie, none).withColumn(salt, none)
+    rows = rows.withColumn(tie, content(rows, keep))
+    if recurs <= most:
+        return rows.withColumn(salt, none)
+    alike = staged(rows.groupBy(id_, tie).count().where(F.col("count") > most).select(
+        F.col(id_).alias(n["of"]), F.col(tie).alias(n["below"]), F.lit(True).alias(n["hot"])), "shard-alike")
+    if is_empty(alike):
+        return rows.withColumn(salt, none)
+    same = F.col(id_).eqNullSafe(F.col(n["of"])) & F.col(tie).eqNullSafe(F.col(n["below"]))
+    marked = rows.join(F.broadcast(alike), same, "left").drop(n["of"], n["below"])
+    hot = numbered(marked.where(n["hot"]).drop(n["hot"]), [id_, tie], salt)
+    cold = marked.where(F.col(n["hot"]).isNull()).drop(n["hot"]).withColumn(salt, none)
+    return staged(hot.unionByName(cold), "shard-rows")
 
 
 def shard(docs: DataFrame, shards: int = SHARDS, ident: str = "doc_id", seed: int = SEED,
           blocks: int = BLOCKS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``docs`` with ``shard`` (from 0) and ``slot`` (gapless from 0 in its shard)."""
     spark = docs.sparkSession
-    names = fresh(docs, "id", "block", "at", "key", "piece", "salt")
-    id_, block, at, key, piece, salt = names
+    working = ("id", "block", "at", "key", "piece", "tie", "salt", "of", "below", "hot", "of_shard", "of_piece", "start", "rank")
+    n = dict(zip(working, fresh(docs, *working)))
     keep = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
-    d = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{ident}`").alias(id_))
+    d = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{ident}`").alias(n["id"]))
     total = d.count()
     blocks = max(blocks, -(-total // block_rows))
     pieces = -(-blocks // shards)
-    d = _salted(d, id_, salt, max(1, -(-total // blocks)))
-    # a null salt leaves the hash as it is without one
-    of: Column = F.pmod(F.xxhash64(F.lit(seed), F.col(id_), F.col(salt)), F.lit(blocks)).cast("int")
-    d = d.withColumn(block, of)
-    sizes = dict(d.groupBy(block).count().collect())
+    d = _told_apart(d, n, keep, max(1, -(-total // blocks)))
+    # nulls leave the hash as it is without them
+    of: Column = F.pmod(F.xxhash64(F.lit(seed), *[F.col(n[c]) for c in ("id", "tie", "salt")]), F.lit(blocks)).cast("int")
+    d = d.withColumn(n["block"], of)
+    sizes = dict(d.groupBy(n["block"]).count().collect())
     order = sorted(sizes)
     matrix = communication_matrix([sizes[b] for b in order],
                                   [total // shards + (j < total % shards) for j in range(shards)], seed)
     counts = spark.createDataFrame(
         [(b, [int(x) for x in np.cumsum(row)]) for b, row in zip(order, matrix)],
-        "__of int, __below array<bigint>")
+        f"{n['of']} int, {n['below']} array<bigint>")
     small = blocks * shards <= BROADCAST_COUNTS
     counts = F.broadcast(counts) if small else counts
 
-    ids = _dealt(d.select(id_, block, salt), counts, names, seed, pieces)
-    before = Window.partitionBy("shard").orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
-    start = staged(ids.groupBy("shard", piece).count().withColumn(
-        "__start", F.coalesce(F.sum("count").over(before), F.lit(0))).drop("count"), "shard-pieces")
-    start = start.toDF("__of_shard", "__of_piece", "__start")
+    ids = _dealt(d.select(*[n[c] for c in ("id", "block", "tie", "salt")]), counts, n, seed, pieces)
+    before = Window.partitionBy("shard").orderBy(n["piece"]).rowsBetween(Window.unboundedPreceding, -1)
+    start = staged(ids.groupBy("shard", n["piece"]).count().withColumn(
+        n["start"], F.coalesce(F.sum("count").over(before), F.lit(0))).drop("count"), "shard-pieces")
+    start = start.toDF(n["of_shard"], n["of_piece"], n["start"])
 
-    out = _dealt(d, counts, names, seed, pieces)
-    rank = F.row_number().over(Window.partitionBy("shard", piece).orderBy(key, block, at)) - 1
-    out = out.withColumn("__rank", rank).join(
-        F.broadcast(start) if small else start, (F.col("shard") == F.col("__of_shard")) & (F.col(piece) == F.col("__of_piece")))
+    out = _dealt(d, counts, n, seed, pieces)
+    rank = F.row_number().over(Window.partitionBy("shard", n["piece"]).orderBy(n["key"], n["block"], n["at"])) - 1
+    same = (F.col("shard") == F.col(n["of_shard"])) & (F.col(n["piece"]) == F.col(n["of_piece"]))
+    out = out.withColumn(n["rank"], rank).join(F.broadcast(start) if small else start, same)
     return out.select(*[F.col(f"`{c}`") for c in keep], "shard",
-                      (F.col("__rank") + F.col("__start")).cast("long").alias("slot"))
+                      (F.col(n["rank"]) + F.col(n["start"])).cast("long").alias("slot"))

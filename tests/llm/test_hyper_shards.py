@@ -65,6 +65,29 @@ def test_a_repeated_id_spreads_over_blocks(spark, monkeypatch):
     assert ((hits - 25) ** 2 / 25).sum() < 130
 
 
+WORKING = ("id", "block", "at", "key", "piece", "tie", "salt", "of", "below", "hot", "of_shard", "of_piece", "start", "rank",
+           "p", "n", "often", "part", "own", "count")
+
+
+def test_columns_of_every_working_name_survive(spark):
+    names = ["doc_id", "text", "count", *[f"__{c}" for c in WORKING]]
+    docs = spark.createDataFrame([(i % 7, f"t{i}", i % 3, *[f"{i}-{c}" for c in WORKING]) for i in range(60)], names)
+    for blocks in (2, 64):
+        rows = hs.shard(docs, 4, blocks=blocks).collect()
+        lawful(rows, 4)
+        assert same_rows([tuple(r)[:-2] for r in rows], docs.collect())
+
+
+def test_equal_ids_with_other_texts_in_any_order(spark):
+    """Whole rows get the same places however the input is dealt."""
+    docs = spark.range(4000).selectExpr("case when id % 4 = 0 then null when id % 4 = 1 then 9 else id % 50 end as doc_id",
+                                        "if(id % 4 < 2, 'same', cast(id as string)) as text", "cast(id % 5 as int) as more")
+    a = hs.shard(docs.repartition(7, "text"), 8, blocks=32)
+    b = hs.shard(docs.orderBy("more", "text").coalesce(3), 8, blocks=32)
+    assert same_rows(a.collect(), b.collect())
+    lawful(a.collect(), 8)
+
+
 def test_the_shuffle_is_uniform(spark):
     docs = spark.range(8000).selectExpr("id as doc_id", "'t' as text")
     rows = hs.shard(docs, 4, blocks=16).collect()
