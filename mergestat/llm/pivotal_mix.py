@@ -37,7 +37,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, fresh, staged, unit_hash
+from .common import WORD, content, fresh, numbered, staged, unit_hash
 
 WEIGHTS, LIMIT, FAN, SEED = (1, 2, 3), 3, 32, 42
 #: Most sources whose table is broadcast (about 100 bytes each).
@@ -236,17 +236,26 @@ def mix(docs: DataFrame, ident: str = "doc_id", source: str = "source", text: st
     goal = staged(targets(sizes, weights, limit, share), "mix-targets")
     found = staged(decide(sizes, goal, limit, fan, seed), "mix-decided")
     alike = found.agg(F.max("m")).first()[0] or 1
-    found = found.toDF("__i", "__s", "__z", "__m", "__k")
-    out = d.join(found, F.col(i).eqNullSafe(F.col("__i")) & F.col(s).eqNullSafe(F.col("__s"))
-                 & (F.col(z) == F.col("__z")))
-    copies = F.col("__k")
+    fi, fs, fz, fm, fk, gs, tie, place = fresh(docs, "of_ident", "of_source", "of_size", "m", "k", "goal_source", "tie", "place")
+    found = found.toDF(fi, fs, fz, fm, fk)
+    out = d.join(found, F.col(i).eqNullSafe(F.col(fi)) & F.col(s).eqNullSafe(F.col(fs)) & (F.col(z) == F.col(fz)))
+    copies = F.col(fk)
     if alike > 1:
-        out = out.withColumn(n, F.row_number().over(Window.partitionBy(i, s, z).orderBy(F.lit(0))))
-        copies = F.floor(F.col("__k") / F.col("__m")) + (F.col(n) <= F.col("__k") % F.col("__m")).cast("long")
-    goal = goal.toDF("__gs", "source_size", "target")
+        # rows of one unit by a hash of their contents; equal ones are numbered as they come
+        out = numbered(out.withColumn(tie, content(out.select(*[f"`{c}`" for c in keep]))), [i, s, z, tie], n)
+        ahead = Window.partitionBy(i, s, z).orderBy(tie).rowsBetween(Window.unboundedPreceding, -1)
+        starts = out.where(F.col(fm) > 1).groupBy(i, s, z, tie).count().withColumn(
+            place, F.coalesce(F.sum("count").over(ahead), F.lit(0))).drop("count")
+        ki, ks, kz, kt = fresh(out, "place_ident", "place_source", "place_size", "place_tie")
+        starts = starts.toDF(ki, ks, kz, kt, place)
+        same = F.col(i).eqNullSafe(F.col(ki)) & F.col(s).eqNullSafe(F.col(ks)) & (F.col(z) == F.col(kz)) & (F.col(tie) == F.col(kt))
+        out = out.join(starts, same, "left")
+        at = F.coalesce(F.col(place), F.lit(0)) + F.col(n)
+        copies = F.floor(F.col(fk) / F.col(fm)) + (at < F.col(fk) % F.col(fm)).cast("long")
+    goal = goal.toDF(gs, "source_size", "target")
     if goal.count() <= BROADCAST_ROWS:
         goal = F.broadcast(goal)
-    out = out.withColumn("copies", copies).join(goal, F.col(s).eqNullSafe(F.col("__gs")))
+    out = out.withColumn("copies", copies).join(goal, F.col(s).eqNullSafe(F.col(gs)))
     return out.select(*[F.col(f"`{c}`") for c in keep], F.col(z).alias("size"), "source_size", "target",
                       "copies", (F.col("copies") * F.col(z)).alias("taken"))
 
@@ -254,11 +263,9 @@ def mix(docs: DataFrame, ident: str = "doc_id", source: str = "source", text: st
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as it is taken."""
     copies = fresh(docs, "copies")[0]
-    d = docs
     clash = [c for c in docs.columns if c.lower() in ("size", "source_size", "target", "copies", "taken")]
-    for c in clash:
-        d = d.withColumnRenamed(c, f"__own_{c}")
-    out = mix(d, **options).withColumnRenamed("copies", copies)
+    own = dict(zip(clash, fresh(docs, *[f"own_{c}" for c in clash])))
+    out = mix(docs.withColumnsRenamed(own), **options).withColumnRenamed("copies", copies)
     out = out.where(F.col(copies) > 0).withColumn(
         copies, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))))
-    return out.select(*[F.col(f"`__own_{c}`" if c in clash else f"`{c}`").alias(c) for c in docs.columns])
+    return out.select(*[F.col(f"`{own.get(c, c)}`").alias(c) for c in docs.columns])

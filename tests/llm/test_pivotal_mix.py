@@ -64,6 +64,31 @@ def test_input_columns_survive(spark):
     assert Counter((r.doc_id, r.source, r.text) for r in mixed.collect()) == +taken
 
 
+WORKING = ("ident", "source", "size", "n", "i", "s", "z", "m", "k", "gs", "of_ident", "of_source", "of_size", "goal_source", "tie", "place",
+           "place_ident", "own_size", "own_copies", "copies", "part", "own", "start")
+
+
+def test_columns_of_every_working_name_survive(spark):
+    docs = spark.range(80).selectExpr("id % 30 as doc_id", "if(id % 3 = 0, 'a', 'b') as source", "concat('w ', 'x ', id % 40) as text",
+                                      "id as size", "id as copies", "id as m", "id as units",
+                                      *[f"id * {k + 2} as __{c}" for k, c in enumerate(WORKING)])
+    out = pm.mix(docs).collect()
+    assert len(out) == 80
+    mixed = pm.mixed(docs)
+    assert mixed.columns == docs.columns
+    own = {tuple(r) for r in docs.collect()}
+    assert all(tuple(r) in own for r in mixed.collect())
+
+
+def test_repeats_are_taken_alike_in_any_order(spark):
+    """Equal ids, sources and sizes with other texts: the same rows are taken however the input is dealt."""
+    docs = spark.range(900).selectExpr("cast(null as long) as doc_id", "if(id % 2 = 0, 'a', 'b') as source",
+                                       "if(id % 3 = 0, 'one two', concat('w', id, ' x')) as text")
+    a = pm.mixed(docs.repartition(6, "text")).collect()
+    b = pm.mixed(docs.orderBy(F.desc("text")).coalesce(2)).collect()
+    assert same_rows(a, b) and len(a) > 0
+
+
 def test_copies_are_unbiased_and_reruns_agree(spark):
     docs = spark.range(400).select(F.col("id").alias("doc_id"), F.lit("a").alias("source"),
                                    F.expr("repeat('w ', cast(1 + id % 9 as int))").alias("text"))
