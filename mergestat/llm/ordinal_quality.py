@@ -144,12 +144,22 @@ def fit(rows: list[np.ndarray], grade: np.ndarray, grades: int = GRADES, l1_docs
 def train(docs: DataFrame, ratings: DataFrame, ident: str = "doc_id", text: str = "text",
           grade: str = "grade", grades: int = GRADES, max_rows: int = MAX_ROWS,
           l1_docs: float = 3.0) -> dict | None:
-    """Fit on rated documents; None where no rating meets a document."""
-    picked = (ratings.select(F.col(f"`{ident}`").alias("rated"), F.col(f"`{grade}`").cast("int").alias("grade"))
-              .where(F.col("rated").isNotNull() & F.col("grade").between(0, grades - 1))
-              .orderBy(F.xxhash64("rated"), "rated", "grade").limit(max_rows))
-    rows = docs.select(F.col(f"`{ident}`").alias("ident"), F.col(f"`{text}`").alias("text")).join(
-        F.broadcast(picked), F.col("ident") == F.col("rated")).select("ident", "grade", "text")
+    """Fit on at most ``max_rows`` rated documents; None where no rating meets a document.
+
+    Those are the lowest in hash order of id and text; documents equal in id, text and
+    grade count once.
+    """
+    rated = (ratings.select(F.col(f"`{ident}`").alias("rated"), F.col(f"`{grade}`").cast("int").alias("grade"))
+             .where(F.col("rated").isNotNull() & F.col("grade").between(0, grades - 1)).distinct()
+             .orderBy(F.xxhash64("rated"), "rated", "grade").limit(max_rows))
+    known = docs.select(F.col(f"`{ident}`").alias("ident"), F.col(f"`{text}`").alias("text")).join(
+        F.broadcast(rated), F.col("ident") == F.col("rated")).select(
+        "ident", "grade", "text", F.xxhash64("text").alias("h"))
+    # ids and hashes are ranked first, so that an id with many documents moves no texts
+    picked = (known.select("ident", "grade", "h").distinct()
+              .orderBy(F.xxhash64("ident"), "ident", "h", "grade").limit(max_rows)).toDF("i", "g", "of")
+    rows = known.join(F.broadcast(picked), (F.col("ident") == F.col("i")) & (F.col("grade") == F.col("g")) & (F.col("h") == F.col("of"))) \
+        .groupBy("ident", "grade", "h").agg(F.min("text").alias("text")).select("ident", "grade", "text")
 
     def extract(batches):
         for b in batches:
@@ -213,19 +223,6 @@ class _Scorer:
         return sum(self.weights.get(s, 0.0) for s in sorted(hit))
 
 
-def score(self, text: str | None) -> float:
-        words = set((text or "").lower().split())
-        new = words.difference(self.words)
-        if new:
-            if len(self.words) > CACHE_WORDS:
-                self.words.clear()
-                new = words
-            for w in new:
-                self.words[w] = tuple(s for s in _slots(w) if s in self.weights)
-        hit = set().union(*filter(None, map(self.words.__getitem__, words)))
-        return sum(self.weights[s] for s in sorted(hit))
-
-
 def score(docs: DataFrame, model: dict | None, text: str = "text",
           select_grade: int = GRADES - 1, least: float = 0.5) -> DataFrame:
     """``docs`` with ``expected_grade``, ``p_ge_1`` .. and ``kept``.

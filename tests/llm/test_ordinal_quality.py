@@ -19,6 +19,85 @@ def test_gradient_is_that_of_the_likelihood():
     assert all(np.sign(found.get(k, 0)) == np.sign(w[k]) for k in range(6))
 
 
+def likelihood(rows, grade, w, t):
+    s = np.array([sum(w.get(int(x), 0.0) for x in r) for r in rows])
+    cut = np.concatenate([[-np.inf], t, [np.inf]])
+    p = oq._sigmoid(cut[grade + 1] - s) - oq._sigmoid(cut[grade] - s)
+    return -np.log(p).mean()
+
+
+def dense_fit(rows, grade, l1, rounds=4000):
+    """Plain proximal gradient on a dense matrix."""
+    slots = sorted({int(x) for r in rows for x in r})
+    x = np.array([[float(s in set(map(int, r))) for s in slots] for r in rows])
+    w, t, n = np.zeros(len(slots)), np.array([-1.0, 1.0]), len(rows)
+    for _ in range(rounds):
+        s = x @ w
+        cut = np.concatenate([[-np.inf], t, [np.inf]])
+        hi, lo = oq._sigmoid(cut[grade + 1] - s), oq._sigmoid(cut[grade] - s)
+        d_hi, d_lo = hi * (1 - hi), lo * (1 - lo)
+        p = hi - lo
+        w = w - 0.5 * (x.T @ ((d_hi - d_lo) / p) / n)
+        w = np.sign(w) * np.maximum(np.abs(w) - 0.5 * l1 / n, 0)
+        t = t - 0.5 * np.array([-(d_hi / p)[grade == k].sum() + (d_lo / p)[grade == k + 1].sum() for k in (0, 1)]) / n
+    return dict(zip(slots, w)), t
+
+
+def sample(seed, n=400):
+    r = np.random.default_rng(seed)
+    rows = [np.unique(r.integers(0, 12, 5)).astype(np.int32) for _ in range(n)]
+    w = np.array([2, -2, 1, -1, 1.5, -1.5] + [0] * 6)
+    s = np.array([w[x].sum() for x in rows]) + r.logistic(size=n)
+    return rows, (s > -1).astype(int) + (s > 1)
+
+
+def test_fit_reaches_the_optimum_of_a_plain_dense_fit():
+    rows, grade = sample(1)
+    slots, got, t = oq.fit(rows, grade, l1_docs=3.0, steps=3000)
+    found = dict(zip(slots.tolist(), got))
+    want, cuts = dense_fit(rows, grade, 3.0)
+
+    def loss(w, t):
+        return likelihood(rows, grade, w, t) + 3.0 / len(rows) * sum(map(abs, w.values()))
+    assert loss(found, t) <= loss(want, cuts) + 2e-3
+    assert np.allclose(t, cuts, atol=0.1)
+    assert all(abs(found.get(s, 0) - want[s]) < 0.15 for s in want)
+    # at the optimum no small change of a threshold or weight lowers the loss by more than its rounding
+    for eps in (1e-3, -1e-3):
+        for k in range(2):
+            assert loss(want, cuts + eps * np.eye(2)[k]) >= loss(want, cuts) - 1e-6
+        for s in want:
+            assert loss({**want, s: want[s] + eps}, cuts) >= loss(want, cuts) - 1e-6
+
+
+def test_query_is_the_model_applied_by_hand(spark):
+    """Thresholds, probabilities and ``kept`` of every document, by the written-out formulas."""
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    graded = oq.graded(spark.read.parquet(f"{sf}/labels.parquet"))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    grade = {r.doc_id: r.grade for r in graded.collect() if r.doc_id in texts}
+    ids = sorted(grade)
+    slots, w, t = oq.fit([oq.features(texts[i]) for i in ids], np.array([grade[i] for i in ids]), oq.GRADES, 3.0)
+    weights = dict(zip(slots.tolist(), w))
+    for r in op1_ordinal_quality(spark, sf).collect():
+        s = sum(weights.get(int(x), 0.0) for x in oq.features(texts[r.doc_id]))
+        p = [1 / (1 + np.exp(c - s)) for c in t]
+        assert np.allclose([r.p_ge_1, r.p_ge_2, r.expected_grade], [*p, sum(p)], atol=1e-6)
+        assert r.kept == (p[1] >= 0.5)
+
+
+def test_rows_of_the_fit_are_bounded(spark):
+    """Ratings that meet many documents: the rows fitted stay within the bound, repeats count once."""
+    docs = spark.range(3000).selectExpr("id % 2 as doc_id", "if(id % 4 < 2, 'same text', concat('text ', id)) as text")
+    rated = spark.createDataFrame([(0, 0), (1, 2), (1, 2)], "doc_id long, grade int")
+    model = oq.train(docs, rated, max_rows=40, l1_docs=0.0)
+    assert model is not None and len(model["thresholds"]) == 2
+    fitted = {s for s in model["weights"]}
+    several = oq.train(docs.repartition(9), rated, max_rows=40, l1_docs=0.0)
+    assert fitted == set(several["weights"]) and np.allclose(model["thresholds"], several["thresholds"])
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
