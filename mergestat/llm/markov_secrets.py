@@ -9,7 +9,8 @@ words and identifiers: the log-likelihood ratio of the run must reach
 
 Both models are trained from labelled samples of the scanned documents: secrets
 that the patterns find count as random, all other words as ordinary.  The sample
-is the documents of the ``sample_docs`` ids lowest in hash order for each label; smoothing
+is the ``sample_docs`` documents lowest in hash order of id and text for each label,
+equal ones counted once; smoothing
 by ``alpha`` counts per pair of characters stands for what the sample lacks, and
 ``uniform`` of the random model's mass goes to strings of evenly drawn
 characters, whatever secrets the sample holds.
@@ -47,7 +48,7 @@ RUN = r"[A-Za-z0-9+/_=-]"
 RUN_CHARS = 16
 SAMPLE_DOCS, ALPHA, UNIFORM, LEAST = 2000, 0.5, 0.2, math.log(1e6)
 #: Elements summed in one piece by ``_running``.
-PIECE = 256
+PIECE = 64
 
 _SPAN = "array<struct<kind:int,start:int,end:int,text:string>>"
 
@@ -61,13 +62,28 @@ def _total(x: Column) -> Column:
     return F.aggregate(x, F.lit(0), lambda s, v: s + v)
 
 
-def _running(x: Column) -> Column:
-    """Running sums of an int array, in pieces so that long arrays stay cheap."""
-    def piece(k):
-        part = F.slice(x, k * PIECE + 1, PIECE)
-        return _let(F.struct(part.alias("part"), _total(F.slice(x, F.lit(1), k * PIECE)).alias("base")),
-                    lambda p: F.transform(p["part"], lambda v, i: p["base"] + _total(F.slice(p["part"], F.lit(1), i + 1))))
-    return F.flatten(F.transform(F.sequence(F.lit(0), F.floor((F.size(x) - 1) / PIECE).cast("int")), piece))
+def _within(x: Column, base) -> Column:
+    """Running sums of a short int array, from ``base`` on."""
+    return F.transform(x, lambda v, i: base + _total(F.slice(x, F.lit(1), i + 1)))
+
+
+def _pieces(x: Column) -> Column:
+    return F.transform(F.sequence(F.lit(0), F.floor((F.size(x) - 1) / PIECE).cast("int")),
+                       lambda k: F.slice(x, k * PIECE + 1, PIECE))
+
+
+def _running(x: Column, levels: int = 3) -> Column:
+    """Running sums of an int array: of the pieces' totals first, then within each piece.
+
+    Totals of ``levels`` levels of pieces keep arrays of ``PIECE ** levels`` numbers linear.
+    """
+    def from_pieces(pieces):
+        totals = F.transform(pieces, _total)
+        sums = _running(totals, levels - 1) if levels > 1 else _within(totals, F.lit(0))
+        return _let(F.struct(pieces.alias("p"), sums.alias("s")), lambda v: F.flatten(F.transform(
+            v["p"], lambda part, k: _let(F.struct(part.alias("x"), (v["s"][k] - _total(part)).alias("b")),
+                                         lambda w: _within(w["x"], w["b"])))))
+    return F.when(F.size(x) <= PIECE, _within(x, F.lit(0))).otherwise(_let(_pieces(x), from_pieces))
 
 
 def spans(text: Column, pattern: str, kind: int, group: int = 0, chars: int = 0) -> Column:
@@ -138,14 +154,17 @@ def train(docs: DataFrame, ident: str = "doc_id", text: str = "text", sample_doc
     src = docs.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"), F.col(f"`{ident}`").alias("ident"))
     src = src.where(F.col("ident").isNotNull())
 
+    src = src.withColumn("h", F.xxhash64("text"))
+
     def lowest(of, random):
-        """Ids alone are ranked and broadcast, so that no task gathers texts."""
-        return of.select("ident").distinct().orderBy(F.xxhash64("ident"), "ident").limit(sample_docs).select(
-            F.col("ident").alias("picked"), F.lit(random).alias("random"))
+        """Ids and hashes alone are ranked and broadcast, so that no task gathers texts."""
+        return of.select("ident", "h").distinct().orderBy(F.xxhash64("ident"), "ident", "h").limit(sample_docs).select(
+            F.col("ident").alias("picked"), F.col("h").alias("picked_h"), F.lit(random).alias("random"))
 
     secret = F.col("text").rlike(ASSIGN_GUARD) | F.col("text").rlike(ACCESS) | F.col("text").rlike(HEX)
     picked = staged(lowest(src.where(secret), 1).union(lowest(src, 0)), "secret-sample")
-    sample = src.join(F.broadcast(picked), F.col("ident") == F.col("picked")).withColumn("base", base_spans(F.col("text")))
+    sample = src.join(F.broadcast(picked), (F.col("ident") == F.col("picked")) & (F.col("h") == F.col("picked_h"))) \
+        .groupBy("random", "ident", "h").agg(F.min("text").alias("text")).withColumn("base", base_spans(F.col("text")))
     token = sample.where("random = 1").select("random", F.explode("base").alias("s")).select(
         "random", F.col("s.text").alias("token"))
     plain = sample.where("random = 0").select("random", F.explode(_clear(_runs(F.col("text"), 4), F.col("base"))).alias("s"))
