@@ -17,10 +17,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mergestat.functions.hashing import alpha, bits, hash_of, rank_of, register_of
+from mergestat.session import scratch_path
 from mergestat.sources.tables import key_names
 
 TWO32 = float(2 ** 32)
@@ -144,6 +145,66 @@ def estimate_from_array(registers: Column, m: int = 64, method: str = "md5") ->
     return corrected(F.lit(alpha(m) * m * m) / z, zeros, m, method)
 
 
+#: Secant steps of the likelihood estimate; it settles to the last digits in fewer.
+SECANTS = 14
+
+
+def likelihood_estimate(counts: Column, m: int, top: int) -> Column:
+    """The most likely distinct count, from ``counts``: registers of rank 0 to ``top``.
+
+    With x values a register, a rank of k (below ``top``) or less has the
+    probability exp(-x / 2^k).  The derivative of the likelihood vanishes where
+
+        x * sum(c_k / 2^k, k < top) + sum(c_k * (1 - h(x / 2^min(k, top - 1))), k > 0) = m - c_0,
+
+    h(y) = y / (e^y - 1).  The left side is increasing and concave, so secants from
+    0 and from below the root climb to it without overshooting.  One
+    formula for all ranges: no jump between corrections.  A table whose registers
+    are all at the top has no finite estimate and gets ``LARGEST``.
+    """
+    ranks = F.transform(F.slice(counts, 2, top), lambda c: c.cast("double"))
+    share = F.array(*[F.lit(2.0 ** -min(k, top - 1)) for k in range(1, top + 1)])
+    below = F.array(*[F.lit(2.0 ** -k if k < top else 0.0) for k in range(1, top + 1)])
+    none = F.element_at(counts, 1).cast("double")
+
+    def total(parts):
+        return F.aggregate(parts, F.lit(0.0), lambda a, b: a + b)
+    filled = F.lit(float(m)) - none
+    weight = none + total(F.zip_with(ranks, below, lambda c, w: c * w))
+    tail = total(F.zip_with(ranks, share, lambda c, w: c * w))
+
+    def excess(x):
+        def gap(c, w):
+            y = x * w
+            # 1 - h(y): by its series where the quotient would lose its digits
+            return c * F.when(y < 1e-5, y / 2 - y * y / 12).when(y > 700, F.lit(1.0)).otherwise(1 - y / F.expm1(y))
+        return x * weight + total(F.zip_with(ranks, share, gap)) - filled
+
+    def secant(s, _):
+        f = excess(s["x"])
+        step = F.when((f == s["f0"]) | (f >= 0), F.lit(0.0)).otherwise(-f * (s["x"] - s["x0"]) / (f - s["f0"]))
+        return F.struct(s["x"].alias("x0"), f.alias("f0"), (s["x"] + step).alias("x"))
+    start = F.struct(F.lit(0.0).alias("x0"), (-filled).alias("f0"), (filled / (weight + tail / 2)).alias("x"))
+    x = F.aggregate(F.sequence(F.lit(1), F.lit(SECANTS)), start, secant)["x"]
+    return F.when(none == m, F.lit(0.0)).when(weight == 0, F.lit(LARGEST)).otherwise(x * m)
+
+
+def hll_likelihood(df: DataFrame, keys, value: str | Column, m: int = 64, method: str = "md5") -> DataFrame:
+    """H4 without ranges: (key..., n, empty_registers, estimate, estimate_rounded) by likelihood.
+
+    Registers of equal rank are counted: at most 65 numbers a key, added in one row.
+    """
+    ks = key_names(keys)
+    top = bits(method) - _log2(m) + 1
+    reg = hll_registers(df, ks, value, m, method)
+    held = reg.groupBy(*ks).agg(F.sum("n").alias("n"), *[F.count_if(F.col("rank") == k).alias(f"_c{k}") for k in range(1, top + 1)])
+    empty = F.lit(m) - sum((F.col(f"_c{k}") for k in range(1, top + 1)), F.lit(0))
+    held = held.select(*ks, "n", empty.cast("bigint").alias("empty_registers"),
+                       F.array(empty.cast("bigint"), *[F.col(f"_c{k}") for k in range(1, top + 1)]).alias("_c"))
+    return held.select(*ks, "n", "empty_registers", likelihood_estimate(F.col("_c"), m, top).alias("estimate")) \
+        .withColumn("estimate_rounded", F.least(F.round("estimate"), F.lit(LARGEST)).cast("bigint"))
+
+
 def distinct_sketch(df: DataFrame, keys, value: str, rsd: float = 0.05,
                     lg_k: int = 12) -> DataFrame:
     """H6: Spark's own sketches — HLL++ estimate and a mergeable DataSketches
@@ -206,3 +267,65 @@ def merged_sketch_report(df: DataFrame, partials: DataFrame, keys, value: str, l
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in ks]
     both = union_sketches(partials, ks).join(exact, same)
     return both.select(*ks, "n", "exact", _in_bounds(F.col("sketch_estimate"), 1.04 / 2 ** (lg_k / 2)).alias("sketch_in_bounds"))
+
+
+def running_sketches(partials: DataFrame, keys, batch: str) -> DataFrame:
+    """H6 after every batch: (key..., batch, n, sketch) with each sketch the union of the
+    key's sketches up to that batch.
+
+    Prefix doubling: after round r a row holds the union of its last 2^r batches, and
+    takes in the row 2^r places before it.  So a state costs log2(batches) merges of two
+    sketches, all rows of a round at once, and no window holds sketches; the one
+    window numbers (key, batch) pairs alone.
+    """
+    ks = key_names(keys)
+    name = [f"_k{i}" for i in range(len(ks))]
+    w = Window.partitionBy(*ks).orderBy(batch)
+    places = partials.select(*ks, batch, "n").withColumn("_at", F.row_number().over(w)) \
+        .withColumn("n", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    longest = places.agg(F.max("_at")).first()[0] or 0
+    places = places.toDF(*name, "_b", "n", "_at")
+    same = F.col(batch).eqNullSafe(F.col("_b"))
+    for k, c in zip(ks, name):
+        same &= F.col(k).eqNullSafe(F.col(c))
+    rows = _kept(partials.select(*ks, batch, "sketch").join(places, same).drop(*name, "_b"), "sketches")
+    reach = 1
+    while reach < longest:
+        before = rows.select(*[F.col(k).alias(c) for k, c in zip(ks, name)], (F.col("_at") + reach).alias("_to"), F.col("sketch").alias("_s"))
+        same = F.col("_at") == F.col("_to")
+        for k, c in zip(ks, name):
+            same &= F.col(k).eqNullSafe(F.col(c))
+        both = F.when(F.col("_s").isNull(), F.col("sketch")).when(F.col("sketch").isNull(), F.col("_s")).otherwise(
+            F.hll_union("sketch", "_s", True))
+        rows = _kept(rows.join(before, same, "left").withColumn("sketch", both).drop(*name, "_to", "_s"), "sketches")
+        reach *= 2
+    return rows.select(*ks, batch, "n", "sketch")
+
+
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """Written to the shared folder and read back: a round reads the one before twice."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def running_sketch_report(df: DataFrame, keys, value: str, batch: str, lg_k: int = 12) -> DataFrame:
+    """H6 checked after every batch: the running union against the exact running count.
+
+    The exact count is that of values whose first batch is no later: one row per
+    distinct (key, value), counted per first batch, then a running sum.
+    """
+    ks = key_names(keys)
+    parts = sketch_partials(df, ks, value, batch, lg_k)
+    first = df.where(F.col(value).isNotNull()).groupBy(*ks, value).agg(F.min(batch).alias("_b"))
+    new = first.groupBy(*ks, "_b").agg(F.count(F.lit(1)).alias("_new"))
+    name = [f"_n{i}" for i in range(len(ks))]
+    new = new.toDF(*name, "_b", "_new")
+    same = F.col(batch).eqNullSafe(F.col("_b"))
+    for k, c in zip(ks, name):
+        same &= F.col(k).eqNullSafe(F.col(c))
+    w = Window.partitionBy(*ks).orderBy(batch).rowsBetween(Window.unboundedPreceding, 0)
+    held = running_sketches(parts, ks, batch).join(new, same, "left") \
+        .select(*ks, batch, "n", F.hll_sketch_estimate("sketch").alias("_e"), F.coalesce("_new", F.lit(0)).alias("_new"))
+    held = held.withColumn("exact", F.sum("_new").over(w))
+    return held.select(*ks, batch, "n", "exact", _in_bounds(F.col("_e"), 1.04 / 2 ** (lg_k / 2)).alias("sketch_in_bounds"))

@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mergestat.operators import distinct, exact, extremes, histogram, history, kalman, moments
+from mergestat.operators import distinct, exact, extremes, histogram, history, kalman, kalman_irregular, moments
 from mergestat.operators.histogram import Bins
 from mergestat.plans.compare import rounded
 from mergestat.sources.tables import events_stream_view, keyed, keyed_event, only_key, table
@@ -206,6 +206,22 @@ def q_distinct_sketch_merged(spark, sf):
     return distinct.merged_sketch_report(li, parts, "l_returnflag", "l_partkey")
 
 
+def q_hll_likelihood(spark, sf):
+    """H4 by likelihood, one formula for all ranges."""
+    ev = table(spark, sf, "events").withColumnRenamed("event_type", "label")
+    return _r(distinct.hll_likelihood(ev, "label", "user_id", HLL_M))
+
+
+def q_hll_likelihood_lineitem(spark, sf):
+    return _r(distinct.hll_likelihood(table(spark, sf, "lineitem"), "l_returnflag", "l_partkey", HLL_M))
+
+
+def q_running_sketches(spark, sf):
+    """H6: the union of all sketches up to every day, against the exact count."""
+    ev = table(spark, sf, "events").withColumnRenamed("event_type", "label").withColumn("batch", F.to_date("ts"))
+    return distinct.running_sketch_report(ev, "label", "user_id", "batch")
+
+
 # ---------------------------------------------------------------- 2.6
 
 def q_histogram(spark, sf):
@@ -315,6 +331,13 @@ def q_kalman_by_user(spark, sf):
     return _r(kalman.kalman_final(ev, "user_id", "value", ("ts", "event_id")))
 
 
+def q_kalman_irregular(spark, sf):
+    """Steps as long as the hours between events, and one in ten rows without an observation."""
+    ev = _whole_events(spark, sf).withColumn("value", F.when(F.col("event_id") % 10 != 0, F.col("value")))
+    return rounded(kalman_irregular.kalman_irregular(ev, "label", "value", ("ts", "event_id"), unit=3600.0,
+                                                     passthrough=["event_id"]), 4)
+
+
 def q_kalman_lineitem_hot(spark, sf):
     """Hot keys: three return flags, each holding about a third of lineitem.
     Range partitioning cuts each flag's trajectory over many partitions.
@@ -365,6 +388,9 @@ BATCH_QUERIES: dict[str, Query] = {
     "hll_estimate": q_hll_estimate,
     "hll_lineitem": q_hll_lineitem,
     "hll_error_report": q_hll_error_report,
+    "hll_likelihood": q_hll_likelihood,
+    "hll_likelihood_lineitem": q_hll_likelihood_lineitem,
+    "running_sketches": q_running_sketches,
     "distinct_sketch": q_distinct_sketch,
     "distinct_sketch_merged": q_distinct_sketch_merged,
     "histogram": q_histogram,
@@ -388,6 +414,7 @@ BATCH_QUERIES: dict[str, Query] = {
     "kalman_trace": q_kalman_trace,
     "kalman_by_user": q_kalman_by_user,
     "kalman_lineitem_hot": q_kalman_lineitem_hot,
+    "kalman_irregular": q_kalman_irregular,
     "variance_by_user": q_variance_by_user,
     "k_largest_by_user": q_k_largest_by_user,
 }

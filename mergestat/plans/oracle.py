@@ -266,6 +266,71 @@ def kalman_weekly_sql() -> str:
     return _kalman_sql("event_type", "label", final=False, weekly=True)
 
 
+def kalman_irregular_sql(prm: KalmanParams = KalmanParams()) -> str:
+    """Steps as long as the hours since the key's row before; rows without a value are predicted only."""
+    a0, a1 = (_lit(x) for x in prm.accel)
+    x0, x1 = (_lit(x) for x in prm.x_init)
+    p, r, s = [_lit(x) for x in prm.p_init], _lit(prm.r), _lit(prm.sigma)
+    return f"""
+WITH RECURSIVE o AS (
+  SELECT event_type AS label, event_id, CASE WHEN event_id % 10 <> 0 THEN value END AS z,
+    coalesce((epoch_us(ts) - lag(epoch_us(ts)) OVER w) / 3.6e9, {_lit(prm.dt)}) AS dt, row_number() OVER w AS step
+  FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)),
+k(label, event_id, step, dt, z, x0, x1, p00, p01, p10, p11) AS (
+  SELECT DISTINCT label, CAST(NULL AS BIGINT), CAST(0 AS BIGINT), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE),
+    {x0}, {x1}, {p[0]}, {p[1]}, {p[2]}, {p[3]} FROM o
+  UNION ALL
+  SELECT label, event_id, step, dt, z, x0p + k0 * y, x1p + k1 * y,
+    (1 - k0) * pp00, (1 - k0) * pp01, pp10 - k1 * pp00, pp11 - k1 * pp01
+  FROM (SELECT *, CASE WHEN z IS NULL THEN 0.0::DOUBLE ELSE pp00 / (pp00 + {r}) END AS k0,
+          CASE WHEN z IS NULL THEN 0.0::DOUBLE ELSE pp10 / (pp00 + {r}) END AS k1, coalesce(z - x0p, 0.0::DOUBLE) AS y
+        FROM (SELECT k.label, o.event_id, o.step, o.dt, o.z,
+                k.x0 + o.dt * k.x1 + o.dt * o.dt / 2 * {a0} AS x0p, k.x1 + o.dt * {a1} AS x1p,
+                (k.p00 + o.dt * k.p10) + o.dt * (k.p01 + o.dt * k.p11) + {s} * power(o.dt, 4) / 4 AS pp00,
+                (k.p01 + o.dt * k.p11) + {s} * power(o.dt, 3) / 2 AS pp01,
+                k.p10 + o.dt * k.p11 + {s} * power(o.dt, 3) / 2 AS pp10,
+                k.p11 + {s} * o.dt * o.dt AS pp11
+              FROM k JOIN o ON o.label = k.label AND o.step = k.step + 1)))
+SELECT label, event_id, {", ".join(f"round({c}, 4) AS {c}" for c in ("dt", "z", "x0", "x1", "p00", "p01", "p10", "p11"))}
+FROM k WHERE step > 0
+"""
+
+
+def likelihood_sql(src: str, key: str, value: str, m: int) -> str:
+    """The same secant steps on the numbers of registers per rank, written out."""
+    from mergestat.operators.distinct import SECANTS
+    top = 32 - (m.bit_length() - 1) + 1
+    steps, last = [], "s0"
+    for i in range(1, SECANTS + 1):
+        steps.append(f"""f{i} AS (SELECT s.{key}, any_value(s.x0) AS x0, any_value(s.f0) AS f0, any_value(s.x) AS x,
+  any_value(s.x) * any_value(s.weight) + sum(CASE WHEN c.rank IS NULL THEN 0.0::DOUBLE ELSE c.c * CASE WHEN s.x * c.w < 1e-5 THEN s.x * c.w / 2 - s.x * c.w * s.x * c.w / 12
+    WHEN s.x * c.w > 700 THEN 1.0 ELSE 1 - s.x * c.w / (exp(s.x * c.w) - 1) END END) - any_value(s.filled) AS f,
+  any_value(s.weight) AS weight, any_value(s.filled) AS filled FROM {last} s LEFT JOIN c ON c.{key} = s.{key} GROUP BY s.{key})""")
+        steps.append(f"s{i} AS (SELECT {key}, x AS x0, f AS f0, x + CASE WHEN f = f0 OR f >= 0 THEN 0.0 "
+                     f"ELSE -f * (x - x0) / (f - f0) END AS x, weight, filled FROM f{i})")
+        last = f"s{i}"
+    return f"""
+WITH r AS ({_registers_sql(src, key, value, m)}),
+c AS (SELECT {key}, rank, count(*) AS c, power(2.0::DOUBLE, -least(rank, {top - 1})) AS w FROM r GROUP BY {key}, rank),
+z AS (SELECT {key}, CAST(sum(n) AS BIGINT) AS n, {m} - count(*) AS empty,
+  {m} - count(*) + sum(CASE WHEN rank < {top} THEN power(2.0::DOUBLE, -rank) ELSE 0 END) AS weight,
+  sum(power(2.0::DOUBLE, -least(rank, {top - 1}))) AS tail, count(*)::DOUBLE AS filled FROM r GROUP BY {key}),
+s0 AS (SELECT {key}, 0.0::DOUBLE AS x0, -filled AS f0, filled / (weight + tail / 2) AS x, weight, filled FROM z),
+{", ".join(steps)}
+SELECT z.{key}, z.n, CAST(z.empty AS BIGINT) AS empty_registers, round(s.x * {m}, 6) AS estimate,
+  CAST(round(s.x * {m}) AS BIGINT) AS estimate_rounded FROM z JOIN {last} s ON s.{key} = z.{key}"""
+
+
+def running_distinct_sql(batch: str, key: str, value: str) -> str:
+    """Rows and distinct values of every key up to each of its batches."""
+    return (f"WITH e AS (SELECT {key}, {value} AS v, {batch} AS batch FROM events), "
+            f"b AS (SELECT label, batch, count(v) AS c FROM e GROUP BY label, batch), "
+            f"f AS (SELECT label, v, min(batch) AS batch FROM e WHERE v IS NOT NULL GROUP BY label, v) "
+            f"SELECT b.label, b.batch, CAST(sum(b.c) OVER w AS BIGINT) AS n, CAST(sum(coalesce(g.c, 0)) OVER w AS BIGINT) AS exact, "
+            f"true AS sketch_in_bounds FROM b LEFT JOIN (SELECT label, batch, count(*) AS c FROM f GROUP BY label, batch) g "
+            f"ON g.label = b.label AND g.batch = b.batch WINDOW w AS (PARTITION BY b.label ORDER BY b.batch)")
+
+
 def build() -> dict[str, str]:
     b = EVENT_BINS
     nb = b.nbins
@@ -310,6 +375,10 @@ def build() -> dict[str, str]:
     q["higher_moments_pairwise_merge"] = (
         "WITH li AS (SELECT l_returnflag, l_quantity AS value FROM lineitem), " + _shape_sql("li", "l_returnflag"))
     q["history_higher_moments"] = history_higher_sql()
+    q["hll_likelihood"] = likelihood_sql("(SELECT *, event_type AS label FROM events)", "label", "user_id", HLL_M)
+    q["hll_likelihood_lineitem"] = likelihood_sql("lineitem", "l_returnflag", "l_partkey", HLL_M)
+    q["running_sketches"] = running_distinct_sql("CAST(ts AS DATE)", "event_type AS label", "user_id")
+    q["kalman_irregular"] = kalman_irregular_sql()
     q["exact_sum"] = exact_sum_sql("label", mean=True)
     q["exact_batch_sum"] = exact_sum_sql("batch, label", mean=False)
     q["exact_median_lineitem"] = median_sql("lineitem", "l_returnflag", "l_extendedprice")

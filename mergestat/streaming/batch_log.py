@@ -21,12 +21,14 @@ those files.
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyarrow import fs as pafs
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +37,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from mergestat.session import scratch_path
 
+# The driver's worker for a Python source gets no shipped files: the reader travels by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 NAME = "mergestat_batch_log"
 #: Rows that one task reads of one file.
 STRIPE_ROWS = 4_000_000
@@ -114,14 +118,15 @@ def taken(spark: SparkSession, checkpoint: str) -> int:
     return _offset(offsets[max(offsets)]) if offsets else 0
 
 
-def read_log(spark: SparkSession, log: str, schema: T.StructType, order: str, checkpoint: str | None = None) -> DataFrame:
-    """A stream of the log's batches, one a trigger.
+def read_log(spark: SparkSession, log: str, schema: T.StructType, order: str, checkpoint: str | None = None,
+             skip: int = 0) -> DataFrame:
+    """A stream of the log's batches, one a trigger, behind the first ``skip``.
 
     ``checkpoint`` is that of the query it will feed; a query that goes on from one
     needs it here, so that the source knows which batches were taken.
     """
     spark.dataSource.register(BatchLogSource)
-    after = taken(spark, checkpoint) if checkpoint else 0
+    after = max(skip, taken(spark, checkpoint) if checkpoint else 0)
     return spark.readStream.format(NAME).schema(schema).option("log", log).option("order", order).option("after", after).load()
 
 
@@ -143,7 +148,7 @@ class BatchLogReader(DataSourceStreamReader):
         return {int(i.base_name.split("=")[1]): i.path for i in found if i.base_name.startswith("number=")}
 
     def initialOffset(self) -> dict:
-        return {"batches": 0}
+        return {"batches": self.at}
 
     def latestOffset(self) -> dict:
         # the next batch only: it becomes the start once Spark has planned it

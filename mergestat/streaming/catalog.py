@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 from mergestat.plans.catalog import EVENT_BINS, HLL_M, J_SMALLEST, K_LARGEST
 from mergestat.plans.compare import rounded
 from mergestat.plans.oracle import (WEEKLY, history_extremes_sql, history_histogram_sql, history_hll_sql,
-                                    history_sum_sql, history_variance_sql, kalman_weekly_sql)
+                                    history_sum_sql, history_variance_sql, kalman_weekly_sql, running_distinct_sql)
 from mergestat.session import scratch_path
 from mergestat.sources.tables import table
 from mergestat.streaming import queries as sq
-from mergestat.operators import exact
+from mergestat.operators import distinct, exact, histogram, moments
 from mergestat.operators.moments import shapes
 from mergestat.streaming import batch_log, reorder, states
 from mergestat.streaming.sinks import latest_per_key, run, snapshot_writer
@@ -181,6 +181,54 @@ def q_stream_batch_sum(spark, sf):
     return rounded(spark.read.parquet(out).join(weeks, "batch_id").drop("batch_id"))
 
 
+#: Weeks that are a batch result before the stream goes on from them.
+PAST_WEEKS = 2
+
+
+def _continued(spark: SparkSession, sf: str, name: str, state, build, keys) -> tuple[DataFrame, DataFrame]:
+    """A batch result of the first weeks, and what a stream that goes on from it last wrote per key."""
+    ev = table(spark, sf, "events")
+    out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
+    log = batch_log.write_log(ev, _week(), "ts")
+    weeks = batch_log.batch_values(spark, log)
+    past = state(ev.withColumnRenamed("event_type", "label").where(_week() <= F.lit(weeks[PAST_WEEKS - 1])))
+    stream = batch_log.read_log(spark, log, ev.schema, "ts", skip=PAST_WEEKS).withColumnRenamed("event_type", "label")
+    _drained(spark, build(stream, past), ckpt, out, "update", None, log)
+    return past, latest_per_key(spark, out, keys)
+
+
+def q_stream_variance_continued(spark, sf):
+    """Variances of two weeks in batch, gone on with as a stream, are those of the whole."""
+    _, now = _continued(spark, sf, "variance_continued",
+                        lambda past: moments.moment_partials(past, "label", "value", F.lit(0)).drop("batch"),
+                        lambda s, past: sq.stream_variance_from(s, "label", "value", past), ["label"])
+    return rounded(now.select("label", "n", "mean", "variance", F.sqrt("variance").alias("stddev")))
+
+
+def q_stream_histogram_continued(spark, sf):
+    """Bin counts of two weeks in batch, gone on with as a stream with a map state."""
+    past, now = _continued(spark, sf, "histogram_continued",
+                           lambda past: histogram.histogram_long(past, "label", "value", EVENT_BINS),
+                           lambda s, past: sq.stream_histogram_from(s, "label", "value", EVENT_BINS, past), ["label", "slot"])
+    # a slot that the stream did not touch stands as the batch left it
+    quiet = past.join(now.select(F.col("label").alias("_l"), F.col("slot").alias("_s")),
+                      F.col("label").eqNullSafe(F.col("_l")) & (F.col("slot") == F.col("_s")), "left_anti")
+    return now.select("label", "slot", "count").union(quiet.select("label", "slot", "count"))
+
+
+def q_stream_sketch_snapshots(spark, sf):
+    """H6: the running sketch of every key after every week against the exact count."""
+    held = _snapshots(spark, sf, "sketch_snapshots", lambda s: sq.stream_sketch(s, "label", "user_id"))
+    ev = table(spark, sf, "events").withColumnRenamed("event_type", "label").withColumn("batch", _week())
+    first = ev.where(F.col("user_id").isNotNull()).groupBy("label", "user_id").agg(F.min("batch").alias("first"))
+    exact = held.select("label", "batch").join(first.withColumnRenamed("label", "_l"), F.col("label").eqNullSafe(F.col("_l"))) \
+        .groupBy("label", "batch").agg(F.count_if(F.col("first") <= F.col("batch")).alias("exact"))
+    both = held.join(exact, ["label", "batch"])
+    e = F.hll_sketch_estimate("sketch")
+    return both.select("label", "batch", "n", "exact", (F.abs(e - F.col("exact")) <= F.greatest(
+        F.lit(distinct.SIGMAS * 1.04 / 64) * F.col("exact"), F.lit(1.0))).alias("sketch_in_bounds"))
+
+
 def q_stream_exact_sum(spark, sf):
     """A2 on a stream, independent of order: compared to the last bit."""
     lanes = _run_final(spark, sf, "stream_exact_sum", lambda s: sq.stream_exact_sum(s, "label", "value"), ["label", "exponent"])
@@ -252,6 +300,9 @@ STREAM_QUERIES = {
     "stream_kalman_snapshots": q_stream_kalman_snapshots,
     "stream_kalman_reordered": q_stream_kalman_reordered,
     "stream_late_counts": q_stream_late_counts,
+    "stream_variance_continued": q_stream_variance_continued,
+    "stream_histogram_continued": q_stream_histogram_continued,
+    "stream_sketch_snapshots": q_stream_sketch_snapshots,
     "stream_exact_sum": q_stream_exact_sum,
     "stream_higher_moments": q_stream_higher_moments,
     "stream_state_snapshots": q_stream_state_snapshots,
@@ -296,6 +347,9 @@ STREAM_ORACLES = {
     "stream_kalman_snapshots": kalman_weekly_sql(),
     "stream_kalman_reordered": "kalman_trace",
     "stream_late_counts": _LATE_SQL,
+    "stream_variance_continued": "running_variance",
+    "stream_histogram_continued": "histogram",
+    "stream_sketch_snapshots": running_distinct_sql("CAST(date_trunc('week', ts) AS DATE)", "event_type AS label", "user_id"),
     "stream_exact_sum": "exact_sum",
     "stream_higher_moments": "higher_moments_merge_partials",
     "stream_state_snapshots": history_sum_sql(WEEKLY),

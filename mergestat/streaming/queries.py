@@ -23,8 +23,8 @@ from mergestat.operators import distinct, exact, histogram, kalman, moments
 from mergestat.operators.histogram import Bins
 from mergestat.sources.tables import key_names
 from mergestat.streaming.sinks import batch_folders
-from mergestat.streaming.stateful import (ExtremesProcessor, extremes_schema, local_extremes,
-                                          stateful)
+from mergestat.streaming.stateful import (CountsProcessor, ExtremesProcessor, MomentsProcessor, extremes_schema,
+                                          local_extremes, moments_schema, stateful)
 
 
 def stream_sum(stream: DataFrame, keys, value) -> DataFrame:
@@ -140,3 +140,33 @@ def stream_higher_moments(stream: DataFrame, keys, value) -> DataFrame:
     ks = key_names(keys)
     v = F.col(value) if isinstance(value, str) else value
     return stream.groupBy(*ks).agg(higher_of(v).alias("_s")).select(*ks, "_s.*")
+
+
+def stream_variance_from(stream: DataFrame, keys, value, initial: DataFrame | None = None, ttl_ms: int | None = None,
+                         idle_ms: int | None = None) -> DataFrame:
+    """A8 by a state function that goes on from ``initial`` states (key..., n, mean, m2),
+    such as ``moments.moment_partials`` of the past; expiry is off unless asked for."""
+    ks = key_names(keys)
+    fields = [T.StructField(c, stream.schema[c].dataType, True) for c in ks]
+    slim = stream.select(*ks, F.col(value).cast("double").alias(value))
+    start = None if initial is None else initial.select(*ks, "n", "mean", "m2")
+    return stateful(slim, ks, MomentsProcessor(ks, value, ttl_ms, idle_ms), moments_schema(fields), "Update", start,
+                    "ProcessingTime" if ttl_ms or idle_ms else "None")
+
+
+def stream_histogram_from(stream: DataFrame, keys, value, bins: Bins, initial: DataFrame | None = None) -> DataFrame:
+    """B2 by a state function with a map state that goes on from ``initial`` counts
+    (key..., slot, count), such as ``histogram.histogram_long`` of the past."""
+    ks = key_names(keys)
+    fields = [T.StructField(c, stream.schema[c].dataType, True) for c in ks]
+    slots = stream.select(*ks, bins.slot(F.col(value)).alias("slot"))
+    out = T.StructType([*fields, T.StructField("slot", T.IntegerType()), T.StructField("count", T.LongType())])
+    start = None if initial is None else initial.groupBy(*ks).agg(F.collect_list(F.struct(
+        F.col("slot").cast("int").alias("slot"), F.col("count").cast("bigint").alias("count"))).alias("slots"))
+    return stateful(slots, ks, CountsProcessor(ks, "slot"), out, "Update", start)
+
+
+def stream_sketch(stream: DataFrame, keys, value, lg_k: int = 12) -> DataFrame:
+    """H6 on a stream: the running union as a library sketch, which is the state itself."""
+    return stream.groupBy(*key_names(keys)).agg(
+        F.hll_sketch_agg(F.col(value).cast("string"), lg_k).alias("sketch"), F.count(value).alias("n"))

@@ -41,11 +41,18 @@ def use_rocksdb(spark) -> None:
 
 
 def stateful(df: DataFrame, keys: Sequence[str], processor: StatefulProcessor,
-             output_schema: T.StructType | str, mode: str = "Update") -> DataFrame:
-    """Run a per-key state function over a (streaming) DataFrame."""
+             output_schema: T.StructType | str, mode: str = "Update", initial: DataFrame | None = None,
+             time_mode: str = "None") -> DataFrame:
+    """Run a per-key state function over a (streaming) DataFrame.
+
+    ``initial``, one row a key, goes to the function's ``handleInitialState`` before
+    the first rows, so a batch result goes on as a stream.  Functions with timers or
+    expiry need ``time_mode`` "ProcessingTime".
+    """
     use_rocksdb(df.sparkSession)
     return df.groupBy(*keys).transformWithState(
-        statefulProcessor=processor, outputStructType=output_schema, outputMode=mode, timeMode="None")
+        statefulProcessor=processor, outputStructType=output_schema, outputMode=mode, timeMode=time_mode,
+        initialState=None if initial is None else initial.groupBy(*keys))
 
 
 def local_extremes(keys: Sequence[str], value: str, k: int, j: int):
@@ -106,3 +113,89 @@ class ExtremesProcessor(StatefulProcessor):
 def extremes_schema(key_fields: Sequence[T.StructField], value: str, kind: T.DataType = T.DoubleType()) -> T.StructType:
     return T.StructType([*key_fields, T.StructField("side", T.StringType()),
                          T.StructField("rank", T.LongType()), T.StructField(value, kind)])
+
+
+MOMENTS = T.StructType([T.StructField("n", T.LongType()), T.StructField("mean", T.DoubleType()), T.StructField("m2", T.DoubleType())])
+
+
+class MomentsProcessor(StatefulProcessor):
+    """Running count, mean and population variance of one key.
+
+    Starts from a state (key..., n, mean, m2) where one is given.  State is never
+    dropped (W4) unless asked for: with ``ttl_ms`` the store forgets a state that was not
+    updated for so long, and with ``idle_ms`` a timer ends a key that got no rows for so
+    long, whose last state then comes out once more with ``ended`` true.
+    """
+
+    def __init__(self, keys: Sequence[str], value: str, ttl_ms: int | None = None, idle_ms: int | None = None):
+        self.keys, self.value, self.ttl, self.idle = list(keys), value, ttl_ms, idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("moments", MOMENTS, self.ttl) if self.ttl else handle.getValueState("moments", MOMENTS)
+
+    def _row(self, key, ended: bool) -> Row:
+        n, mean, m2 = self.state.get()
+        return Row(**dict(zip(self.keys, key)), n=n, mean=mean if n else None, variance=m2 / n if n else None, ended=ended)
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        n = initialState["n"] or 0
+        self.state.update((n, initialState["mean"] if n else 0.0, initialState["m2"] if n else 0.0))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        n, mean, m2 = self.state.get() if self.state.exists() else (0, 0.0, 0.0)
+        for r in rows:
+            v = r[self.value]
+            if v is not None:
+                n += 1
+                d = v - mean
+                mean += d / n
+                m2 += d * (v - mean)
+        self.state.update((n, float(mean), float(m2)))
+        if self.idle:
+            for t in list(self.handle.listTimers()):
+                self.handle.deleteTimer(t)
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle)
+        yield self._row(key, False)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if self.state.exists():
+            yield self._row(key, True)
+            self.state.clear()
+
+    def close(self) -> None:
+        pass
+
+
+def moments_schema(key_fields: Sequence[T.StructField]) -> T.StructType:
+    return T.StructType([*key_fields, T.StructField("n", T.LongType()), T.StructField("mean", T.DoubleType()),
+                         T.StructField("variance", T.DoubleType()), T.StructField("ended", T.BooleanType())])
+
+
+class CountsProcessor(StatefulProcessor):
+    """Running counts of one key's slots, a map state: only the slots that a batch
+    touches are read and written.  Starts from rows (key..., slots: array of (slot, count))."""
+
+    def __init__(self, keys: Sequence[str], slot: str):
+        self.keys, self.slot = list(keys), slot
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.counts = handle.getMapState("counts", T.StructType([T.StructField("slot", T.IntegerType())]),
+                                         T.StructType([T.StructField("count", T.LongType())]))
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        for s in initialState["slots"]:
+            self.counts.updateValue((int(s["slot"]),), (int(s["count"]),))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        new: dict[int, int] = {}
+        for r in rows:
+            if r[self.slot] is not None:
+                new[r[self.slot]] = new.get(r[self.slot], 0) + 1
+        for slot, n in sorted(new.items()):
+            n += self.counts.getValue((slot,))[0] if self.counts.containsKey((slot,)) else 0
+            self.counts.updateValue((slot,), (n,))
+            yield Row(**dict(zip(self.keys, key)), slot=slot, count=n)
+
+    def close(self) -> None:
+        pass

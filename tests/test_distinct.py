@@ -123,3 +123,53 @@ def test_registers_against_python_md5(spark):
         key = (r["event_type"], reg)
         want[key] = max(want.get(key, 0), rank)
     assert got == want
+
+
+def test_likelihood_estimate_has_no_ranges(spark):
+    """Errors within three standard errors over six orders of magnitude, for both hashes and several m."""
+    sizes = [1, 2, 5, 20, 60, 100, 160, 200, 400, 1000, 30_000]
+    df = spark.range(1, 1 + max(sizes)).select(F.explode(F.array(*[F.lit(n) for n in sizes])).alias("k"), F.col("id").alias("v")).where("v <= k")
+    for m, method in ((64, "md5"), (1024, "xxhash64")):
+        got = {r["k"]: r for r in distinct.hll_likelihood(df, "k", "v", m, method).collect()}
+        for n in sizes:
+            assert abs(got[n]["estimate"] - n) <= max(3 * 1.04 / math.sqrt(m) * n, 1.5), (n, m, method)
+            assert got[n]["n"] == n
+
+
+def test_likelihood_estimate_is_the_root_and_grows(spark):
+    """The equation holds at the estimate; one more filled register never lowers it; ends are defined."""
+    import random
+    m, top = 64, 27
+    r = random.Random(5)
+    registers = [0] * m
+    tables = [list(registers)]
+    for _ in range(300):
+        i = r.randrange(m)
+        registers[i] = max(registers[i], min(top, 1 + int(r.expovariate(math.log(2)))))
+        tables.append(list(registers))
+    tables.append([top] * m)
+    counts = [[t.count(k) for k in range(top + 1)] for t in tables]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(counts)], "i int, c array<bigint>")
+    got = [x["e"] for x in df.select("i", distinct.likelihood_estimate(F.col("c"), m, top).alias("e")).orderBy("i").collect()]
+    assert got[0] == 0.0 and got[-1] == distinct.LARGEST
+    assert all(b >= a * (1 - 1e-12) for a, b in zip(got, got[1:]))
+    for c, e in zip(counts[1:-1], got[1:-1]):
+        x = e / m
+        left = x * sum(c[k] * 2.0 ** -k for k in range(top))
+        left += sum(c[k] * (1 - (y := x * 2.0 ** -min(k, top - 1)) / math.expm1(y)) for k in range(1, top + 1))
+        assert left == pytest.approx(m - c[0], rel=1e-9)
+
+
+def test_running_sketches_are_the_unions(spark):
+    """After every batch, quiet ones left out: the union of all sketches so far, NULL keys among them."""
+    rows = [((None, 2 ** 60, 2 ** 60 + 1)[i % 3], i % 600, (i * i) % 11) for i in range(3000)] + [(7, None, 3), (7, 1, 4)]
+    df = spark.createDataFrame(rows, "k long, v long, b int")
+    parts = distinct.sketch_partials(df, "k", "v", "b")
+    got = {(r["k"], r["b"]): (r["n"], r["e"]) for r in distinct.running_sketches(parts, "k", "b")
+           .select("k", "b", "n", F.hll_sketch_estimate("sketch").alias("e")).collect()}
+    assert set(got) == {(k, b) for k, _, b in rows}
+    for (k, b), (n, e) in got.items():
+        seen = [v for q, v, c in rows if q == k and c <= b and v is not None]
+        assert n == len(seen) and abs(e - len(set(seen))) <= max(1, 0.08 * len(set(seen)))
+    assert all(r["sketch_in_bounds"] for r in distinct.running_sketch_report(df, "k", "v", "b").collect())
+    assert distinct.running_sketches(parts.limit(0), "k", "b").count() == 0
