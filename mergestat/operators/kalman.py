@@ -398,3 +398,19 @@ def final_from_trace(trace: DataFrame, keys) -> DataFrame:
     last = F.max_by(F.struct("step", "x0", "x1", *COV), F.col("step"))
     return (trace.groupBy(*ks).agg(last.alias("s"))
                 .select(*ks, F.col("s.step").alias("n"), "s.x0", "s.x1", *[f"s.{c}" for c in COV]))
+
+
+def kalman_errors(df: DataFrame, keys, z: str, truth: str, order: Sequence[str] = ("ts", "event_id"),
+                  params: KalmanParams = DEFAULT, num_partitions: int | None = None) -> DataFrame:
+    """The true position beside the estimate: (key..., n, rmse_observed, rmse_estimate, mean_error, worst_error).
+
+    Errors against column ``truth``, over the observations where it is known: of the observation
+    itself, and of the filter's estimate after it.
+    """
+    ks = key_names(keys)
+    trace = kalman_trace(df, ks, z, order, params, num_partitions, passthrough=[truth])
+    t = F.col(truth)
+    seen, found = F.col("z") - t, F.col("x0") - t
+    return trace.where(t.isNotNull()).groupBy(*ks).agg(
+        F.count(t).alias("n"), F.sqrt(F.avg(seen * seen)).alias("rmse_observed"), F.sqrt(F.avg(found * found)).alias("rmse_estimate"),
+        F.avg(found).alias("mean_error"), F.max(F.abs(found)).alias("worst_error"))

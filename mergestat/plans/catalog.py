@@ -331,6 +331,17 @@ def q_kalman_by_user(spark, sf):
     return _r(kalman.kalman_final(ev, "user_id", "value", ("ts", "event_id")))
 
 
+#: Noise of the checked observations: up to this much to either side, as the id decides.
+NOISE = 4.0
+
+
+def q_kalman_errors(spark, sf):
+    """Values as the true state, observed with noise that the id decides: errors before and after the filter."""
+    ev = _whole_events(spark, sf)
+    noise = (F.col("event_id") * 7919 % 1001 - 500) / 500.0 * NOISE
+    return _r(kalman.kalman_errors(ev.withColumn("seen", F.col("value") + noise), "label", "seen", "value", ("ts", "event_id")))
+
+
 def q_kalman_irregular(spark, sf):
     """Steps as long as the hours between events, and one in ten rows without an observation."""
     ev = _whole_events(spark, sf).withColumn("value", F.when(F.col("event_id") % 10 != 0, F.col("value")))
@@ -415,6 +426,7 @@ BATCH_QUERIES: dict[str, Query] = {
     "kalman_by_user": q_kalman_by_user,
     "kalman_lineitem_hot": q_kalman_lineitem_hot,
     "kalman_irregular": q_kalman_irregular,
+    "kalman_errors": q_kalman_errors,
     "variance_by_user": q_variance_by_user,
     "k_largest_by_user": q_k_largest_by_user,
 }

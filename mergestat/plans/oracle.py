@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from mergestat.functions.hashing import alpha
 from mergestat.functions.kalman_math import KalmanParams
-from mergestat.plans.catalog import (ACCTBAL_BINS, EVENT_BINS, HLL_M, J_SMALLEST, K_LARGEST,
+from mergestat.plans.catalog import (ACCTBAL_BINS, EVENT_BINS, HLL_M, J_SMALLEST, K_LARGEST, NOISE,
                                      QUANTITY_EDGES)
 from mergestat.operators.histogram import Bins
 
@@ -221,7 +221,8 @@ def history_extremes_sql(every=DAILY) -> str:
             + side("smallest", "ASC", J_SMALLEST))
 
 
-def _kalman_sql(key_expr: str, key: str, final: bool, prm: KalmanParams = KalmanParams(), weekly: bool = False) -> str:
+def _kalman_sql(key_expr: str, key: str, final: bool, prm: KalmanParams = KalmanParams(), weekly: bool = False,
+                z: str = "value") -> str:
     dt = _lit(prm.dt)
     ga0, ga1 = (_lit(x) for x in prm.ga)
     q00, q01, q10, q11 = (_lit(x) for x in prm.q)
@@ -230,9 +231,9 @@ def _kalman_sql(key_expr: str, key: str, final: bool, prm: KalmanParams = Kalman
     r = _lit(prm.r)
     body = f"""
 WITH RECURSIVE o AS (
-  SELECT {key_expr} AS {key}, event_id, value AS z,
+  SELECT {key_expr} AS {key}, event_id, {z} AS z,
          row_number() OVER (PARTITION BY {key_expr} ORDER BY ts, event_id) AS step
-  FROM events WHERE value IS NOT NULL),
+  FROM events WHERE {z} IS NOT NULL),
 k({key}, event_id, step, z, x0, x1, p00, p01, p10, p11) AS (
   SELECT DISTINCT {key}, CAST(NULL AS BIGINT), CAST(0 AS BIGINT), CAST(NULL AS DOUBLE),
          {x0}, {x1}, {p[0]}, {p[1]}, {p[2]}, {p[3]} FROM o
@@ -266,6 +267,27 @@ def kalman_weekly_sql() -> str:
     return _kalman_sql("event_type", "label", final=False, weekly=True)
 
 
+def kalman_errors_sql() -> str:
+    seen = f"(value + (event_id * 7919 % 1001 - 500) / 500.0::DOUBLE * {_lit(NOISE)})"
+    trace = _kalman_sql("event_type", "label", final=False, z=seen).rsplit("SELECT label, event_id, step", 1)[0]
+    return trace + ("SELECT k.label, count(value) AS n, round(sqrt(avg((k.z - value) * (k.z - value))), 6) AS rmse_observed, "
+                    "round(sqrt(avg((k.x0 - value) * (k.x0 - value))), 6) AS rmse_estimate, round(avg(k.x0 - value), 6) AS mean_error, "
+                    "round(max(abs(k.x0 - value)), 6) AS worst_error FROM k JOIN events e ON e.event_id = k.event_id "
+                    "WHERE k.step > 0 AND value IS NOT NULL GROUP BY k.label")
+
+
+def hll_registers_history_sql(every, m: int = HLL_M) -> str:
+    """All registers of every key after every batch, as text."""
+    p = m.bit_length() - 1
+    slots = ", ".join(f"coalesce(max(rank) FILTER (register = {i}), 0)" for i in range(m))
+    return (f"WITH {_grid(every)}, h AS (SELECT label, batch, {_hash_sql('user_id')} AS h FROM ev WHERE user_id IS NOT NULL), "
+            f"x AS (SELECT label, batch, h & {m - 1} AS register, CASE WHEN h >> {p} = 0 THEN {32 - p + 1} "
+            f"ELSE bit_count(((h >> {p}) & -(h >> {p})) - 1) + 1 END AS rank FROM h) "
+            f"SELECT g.label, g.batch, count(e.register) AS n, array_to_string([{slots}], ',') AS registers "
+            f"FROM g LEFT JOIN x e ON e.label IS NOT DISTINCT FROM g.label AND (e.batch IS NULL OR e.batch <= g.batch) "
+            f"GROUP BY g.label, g.batch")
+
+
 def kalman_irregular_sql(prm: KalmanParams = KalmanParams()) -> str:
     """Steps as long as the hours since the key's row before; rows without a value are predicted only."""
     a0, a1 = (_lit(x) for x in prm.accel)
@@ -379,6 +401,7 @@ def build() -> dict[str, str]:
     q["hll_likelihood_lineitem"] = likelihood_sql("lineitem", "l_returnflag", "l_partkey", HLL_M)
     q["running_sketches"] = running_distinct_sql("CAST(ts AS DATE)", "event_type AS label", "user_id")
     q["kalman_irregular"] = kalman_irregular_sql()
+    q["kalman_errors"] = kalman_errors_sql()
     q["exact_sum"] = exact_sum_sql("label", mean=True)
     q["exact_batch_sum"] = exact_sum_sql("batch, label", mean=False)
     q["exact_median_lineitem"] = median_sql("lineitem", "l_returnflag", "l_extendedprice")

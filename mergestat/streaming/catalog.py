@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from mergestat.plans.catalog import EVENT_BINS, HLL_M, J_SMALLEST, K_LARGEST
 from mergestat.plans.compare import rounded
 from mergestat.plans.oracle import (WEEKLY, history_extremes_sql, history_histogram_sql, history_hll_sql,
-                                    history_sum_sql, history_variance_sql, kalman_weekly_sql, running_distinct_sql)
+                                    history_sum_sql, history_variance_sql, hll_registers_history_sql, kalman_weekly_sql,
+                                    running_distinct_sql)
 from mergestat.session import scratch_path
 from mergestat.sources.tables import table
 from mergestat.streaming import queries as sq
@@ -279,6 +280,12 @@ def q_stream_hll_snapshots(spark, sf):
     return rounded(df.withColumn("estimate_rounded", F.round("estimate").cast("bigint")))
 
 
+def q_stream_registers_snapshots(spark, sf):
+    """The registers of every key after every weekly batch."""
+    df = _snapshots(spark, sf, "registers_snapshots", lambda s: distinct.hll_registers_wide(s, "label", "user_id", HLL_M))
+    return df.select("label", "batch", "n", F.array_join("registers", ",").alias("registers"))
+
+
 def q_stream_extremes_snapshots(spark, sf):
     """Top-k lists of every key after every batch, from the states in the checkpoint."""
     _, ckpt, weeks = _weekly(spark, sf, "extremes_snapshots",
@@ -310,6 +317,7 @@ STREAM_QUERIES = {
     "stream_variance_snapshots": q_stream_variance_snapshots,
     "stream_histogram_snapshots": q_stream_histogram_snapshots,
     "stream_hll_snapshots": q_stream_hll_snapshots,
+    "stream_registers_snapshots": q_stream_registers_snapshots,
     "stream_extremes_snapshots": q_stream_extremes_snapshots,
 }
 
@@ -356,6 +364,7 @@ STREAM_ORACLES = {
     "stream_variance_snapshots": history_variance_sql(WEEKLY, stddev=True, squares=True),
     "stream_histogram_snapshots": history_histogram_sql(WEEKLY),
     "stream_hll_snapshots": history_hll_sql(WEEKLY),
+    "stream_registers_snapshots": hll_registers_history_sql(WEEKLY),
     "stream_extremes_snapshots": history_extremes_sql(WEEKLY),
     "stream_batch_sum": _WEEKLY_BATCH_SUM_SQL,
 }
