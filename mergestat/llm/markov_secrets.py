@@ -8,7 +8,8 @@ words and identifiers: the log-likelihood ratio of the run must reach
 ``least`` (the prior odds against a random string).
 
 Both models are trained from labelled samples of the scanned documents: secrets
-that the patterns find count as random, all other words as ordinary.  The sample
+that the patterns find count as random, all other words that more than one document
+has, and all numbers, as ordinary.  The sample
 is the ``sample_docs`` documents lowest in hash order of id and text for each label,
 equal ones counted once; smoothing
 by ``alpha`` counts per pair of characters stands for what the sample lacks, and
@@ -165,12 +166,15 @@ def train(docs: DataFrame, ident: str = "doc_id", text: str = "text", sample_doc
     picked = staged(lowest(src.where(secret), 1).union(lowest(src, 0)), "secret-sample")
     sample = src.join(F.broadcast(picked), (F.col("ident") == F.col("picked")) & (F.col("h") == F.col("picked_h"))) \
         .groupBy("random", "ident", "h").agg(F.min("text").alias("text")).withColumn("base", base_spans(F.col("text")))
-    token = sample.where("random = 1").select("random", F.explode("base").alias("s")).select(
-        "random", F.col("s.text").alias("token"))
-    plain = sample.where("random = 0").select("random", F.explode(_clear(_runs(F.col("text"), 4), F.col("base"))).alias("s"))
-    plain = plain.select("random", F.col("s.text").alias("token"))
-    seen = token.union(plain).where(F.char_length("token") > 1).select(
-        "random", F.explode(_pairs(F.col("token"))).alias("pair")).groupBy("random", "pair").count()
+    token = sample.where("random = 1").select("random", "ident", "h", F.explode("base").alias("s")).select(
+        "random", "ident", "h", F.col("s.text").alias("token"))
+    plain = sample.where("random = 0").select("random", "ident", "h", F.explode(_clear(_runs(F.col("text"), 4), F.col("base"))).alias("s"))
+    plain = plain.select("random", "ident", "h", F.col("s.text").alias("token"))
+    # a word of one document alone may be a secret that no pattern finds
+    words = token.union(plain).where(F.char_length("token") > 1).groupBy("random", "token").agg(
+        F.count(F.lit(1)).alias("n"), (F.count_distinct("ident", "h") > 1).alias("shared"))
+    seen = words.where((F.col("random") == 1) | F.col("shared") | ~F.col("token").rlike("[^0-9]")).select(
+        "random", "n", F.explode(_pairs(F.col("token"))).alias("pair")).groupBy("random", "pair").agg(F.sum("n").alias("count"))
     n = {(r["random"], r["pair"]): r["count"] for r in seen.collect()}
     size = len(ALPHABET)
     out = []

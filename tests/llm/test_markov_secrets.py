@@ -3,6 +3,7 @@ import random
 import re
 import string
 
+import pytest
 from helpers import none, odd_docs, odd_rows
 
 from mergestat.llm import markov_secrets as ms
@@ -105,3 +106,39 @@ def test_query(spark):
         assert r.base_sha256 == hashlib.sha256(want.encode()).hexdigest()
         assert [s for s in r.spans.split(",") if s and not s.startswith("random")] == [s for s in want.split(",") if s]
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(want.count(k) for k in ("assign:", "access:", "hex:"))
+
+
+ALNUM = string.ascii_letters + string.digits
+KEYS = {"alnum": ALNUM, "base64": ALNUM + "+/", "upper": string.ascii_uppercase + string.digits,
+        "lower": string.ascii_lowercase + string.digits, "letters": string.ascii_letters}
+
+
+@pytest.mark.parametrize("train_on_planted", [False, True])
+def test_held_out_keys_in_whole_documents(spark, train_on_planted):
+    """A random key and a long ordinary run in every document of a table: keys are found, runs are not,
+    whether or not the models saw documents with such keys."""
+    r = random.Random(7)
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    docs = [(x.doc_id, x.text or "") for x in table.collect()]
+    words = [w for _, t in docs for w in t.split() if w.isalpha() and w.isascii()]
+
+    def ordinary():
+        w = r.choices(words, k=5)
+        return r.choice(["_".join(w[:4]).lower(), "".join(w).lower(), "-".join(w[:4]), "/".join(w[:4]).lower(), "=" * 20,
+                         "".join(x.capitalize() for x in w[:4]), str(r.randint(10 ** 17, 10 ** 18)),
+                         "2024-%02d-%02d_%02d-%02d-%02d" % tuple(r.randint(1, 12) for _ in range(5))])
+    rows, at = [], {}
+    for i, t in docs:
+        key, run = "".join(r.choices(KEYS[r.choice(list(KEYS))], k=r.choice([20, 24, 32, 40, 64]))), ordinary()
+        rows.append((i, f"{t} {key} and {run} end"))
+        at[i] = len(t) + 1, len(t) + 1 + len(key), len(run)
+    planted = spark.createDataFrame(rows, "doc_id long, text string")
+    model = ms.train(planted if train_on_planted else table)
+    hits = false = candidates = 0
+    for x in ms.scan(planted, model).select("doc_id", "secrets").collect():
+        start, end, long = at[x.doc_id]
+        hits += any(s.start <= start and s.end >= end for s in x.secrets)
+        false += sum(s.kind == 3 and s.start >= end for s in x.secrets)
+        candidates += long >= 16
+    assert hits >= 0.95 * len(docs)
+    assert false <= 0.01 * candidates
