@@ -144,3 +144,28 @@ def test_extremes_of_long_histories_keep_whole_numbers(spark, monkeypatch, fold)
             if best:
                 want[key, batch, side] = list(enumerate(best, 1))
     assert {c: sorted(v) for c, v in out.items()} == want
+
+
+def test_integer_batches_far_apart(spark, monkeypatch):
+    """Gaps longer than an array may be: whole stretches are filled in; none where nothing lies between."""
+    monkeypatch.setattr(history, "STRETCH", 7)
+    rows = [("a", 0, 1.0), ("a", 40, 2.0), ("b", 3, 5.0), ("b", None, 7.0), ("c", 41, 1.5)]
+    df = spark.createDataFrame(rows, "k string, batch long, v double")
+    got = sorted((r["k"], r["batch"], r["n"], r["sum"]) for r in history.history_sum(df.where("batch is not null"), "k", "v", "batch").collect())
+    want = [("a", b, 1 + (b >= 40), 1.0 + 2.0 * (b >= 40)) for b in range(42)] + [("b", b, 1, 5.0) for b in range(3, 42)] + [("c", 41, 1, 1.5)]
+    assert got == want
+    both = {(r["batch"], r["n"], r["sum"]) for r in history.history_sum(df, "k", "v", "batch").where("k = 'b'").collect()}
+    assert both == {(None, 1, 7.0)} | {(b, 1 + (b >= 3), 7.0 + 5.0 * (b >= 3)) for b in range(42)}
+    monkeypatch.setattr(history, "STRETCH", 1 << 16)
+    far = spark.createDataFrame([("a", 5_000_000_000, 1.0), ("a", 5_000_000_001, 2.0)], "k string, batch long, v double")
+    assert [r["sum"] for r in history.history_sum(far, "k", "v", "batch").orderBy("batch").collect()] == [1.0, 3.0]
+
+
+def test_histogram_history_has_mean_and_bins(spark):
+    from mergestat.operators.histogram import Bins
+    rows = [("a", 1, 1.0), ("a", 1, 12.0), ("a", 2, None), ("a", 3, float("nan")), ("a", 4, 3.0), ("b", 2, 7.0)]
+    df = spark.createDataFrame(rows, "k string, batch int, v double")
+    got = {(r["k"], r["batch"]): (r["n"], r["mean"], r["counts"]) for r in
+           history.history_histogram_median(df, "k", "v", "batch", Bins(0.0, 10.0, 2)).collect()}
+    assert got[("a", 1)] == (2, 6.5, [0, 1, 0, 1]) and got[("a", 3)] == (2, 6.5, [0, 1, 0, 1])
+    assert got[("a", 4)] == (3, 16 / 3, [0, 2, 0, 1]) and got[("b", 4)] == (1, 7.0, [0, 0, 1, 0])
