@@ -48,14 +48,20 @@ SPACE = "▁"
 CACHE_UNITS, UNIT_CHARS, CACHE_PAIRS = 300_000, 64, 1_000_000
 
 
+@lru_cache(maxsize=2)
+def processor(path: str):
+    """The library's model: its pieces and its ``decode``."""
+    import sentencepiece
+    return sentencepiece.SentencePieceProcessor(model_file=path)
+
+
 class PieceEncoder:
     """Ids of whole texts, equal to ``SentencePieceProcessor.encode(text)``."""
 
     def __init__(self, path: str):
         import ahocorasick
-        import sentencepiece
 
-        self.lib = lib = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.lib = lib = processor(path)
         known = [i for i in range(len(lib)) if not (lib.is_control(i) or lib.is_unknown(i) or lib.is_byte(i))]
         self.ids = {lib.id_to_piece(i): i for i in known}
         self.byte_id = [lib.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
@@ -212,9 +218,6 @@ class PieceEncoder:
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.raw(text), "<i4").tolist()
 
-    def decode(self, ids: list[int]) -> str:
-        return self.lib.decode(ids)
-
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> PieceEncoder:
@@ -251,7 +254,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") ->
 def decode(docs: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``docs`` with the text that each array of ids stands for; null ids: an empty text."""
     def work(column):
-        enc = encoder(path)
-        return pa.array([enc.decode(x.as_py() or []) for x in column], pa.string())
+        text = processor(path).decode
+        return pa.array([text(x.as_py() or []) for x in column], pa.string())
 
     return _mapped(docs, ids, out, T.StringType(), work)
