@@ -41,7 +41,7 @@ DIMS = 1 << 20
 MAX_ROWS = 5000
 GRADES = 3
 #: Words whose features a scoring task remembers.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 120_000
 
 #: Distinct words that must share a beginning for its second feature.
 OFTEN = 3
