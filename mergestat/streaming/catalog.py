@@ -23,18 +23,17 @@ from mergestat.streaming import queries as sq
 from mergestat.operators import distinct, exact, histogram, moments
 from mergestat.operators.moments import shapes
 from mergestat.streaming import batch_log, reorder, states
-from mergestat.streaming.sinks import latest_per_key, run, snapshot_writer
-from mergestat.streaming.sources import read_batches, write_batch_files
-
-FILES_PER_TRIGGER = 3
+from mergestat.streaming.sinks import latest_per_key, run, snapshot_writer, state_partitions
+from mergestat.streaming.sources import batch_plan, read_batches, write_batch_files
 
 
 def _events_stream(spark: SparkSession, sf: str, name: str):
     """Write events as day-ordered batch files; return (stream, folder)."""
     ev = table(spark, sf, "events").withColumn("batch", F.to_date("ts"))
     folder = scratch_path(spark, f"{name}-input")
-    write_batch_files(ev, "batch", folder, order=["ts", "event_id"])
-    stream = read_batches(spark, folder, ev.schema, FILES_PER_TRIGGER)
+    files, at_once = batch_plan(ev.count(), spark.sparkContext.defaultParallelism)
+    write_batch_files(ev, "batch", folder, order=["ts", "event_id"], num_files=files)
+    stream = read_batches(spark, folder, ev.schema, at_once)
     return stream.withColumnRenamed("event_type", "label"), folder
 
 
@@ -42,7 +41,7 @@ def _run_final(spark: SparkSession, sf: str, name: str, build, keys,
                mode: str = "update") -> DataFrame:
     stream, _ = _events_stream(spark, sf, name)
     out = scratch_path(spark, f"{name}-out")
-    run(build(stream), scratch_path(spark, f"{name}-ckpt"), out, mode)
+    run(build(stream), scratch_path(spark, f"{name}-ckpt"), out, mode, partitions=state_partitions(spark))
     return latest_per_key(spark, out, keys)
 
 

@@ -7,15 +7,16 @@
   in ``update`` mode only keys that changed.
 * ``latest_per_key`` puts together what an update-mode query last wrote for each
   key; ``states`` reads states from a query's checkpoint.
-* ``run`` starts a query with its own checkpoint folder (S5) and a trigger
+* ``run`` starts a query with its own checkpoint folder (S5), a trigger
   (S6): ``availableNow`` for tests and catalogue runs, ``processingTime`` for
-  a live job.
+  a live job, and a number of state partitions.
 * ``console`` (S3): the reference's per-batch printout.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,15 +30,41 @@ def snapshot_writer(path: str):
     return write
 
 
+PARTITIONS_KEY = "spark.sql.shuffle.partitions"
+
+
+def state_partitions(spark: SparkSession) -> int:
+    """Partitions for a state of rows reduced before their shuffle: one wave of tasks.
+
+    Every trigger opens and commits every partition of the state, empty ones too, so the
+    shuffle partitions of a large batch would cost each trigger more than its rows do.
+    """
+    return min(int(spark.conf.get(PARTITIONS_KEY)), spark.sparkContext.defaultParallelism)
+
+
+@contextmanager
+def _shuffled_into(spark: SparkSession, n: int | None) -> Iterator[None]:
+    """The session with ``n`` shuffle partitions; a query takes its own copy of the settings when it starts."""
+    was = spark.conf.get(PARTITIONS_KEY, None)
+    if n:
+        spark.conf.set(PARTITIONS_KEY, n)
+    try:
+        yield
+    finally:
+        if n:
+            spark.conf.unset(PARTITIONS_KEY) if was is None else spark.conf.set(PARTITIONS_KEY, was)
+
+
 def run(df: DataFrame, checkpoint: str, sink_path: str | None = None,
         mode: str = "update", processing_time: str | None = None,
-        query_name: str | None = None, writer=None) -> StreamingQuery:
+        query_name: str | None = None, writer=None, partitions: int | None = None) -> StreamingQuery:
     """Start a streaming query with a checkpoint folder of its own.
 
     Output goes to the snapshot table at ``sink_path``, or to a custom
     ``foreachBatch`` ``writer``, or to the console.  With ``processing_time``
     unset it runs ``availableNow`` and returns after all available input was
-    processed.
+    processed.  ``partitions`` cuts the state of a new query, and any shuffle of its
+    triggers; unset, the session's shuffle partitions do.
     """
     w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     if query_name:
@@ -48,9 +75,11 @@ def run(df: DataFrame, checkpoint: str, sink_path: str | None = None,
         w = w.foreachBatch(snapshot_writer(sink_path))
     else:
         w = w.format("console").option("truncate", "false")
+    w = w.trigger(processingTime=processing_time) if processing_time else w.trigger(availableNow=True)
+    with _shuffled_into(df.sparkSession, partitions):
+        q = w.start()
     if processing_time:
-        return w.trigger(processingTime=processing_time).start()
-    q = w.trigger(availableNow=True).start()
+        return q
     q.awaitTermination()
     if q.exception():
         raise RuntimeError(str(q.exception()))

@@ -20,6 +20,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+#: Least number of triggers of a folder, and the rows that a batch file has at least (but for
+#: small tables) and about at most.
+TRIGGERS, LEAST_ROWS, MOST_ROWS = 3, 20_000, 1_000_000
+
 
 def write_batch_files(df: DataFrame, batch: str, path: str,
                       order: Sequence[str] = (), num_files: int | None = None) -> None:
@@ -28,6 +32,16 @@ def write_batch_files(df: DataFrame, batch: str, path: str,
        .write.mode("overwrite").parquet(path))
 
 
+def batch_plan(rows: int, cores: int) -> tuple[int, int]:
+    """(files, files per trigger) for a table of so many rows.
+
+    A trigger takes a file for each core, and more triggers come only once files are full: triggers
+    grow with the rows, whatever the session's shuffle partitions are.
+    """
+    at_once = max(1, min(cores, -(-rows // (TRIGGERS * LEAST_ROWS))))
+    return max(TRIGGERS, -(-rows // (at_once * MOST_ROWS))) * at_once, at_once
+
+
 def read_batches(spark: SparkSession, path: str, schema: StructType,
                  max_files_per_trigger: int | None = None) -> DataFrame:
     """A streaming DataFrame over the batch folder."""

@@ -1,0 +1,60 @@
+"""Triggers and state partitions of the catalogue's streams follow the rows and
+the cores, not the session's shuffle partitions."""
+
+import datetime as dt
+import os
+from glob import glob
+
+import pytest
+
+from mergestat.session import checkpoint_root
+from mergestat.streaming import catalog
+from mergestat.streaming.sinks import PARTITIONS_KEY
+from mergestat.streaming.sources import batch_plan
+
+MANY = 24
+
+
+@pytest.fixture()
+def events(spark, tmp_dir):
+    """A folder with an events table of 600 rows over five weeks, some keys and values NULL."""
+    start = dt.datetime(2024, 1, 1)
+    rows = [(i, start + dt.timedelta(hours=1.4 * i), None if i % 13 == 0 else i * 7 % 101, [None, "a", "b", "c"][i % 4],
+             None if i % 17 == 0 else float(i * 37 % 211), "{}") for i in range(600)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string") \
+        .write.parquet(os.path.join(tmp_dir, "events.parquet"))
+    return tmp_dir
+
+
+def _ran(spark, events, query, name):
+    """Rows of a query in a session of many shuffle partitions; its triggers and state partitions."""
+    root = checkpoint_root(spark).removeprefix("file:")
+    seen = set(glob(f"{root}/{name}-ckpt-*"))
+    was = spark.conf.get(PARTITIONS_KEY)
+    spark.conf.set(PARTITIONS_KEY, MANY)
+    try:
+        rows = query(spark, events).collect()
+        assert spark.conf.get(PARTITIONS_KEY) == str(MANY)
+    finally:
+        spark.conf.set(PARTITIONS_KEY, was)
+    ckpt, = set(glob(f"{root}/{name}-ckpt-*")) - seen
+    count = lambda at: sum(n.isdigit() for n in os.listdir(f"{ckpt}/{at}"))
+    return rows, count("commits"), count("state/0")
+
+
+def test_files_of_a_batch_folder():
+    assert batch_plan(0, 12) == (3, 1)
+    assert batch_plan(100_000, 12) == (6, 2)                # small: files of some rows each, on fewer cores
+    assert batch_plan(6_000_000, 12) == (36, 12)            # a file for every core in each trigger
+    assert batch_plan(360_000_000, 12) == (360, 12)         # full files: triggers grow with the rows
+    assert batch_plan(360_000_000, 120) == (360, 120)
+
+
+def test_extremes_stream_with_many_shuffle_partitions(spark, events):
+    from mergestat.operators import extremes
+    got, triggers, parts = _ran(spark, events, catalog.q_stream_extremes, "stream_extremes")
+    assert triggers <= 3 and parts <= spark.sparkContext.defaultParallelism
+    ev = spark.read.parquet(f"{events}/events.parquet").withColumnRenamed("event_type", "label")
+    want = extremes.extremes(ev, "label", "value", catalog.K_LARGEST, catalog.J_SMALLEST, ["event_id"]).collect()
+    key = lambda r: (str(r["label"]), r["side"], r["rank"], r["value"])
+    assert sorted(map(key, got)) == sorted(map(key, want))
