@@ -86,12 +86,15 @@ def _weekly(spark: SparkSession, sf: str, name: str, build, mode: str, writer=No
     out, ckpt = out or scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
     log = batch_log.write_log(ev, _week(), "ts")
     stream = batch_log.read_log(spark, log, ev.schema, "ts").withColumnRenamed("event_type", "label")
-    return out, ckpt, _drained(spark, build(stream), ckpt, out, mode, writer, log)
+    # a writer's own shuffles keep the session's partitions
+    parts = state_partitions(spark) if writer is None else None
+    return out, ckpt, _drained(spark, build(stream), ckpt, out, mode, writer, log, parts)
 
 
-def _drained(spark: SparkSession, df: DataFrame, ckpt: str, out: str, mode: str, writer, log: str) -> DataFrame:
+def _drained(spark: SparkSession, df: DataFrame, ckpt: str, out: str, mode: str, writer, log: str,
+             partitions: int | None = None) -> DataFrame:
     """Run a query on a batch log until the log is through; (batch_id, batch) of its triggers."""
-    q = run(df, ckpt, out, mode, processing_time="0 seconds", writer=writer)
+    q = run(df, ckpt, out, mode, processing_time="0 seconds", writer=writer, partitions=partitions)
     try:
         q.processAllAvailable()
     finally:

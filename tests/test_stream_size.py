@@ -58,3 +58,19 @@ def test_extremes_stream_with_many_shuffle_partitions(spark, events):
     want = extremes.extremes(ev, "label", "value", catalog.K_LARGEST, catalog.J_SMALLEST, ["event_id"]).collect()
     key = lambda r: (str(r["label"]), r["side"], r["rank"], r["value"])
     assert sorted(map(key, got)) == sorted(map(key, want))
+
+
+def test_hll_streams_with_many_shuffle_partitions(spark, events):
+    """The last state of a key and, of the same step, its state after every week."""
+    from mergestat.operators import distinct
+    cores = spark.sparkContext.defaultParallelism
+    ev = spark.read.parquet(f"{events}/events.parquet").withColumnRenamed("event_type", "label")
+    want = {r["label"]: r for r in distinct.hll_distinct(ev, "label", "user_id", catalog.HLL_M).collect()}
+    got, triggers, parts = _ran(spark, events, catalog.q_stream_hll, "stream_hll")
+    assert triggers <= 3 and parts <= cores
+    weekly, triggers, parts = _ran(spark, events, catalog.q_stream_hll_snapshots, "hll_snapshots")
+    assert triggers >= 5 and parts <= cores
+    last = max(r["batch"] for r in weekly)
+    for rows in (got, [r for r in weekly if r["batch"] == last]):
+        assert {r["label"]: (r["n"], r["estimate_rounded"]) for r in rows} == \
+            {k: (r["n"], r["estimate_rounded"]) for k, r in want.items()}
